@@ -33,6 +33,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def key_of(id_col: str, text_col: str):
+    """The id as a long; without one a key made from the text, below all usual ids."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.shiftright(F.xxhash64(text), 3) - F.lit(1 << 62))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_key, doc_id, text): null texts become empty.
 
@@ -41,11 +47,20 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     key. Other columns are left behind, whatever their names.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    stand_in = F.shiftright(F.xxhash64(text), 3) - F.lit(1 << 62)
-    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), stand_in).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(key_of(id_col, text_col).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def semi_by_size(left: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """left_semi join; ids (checkpointed, so counting is cheap) is broadcast only if its counted rows allow it."""
     small = ids.count() <= BROADCAST_ROWS
     return left.join(F.broadcast(ids) if small else ids, key, "left_semi")
+
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, spread: str) -> DataFrame:
+    """rows left joined with table (one row per key), also where very many rows have the same key.
+
+    Rows are dealt by (key, salt), the salt made from the column `spread`; table's row goes to each salt once.
+    """
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(partitions(rows.sparkSession))).cast("int"))
+    slots = rows.select(key, "_salt").distinct().join(table, key)
+    return rows.join(slots, [key, "_salt"], "left").drop("_salt")

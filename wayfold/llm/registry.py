@@ -5,8 +5,12 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op1_chat_format": "chat_format",
+    "op2_suffix_dedup": "suffix_dedup",
     "op4_exact_dedup": "exact_dedup",
     "op5_substring_dedup": "substring_dedup",
+    "op8_ngram_jaccard": "ngram_jaccard",
+    "op9_quality_rules": "quality_rules",
 }
 
 

@@ -21,10 +21,6 @@ from .common import partitions
 
 #: Places that a task gathers before it packs them.
 PACK = 1_000_000
-_PACKED = "bucket int, keys binary, ids binary, pos binary, found_ids binary, found_pos binary"
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("pos", pa.binary()), ("found_ids", pa.binary()), ("found_pos", pa.binary())])
-_FOUND = pa.schema([("_key", pa.int64()), ("places", pa.list_(pa.int32()))])
-
 #: pos of a key that its sender knows to be repeated, with all its own places settled.
 SETTLED = -1
 
@@ -51,50 +47,76 @@ def _settle(keys: np.ndarray, ids: np.ndarray, pos: np.ndarray, later: bool) ->
     return keys[head], np.where(many[head], 0, ids[head]), np.where(many[head], SETTLED, pos[head]), ids[found], pos[found]
 
 
-def _pack(keys: np.ndarray, ids: np.ndarray, pos: np.ndarray, buckets: int, later: bool) -> pa.RecordBatch:
-    keys, ids, pos, found_ids, found_pos = _settle(keys, ids, pos, later)
-    of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def planes(x: np.ndarray) -> bytes:
+    """The array byte plane by byte plane: the upper bytes of small or sorted numbers compress to almost nothing."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() if len(x) else b""
+
+
+def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The arrays that planes() packed, one after the other."""
+    size = np.dtype(kind).itemsize
+    parts = [np.frombuffer(x, np.uint8).reshape(size, -1).T for x in column.to_pylist() if x]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).reshape(-1) if parts else np.zeros(0, kind)
+
+
+def pack(keys: np.ndarray, buckets: int, sent: list[np.ndarray], found: list[np.ndarray]) -> pa.RecordBatch:
+    """One row per range of keys: bucket, and the range's part of each array in sent, as binary columns.
+
+    sent begins with ids and pos and is put in their order within a row. What is found already (ids, ...) goes along,
+    an equal share with each row.
+    """
+    of = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort((sent[1], sent[0], of))
+    of, sent = of[order], [x[order] for x in sent]
+    order = np.argsort(found[0], kind="stable")
+    found = [x[order] for x in found]
     at = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
-    ends = np.append(at[1:], len(of))
-    # what is found here already goes along, an equal share with each range
-    share = np.linspace(0, len(found_ids), len(at) + 1).astype(np.int64)
-    rows = [[], [], [], [], []]
-    for k, (i, j) in enumerate(zip(at, ends, strict=True)):
-        for row, x in zip(rows, (keys[i:j], ids[i:j], pos[i:j], found_ids[share[k] : share[k + 1]], found_pos[share[k] : share[k + 1]]), strict=True):
-            row.append(x.tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(of[at].astype(np.int32), pa.int32()), *(pa.array(x, pa.binary()) for x in rows)], schema=_SCHEMA)
+    share = np.linspace(0, len(order), len(at) + 1).astype(np.int64)
+    columns = [pa.array([planes(x[i:j]) for i, j in zip(at, np.append(at[1:], len(of)), strict=True)], pa.binary()) for x in sent]
+    columns += [pa.array([planes(x[i:j]) for i, j in zip(share[:-1], share[1:], strict=True)], pa.binary()) for x in found]
+    return pa.RecordBatch.from_arrays([pa.array(of[at], pa.int32()), *columns], ["bucket", *(f"s{k}" for k in range(len(sent))), *(f"f{k}" for k in range(len(found)))])
+
+
+def packed_schema(sent: int, found: int) -> str:
+    return ", ".join(["bucket int", *(f"s{k} binary" for k in range(sent)), *(f"f{k} binary" for k in range(found))])
 
 
 def _sender(places: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]], buckets: int, later: bool):
+    def packed(held: list) -> pa.RecordBatch:
+        keys, ids, pos, *found = _settle(*map(np.concatenate, zip(*held, strict=True)), later)
+        return pack(keys, buckets, [ids, pos, keys], found)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in places(batches):
             held.append(part)
             size += len(part[0])
             if size >= PACK:
-                yield _pack(*map(np.concatenate, zip(*held, strict=True)), buckets, later)
+                yield packed(held)
                 held, size = [], 0
         if size:
-            yield _pack(*map(np.concatenate, zip(*held, strict=True)), buckets, later)
+            yield packed(held)
 
     return send
 
 
-def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def by_document(ids: np.ndarray, *values: np.ndarray) -> pa.Table:
+    """One row per id: _key, and a list of its entries for each array of values (places, places1, ...)."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
+    ends = pa.array(np.append(at, len(ids)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in values]
+    return pa.Table.from_arrays([pa.array(ids[at], pa.int64()), *lists], ["_key", *(f"places{k or ''}" for k in range(len(lists)))])
 
 
 def _resolver(later: bool):
     def resolve(table: pa.Table) -> pa.Table:
-        keys, ids, pos = (_joined(table[n], t) for n, t in (("keys", np.uint64), ("ids", np.int64), ("pos", np.int32)))
+        ids, pos, keys = (joined(table[n], t) for n, t in (("s0", np.int64), ("s1", np.int32), ("s2", np.uint64)))
         *_, ids, pos = _settle(keys, ids, pos, later)
-        ids = np.concatenate([ids, _joined(table["found_ids"], np.int64)])
-        pos = np.concatenate([pos, _joined(table["found_pos"], np.int32)])
-        order = np.argsort(ids, kind="stable")
-        ids, pos = ids[order], pos[order]
-        at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(pos.astype(np.int32)))
-        return pa.Table.from_arrays([pa.array(ids[at]), lists], schema=_FOUND)
+        ids = np.concatenate([ids, joined(table["f0"], np.int64)])
+        pos = np.concatenate([pos, joined(table["f1"], np.int32)])
+        return by_document(ids, pos.astype(np.int32))
 
     return resolve
 
@@ -107,7 +129,7 @@ def find(docs: DataFrame, places: Callable, later: bool = False, buckets: int |
     holds at once.
     """
     buckets = buckets or 4 * partitions(docs.sparkSession)
-    packed = docs.mapInArrow(_sender(places, buckets, later), _PACKED)
+    packed = docs.mapInArrow(_sender(places, buckets, later), packed_schema(3, 2))
     return packed.groupBy("bucket").applyInArrow(_resolver(later), "_key long, places array<int>").where(F.size("places") > 0)
 
 
