@@ -7,10 +7,14 @@ from importlib import import_module
 _MODULES = {
     "op1_chat_format": "chat_format",
     "op2_suffix_dedup": "suffix_dedup",
+    "op3_cotraining": "cotraining",
     "op4_exact_dedup": "exact_dedup",
     "op5_substring_dedup": "substring_dedup",
+    "op6_toxicity": "toxicity",
+    "op7_bpe": "bpe",
     "op8_ngram_jaccard": "ngram_jaccard",
     "op9_quality_rules": "quality_rules",
+    "op10_best_fit_packing": "packing",
 }
 
 

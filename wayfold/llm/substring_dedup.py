@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed
+from .common import key_of, keyed
 from .repeats import attach, find
 from .words import Words, among, docs_of, ngram_hash, winnow
 
@@ -70,8 +70,8 @@ def _cut_text(window: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, total, removed = [], [], []
-            for text, starts in zip(batch.column("text").cast(pa.binary()), batch.column("_windows"), strict=True):
-                words = text.as_py().split()
+            for text, starts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_windows"), strict=True):
+                words = text.split()
                 total.append(len(words))
                 if not starts.is_valid:
                     removed.append(0)
@@ -88,6 +88,13 @@ def _cut_text(window: int):
     return cut_text
 
 
+def _windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Windows of keyed docs that also start earlier: _key, places."""
+    own = docs.select("_key", "text")
+    seeded = attach(own, find(own, _seeds(window, anchor)), "_seeds", "inner")
+    return find(seeded, _extended(window, anchor), later=True)
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row per row of docs: _key, doc_id, n_words, n_removed long, kept_text string.
 
@@ -104,10 +111,35 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are one document and don't remove each other. An empty table gives an empty result.
     """
     docs = keyed(docs, id_col, text_col)
-    seeds = find(docs.select("_key", "text"), _seeds(window, anchor))
-    seeded = attach(docs.select("_key", "text"), seeds, "_seeds", "inner")
-    repeats = find(seeded, _extended(window, anchor), later=True)
-    return attach(docs, repeats, "_windows").mapInArrow(_cut_text(window), "_key long, doc_id long, n_words long, n_removed long, kept_text string")
+    out = "_key long, doc_id long, n_words long, n_removed long, kept_text string"
+    return attach(docs, _windows(docs, window, anchor), "_windows").mapInArrow(_cut_text(window), out)
+
+
+def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """The rows of docs without the repeats in their texts, with all columns and n_chars as the text is then.
+
+    What is left of a text keeps its white space; texts without repeats stay as they are, nulls too. Rows of which
+    nothing is left go.
+    """
+
+    def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, stays = [], np.ones(batch.num_rows, bool)
+            for k, (data, starts) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_windows"), strict=True)):
+                if starts.is_valid:
+                    words = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+                    left = ~covered(len(words.start), starts.values.to_numpy(zero_copy_only=False), window)
+                    edges = np.flatnonzero(np.diff(np.concatenate([[False], left, [False]]).astype(np.int8)))
+                    data = b" ".join(data[words.start[a] : words.end[b - 1]] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    stays[k] = bool(data)
+                texts.append(data)
+            new = pa.array(texts, pa.binary()).cast(pa.string())
+            put = {"text": new, "n_chars": pc.utf8_length(new).cast(pa.int64())}
+            yield pa.RecordBatch.from_arrays([put[c] if c in put else batch.column(c) for c in columns], columns).filter(pa.array(stays))
+
+    keys, columns = keyed(docs), docs.columns
+    rows = docs.withColumn("_key", key_of("doc_id", "text"))
+    return attach(rows, _windows(keys, window, anchor), "_windows").mapInArrow(cut_text, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
