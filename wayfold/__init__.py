@@ -1,0 +1 @@
+"""Activity- and travel-diary analytics as DataFrame operations."""
