@@ -80,7 +80,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     """pairs (a, b, ...) with common, the size of the exact intersection, and linked."""
     side = lambda c: sets.select(F.col("_key").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "tokens")))
     both = lookup(lookup(pairs, "a", side("a"), "b"), "b", side("b"), "a").withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")))
-    return both.withColumn("linked", F.expr(f"{den} * common >= {num} * (n_a + n_b - common)")).drop("tokens_a", "tokens_b", "n_a", "n_b")
+    return both.withColumn("linked", F.expr(f"{den} * common >= {num} * (n_a + n_b - common)"))
+
+
+def _bits(tokens):
+    """64 bits, those of the tokens' hashes set: as many tokens at least as there are bits."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))))
 
 
 def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +114,7 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     tokens = sets.select("_key", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df >= 2")
     # tokens that occur once come first in the order and match nothing: u = n - e of them, e others
-    ordered = tokens.join(common, "token").groupBy("_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"), F.avg(F.log("df")).alias("central"))
+    ordered = tokens.join(common, "token").groupBy("_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"), (F.sum(F.log("df")) / F.first("n")).alias("central"))
     ordered = ordered.withColumns({"e": F.size("o").cast("long"), "t": F.expr(least("n"))}).where("e >= t")
     cost = F.aggregate(F.slice("o", F.lit(1), F.expr("cast(e - t + 1 as int)")), F.lit(0).cast("long"), lambda s, x: s + x["df"])
     ordered = ordered.withColumn("l", F.least(F.lit(MOST_MATCHES), "t", 1 + F.floor(F.log(16.0, 1.0 + cost))).cast("long"))
@@ -118,14 +123,16 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     head = F.slice("tokens", F.lit(1), F.expr(f"cast(e - t + {MOST_MATCHES} as int)"))
     places = cut(ordered.select("_key", "n", "e", "t", "l", "central", F.posexplode(head).alias("i", "token")).withColumns({"i": F.expr("i + 1L"), "level": F.expr("greatest(1L, i + 1 - (e - t))")}))
 
-    centres = places.groupBy("token").agg(F.max_by("_key", F.struct("central", -F.col("_key"))).alias("centre"), F.count("*").alias("k")).where("k > 1").drop("k")
-    near = lookup(places.select("_key", "token"), "token", centres, "_key").where("centre <> _key").groupBy("_key", "centre").agg(F.count("*").alias("k"))
+    centres = places.groupBy("token").agg(F.max_by("_key", F.struct("central", -F.col("_key"))).alias("centre"), F.count("*").alias("k")).where("k > 1")
+    near = lookup(places.select("_key", "token"), "token", centres, "_key").where("centre <> _key").groupBy("_key", "centre").agg(F.sum(F.log("k")).alias("k"))
     near = near.groupBy("_key").agg(F.max_by("centre", F.struct("k", -F.col("centre"))).alias("b")).select(F.col("_key").alias("a"), "b")
-    stars = cut(_verified(near, ordered, num, den))
+    # of the central document, which tokens are missing, and which ones are besides it
+    stars = _verified(near, ordered, num, den).select("a", "b", "linked", "common", F.size("tokens_b").alias("whole"), _bits(F.array_except("tokens_b", "tokens_a")).alias("lacks"), _bits(F.array_except("tokens_a", "tokens_b")).alias("adds"))
+    stars = cut(stars)
     first_links = stars.where("linked").select("a", "b")
 
     groups = components(first_links).withColumnsRenamed({"node": "_key", "component": "c"})
-    about = ordered.select("_key").join(groups, "_key", "left").join(stars.select(F.col("a").alias("_key"), F.col("b").alias("centre"), "common"), "_key", "left")
+    about = ordered.select("_key").join(groups, "_key", "left").join(stars.select(F.col("a").alias("_key"), F.col("b").alias("centre"), "common", "whole", "lacks", "adds"), "_key", "left")
     about = cut(about.withColumn("c", F.coalesce("c", "_key")))
     wide = cut(places.drop("central").join(about, "_key"))
     open_tokens = wide.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
@@ -133,10 +140,12 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     wide = wide.join(open_keys, ["_key", "token"], "left_semi")
     x, y = (wide.select("token", *(F.col(c).alias(f"{c}_{s}") for c in wide.columns if c != "token")) for s in "xy")
     room = lambda shared: f"{num + den} * ({shared}) >= {num} * (n_x + n_y)"
+    inner = "least(common_x, common_y, whole_x - bit_count(lacks_x | lacks_y))"
+    outer = " + CASE WHEN adds_x & adds_y = 0 THEN 0 ELSE least(e_x - common_x, e_y - common_y) END"
     candidates = x.join(y, "token").where(
         f"""_key_x < _key_y AND c_x <> c_y AND greatest(level_x, level_y) <= least(greatest(l_x, l_y), t_x, t_y)
         AND {room("least(e_x, e_y)")} AND {room("least(i_x, i_y) + least(e_x - i_x, e_y - i_y)")}
-        AND (coalesce(centre_x <> centre_y, true) OR {room("least(common_x, common_y) + least(e_x - common_x, e_y - common_y)")})"""
+        AND (coalesce(centre_x <> centre_y, true) OR {room(inner + outer)})"""
     )
     pairs = candidates.groupBy(F.col("_key_x").alias("a"), F.col("_key_y").alias("b")).agg(F.count("*").alias("k"), F.min(F.expr("least(greatest(l_x, l_y), t_x, t_y)")).alias("l"))
     more = _verified(pairs.where("k >= l").select("a", "b"), ordered, num, den).where("linked").select("a", "b")
@@ -158,9 +167,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_rows(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs that are the first (smallest id) of their component, with all their columns."""
+    """The rows of docs (doc_id, text and any others) that are the first (smallest id) of their component, with all columns."""
     kept = near_duplicates(docs, shingle=shingle, num=num, den=den).where("component = _key").select("_key")
-    return docs.withColumn("_key", key_of("doc_id", "text")).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    rows = docs.select(key_of("doc_id", "text").alias("_key"), F.struct("*").alias("row"))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
