@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions
@@ -121,14 +121,19 @@ def _resolver(later: bool):
     return resolve
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """Ranges of keys: four for each shuffle partition, and enough that small and large inputs are cut alike."""
+    return max(256, 4 * partitions(spark))
+
+
 def find(docs: DataFrame, places: Callable, later: bool = False, buckets: int | None = None) -> DataFrame:
     """(_key, places array<int>): places whose key occurs at another place too, or with later=True also earlier.
 
     places maps Arrow batches of docs to (keys uint64, ids int64, pos int32 >= 0) arrays. A document can have several
-    rows, one for each range of keys. buckets (default: four ranges for each shuffle partition) bounds what a task
+    rows, one for each range of keys. buckets bounds what a task
     holds at once.
     """
-    buckets = buckets or 4 * partitions(docs.sparkSession)
+    buckets = buckets or default_buckets(docs.sparkSession)
     packed = docs.mapInArrow(_sender(places, buckets, later), packed_schema(3, 2))
     return packed.groupBy("bucket").applyInArrow(_resolver(later), "_key long, places array<int>").where(F.size("places") > 0)
 
