@@ -156,7 +156,7 @@ def view_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, batch.column("slots")], ["doc_id", "numbers", "slots"])
 
     name = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")), F.lit(SLOTS)).cast("int")
-    chars = F.greatest(F.lit(0.0), F.coalesce((F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)).cast("double"), F.lit(0.0)))
+    chars = F.greatest(F.lit(0.0), F.coalesce((F.col("n_chars") if "n_chars" in docs.columns else F.lit(None).cast("double")).try_cast("double"), F.lit(0.0)))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), chars.alias("chars"), F.array(name("source"), name("lang")).alias("slots"))
     return rows.mapInArrow(measured, "doc_id long, numbers array<double>, slots array<int>")
 
@@ -171,6 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled:
 
     None if no row has a label. where: SQL condition on doc_id of labels to learn from.
     """
+    docs = docs.select(*(c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns))
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("y"))
     order = F.xxhash64("doc_id")
     picked = known.where(where).orderBy(order, "doc_id").limit(max_labelled)

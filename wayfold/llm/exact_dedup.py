@@ -72,13 +72,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_rows(docs: DataFrame, keep: str = "max") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns."""
+    """The rows of docs (doc_id, text and any others) that exact_dedup keeps, with all their columns."""
     text = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    kept = exact_dedup(docs, keep=keep).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(text, 256)))
-    out = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (rows["_digest"] == kept["_digest"]), "left_semi")
+    kept = exact_dedup(docs, keep=keep).where("kept").select(F.col("doc_id").alias("id"), "digest")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"), F.struct("*").alias("row"))
+    out = rows.join(kept, rows["id"].eqNullSafe(kept["id"]) & (rows["digest"] == kept["digest"]), "left_semi")
     # rows that repeat an id and its text would all have come through
-    return out.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    return out.dropDuplicates(["id", "digest"]).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,13 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import key_of, keyed
 from .repeats import attach, find
-from .words import Words, among, docs_of, ngram_hash, winnow
+from .words import Words, among, docs_of, ngram_hash, shrink, texts_of, winnow
 
 #: Words of a repeat, and words of an anchor.
 WINDOW, ANCHOR = 20, 6
@@ -70,7 +70,7 @@ def _cut_text(window: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, total, removed = [], [], []
-            for text, starts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_windows"), strict=True):
+            for text, starts in zip(texts_of(batch), batch.column("_windows"), strict=True):
                 words = text.split()
                 total.append(len(words))
                 if not starts.is_valid:
@@ -91,7 +91,7 @@ def _cut_text(window: int):
 def _windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """Windows of keyed docs that also start earlier: _key, places."""
     own = docs.select("_key", "text")
-    seeded = attach(own, find(own, _seeds(window, anchor)), "_seeds", "inner")
+    seeded = attach(shrink(own), find(own, _seeds(window, anchor)), "_seeds", "inner")
     return find(seeded, _extended(window, anchor), later=True)
 
 
@@ -112,7 +112,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = keyed(docs, id_col, text_col)
     out = "_key long, doc_id long, n_words long, n_removed long, kept_text string"
-    return attach(docs, _windows(docs, window, anchor), "_windows").mapInArrow(_cut_text(window), out)
+    return attach(shrink(docs), _windows(docs, window, anchor), "_windows").mapInArrow(_cut_text(window), out)
 
 
 def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -125,7 +125,7 @@ def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, stays = [], np.ones(batch.num_rows, bool)
-            for k, (data, starts) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_windows"), strict=True)):
+            for k, (data, starts) in enumerate(zip(texts_of(batch), batch.column("_windows"), strict=True)):
                 if starts.is_valid:
                     words = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
                     left = ~covered(len(words.start), starts.values.to_numpy(zero_copy_only=False), window)
@@ -133,13 +133,15 @@ def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
                     data = b" ".join(data[words.start[a] : words.end[b - 1]] for a, b in zip(edges[::2], edges[1::2], strict=True))
                     stays[k] = bool(data)
                 texts.append(data)
-            new = pa.array(texts, pa.binary()).cast(pa.string())
-            put = {"text": new, "n_chars": pc.utf8_length(new).cast(pa.int64())}
-            yield pa.RecordBatch.from_arrays([put[c] if c in put else batch.column(c) for c in columns], columns).filter(pa.array(stays))
-
-    keys, columns = keyed(docs), docs.columns
-    rows = docs.withColumn("_key", key_of("doc_id", "text"))
-    return attach(rows, _windows(keys, window, anchor), "_windows").mapInArrow(cut_text, docs.schema)
+            out = [batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(out, ["row", "text"]).filter(pa.array(stays))
+
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(key_of("doc_id", "text").alias("_key"), F.col("text").cast("string").alias("text"), F.struct(*rest).alias("row"))
+    schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("text", StringType())])
+    out = attach(shrink(rows), _windows(keyed(docs), window, anchor), "_windows").mapInArrow(cut_text, schema)
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return out.select(*(new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

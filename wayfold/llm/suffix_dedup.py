@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, partitions
-from .repeats import PACK, attach, by_document, find, joined, pack, packed_schema
-from .words import BYTE_HASH, among, chunks, mix, powers, prefix_hash, text_bytes, winnow
+from .common import cut, keyed
+from .repeats import PACK, attach, by_document, default_buckets, find, joined, pack, packed_schema
+from .words import BYTE_HASH, among, batch_bytes, chunks, mix, powers, prefix_hash, shrink, texts_of, winnow
 
 LENGTH, GRAM, RANGE = 400, 64, 16
 CHUNK = 1 << 20
@@ -73,7 +73,7 @@ class _Bytes:
 
 def _texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, int, int, _Bytes]]:
     for batch in batches:
-        buf, offsets = text_bytes(batch.column("text"))
+        buf, offsets = batch_bytes(batch)
         for i, j in chunks(offsets, CHUNK):
             yield batch, i, j, _Bytes(batch, i, j, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
 
@@ -155,7 +155,7 @@ def _windows(length: int):
 
     def places(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            buf, offsets = text_bytes(batch.column("text"))
+            buf, offsets = batch_bytes(batch)
             keys = batch.column("_key").to_numpy(zero_copy_only=False)
             for i, j in chunks(offsets, CHUNK):
                 sums = prefix_hash(buf[offsets[i] : offsets[j]], BYTE_HASH)
@@ -175,8 +175,7 @@ def _cut_text(length: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, spans, kept = [], [], [], []
-            for text, sure, places in zip(batch.column("text").cast(pa.binary()), batch.column("_sure"), batch.column("_places"), strict=True):
-                data = text.as_py()
+            for data, sure, places in zip(texts_of(batch), batch.column("_sure"), batch.column("_places"), strict=True):
                 n = len(data)
                 depth = np.zeros(n + 1, np.int32)
                 if sure.is_valid:
@@ -214,20 +213,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and its text are one document and don't remove each other. An empty table gives an empty result.
     """
     docs = keyed(docs, id_col, text_col)
-    spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
+    buckets = default_buckets(docs.sparkSession)
     own = docs.select("_key", "text")
     seeds = find(own, _seeds(length))
-    ranges = attach(own, seeds, "_seeds", "inner").mapInArrow(_send_ranges(length, buckets), packed_schema(5, 3))
+    ranges = attach(shrink(own), seeds, "_seeds", "inner").mapInArrow(_send_ranges(length, buckets), packed_schema(5, 3))
     judged = cut(ranges.groupBy("bucket").applyInArrow(_resolve_ranges(first_stays), "_key long, places array<long>, places1 array<byte>"))
     with_sure = F.arrays_zip("places", "places1")
     chosen = lambda flag: F.transform(F.filter(with_sure, lambda x: x["places1"] == flag), lambda x: x["places"])
     check = judged.select("_key", chosen(0).alias("places")).where(F.size("places") > 0)
-    windows = find(attach(own, check, "_check", "inner"), _windows(length), later=first_stays)
+    windows = find(attach(shrink(own), check, "_check", "inner"), _windows(length), later=first_stays)
     marks = judged.select("_key", chosen(1).alias("sure"), F.lit(None).cast("array<int>").alias("places")).unionByName(windows.select("_key", F.lit(None).cast("array<long>").alias("sure"), "places"))
     marks = marks.groupBy("_key").agg(F.flatten(F.collect_list("sure")).alias("_sure"), F.flatten(F.collect_list("places")).alias("_places"))
     out = "_key long, doc_id long, n_bytes long, n_removed long, removed array<struct<start: long, end: long>>, kept binary"
-    return docs.join(marks, "_key", "left").mapInArrow(_cut_text(length), out)
+    return shrink(docs).join(marks, "_key", "left").mapInArrow(_cut_text(length), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 CHUNK_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
@@ -157,9 +160,35 @@ def among(least: np.ndarray, inside: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.flatnonzero(np.repeat(np.isin(least[at], wanted), np.diff(np.append(at, len(least)))) & inside)
 
 
-def docs_of(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
+def shrink(docs: DataFrame) -> DataFrame:
+    """docs with the column text replaced by z, the text compressed: what a shuffle of whole texts costs most is disk."""
+
+    def shrunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            z = pa.array([packer.compress(t.as_py()) if t.is_valid else None for t in batch.column("text").cast(pa.binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), z], [*rest, "z"])
+
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.mapInArrow(shrunk, StructType([docs.schema[c] for c in rest] + [StructField("z", BinaryType())]))
+
+
+def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
+    """The texts of a batch, from z where it has one."""
+    if "z" not in batch.schema.names:
+        return batch.column("text").cast(pa.binary()).to_pylist()
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(z) if z is not None else None for z in batch.column("z").to_pylist()]
+
+
+def batch_bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """text_bytes of a batch's texts."""
+    return text_bytes(pa.array(texts_of(batch), pa.large_binary()) if "z" in batch.schema.names else batch.column("text"))
+
+
+def docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
     """(batch, i, j, bytes, offsets) for chunks of rows i to j."""
     for batch in batches:
-        buf, offsets = text_bytes(batch.column(text))
+        buf, offsets = batch_bytes(batch)
         for i, j in chunks(offsets):
             yield batch, i, j, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
