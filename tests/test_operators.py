@@ -69,14 +69,13 @@ def test_home_tours_and_their_parts(spark):
     t = trips(spark, [5, 0, 1, 5, 1, 7, 0, 5])
     found = tours.extract_tours(t, tours.leaves(0), tours.returns(0))
     assert rows(found, "tour", "start", "end") == [(1, 3, 7)]
-    members = tours.tour_trips(t, found)
+    members = tours.tour_trips(t, tours.leaves(0), tours.returns(0))
     assert rows(members, "seq") == [(3,), (4,), (5,), (6,), (7,)]
     primary = tours.primary_destination(members)
     assert rows(primary, "pseq", "pdpurp") == [(3, 1)]
-    anchors = tours.work_anchor(members, primary)
-    assert rows(anchors, "arrive", "leave") == [(3, 6)]
-    assert rows(tours.work_subtours(members, anchors), "subtour", "start", "end") == [(1, 4, 5)]
-    halves = tours.half_tours(members, anchors)
+    assert rows(tours.work_anchor(members), "arrive", "leave") == [(3, 6)]
+    assert rows(tours.work_subtours(members), "subtour", "start", "end") == [(1, 4, 5)]
+    halves = tours.half_tours(members)
     assert rows(halves, "half", "tseg", "seq") == [(1, 1, 3), (2, 1, 6), (2, 2, 7)]
     assert rows(tours.intermediate_stops(halves), "seq") == [(6,)]
 
@@ -89,8 +88,7 @@ def test_tour_over_too_many_days_is_left_out(spark):
 
 def test_drive_transit_splits_and_joins_again(spark):
     t = trips(spark, [0, 1, 0], modes=[3, 7, 7])
-    members = tours.tour_trips(t, tours.extract_tours(t, tours.leaves(0), tours.returns(0)))
-    halves = tours.half_tours(members, tours.work_anchor(members, tours.primary_destination(members)))
+    halves = tours.half_tours(tours.tour_trips(t, tours.leaves(0), tours.returns(0)))
     legs = tours.split_drive_transit(halves)
     assert rows(legs, "half", "tseg", "mode", "dpurp") == [(1, 1, 3, 10), (1, 2, 6, 1), (2, 1, 6, 10), (2, 2, 3, 0)]
     assert rows(tours.relink_drive_transit(legs), "half", "mode", "dpurp", "dep", "arr") == rows(halves, "half", "mode", "dpurp", "dep", "arr")

@@ -13,17 +13,21 @@ ADULTS = ("FW", "PW", "US", "NW", "RE")
 MANDATORY = ("School", "University", "Work", "WorkRelated")
 
 
-def detect_parties(trips: DataFrame, key: str = "event_id", minutes: int = 4, times: tuple[str, str] = ("dep", "arr"), places: tuple[str, ...] = ("ox", "oy", "x", "y")) -> DataFrame:
+def detect_parties(trips: DataFrame, minutes: int = 4, times: tuple[str, str] = ("dep", "arr"), places: tuple[str, ...] = ("ox", "oy", "x", "y")) -> DataFrame:
     """trips with party: the person first, then the other members with a trip between the same places at the same times.
 
-    Members are matched within the household by an equal join on the places; times may differ by `minutes`. Several
-    matching trips of one member count once.
+    Members are matched within the household by equal places; times may differ by `minutes`. Several matching trips of
+    one member count once; a trip without places has no company.
     """
-    other = trips.select("hh", F.col("pno").alias("_p"), *places, *(F.col(t).alias(f"_{t}") for t in times))
-    near = trips.join(other, ["hh", *places]).where((F.col("pno") != F.col("_p")) & (F.abs(F.col(times[0]) - F.col(f"_{times[0]}")) <= minutes) & (F.abs(F.col(times[1]) - F.col(f"_{times[1]}")) <= minutes))
-    members = near.groupBy(key).agg(F.array_sort(F.collect_set("_p")).alias("_m"))
-    party = F.concat(F.array("pno"), F.coalesce("_m", F.array().cast("array<int>")))
-    return trips.join(members, key, "left").withColumn("party", party).drop("_m").withColumn("party_text", F.array_join("party", "."))
+    # the members' trips between the same places stand side by side in one window, so trips aren't joined with themselves
+    same = F.collect_list(F.struct("pno", *times)).over(W.partitionBy("hh", *places))
+    rows = trips.withColumn("_all", F.when(F.col(places[0]).isNotNull(), same))
+    for p in places[1:]:
+        rows = rows.withColumn("_all", F.when(F.col(p).isNotNull(), F.col("_all")))
+    close = lambda o: (o["pno"] != F.col("pno")) & (F.abs(o[times[0]] - F.col(times[0])) <= minutes) & (F.abs(o[times[1]] - F.col(times[1])) <= minutes)
+    others = F.array_sort(F.array_distinct(F.transform(F.filter("_all", close), lambda o: o["pno"])))
+    party = F.concat(F.array("pno"), F.coalesce(others, F.array().cast("array<int>")))
+    return rows.withColumn("party", party).drop("_all").withColumn("party_text", F.array_join("party", "."))
 
 
 def classify_joint_tours(trips: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006

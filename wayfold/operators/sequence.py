@@ -67,25 +67,25 @@ def chain_heads(trips: DataFrame, limit: int = 35, short: int = 15) -> DataFrame
     can = (F.col("dpurp") == CHANGE) & (F.col("has_next") == 1)
     cut = F.coalesce(F.lag(can.cast("int")).over(w), F.lit(0)) == 0
     rows = trips.withColumn("_can", can).withColumn("_island", F.sum(cut.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    row = F.struct("seq", "mode", F.coalesce("act_dur", F.lit(DAY * 10)).alias("act_dur"), "_can")
-    islands = rows.groupBy(*PERSON, "_island").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    islands = rows.groupBy(*PERSON, "_island").agg(F.array_sort(F.collect_list(F.struct("seq", *(c for c in rows.columns if c not in (*PERSON, "seq", "_island"))))).alias("rows"))
 
     state = F.struct(
-        F.lit(None).cast("long").alias("chain"),
+        F.lit(None).cast("int").alias("chain"),
         F.lit(None).cast("int").alias("mode"),
         F.lit(None).cast("int").alias("minutes"),
-        F.array().cast("array<struct<seq:bigint,chain:bigint,chain_mode:int>>").alias("out"),
+        F.array().cast("array<struct<chain:int,chain_mode:int>>").alias("out"),
     )
 
     def step(s: Column, r: Column) -> Column:
         both = linked_mode(s["mode"], r["mode"], s["minutes"], limit, short)
-        chain, mode = F.when(both.isNotNull(), s["chain"]).otherwise(r["seq"].cast("long")), F.coalesce(both, r["mode"])
-        done = F.struct(r["seq"].cast("long").alias("seq"), chain.alias("chain"), mode.alias("chain_mode"))
-        return F.struct(chain.alias("chain"), mode.alias("mode"), F.when(r["_can"], r["act_dur"]).cast("int").alias("minutes"), F.concat(s["out"], F.array(done)).alias("out"))
+        chain, mode = F.when(both.isNotNull(), s["chain"]).otherwise(r["seq"]).cast("int"), F.coalesce(both, r["mode"]).cast("int")
+        minutes = F.when(r["_can"], F.coalesce(r["act_dur"], F.lit(DAY * 10))).cast("int")
+        return F.struct(chain.alias("chain"), mode.alias("mode"), minutes.alias("minutes"), F.concat(s["out"], F.array(F.struct(chain.alias("chain"), mode.alias("chain_mode")))).alias("out"))
 
-    done = islands.select(*PERSON, F.explode(F.aggregate("rows", state, step)["out"]).alias("r")).select(*PERSON, "r.*")
-    out = trips.join(done, [*PERSON, "seq"])
-    return out.withColumn("linked_on", (F.lead("chain").over(w) == F.col("chain")).cast("int")).fillna(0, ["linked_on"])
+    # rows and results go on together, so nothing is joined back
+    done = islands.select(*PERSON, "_island", "rows", F.aggregate("rows", state, step)["out"].alias("out"))
+    out = done.select(*PERSON, F.explode(F.arrays_zip("rows", "out")).alias("z")).select(*PERSON, "z.rows.*", "z.out.*").select(*trips.columns, "chain", "chain_mode")
+    return out.withColumn("linked_on", F.coalesce((F.lead("chain").over(w) == F.col("chain")).cast("int"), F.lit(0)))
 
 
 def link_chains(trips: DataFrame, limit: int = 35, short: int = 15, recode_dangling: bool = False) -> DataFrame:
@@ -160,14 +160,15 @@ def unwrap_clock(trips: DataFrame, last_end: int = 1680) -> DataFrame:
     w = by_person()
     reset = F.coalesce(F.col("day_ix") - F.lag("day_ix").over(w) > 1, F.lit(True))
     rows = trips.withColumn("run", F.sum(reset.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    runs = rows.groupBy(*PERSON, "run").agg(F.array_sort(F.collect_list(F.struct("seq", "dep", "arr"))).alias("rows"))
-    state = F.struct(F.lit(0).alias("t"), F.array().cast("array<struct<seq:int,dep_min:int,arr_min:int>>").alias("out"))
+    runs = rows.groupBy(*PERSON, "run").agg(F.array_sort(F.collect_list(F.struct("seq", *(c for c in trips.columns if c not in (*PERSON, "seq"))))).alias("rows"))
+    state = F.struct(F.lit(0).alias("t"), F.array().cast("array<struct<dep_min:int,arr_min:int>>").alias("out"))
 
     def step(s: Column, r: Column) -> Column:
-        dep = F.when(r["dep"] < s["t"], r["dep"] + DAY).otherwise(r["dep"])
-        arr = F.when(r["arr"] < dep, r["arr"] + DAY).otherwise(r["arr"])
-        return F.struct(arr.cast("int").alias("t"), F.concat(s["out"], F.array(F.struct(r["seq"].alias("seq"), dep.cast("int").alias("dep_min"), arr.cast("int").alias("arr_min")))).alias("out"))
+        dep = F.when(r["dep"] < s["t"], r["dep"] + DAY).otherwise(r["dep"]).cast("int")
+        arr = F.when(r["arr"] < dep, r["arr"] + DAY).otherwise(r["arr"]).cast("int")
+        return F.struct(arr.alias("t"), F.concat(s["out"], F.array(F.struct(dep.alias("dep_min"), arr.alias("arr_min")))).alias("out"))
 
-    done = runs.select(*PERSON, "run", F.explode(F.aggregate("rows", state, step)["out"]).alias("r")).select(*PERSON, "run", "r.*")
+    done = runs.select(*PERSON, "run", "rows", F.aggregate("rows", state, step)["out"].alias("out"))
+    out = done.select(*PERSON, "run", F.explode(F.arrays_zip("rows", "out")).alias("z")).select(*PERSON, "run", "z.rows.*", "z.out.*")
     after = F.lead("dep_min").over(W.partitionBy(*PERSON, "run").orderBy("seq"))
-    return trips.join(done, [*PERSON, "seq"]).withColumn("end_min", F.coalesce(after, F.lit(last_end)))
+    return out.select(*trips.columns, "run", "dep_min", "arr_min").withColumn("end_min", F.coalesce(after, F.lit(last_end)))

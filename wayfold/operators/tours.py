@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from ..functions.clock import midpoint
 from ..functions.recode import cases
 from ..sources.diary import CHANGE, HOME, PERSON, WORK
-from .relational import pivot_fixed
 
 #: Purposes that are counted: work, school, escort, personal business, shop, meal, social.
 PURPOSES = {1: "wk", 2: "sc", 3: "es", 4: "pb", 5: "sh", 6: "ml", 7: "so"}
 
+TOUR = [*PERSON, "tour"]
+
 
 def leaves(anchor: int) -> Column:
     return (F.col("opurp") == anchor) & (F.col("dpurp") != anchor)
@@ -23,26 +24,33 @@ def returns(anchor: int) -> Column:
     return (F.col("opurp") != anchor) & (F.col("dpurp") == anchor)
 
 
-def extract_tours(trips: DataFrame, departs: Column, arrives: Column, keys: list[str] = PERSON, day: str = "day_ix", max_gap: int = 1) -> DataFrame:
-    """keys, tour (from 1), start, end (seq): from the last departure to the first arrival after it.
+def with_tours(trips: DataFrame, departs: Column, arrives: Column, keys: list[str] = PERSON, day: str = "day_ix", max_gap: int = 1, name: str = "tour") -> DataFrame:
+    """trips with tour (from 1), start and end (seq) of the tour they belong to, null outside of tours.
 
-    Tours that take more than max_gap days are left out, and departures without an arrival as well.
+    A tour goes from the last departure to the first arrival after it. Tours that take more than max_gap days don't
+    count, and departures without an arrival neither. Windows only: trips that are dealt by household stay where they are.
     """
-    w = W.partitionBy(*keys).orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
-    last = F.last(F.when(departs, F.struct("seq", day)), ignorenulls=True).over(w)
-    closing = trips.select(*keys, "seq", day, last.alias("_from"), arrives.alias("_to")).where(F.col("_to") & F.col("_from").isNotNull())
-    tours = closing.groupBy(*keys, F.col("_from.seq").alias("start")).agg(F.min("seq").alias("end"), (F.min_by(day, "seq") - F.first(f"_from.{day}")).alias("_gap"))
-    tours = tours.where(F.col("_gap") <= max_gap).drop("_gap")
-    return tours.withColumn("tour", F.row_number().over(W.partitionBy(*keys).orderBy("start"))).select(*keys, "tour", "start", "end")
+    p = W.partitionBy(*keys)
+    w = p.orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
+    rows = trips.withColumns({"_d": departs, "_s": F.last(F.when(departs, F.col("seq")), ignorenulls=True).over(w), "_a": arrives})
+    t = W.partitionBy(*keys, "_s")
+    back = F.col("_a") & F.col("_s").isNotNull()
+    rows = rows.withColumns({"_e": F.min(F.when(back, F.col("seq"))).over(t), "_from": F.min_by(day, "seq").over(t), "_to": F.min_by(F.when(back, F.col(day)), F.when(back, F.col("seq"))).over(t)})
+    member = F.coalesce((F.col("seq") <= F.col("_e")) & (F.col("_to") - F.col("_from") <= max_gap), F.lit(False))
+    rows = rows.withColumn("_m", member)
+    number = F.sum((F.col("_m") & (F.col("seq") == F.col("_s"))).cast("int")).over(w).cast("int")
+    only = lambda c: F.when(F.col("_m"), c)
+    return rows.withColumns({name: only(number), "start": only(F.col("_s")), "end": only(F.col("_e"))}).drop("_d", "_s", "_a", "_e", "_from", "_to", "_m")
 
 
-def tour_trips(trips: DataFrame, tours: DataFrame, keys: list[str] = PERSON) -> DataFrame:
-    """The trips of tours, with tour, start and end. Tours don't overlap, so each trip looks back to the last start."""
-    starts = trips.join(tours.withColumn("seq", F.col("start")), [*keys, "seq"], "left")
-    w = W.partitionBy(*keys).orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
-    cols = [c for c in tours.columns if c not in keys]
-    held = starts.withColumn("_t", F.last(F.when(F.col("start").isNotNull(), F.struct(*cols)), ignorenulls=True).over(w)).drop(*cols)
-    return held.where(F.col("seq") <= F.col("_t.end")).select(*trips.columns, *(F.col(f"_t.{c}") for c in cols))
+def extract_tours(trips: DataFrame, departs: Column, arrives: Column, keys: list[str] = PERSON, day: str = "day_ix", max_gap: int = 1) -> DataFrame:
+    """keys, tour, start, end: one row per tour of with_tours."""
+    return with_tours(trips, departs, arrives, keys, day, max_gap).where("seq = start").select(*keys, "tour", "start", "end")
+
+
+def tour_trips(trips: DataFrame, departs: Column, arrives: Column, keys: list[str] = PERSON, day: str = "day_ix", max_gap: int = 1) -> DataFrame:
+    """The trips of tours, with tour, start and end."""
+    return with_tours(trips, departs, arrives, keys, day, max_gap).where("tour IS NOT NULL")
 
 
 def priority(purpose: Column, student: Column | None = None) -> Column:
@@ -51,40 +59,48 @@ def priority(purpose: Column, student: Column | None = None) -> Column:
     return cases((purpose == 1, F.when(student, 2).otherwise(1)), (purpose == 2, F.when(student, 1).otherwise(2)), (purpose == 3, 3), default=4)
 
 
-def primary_destination(members: DataFrame, keys: list[str] = [*PERSON, "tour"], student: Column | None = None) -> DataFrame:  # noqa: B006
-    """keys, pseq, pdpurp: of all trips but the one that closes the tour, the most important purpose, then the longest
-    stay (act_dur), then the earliest."""
-    candidates = members.where("seq < end")
-    best = F.min_by(F.struct(F.col("seq").alias("pseq"), F.col("dpurp").alias("pdpurp")), F.struct(priority(F.col("dpurp"), student), -F.coalesce("act_dur", F.lit(0)), F.col("seq")))
-    return candidates.groupBy(*keys).agg(best.alias("_p")).select(*keys, "_p.*")
-
+def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None) -> DataFrame:
+    """The trips of tours with pseq and pdpurp, the primary destination, and arrive and leave (seq).
 
-def work_anchor(members: DataFrame, primary: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
-    """primary with arrive and leave (seq): on work tours the first arrival at work and the last departure from it,
-    else the primary destination and the trip after it."""
-    ends = members.groupBy(*keys).agg(F.min(F.when(F.col("dpurp") == WORK, F.col("seq"))).alias("_a"), F.max(F.when(F.col("opurp") == WORK, F.col("seq"))).alias("_l"))
+    Of all trips but the one that closes the tour: the most important purpose, then the longest stay (act_dur), then
+    the earliest. On work tours arrive and leave are the first arrival at work and the last departure from it, else
+    the primary destination and the trip after it.
+    """
+    t = W.partitionBy(*keys)
+    inner = F.col("seq") < F.col("end")
+    order = F.struct(priority(F.col("dpurp"), student), -F.coalesce("act_dur", F.lit(0)), F.col("seq"))
+    best = F.min_by(F.when(inner, F.struct("seq", "dpurp")), F.when(inner, order)).over(t)
+    rows = members.withColumns({"_p": best, "_a": F.min(F.when(F.col("dpurp") == WORK, F.col("seq"))).over(t), "_l": F.max(F.when(F.col("opurp") == WORK, F.col("seq"))).over(t)})
+    rows = rows.withColumns({"pseq": F.col("_p.seq"), "pdpurp": F.col("_p.dpurp")})
     work = F.col("pdpurp") == WORK
-    out = primary.join(ends, keys)
-    return out.withColumns({"arrive": F.when(work, F.col("_a")).otherwise(F.col("pseq")), "leave": F.when(work, F.coalesce("_l", F.col("pseq") + 1)).otherwise(F.col("pseq") + 1)}).drop("_a", "_l")
+    return rows.withColumns({"arrive": F.when(work, F.col("_a")).otherwise(F.col("pseq")), "leave": F.when(work, F.coalesce("_l", F.col("pseq") + 1)).otherwise(F.col("pseq") + 1)}).drop("_p", "_a", "_l")
 
 
-def work_subtours(members: DataFrame, anchors: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+def primary_destination(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None) -> DataFrame:
+    """keys, pseq, pdpurp: one row per tour."""
+    return with_primary(members, keys, student).where("seq = pseq").select(*keys, "pseq", "pdpurp")
+
+
+def work_anchor(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
+    """keys, pseq, pdpurp, arrive, leave: one row per tour."""
+    return with_primary(members, keys).where("seq = pseq").select(*keys, "pseq", "pdpurp", "arrive", "leave")
+
+
+def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """keys, subtour, start, end: tours from work and back to it between the arrival at work and the last departure."""
-    inside = members.drop("start", "end").join(anchors.where((F.col("pdpurp") == WORK) & (F.col("leave") > F.col("arrive") + 1)), keys)
-    inside = inside.where("seq > arrive AND seq <= leave")
-    own = [f"_{k}" for k in keys]
-    renamed = inside.withColumnsRenamed(dict(zip(keys, own, strict=True)))
-    found = extract_tours(renamed, leaves(WORK), returns(WORK), keys=own)
-    return found.withColumnRenamed("tour", "subtour").withColumnsRenamed(dict(zip(own, keys, strict=True)))
+    rows = with_primary(members, keys).where((F.col("pdpurp") == WORK) & (F.col("leave") > F.col("arrive") + 1))
+    inside = rows.where("seq > arrive AND seq <= leave").drop("start", "end")
+    found = with_tours(inside, leaves(WORK), returns(WORK), keys=keys, name="subtour")
+    return found.where("seq = start").select(*keys, "subtour", "start", "end")
 
 
-def half_tours(members: DataFrame, anchors: DataFrame, max_stops: int = 20, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+def half_tours(members: DataFrame, max_stops: int = 20, keys: list[str] = TOUR) -> DataFrame:
     """The trips outside the stay at the primary destination, with half (1 out, 2 back) and tseg (from 1, at most max_stops)."""
-    rows = members.join(anchors, keys).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2)).where("half IS NOT NULL")
+    rows = with_primary(members, keys).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2)).where("half IS NOT NULL")
     return rows.withColumn("tseg", F.row_number().over(W.partitionBy(*keys, "half").orderBy("seq"))).where(F.col("tseg") <= max_stops)
 
 
-def half_tour_mode(halves: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+def half_tour_mode(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """keys, mode1, mode2, stops1, stops2, tmode, tpath: the largest mode of each half with the path of the first such
     trip; the tour has the larger one, of equal ones the outbound one."""
     sides = halves.groupBy(*keys).agg(
@@ -106,27 +122,31 @@ def order_tours(tours: DataFrame) -> DataFrame:
     return tours.withColumn("tour_no", F.row_number().over(W.partitionBy(*PERSON).orderBy(*order)))
 
 
-def person_day_pattern(trips: DataFrame, primary: DataFrame, halves: DataFrame) -> DataFrame:
+def person_day_pattern(trips: DataFrame, max_stops: int = 20) -> DataFrame:
     """Per person: beghom, endhom, and for each purpose tours and intermediate stops.
 
-    A person without trips at home's ends begins and ends at home: beghom and endhom are 1 unless a first origin or a
-    last destination is known to be elsewhere.
+    trips: all trips of persons, as with_tours returns them. beghom and endhom are 1 unless a first origin or a last
+    destination is known to be elsewhere. One pass over the trips of each person.
     """
-    ends = trips.groupBy(*PERSON).agg(F.min_by("opurp", "seq").alias("o"), F.max_by("dpurp", "seq").alias("d"))
-    ends = ends.select(*PERSON, F.coalesce((F.col("o") == HOME).cast("int"), F.lit(1)).alias("beghom"), F.coalesce((F.col("d") == HOME).cast("int"), F.lit(1)).alias("endhom"))
-    tours = pivot_fixed(primary, PERSON, "pdpurp", {p: f"{n}tours" for p, n in PURPOSES.items()}, F.count(F.lit(1)))
-    stops = pivot_fixed(intermediate_stops(halves), PERSON, "dpurp", {p: f"{n}stops" for p, n in PURPOSES.items()}, F.count(F.lit(1)))
-    names = [f"{n}{kind}" for kind in ("tours", "stops") for n in PURPOSES.values()]
-    return ends.join(tours, PERSON, "left").join(stops, PERSON, "left").fillna(0, names)
-
-
-def intermediate_stops(halves: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+    rows = with_primary(trips, TOUR)
+    inside = F.col("tour").isNotNull()
+    half = F.when(inside & (F.col("seq") <= F.col("arrive")), 1).when(inside & (F.col("seq") >= F.col("leave")), 2)
+    rows = rows.withColumn("half", half)
+    h = W.partitionBy(*TOUR, "half")
+    rows = rows.withColumns({"_n": F.row_number().over(h.orderBy("seq")), "_all": F.least(F.count("*").over(h), F.lit(max_stops))})
+    tour, stop = inside & (F.col("seq") == F.col("pseq")), F.col("half").isNotNull() & (F.col("_n") < F.col("_all"))
+    counts = [F.count_if(kind & (F.col("dpurp") == p)).alias(f"{n}{name}") for name, kind in (("tours", tour), ("stops", stop)) for p, n in PURPOSES.items()]
+    first, last = F.min_by("opurp", "seq"), F.max_by("dpurp", "seq")
+    return rows.groupBy(*PERSON).agg(F.coalesce((first == HOME).cast("int"), F.lit(1)).alias("beghom"), F.coalesce((last == HOME).cast("int"), F.lit(1)).alias("endhom"), *counts)
+
+
+def intermediate_stops(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """The trips of half tours that end at a stop: all but the last one out and the last one back."""
     last = F.max("tseg").over(W.partitionBy(*keys, "half"))
     return halves.withColumn("_last", last).where("tseg < _last").drop("_last")
 
 
-def split_drive_transit(halves: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+def split_drive_transit(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """The first drive-transit trip of each half as two legs: drive and transit on the way out, the reverse back.
 
     The legs meet halfway in time at a change of mode; the second one begins a minute later if there is one. Later
@@ -152,7 +172,7 @@ def split_drive_transit(halves: DataFrame, keys: list[str] = [*PERSON, "tour"])
     return rows.withColumn("_leg", F.explode(legs)).select(*rest, (F.col("tseg") + shift).alias("tseg"), *(F.col(f"_leg.{c}").alias(c) for c in ("mode", "opurp", "dpurp", "dep", "arr")))
 
 
-def relink_drive_transit(legs: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
+def relink_drive_transit(legs: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """Join a leg that ends at a change of mode with the next one of its half; the pair is drive-transit (7)."""
     w = W.partitionBy(*keys, "half").orderBy("tseg")
     joins = (F.lag("dpurp").over(w) == CHANGE) & (F.lag("tseg").over(w) == F.col("tseg") - 1) & (F.col("opurp") == CHANGE)

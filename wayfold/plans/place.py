@@ -33,5 +33,4 @@ def place_pipeline(visited: DataFrame, scores: DataFrame) -> PlaceTables:
     subtours = places.number_work_subtours(numbered)
     records = places.child_tours(places.tour_records(scored), subtours)
     trips = places.trip_records(scored)
-    keyed = linked.where("leg > 0").withColumn("trip_key", F.concat_ws("-", "hh", "pno", "leg"))
-    return PlaceTables(legs, numbered, subtours, places.stop_fields(scored, ["aggact", "x", "y"]), records, trips, joint.detect_parties(keyed, key="trip_key"))
+    return PlaceTables(legs, numbered, subtours, places.stop_fields(scored, ["aggact", "x", "y"]), records, trips, joint.detect_parties(linked.where("leg > 0")))

@@ -67,23 +67,18 @@ prim AS (
 GAP = 30
 
 
-def home_tours_of(rows: DataFrame) -> DataFrame:
-    return tours.extract_tours(rows, tours.leaves(source.HOME), tours.returns(source.HOME), max_gap=GAP)
+def toured(spark, folder) -> DataFrame:
+    return tours.with_tours(trips(spark, folder), tours.leaves(source.HOME), tours.returns(source.HOME), max_gap=GAP)
 
 
-def members_of(rows: DataFrame) -> DataFrame:
-    return tours.tour_trips(rows, home_tours_of(rows))
-
-
-def anchors_of(members: DataFrame) -> DataFrame:
-    return tours.work_anchor(members, tours.primary_destination(members))
+def members_of(spark, folder) -> DataFrame:
+    return toured(spark, folder).where("tour IS NOT NULL")
 
 
 @query(TOURS + " SELECT t.hh, t.pno, t.tour, t.start, t.\"end\", pseq, pdpurp FROM tour t JOIN prim p ON t.hh = p.hh AND t.pno = p.pno AND t.tour = p.tour")
 def home_tours(spark, folder):
-    rows = trips(spark, folder)
-    found = home_tours_of(rows)
-    return found.join(tours.primary_destination(tours.tour_trips(rows, found)), [*PERSON, "tour"])
+    rows = tours.with_primary(members_of(spark, folder))
+    return rows.where("seq = pseq").select(*PERSON, "tour", "start", "end", "pseq", "pdpurp")
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 10 WHEN 2 THEN 20 WHEN 3 THEN 30 ELSE l_linenumber END AS passed, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS strict FROM lineitem")
@@ -346,12 +341,12 @@ def unwrap_clock(spark, folder):
 
 @query(TOURS + " SELECT * FROM prim")
 def primary_destination(spark, folder):
-    return tours.primary_destination(members_of(trips(spark, folder)))
+    return tours.primary_destination(members_of(spark, folder))
 
 
 @query(TOURS + " SELECT * FROM anchor")
 def work_anchor(spark, folder):
-    return anchors_of(members_of(trips(spark, folder)))
+    return tours.work_anchor(members_of(spark, folder))
 
 
 SUBTOURS = TOURS + """, si AS (SELECT m.*, max(CASE WHEN opurp = 1 AND dpurp <> 1 THEN seq END) OVER (PARTITION BY m.hh, m.pno, m.tour ORDER BY seq ROWS UNBOUNDED PRECEDING) AS s
@@ -362,41 +357,37 @@ sub AS (SELECT sc.hh, sc.pno, sc.tour, row_number() OVER (PARTITION BY sc.hh, sc
 
 @query(SUBTOURS + " SELECT * FROM sub")
 def work_subtours(spark, folder):
-    members = members_of(trips(spark, folder))
-    return tours.work_subtours(members, anchors_of(members))
+    return tours.work_subtours(members_of(spark, folder))
 
 
-def halves_of(rows):
-    members = members_of(rows)
-    return tours.half_tours(members, anchors_of(members))
+def halves_of(spark, folder):
+    return tours.half_tours(members_of(spark, folder))
 
 
 @query(TOURS + """, x AS (SELECT hh, pno, tour, half, count(*) - 1 AS stops, arg_max(mode, mode * 1000 - tseg) AS mode, arg_max(path, mode * 1000 - tseg) AS path FROM half GROUP BY ALL)
 SELECT hh, pno, tour, a.mode AS mode1, b.mode AS mode2, coalesce(a.stops, 0) AS stops1, coalesce(b.stops, 0) AS stops2, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.path ELSE b.path END AS tpath
 FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING (hh, pno, tour)""")
 def half_tour_mode(spark, folder):
-    return tours.half_tour_mode(halves_of(trips(spark, folder)))
+    return tours.half_tour_mode(halves_of(spark, folder))
 
 
 @query(SUBTOURS + """, al AS (SELECT p.hh, p.pno, p.tour, 0 AS subtour, t.start, pdpurp FROM prim p JOIN tour t USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, 5 FROM sub)
 SELECT hh, pno, tour, subtour, row_number() OVER (PARTITION BY hh, pno ORDER BY r, CASE WHEN r = 3 THEN pdpurp END NULLS FIRST, start, subtour) AS tour_no FROM (SELECT *, CASE WHEN subtour > 0 THEN 2 WHEN pdpurp = 1 THEN 1 WHEN pdpurp > 0 THEN 3 ELSE 4 END AS r FROM al)""")
 def order_tours(spark, folder):
-    rows = trips(spark, folder)
-    found, members = home_tours_of(rows), members_of(rows)
-    main = tours.primary_destination(members).join(found, [*PERSON, "tour"]).select(*PERSON, "tour", F.lit(0).alias("subtour"), "start", "pdpurp")
-    sub = tours.work_subtours(members, anchors_of(members)).select(*PERSON, "tour", "subtour", "start", F.lit(5).alias("pdpurp"))
+    members = members_of(spark, folder)
+    main = tours.with_primary(members).where("seq = pseq").select(*PERSON, "tour", F.lit(0).alias("subtour"), "start", "pdpurp")
+    sub = tours.work_subtours(members).select(*PERSON, "tour", "subtour", "start", F.lit(5).alias("pdpurp"))
     return tours.order_tours(relational.union_all(main, sub)).select(*PERSON, "tour", "subtour", "tour_no")
 
 
 @query(TOURS + ", st AS (SELECT * FROM (SELECT *, max(tseg) OVER (PARTITION BY hh, pno, tour, half) AS l FROM half) WHERE tseg < l), e AS (SELECT hh, pno, coalesce((first(opurp ORDER BY seq) = 0)::INT, 1) AS beghom, (arg_max(dpurp, seq) = 0)::INT AS endhom FROM u GROUP BY hh, pno) SELECT e.*, " + ", ".join(f"(SELECT count(*) FROM prim p WHERE p.hh = e.hh AND p.pno = e.pno AND pdpurp = {p}) AS {n}tours, (SELECT count(*) FROM st s WHERE s.hh = e.hh AND s.pno = e.pno AND dpurp = {p}) AS {n}stops" for p, n in tours.PURPOSES.items()) + " FROM e")
 def person_day_pattern(spark, folder):
-    rows = trips(spark, folder)
-    return tours.person_day_pattern(rows, tours.primary_destination(members_of(rows)), halves_of(rows))
+    return tours.person_day_pattern(toured(spark, folder))
 
 
 @query(TOURS + " SELECT hh, pno, tour, half, tseg, dpurp FROM (SELECT *, max(tseg) OVER (PARTITION BY hh, pno, tour, half) AS l FROM half) WHERE tseg < l")
 def intermediate_stops(spark, folder):
-    return tours.intermediate_stops(halves_of(trips(spark, folder))).select(*PERSON, "tour", "half", "tseg", "dpurp")
+    return tours.intermediate_stops(halves_of(spark, folder)).select(*PERSON, "tour", "half", "tseg", "dpurp")
 
 
 LEGS = TOURS + """, f AS (SELECT *, min(CASE WHEN mode = 7 THEN tseg END) OVER (PARTITION BY hh, pno, tour, half) AS f, dep + floor((arr - dep) / 2)::INT AS mid FROM half),
@@ -409,13 +400,13 @@ leg AS (
 
 @query(LEGS + " SELECT * FROM leg")
 def split_drive_transit(spark, folder):
-    return tours.split_drive_transit(halves_of(trips(spark, folder))).select(*PERSON, "tour", "half", "tseg", "mode", "opurp", "dpurp", "dep", "arr")
+    return tours.split_drive_transit(halves_of(spark, folder)).select(*PERSON, "tour", "half", "tseg", "mode", "opurp", "dpurp", "dep", "arr")
 
 
 @query(LEGS + """, l AS (SELECT *, coalesce(lag(dpurp) OVER w = 10 AND lag(tseg) OVER w = tseg - 1 AND opurp = 10, false) AS second, coalesce(lead(opurp) OVER w = 10, false) AND dpurp = 10 AS paired, lead(dpurp) OVER w AS nd, lead(arr) OVER w AS na FROM leg WINDOW w AS (PARTITION BY hh, pno, tour, half ORDER BY tseg))
 SELECT hh, pno, tour, half, row_number() OVER (PARTITION BY hh, pno, tour, half ORDER BY tseg) AS tseg, CASE WHEN paired THEN 7 ELSE mode END AS mode, opurp, CASE WHEN paired THEN nd ELSE dpurp END AS dpurp, dep, CASE WHEN paired THEN na ELSE arr END AS arr FROM l WHERE NOT second""")
 def relink_drive_transit(spark, folder):
-    legs = tours.split_drive_transit(halves_of(trips(spark, folder)))
+    legs = tours.split_drive_transit(halves_of(spark, folder))
     return tours.relink_drive_transit(legs).select(*PERSON, "tour", "half", "tseg", "mode", "opurp", "dpurp", "dep", "arr")
 
 

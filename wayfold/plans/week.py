@@ -156,14 +156,13 @@ def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1)
     heads = sequence.chain_heads(timed, config.link_minutes, config.short_link_minutes)
     linked = sequence.link_chains(timed, config.link_minutes, config.short_link_minutes)
     walked = sequence.activity_duration(linked.withColumnRenamed("trip", "seq"))
-    found = tours.extract_tours(walked, tours.leaves(HOME), tours.returns(HOME), max_gap=max_gap)
-    members = tours.tour_trips(walked, found)
-    primary = tours.primary_destination(members)
-    anchors = tours.work_anchor(members, primary)
-    halves = tours.half_tours(members, anchors, config.max_stops)
+    toured = tours.with_tours(walked, tours.leaves(HOME), tours.returns(HOME), max_gap=max_gap)
+    members = toured.where("tour IS NOT NULL")
+    halves = tours.half_tours(members, config.max_stops)
     complete = weights.day_completeness(rows.select(*PERSON, "day", F.lit(1).alias("is_complete")), PERSON)
     person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight"))
-    record = found.join(primary, [*PERSON, "tour"]).join(tours.half_tour_mode(halves), [*PERSON, "tour"]).join(assign_tour_day(members), [*PERSON, "tour"]).withColumn("subtour", F.lit(0))
+    primary = tours.with_primary(members).where("seq = pseq").select(*tours.TOUR, "start", "end", "pseq", "pdpurp")
+    record = primary.join(tours.half_tour_mode(halves), [*PERSON, "tour"]).join(assign_tour_day(members), [*PERSON, "tour"]).withColumn("subtour", F.lit(0))
     record = tours.order_tours(record).join(person, PERSON).join(complete, PERSON)
     record = weights.expansion_weights(record, "weight", "num_days_complete_5dayweekday", F.col("day"), config.analysis_days, config.weight_cap)
-    return WeekTables(linked, sequence.access_egress(heads), record, tours.split_drive_transit(halves), tours.person_day_pattern(walked, primary, halves), person_day_records(walked, complete))
+    return WeekTables(linked, sequence.access_egress(heads), record, tours.split_drive_transit(halves), tours.person_day_pattern(toured, config.max_stops), person_day_records(walked, complete))

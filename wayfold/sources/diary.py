@@ -15,7 +15,7 @@ from ..functions.recode import recode
 PURPOSES = {"signup": 0, "click": 1, "purchase": 5, "view": 7}
 HOME, WORK, CHANGE = 0, 1, 10
 
-#: Persons, and their order of events: every window over them begins with the household, so one shuffle serves all.
+#: Persons. Rows are dealt by household once, which serves every window and group over households, persons and their tours.
 PERSON = ["hh", "pno"]
 
 
@@ -34,7 +34,7 @@ def diary(spark: SparkSession, folder: str) -> DataFrame:
         recode(F.col("event_type"), PURPOSES, strict=True, default=CHANGE).alias("dpurp"),
     ).withColumns({"mode": F.col("k") % 10, "x": F.col("k") % 10, "y": F.expr("cast(k div 10 as int)")})
     w = W.partitionBy(*PERSON).orderBy("ts", "event_id")
-    return base.withColumns(
+    return base.repartition("hh").withColumns(
         {"seq": F.row_number().over(w), "opurp": F.lag("dpurp").over(w), "ox": F.lag("x").over(w), "oy": F.lag("y").over(w)}
     )
 
