@@ -66,8 +66,12 @@ def split_joint(tours: DataFrame, same: list[str], exclude: DataFrame | None = N
     return individual, once.withColumn("joint_no", F.dense_rank().over(W.partitionBy("hh").orderBy("pno", "tour")))
 
 
+def number_joint_trips(trips: DataFrame, joint_tours: DataFrame) -> DataFrame:
+    """trips with joint_no of their joint tour, null for individual trips; of a party, only the tour kept has one."""
+    return trips.join(joint_tours.select(*PERSON, "tour", "joint_no"), [*PERSON, "tour"], "left")
+
+
 def split_joint_trips(trips: DataFrame, joint_tours: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(individual, joint) trips: those of joint tours, once for each party, with the tour's number."""
-    numbered = joint_tours.select(*PERSON, "tour", "joint_no")
-    joint = trips.join(numbered, [*PERSON, "tour"])
-    return trips.join(numbered, [*PERSON, "tour"], "left_anti"), joint
+    """(individual, joint) trips: those of joint tours once for each party, with the tour's number."""
+    rows = number_joint_trips(trips, joint_tours)
+    return rows.where("joint_no IS NULL").drop("joint_no"), rows.where("joint_no IS NOT NULL")

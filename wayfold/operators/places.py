@@ -11,7 +11,7 @@ from ..functions.numeric import great_circle_miles, lerp_score
 from ..functions.recode import cases
 from ..functions.text import contains_any
 from ..sources.diary import PERSON
-from .relational import dedupe_first, flag_exists, update_from
+from .relational import dedupe_first
 from .sequence import by_person
 from .tours import number_segments
 
@@ -41,19 +41,23 @@ def clean_persons(persons: DataFrame, households: DataFrame, places: DataFrame)
     persons: hh, pno, age, ageb, works, jobs, hours, wloc, wtaz, wx, wy, stude; households: hh, htaz, hx, hy; places:
     hh, pno, tpurp. Home workers work at home; persons of unknown status are students if they visit a school.
     """
-    at_school = places.where(F.col("tpurp").isin(11, 12))
-    other = places.where(~F.col("tpurp").isin(11, 12))
-    rows = flag_exists(flag_exists(persons, at_school, PERSON, "_school"), other, PERSON, "_other")
+    school = F.col("tpurp").isin(11, 12)
+    seen = places.groupBy(*PERSON).agg(F.max(school).alias("_school"), F.max(~school).alias("_other"))
+    homes = households.select("hh", F.col("htaz").alias("_ht"), F.col("hx").alias("_hx"), F.col("hy").alias("_hy"))
+    rows = persons.join(seen, PERSON, "left").join(homes, "hh", "left")
     rows = rows.withColumn("works", cases((F.col("age") < 16, 2), ((F.col("ageb") == 1) & F.col("works").isNull(), 2), default=F.col("works")))
-    idle = F.col("works") == 2
-    rows = rows.withColumns({c: F.when(F.col("jobs").isNull() & idle, 0).otherwise(F.col(c)) for c in ("hours", "jobs")})
-    rows = rows.withColumn("wloc", F.when(F.col("wloc").isNull() & idle, 0).otherwise(F.col("wloc")))
-    rows = update_from(rows.withColumn("_home", (F.col("wloc") == 2) & F.col("wtaz").isNull()), households.withColumn("_home", F.lit(True)), ["hh", "_home"], {"wtaz": "htaz"})
-    rows = update_from(rows.withColumn("_home", (F.col("wloc") == 2) & F.col("wx").isNull() & F.col("wy").isNull()), households.withColumn("_home", F.lit(True)), ["hh", "_home"], {"wx": "hx", "wy": "hy"})
-    student = cases((F.col("stude").isin(1, 2), 1), (F.col("stude") == 3, 0), (F.col("_school") == 1, 1), (F.col("stude").isin(8, 9) & (F.col("_other") == 1), 0), default=-1)
+    idle, at_home = F.col("works") == 2, F.coalesce(F.col("wloc") == 2, F.lit(False))
     nowhere = F.col("wx").isNull() & F.col("wy").isNull()
-    rows = rows.withColumns({"student": student, "wtaz": F.coalesce("wtaz", F.lit(9999)), "wx": F.when(nowhere, 0).otherwise(F.col("wx")), "wy": F.when(nowhere, 0).otherwise(F.col("wy"))})
-    return rows.drop("_home", "_school", "_other")
+    student = cases((F.col("stude").isin(1, 2), 1), (F.col("stude") == 3, 0), (F.col("_school"), 1), (F.col("stude").isin(8, 9) & F.col("_other"), 0), default=-1)
+    place = lambda c, home: F.when(nowhere, F.coalesce(F.when(at_home, F.col(home)), F.lit(0))).otherwise(F.col(c))
+    rows = rows.withColumns(
+        {
+            **{c: F.when(F.col("jobs").isNull() & idle, 0).otherwise(F.col(c)) for c in ("hours", "jobs")},
+            "wloc": F.when(F.col("wloc").isNull() & idle, 0).otherwise(F.col("wloc")), "student": student,
+            "wtaz": F.coalesce(F.col("wtaz"), F.when(at_home, F.col("_ht")), F.lit(9999)), "wx": place("wx", "_hx"), "wy": place("wy", "_hy"),
+        }
+    )
+    return rows.drop("_school", "_other", "_ht", "_hx", "_hy")
 
 
 def person_type_8(age: Column, ageb: Column, works: Column, hours: Column, student: Column, school: Column) -> Column:

@@ -648,8 +648,7 @@ def split_joint_tours(spark, folder):
 @query(SPLIT + " SELECT jt.event_id, joint_no FROM jt LEFT JOIN jo ON jt.hh = jo.hh AND jt.pno = jo.pno AND jt.day_ix = jo.tour")
 def split_joint_trips(spark, folder):
     rows, _, together = split_tours(spark, folder)
-    alone, shared = joint.split_joint_trips(rows, together)
-    return relational.union_all(alone.select("event_id", F.lit(None).cast("int").alias("joint_no")), shared.select("event_id", "joint_no"))
+    return joint.number_joint_trips(rows, together).select("event_id", "joint_no")
 
 
 # nations as unit squares of a grid with five columns, customers as points by their keys
@@ -709,3 +708,41 @@ def clean_places(spark, folder):
     homes = rows.select("hh").distinct().select("hh", (h % 2).alias("htaz"), (h % 3).alias("hx"), (h % 4).alias("hy"))
     people = rows.select(*PERSON).distinct().select(*PERSON, F.col("pno").alias("wx"), (h % 4).alias("wy"))
     return places.clean_places(rows, people, homes).select("id", "tpurp", "aggact", "modename")
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, (l_orderkey % 15)::INT AS kind, l_linenumber AS n, ([41, 78, 30, 53, 55, 1, NULL])[l_orderkey % 7 + 1] AS m1, ([42, 105, 68, 2, NULL])[l_partkey % 5 + 1] AS m2, (l_suppkey % 12)::INT AS acc, (l_partkey % 13)::INT AS egr, (l_partkey % 4)::INT AS driver FROM lineitem),
+q AS (SELECT *, CASE WHEN kind = 1 THEN 1 WHEN kind IN (2, 3, 4) THEN 2 WHEN kind IN (8, 9) THEN CASE WHEN n = 1 THEN 3 WHEN n = 2 THEN 4 ELSE 5 END WHEN kind IN (5, 6) THEN 9 WHEN kind = 10 THEN 8 WHEN kind = 11 THEN 5
+  WHEN kind IN (12, 13) OR (kind = 14 AND m1 = 41) THEN CASE WHEN acc BETWEEN 6 AND 10 OR egr BETWEEN 6 AND 10 THEN 7 ELSE 6 END ELSE 0 END AS mode FROM p)
+SELECT l_orderkey, l_linenumber, mode, CASE WHEN kind = 8 THEN 1 WHEN mode IN (6, 7) THEN CASE WHEN m1 = 78 OR m2 = 78 THEN 7 WHEN m1 = 30 OR m2 = 30 THEN 6 WHEN m1 IN (41, 42, 55) OR m2 IN (41, 42, 55) THEN 5 WHEN m1 IN (53, 105, 68) OR m2 IN (53, 105, 68) THEN 4 ELSE 3 END ELSE 0 END AS path,
+  CASE WHEN mode IN (3, 4, 5) THEN CASE WHEN driver IN (1, 3) THEN 1 WHEN driver = 2 THEN 2 ELSE 9 END WHEN mode = 9 THEN CASE WHEN n = 1 THEN 11 WHEN n = 2 THEN 12 ELSE 13 END ELSE 3 END AS role FROM q""")
+def trip_codes(spark, folder):
+    from .week import trip_mode, trip_path, trip_role
+
+    (items,) = tables(spark, folder, "lineitem")
+    k, part = F.col("l_orderkey"), F.col("l_partkey")
+    pick = lambda values, e: F.get(F.array(*map(F.lit, values)), (e % len(values)).cast("int"))
+    rows = items.select("l_orderkey", "l_linenumber", (k % 15).cast("int").alias("kind"), F.col("l_linenumber").alias("n"), pick([41, 78, 30, 53, 55, 1, None], k).alias("m1"), pick([42, 105, 68, 2, None], part).alias("m2"), (F.col("l_suppkey") % 12).alias("acc"), (part % 13).alias("egr"), (part % 4).alias("driver"))
+    rows = rows.withColumn("mode", trip_mode(*(F.col(c) for c in ("kind", "n", "m1", "acc", "egr"))))
+    return rows.select("l_orderkey", "l_linenumber", "mode", trip_path(F.col("kind"), F.col("mode"), [F.col("m1"), F.col("m2")]).alias("path"), trip_role(F.col("mode"), F.col("driver"), F.col("n")).alias("role"))
+
+
+_LINKED = """, j AS (SELECT u.*, r.chain, r.acc, u.day_ix - lag(u.day_ix) OVER (PARTITION BY u.hh, u.pno ORDER BY u.seq) AS gap FROM u JOIN r ON u.hh = r.hh AND u.pno = r.pno AND u.seq = r.seq),
+g AS (SELECT hh, pno, chain, arg_min(day, seq) AS day, arg_min(day_ix, seq) AS day_ix, arg_min(dep, seq) AS dep, arg_min(coalesce(opurp, -9), seq) AS o, arg_min(coalesce(gap, 0), seq) AS gap, arg_max(arr, seq) AS arr, arg_max(dpurp, seq) AS z, arg_max(has_next, seq) AS hn, arg_max(acc, seq) AS mode, max(path) AS path, count(*) AS segments FROM j GROUP BY hh, pno, chain),
+lt AS (SELECT hh, pno, day, day_ix, dep, arr, CASE WHEN segments = 1 AND z <> 10 AND o = 10 AND gap <= 1 THEN 4 WHEN o = -9 THEN NULL ELSE o END AS opurp, CASE WHEN z = 10 AND NOT (segments > 1 AND hn = 0) THEN 4 ELSE z END AS dpurp, mode, path, row_number() OVER (PARTITION BY hh, pno ORDER BY chain) AS seq FROM g)"""
+_FIVE = " + ".join(f"max((day = {d})::INT)" for d in weights.WEEKS[5])
+
+
+@query(CHAINS + _LINKED + """ SELECT * FROM (WITH u AS (SELECT *, (lead(dep) OVER p - arr + CASE WHEN lead(day_ix) OVER p > day_ix AND lead(dep) OVER p < arr THEN 1440 ELSE 0 END)::INT AS act_dur FROM lt WINDOW p AS (PARTITION BY hh, pno ORDER BY seq))""" + TOURS[len(T) :] + f""",
+x AS (SELECT hh, pno, tour, half, arg_max(mode, mode * 1000 - tseg) AS mode FROM half GROUP BY hh, pno, tour, half),
+tm AS (SELECT hh, pno, tour, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING (hh, pno, tour)),
+md AS (SELECT hh, pno, tour, day FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour ORDER BY c DESC, day) AS n FROM (SELECT hh, pno, tour, day, count(*) AS c FROM m GROUP BY ALL)) WHERE n = 1),
+wk AS (SELECT hh, pno, {_FIVE} AS n FROM d GROUP BY hh, pno)
+SELECT tour.hh, tour.pno, tour.tour, tour.start, tour."end", pdpurp, tmode, md.day, round(CASE WHEN md.day <= 5 AND wk.n > 0 THEN 1.0 / wk.n ELSE 0 END, 6) AS expansion,
+  row_number() OVER (PARTITION BY tour.hh, tour.pno ORDER BY CASE WHEN pdpurp = 1 THEN 1 WHEN pdpurp > 0 THEN 3 ELSE 4 END, CASE WHEN pdpurp > 1 THEN pdpurp END NULLS FIRST, tour.start) AS tour_no
+FROM tour JOIN prim USING (hh, pno, tour) JOIN tm USING (hh, pno, tour) JOIN md USING (hh, pno, tour) JOIN wk ON wk.hh = tour.hh AND wk.pno = tour.pno)""")
+def week_pipeline_tours(spark, folder):
+    from ..sources.tables import Config
+    from .week import week_pipeline
+
+    out = week_pipeline(trips(spark, folder).drop("has_next", "act_dur"), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP)
+    return out.tours.select(*PERSON, "tour", "start", "end", "pdpurp", "tmode", "day", F.round("expansion", 6).alias("expansion"), "tour_no")
