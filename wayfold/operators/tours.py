@@ -94,22 +94,33 @@ def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     return found.where("seq = start").select(*keys, "subtour", "start", "end")
 
 
+def with_halves(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
+    """with_primary, and half (1 out, 2 back, null for the stay at the primary destination) and tseg (from 1) in it."""
+    rows = with_primary(members, keys).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2))
+    return rows.withColumn("tseg", F.row_number().over(W.partitionBy(*keys, "half").orderBy("seq")))
+
+
 def half_tours(members: DataFrame, max_stops: int = 20, keys: list[str] = TOUR) -> DataFrame:
-    """The trips outside the stay at the primary destination, with half (1 out, 2 back) and tseg (from 1, at most max_stops)."""
-    rows = with_primary(members, keys).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2)).where("half IS NOT NULL")
-    return rows.withColumn("tseg", F.row_number().over(W.partitionBy(*keys, "half").orderBy("seq"))).where(F.col("tseg") <= max_stops)
-
-
-def half_tour_mode(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
-    """keys, mode1, mode2, stops1, stops2, tmode, tpath: the largest mode of each half with the path of the first such
-    trip; the tour has the larger one, of equal ones the outbound one."""
-    sides = halves.groupBy(*keys).agg(
-        *(F.max_by(F.when(F.col("half") == h, F.struct("mode", "path")), F.when(F.col("half") == h, F.struct("mode", -F.col("tseg")))).alias(f"_{h}") for h in (1, 2)),
-        *((F.count_if(F.col("half") == h) - 1).alias(f"stops{h}") for h in (1, 2)),
-    )
+    """The trips outside the stay at the primary destination, at most max_stops each way."""
+    return with_halves(members, keys).where((F.col("half").isNotNull()) & (F.col("tseg") <= max_stops))
+
+
+def tour_summary(halved: DataFrame, max_stops: int = 20, keys: list[str] = TOUR) -> DataFrame:
+    """One row per tour of with_halves: start, end, pseq, pdpurp, day, mode1, mode2, stops1, stops2, tmode, tpath.
+
+    The mode of a half is its largest, with the path of the first such trip; the tour has the larger one, of equal ones
+    the outbound one. The day is the one that most trips have, of equal ones the first.
+    """
+    rows = halved.withColumn("_k", F.count("*").over(W.partitionBy(*keys, "day")))
+    on = lambda h: (F.col("half") == h) & (F.col("tseg") <= max_stops)
+    out = rows.groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in ("start", "end", "pseq", "pdpurp")), F.max_by("day", F.struct("_k", -F.col("day"))).alias("day"),
+        *(F.max_by(F.when(on(h), F.struct("mode", "path")), F.when(on(h), F.struct("mode", -F.col("tseg")))).alias(f"_{h}") for h in (1, 2)),
+        *(F.greatest(F.count_if(on(h)) - 1, F.lit(0)).alias(f"stops{h}") for h in (1, 2)),
+    )
     first = F.coalesce(F.col("_1.mode") >= F.col("_2.mode"), F.col("_2.mode").isNull())
     pick = lambda c: F.when(first, F.col(f"_1.{c}")).otherwise(F.col(f"_2.{c}"))
-    return sides.select(*keys, F.col("_1.mode").alias("mode1"), F.col("_2.mode").alias("mode2"), F.greatest("stops1", F.lit(0)).alias("stops1"), F.greatest("stops2", F.lit(0)).alias("stops2"), pick("mode").alias("tmode"), pick("path").alias("tpath"))
+    return out.withColumns({"mode1": F.col("_1.mode"), "mode2": F.col("_2.mode"), "tmode": pick("mode"), "tpath": pick("path")}).drop("_1", "_2")
 
 
 def order_tours(tours: DataFrame) -> DataFrame:

@@ -368,7 +368,8 @@ def halves_of(spark, folder):
 SELECT hh, pno, tour, a.mode AS mode1, b.mode AS mode2, coalesce(a.stops, 0) AS stops1, coalesce(b.stops, 0) AS stops2, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.path ELSE b.path END AS tpath
 FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING (hh, pno, tour)""")
 def half_tour_mode(spark, folder):
-    return tours.half_tour_mode(halves_of(spark, folder))
+    out = tours.tour_summary(tours.with_halves(members_of(spark, folder)))
+    return out.select(*PERSON, "tour", "mode1", "mode2", "stops1", "stops2", "tmode", "tpath")
 
 
 @query(SUBTOURS + """, al AS (SELECT p.hh, p.pno, p.tour, 0 AS subtour, t.start, pdpurp FROM prim p JOIN tour t USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, 5 FROM sub)

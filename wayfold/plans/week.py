@@ -127,13 +127,6 @@ def person_day_records(trips: DataFrame, complete: DataFrame) -> DataFrame:
     return weights.complete_person_days(complete, PERSON).join(found, [*PERSON, "day"], "left").fillna({"trips": 0, "beghom": 1, "endhom": 1})
 
 
-def assign_tour_day(members: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
-    """The day of the week that most trips of a tour have, of equal ones the first."""
-    from ..operators.relational import modal_value
-
-    return modal_value(members, keys, "day")
-
-
 @dataclass(frozen=True)
 class WeekTables:
     """What the pipeline makes; nothing is computed before a table is used."""
@@ -158,11 +151,10 @@ def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1)
     walked = sequence.activity_duration(linked.withColumnRenamed("trip", "seq"))
     toured = tours.with_tours(walked, tours.leaves(HOME), tours.returns(HOME), max_gap=max_gap)
     members = toured.where("tour IS NOT NULL")
-    halves = tours.half_tours(members, config.max_stops)
+    halved = tours.with_halves(members)
+    halves = halved.where((F.col("half").isNotNull()) & (F.col("tseg") <= config.max_stops))
     complete = weights.day_completeness(rows.select(*PERSON, "day", F.lit(1).alias("is_complete")), PERSON)
-    person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight"))
-    primary = tours.with_primary(members).where("seq = pseq").select(*tours.TOUR, "start", "end", "pseq", "pdpurp")
-    record = primary.join(tours.half_tour_mode(halves), [*PERSON, "tour"]).join(assign_tour_day(members), [*PERSON, "tour"]).withColumn("subtour", F.lit(0))
-    record = tours.order_tours(record).join(person, PERSON).join(complete, PERSON)
+    person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight")).join(complete, PERSON)
+    record = tours.order_tours(tours.tour_summary(halved, config.max_stops).withColumn("subtour", F.lit(0))).join(person, PERSON)
     record = weights.expansion_weights(record, "weight", "num_days_complete_5dayweekday", F.col("day"), config.analysis_days, config.weight_cap)
     return WeekTables(linked, sequence.access_egress(heads), record, tours.split_drive_transit(halves), tours.person_day_pattern(toured, config.max_stops), person_day_records(walked, complete))
