@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import key_of
-from .words import BASE, BYTE_HASH, LOWER, chunks, mix, powers, prefix_hash, text_bytes
+from .words import BASE, BYTE_HASH, LOWER, chunks, mix, powers, prefix_hash, slices, text_bytes
 
 #: Labelled rows that the model is fitted on at most, those with the smallest hashes of their ids.
-MAX_TRAIN = 12_000
+MAX_TRAIN = 6_000
 #: Documents of the sample that a feature must be in.
 MIN_DOCS = 3
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 3.0, 0.0
@@ -80,14 +80,15 @@ class Model(NamedTuple):
 
 def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> Model:
     """FTRL-proximal: every coordinate has its own rate, falling with its gradients, and L1 keeps most at zero."""
-    per_doc = []
-    counts = np.zeros(1 << 24, np.uint8)  # about how many documents each feature is in
+    def distinct(text: bytes) -> np.ndarray:
+        return np.unique(features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[1]) if text else np.zeros(0, _U)
+
+    # texts are read twice, as most features are rare: only those in MIN_DOCS documents or more are ever kept
+    counts = np.zeros(1 << 24, np.uint8)
     for text in texts:
-        own = np.unique(features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[1]) if text else np.zeros(0, _U)
-        slot = own & _U(0xFFFFFF)
+        slot = distinct(text) & _U(0xFFFFFF)
         counts[slot] = np.minimum(counts[slot], 254) + 1
-        per_doc.append(own)
-    per_doc = [own[counts[own & _U(0xFFFFFF)] >= MIN_DOCS] for own in per_doc]
+    per_doc = [own[counts[own & _U(0xFFFFFF)] >= MIN_DOCS] for own in map(distinct, texts)]
     keys, ids = np.unique(np.concatenate([*per_doc, np.zeros(0, _U)]), return_inverse=True)
     rows = np.split(ids, np.cumsum([len(x) for x in per_doc])[:-1]) if per_doc else []
     z, n = np.zeros(len(keys)), np.zeros(len(keys))
@@ -145,7 +146,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for batch in batches:
+        for batch in slices(batches, 2000):
             buf, offsets = text_bytes(batch.column("text"))
             out = [model.scores(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in chunks(offsets, CHUNK)]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("doc_id"), pa.array(np.concatenate([*out, np.zeros(0)]))], ["_key", "doc_id", "score"])
@@ -160,7 +161,7 @@ def keep_rows(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for batch in batches:
+        for batch in slices(batches, 2000):
             buf, offsets = text_bytes(batch.column("text"))
             out = [model.scores(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in chunks(offsets, CHUNK)]
             yield batch.filter(pa.array(np.concatenate([*out, np.zeros(0)]) < below))

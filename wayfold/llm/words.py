@@ -160,12 +160,19 @@ def among(least: np.ndarray, inside: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.flatnonzero(np.repeat(np.isin(least[at], wanted), np.diff(np.append(at, len(least)))) & inside)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of a batch stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def shrink(docs: DataFrame) -> DataFrame:
     """docs with the column text replaced by z, the text compressed: what a shuffle of whole texts costs most is disk."""
 
     def shrunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in slices(batches):
             z = pa.array([packer.compress(t.as_py()) if t.is_valid else None for t in batch.column("text").cast(pa.binary())], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), z], [*rest, "z"])
 
@@ -188,7 +195,7 @@ def batch_bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
     """(batch, i, j, bytes, offsets) for chunks of rows i to j."""
-    for batch in batches:
+    for batch in slices(batches, 2000):
         buf, offsets = batch_bytes(batch)
         for i, j in chunks(offsets):
             yield batch, i, j, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
