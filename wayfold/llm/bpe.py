@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .words import slices
+
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept in a task's memory, and the longest one (in symbols) for which the whole rank array is scanned.
 CACHE, SHORT = 200_000, 48
@@ -134,7 +136,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model.value
-        for batch in batches:
+        for batch in slices(batches):
             ids = pa.array([bpe.encode(t.as_py() or "") for t in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
@@ -148,7 +150,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = pa.array([bpe.decode(i.as_py() or b"") for i in batch.column("ids")], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), texts], ["doc_id", "ids", "decoded"])
 
