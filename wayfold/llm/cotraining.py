@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from .words import Words, chunks, text_bytes
+from .words import Words, chunks, slices, text_bytes
 
 #: Labelled and unlabelled rows that the views are fitted on at most, those with the smallest hashes of their ids.
 MAX_LABELLED, MAX_POOL = 8_000, 8_000
@@ -147,7 +147,7 @@ def view_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             buf, offsets = text_bytes(batch.column("text"))
             parts = [measurements(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in chunks(offsets)]
             chars = np.log2(batch.column("chars").to_numpy(zero_copy_only=False) + 1.0)

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import key_of, keyed
 from .repeats import attach, find
-from .words import Words, among, docs_of, ngram_hash, shrink, texts_of, winnow
+from .words import Words, among, docs_of, ngram_hash, shrink, slices, texts_of, winnow
 
 #: Words of a repeat, and words of an anchor.
 WINDOW, ANCHOR = 20, 6
@@ -68,7 +68,7 @@ def covered(n: int, starts: np.ndarray | None, window: int) -> np.ndarray:
 
 def _cut_text(window: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept, total, removed = [], [], []
             for text, starts in zip(texts_of(batch), batch.column("_windows"), strict=True):
                 words = text.split()
@@ -123,7 +123,7 @@ def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     """
 
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, stays = [], np.ones(batch.num_rows, bool)
             for k, (data, starts) in enumerate(zip(texts_of(batch), batch.column("_windows"), strict=True)):
                 if starts.is_valid:

@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, keyed
 from .repeats import PACK, attach, by_document, default_buckets, find, joined, pack, packed_schema
-from .words import BYTE_HASH, among, batch_bytes, chunks, mix, powers, prefix_hash, shrink, texts_of, winnow
+from .words import BYTE_HASH, among, batch_bytes, chunks, mix, powers, prefix_hash, shrink, slices, texts_of, winnow
 
 LENGTH, GRAM, RANGE = 400, 64, 16
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _U = np.uint64
 
 
@@ -72,7 +72,7 @@ class _Bytes:
 
 
 def _texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, int, int, _Bytes]]:
-    for batch in batches:
+    for batch in slices(batches):
         buf, offsets = batch_bytes(batch)
         for i, j in chunks(offsets, CHUNK):
             yield batch, i, j, _Bytes(batch, i, j, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
@@ -154,7 +154,7 @@ def _windows(length: int):
     """Every window of the ranges in the column _check."""
 
     def places(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in slices(batches):
             buf, offsets = batch_bytes(batch)
             keys = batch.column("_key").to_numpy(zero_copy_only=False)
             for i, j in chunks(offsets, CHUNK):
@@ -173,7 +173,7 @@ def _windows(length: int):
 
 def _cut_text(length: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             total, removed, spans, kept = [], [], [], []
             for data, sure, places in zip(texts_of(batch), batch.column("_sure"), batch.column("_places"), strict=True):
                 n = len(data)
