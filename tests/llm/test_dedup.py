@@ -106,6 +106,33 @@ def test_suffix_dedup(make, corpus, stays, length):
         assert sum(s.end - s.start for s in r.removed) == r.n_removed
 
 
+@pytest.mark.parametrize("stays", [True, False])
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_suffix_dedup_of_copies_and_their_trimmed_forms(spark, make, words, stays, parts):
+    # documents are dealt to tasks by id; without merged partitions, copies meet in one task and the third is in another
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    rows = []
+    for k in range(12):
+        x = words(60)
+        other = (x[5:], x[:-5], "#####" + x[5:], x[:-5] + "#####")[k % 4]
+        rows += [(10 * k, x), (10 * k + 1, x), (10 * k + 2 + k % 3, other)]
+    texts = {i: t.encode() for i, t in rows}
+    first, count = brute_windows(texts, 100)
+    try:
+        out = suffix_dedup.suffix_dedup(make(rows), length=100, first_stays=stays).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(out) == len(rows)
+    for r in out:
+        gone = brute_cut(texts[r.doc_id], r.doc_id, 100, (lambda w, at: first[w] != at) if stays else (lambda w, at: count[w] > 1))
+        assert r.n_removed == sum(gone), r.doc_id
+        assert r.kept == bytes(b for b, g in zip(texts[r.doc_id], gone, strict=True) if not g)
+
+
 def brute_links(corpus, n, num, den):
     sets = {}
     for i, t in once(corpus):

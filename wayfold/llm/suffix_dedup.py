@@ -139,7 +139,8 @@ def _resolve_ranges(first_stays: bool):
     def resolve(table: pa.Table) -> pa.Table:
         ids, spans, core, union, kind = (joined(table[f"s{k}"], t) for k, t in enumerate((np.int64, np.int64, np.uint64, np.uint64, np.int8)))
         _, _, ids, spans, kind, head, alone, same = _judge(core, union, ids, spans, kind)
-        repeat = ~alone & same & ~(head & first_stays)
+        # the place that stands for several with its union is a repeat whatever the other unions are, unless the first stays
+        repeat = (~alone & same & ~(head & first_stays)) | ((kind == _SAME) & (not first_stays))
         check = ~alone & ~same & (kind != _MIXED)
         # of a core with different unions, the place that a sender settled for itself is checked by it already
         ids = np.concatenate([ids[repeat], ids[check], joined(table["f0"], np.int64)])
