@@ -60,6 +60,45 @@ def test_cotraining_learns(labelled):
     assert held_out_accuracy(out, labels, "quality") > 0.95
 
 
+def test_cotraining_teaches_with_all_rows(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [(i, ("*** " if i % 4 == 0 else "abc ") * r.randint(5, 9), "en", f"s{int(i % 4 == 0)}", 30) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(400)], "doc_id long, quality int")
+    seen = []
+    cut_offs = cotraining.cut_offs
+
+    def spy(*args):
+        seen.append(cut_offs(*args)[1])
+        return cut_offs(*args)
+
+    monkeypatch.setattr(cotraining, "cut_offs", spy)
+    model = cotraining.train(docs, labels)
+    wanted = (int(0.05 * 0.75 * 11_600), int(0.05 * 0.25 * 11_600))  # of all rows without a label, at most
+    assert all(0.8 * w <= n <= w * 1.05 for n, w in zip(seen[0][0], wanted, strict=True))
+    out = cotraining.score(docs, model)
+    assert out.where("(score >= 0.5) = (doc_id % 4 > 0)").count() == 12_000
+
+
+def test_cotraining_sums_over_tasks(spark):
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, cotraining.BINS + 1, (3000, 14)).astype(np.uint8)
+    order = rng.integers(-(2**62), 2**62, 3000)
+    pool = spark.createDataFrame([(int(o), bytearray(c.tobytes())) for o, c in zip(order, codes, strict=True)], "order long, codes binary").repartition(7)
+    weights = [rng.normal(size=144), rng.normal(size=142)]
+    cuts, sizes = cotraining.cut_offs(pool, [], weights, 0.5, 0.2, 0.9)
+    past = [cotraining.Round(weights, cuts)]
+    at = cotraining.places(codes)
+    labels, free = cotraining.taught(at, order, past, 0.9)
+    assert 0 < free.sum() < 3000
+    assert [(int((labels[1 - k] == 1).sum()), int((labels[1 - k] == 0).sum())) for k in (0, 1)] == sizes
+    out = cotraining.pool_sums(pool, past, weights, [(1.0, 2.0)] * 2, 0.9)
+    for k in (0, 1):
+        have = ~np.isnan(labels[k])
+        want = cotraining.sums(at[k][have], labels[k][have], np.where(labels[k][have] > 0.5, 1.0, 2.0), weights[k])
+        assert have.sum() > 100 and np.allclose(out[k], want)
+
+
 def test_cotraining_odd_tables(labelled, make, corpus):
     docs, labels = labelled
     odd = make(corpus)

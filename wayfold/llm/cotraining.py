@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
+from .common import cut
 from .words import Words, chunks, slices, text_bytes
 
-#: Labelled and unlabelled rows that the views are fitted on at most, those with the smallest hashes of their ids.
-MAX_LABELLED, MAX_POOL = 8_000, 8_000
+#: Labelled rows that the views are fitted on at most, those with the smallest hashes of their ids.
+MAX_LABELLED = 8_000
 ROUNDS, TAKE, SURE = 4, 0.05, 0.9
 #: Ranges of each measurement, and slots of each hashed name.
 BINS, SLOTS = 12, 64
 #: Share of the labelled rows that calibration keeps for itself.
 CALIBRATE = 0.25
+#: Levels of certainty that are counted, and of order within one; the rank of rows that aren't sure enough.
+LEVELS = 1 << 12
+NOT_SURE = LEVELS * LEVELS
+#: Bits of a float that are left out where measurements are counted.
+CELL = 14
 
 TEXT = ("symbols", "bars", "marks", "capitals", "digits", "stops", "lines", "word_length", "distinct", "echo", "words")
 META = ("chars",)
@@ -61,20 +67,37 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_view(edges: np.ndarray, numbers: np.ndarray, slots: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 0.5, l2: float = 1e-3) -> View:
-    """Gradient steps with a rate for each weight, classes weighing the same."""
-    view = View(edges, np.zeros(edges.shape[0] * (BINS + 1) + slots.shape[1] * SLOTS + 1))
-    at, w = view.columns(numbers, slots), view.weights
-    share = np.clip(y.mean(), 0.01, 0.99)
-    weight = np.where(y > 0.5, 0.5 / share, 0.5 / (1 - share)) / max(len(y), 1)
-    squares = np.full(len(w), 1e-8)
+def sums(at: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Loss, gradient and curvature of weighted rows, one after the other; sums of parts are sums of the whole."""
+    d = len(w)
+    at = np.column_stack([at, np.full(len(at), d - 1)])
+    z = w[at].sum(1)
+    p = _sigmoid(z)
+    grad = np.bincount(at.ravel(), np.repeat((p - y) * weight, at.shape[1]), d)
+    curve = np.bincount((at[:, :, None] * d + at[:, None, :]).ravel(), np.repeat(p * (1 - p) * weight, at.shape[1] ** 2), d * d)
+    return np.concatenate([[np.sum(weight * np.logaddexp(0, np.where(y > 0.5, -z, z)))], grad, curve])
+
+
+def fit_views(total: Callable[[list[np.ndarray]], list[np.ndarray]], starts: list[np.ndarray], steps: int = 12, l2: float = 1e-3) -> list[np.ndarray]:
+    """Weights of both views by Newton steps, halved where the loss rises; total gives sums() over all rows."""
+    w, best, done = [x.copy() for x in starts], [(np.inf, x, x) for x in starts], [False, False]
     for _ in range(steps):
-        g = (_sigmoid(w[-1] + w[at].sum(1)) - y) * weight
-        grad = np.bincount(at.ravel(), np.repeat(g, at.shape[1]), len(w)) + l2 * w
-        grad[-1] = g.sum()
-        squares += grad * grad
-        w -= rate * grad / np.sqrt(squares)
-    return view
+        for k, s in enumerate(total(w)):
+            if done[k]:
+                continue
+            d = len(w[k])
+            ridge = np.append(np.full(d - 1, l2), 1e-6)
+            loss = s[0] + 0.5 * np.sum(ridge * w[k] ** 2)
+            if loss > best[k][0]:
+                w[k] = (w[k] + best[k][1]) / 2
+                continue
+            step = np.linalg.solve(s[1 + d :].reshape(d, d) + np.diag(ridge), s[1 : 1 + d] + ridge * w[k])
+            best[k] = (loss, w[k], step)
+            w[k] = w[k] - step
+            done[k] = bool(np.abs(step).max() < 1e-2)
+        if all(done):
+            break
+    return [w[k] if done[k] else best[k][1] for k in (0, 1)]
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray, steps: int = 500) -> np.ndarray:
@@ -103,40 +126,167 @@ class Model(NamedTuple):
         return _sigmoid(np.column_stack([a, b]) @ self.both[:2] + self.both[2]), _sigmoid(a), _sigmoid(b)
 
 
-def cotrain(numbers: np.ndarray, slots: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, take: float = TAKE, sure: float = SURE) -> Model:
-    """Fit on rows in a fixed order; y is 0, 1 or NaN for rows without a label.
+class Round(NamedTuple):
+    """What tells the labels of a round: weights of both views, and below which rank a row counts as good or bad."""
+
+    weights: list[np.ndarray]
+    cuts: list[tuple[int, int]]
+
+
+def places(codes: np.ndarray) -> list[np.ndarray]:
+    """Of rows of codes (ranges of the TEXT and META measurements, slots): the places of both views' weights."""
+    codes, n, m = codes.astype(np.int64), len(TEXT), len(META)
+    text = codes[:, :n] + np.arange(n) * (BINS + 1)
+    meta = codes[:, n : n + m] + np.arange(m) * (BINS + 1)
+    names = codes[:, n + m :] + m * (BINS + 1) + np.arange(codes.shape[1] - n - m) * SLOTS
+    return [text, np.column_stack([meta, names])]
+
+
+def ranks(at: np.ndarray, w: np.ndarray, order: np.ndarray, sure: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each row as good and as bad, the surest first, equal ones by order; NOT_SURE for those below `sure`."""
+    z = np.clip(w[-1] + w[at].sum(1), -35, 35)
+    level = np.floor((z + 35) / 70 * (LEVELS - 1)).astype(np.int64)
+    tie, least = (order >> 40) & (LEVELS - 1), np.log(sure / (1 - sure))
+    return np.where(z >= least, (LEVELS - 1 - level) * LEVELS + tie, NOT_SURE), np.where(z <= -least, level * LEVELS + tie, NOT_SURE)
+
+
+def taught(at: list[np.ndarray], order: np.ndarray, rounds: list[Round], sure: float) -> tuple[list[np.ndarray], np.ndarray]:
+    """Labels that each view has got from the other one (NaN: none), and which rows are still in the pool."""
+    labels, free = [np.full(len(order), np.nan) for _ in (0, 1)], np.ones(len(order), bool)
+    for r in rounds:
+        now = free.copy()
+        for k in (0, 1):
+            good, bad = (now & (x < c) for x, c in zip(ranks(at[k], r.weights[k], order, sure), r.cuts[k], strict=True))
+            labels[1 - k][good], labels[1 - k][bad] = 1, 0
+            free &= ~(good | bad)
+    return labels, free
+
+
+def _state(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    for batch in slices(batches, 4000):
+        codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8)
+        yield places(codes.reshape(batch.num_rows, -1)), batch.column("order").to_numpy()
+
+
+def _counted(pool: DataFrame, found: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple[int, np.ndarray]]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Counts over all rows of the numbers that found gives of each kind: kind to (numbers, counts)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for state in _state(batches):
+            for kind, x in found(*state):
+                x, n = np.unique(x, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x, pa.int64()), pa.array(n, pa.int64())], ["kind", "x", "n"])
+
+    return _histograms(pool.mapInArrow(count, "kind int, x long, n long"))
+
+
+def _histograms(counts: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    t = counts.groupBy("kind", "x").agg(F.sum("n").alias("n")).toArrow().sort_by([("kind", "ascending"), ("x", "ascending")])
+    kind, x, n = (t[c].to_numpy() for c in ("kind", "x", "n"))
+    return {int(k): (x[kind == k], n[kind == k]) for k in np.unique(kind)}
+
+
+def _below(table: tuple[np.ndarray, np.ndarray] | None, want: int) -> tuple[int, int]:
+    """The first number up to which there are more than `want` rows, and how many rows lie before it."""
+    if table is None:
+        return NOT_SURE, 0
+    total = np.cumsum(table[1])
+    at = int(np.searchsorted(total, want, "right"))
+    return (int(table[0][at]) if at < len(total) else NOT_SURE), int(total[at - 1]) if at else 0
+
+
+def cut_offs(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], share: float, take: float, sure: float) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Ranks below which rows of the pool get a label from each view, and how many rows (good, bad) that are.
+
+    Counts over all rows tell the level at which `take` of them is reached, a second count the place within it.
+    """
+
+    def levels(at: list[np.ndarray], order: np.ndarray):
+        _, free = taught(at, order, rounds, sure)
+        yield -1, np.zeros(free.sum(), np.int64)
+        for k in (0, 1):
+            for j, x in enumerate(ranks(at[k], weights[k], order, sure)):
+                yield 2 * k + j, x[free & (x < NOT_SURE)] // LEVELS
+
+    counts = _counted(pool, levels)
+    size = int(counts[-1][1].sum()) if -1 in counts else 0
+    wanted = [int(take * (share, 1 - share)[j] * size) for _ in (0, 1) for j in (0, 1)]
+    first = [_below(counts.get(i), wanted[i]) for i in range(4)]
+
+    def within(at: list[np.ndarray], order: np.ndarray):
+        _, free = taught(at, order, rounds, sure)
+        for k in (0, 1):
+            for j, x in enumerate(ranks(at[k], weights[k], order, sure)):
+                yield 2 * k + j, x[free & (x < NOT_SURE) & (x // LEVELS == first[2 * k + j][0])]
+
+    counts = _counted(pool, within) if any(x < NOT_SURE for x, _ in first) else {}
+    second = [_below(counts.get(i), wanted[i] - first[i][1]) for i in range(4)]
+    cuts, sizes = [c for c, _ in second], [first[i][1] + second[i][1] for i in range(4)]
+    return [(cuts[0], cuts[1]), (cuts[2], cuts[3])], [(sizes[0], sizes[1]), (sizes[2], sizes[3])]
+
+
+def pool_sums(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], class_weights: list[tuple[float, float]], sure: float) -> list[np.ndarray]:
+    """sums() of both views over the rows of the pool that have got a label."""
+    sizes = [1 + len(w) + len(w) ** 2 for w in weights]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(sum(sizes))
+        for at, order in _state(batches):
+            labels, _ = taught(at, order, rounds, sure)
+            have = [~np.isnan(y) for y in labels]
+            out += np.concatenate([sums(at[k][h], y[h], np.where(y[h] > 0.5, *class_weights[k]), weights[k]) for k, (y, h) in enumerate(zip(labels, have, strict=True))])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["part", "v"])
+
+    def added(table: pa.Table) -> pa.Table:
+        out = np.zeros(sum(sizes))
+        for v in table["v"]:
+            out += np.frombuffer(v.as_py())
+        return pa.table({"v": pa.array([out.tobytes()], pa.binary())})
+
+    rows = pool.mapInArrow(part, "part int, v binary").groupBy("part").applyInArrow(added, "v binary").collect()
+    out = np.sum([np.zeros(sum(sizes)), *(np.frombuffer(r.v) for r in rows)], axis=0)
+    return [out[: sizes[0]], out[sizes[0] :]]
+
+
+def cotrain(known: tuple[np.ndarray, np.ndarray], pool: DataFrame, edges: np.ndarray, rounds: int = ROUNDS, take: float = TAKE, sure: float = SURE) -> Model:
+    """Fit on known rows (codes, labels) in a fixed order and on all rows of pool (order, codes), which have no label.
 
     In each round both views are fitted on their labels; of the pool, each view passes up to `take` of it, those it
-    is surest of and at least `sure`, as labels to the other one. Labels keep the two classes' shares.
+    is surest of and at least `sure`, as labels to the other one. Labels keep the two classes' shares. Rows stay where
+    they are: their labels follow from the weights and cut-offs of the rounds, and only sums come to the driver.
     """
-    known = np.flatnonzero(~np.isnan(y))
-    n_cal = int(len(known) * CALIBRATE)
-    cal, own, pool = known[:n_cal], known[n_cal:], np.flatnonzero(np.isnan(y))
-    edges = np.quantile(numbers, np.linspace(0, 1, BINS + 2)[1:-1], axis=0).T if len(numbers) else np.zeros((numbers.shape[1], BINS))
-    # rare kinds of text differ in measurements that are 0 for most: half of the ranges lie among the larger values
-    for k in range(len(edges)):
-        rest = numbers[numbers[:, k] > edges[k, BINS // 2], k]
-        if edges[k, 0] == edges[k, -1] and len(rest):
-            edges[k] = np.sort(np.concatenate([edges[k, : BINS // 2], np.quantile(rest, np.linspace(0, 1, BINS - BINS // 2))]))
-    x = [(numbers[:, : len(TEXT)], np.zeros((len(numbers), 0), np.int64), edges[: len(TEXT)]), (numbers[:, len(TEXT) :], slots, edges[len(TEXT) :])]
-    sets = [(own, y[own]), (own, y[own])]
-    share = y[own].mean() if len(own) else 0.5
-    fit = lambda k: fit_view(x[k][2], x[k][0][sets[k][0]], x[k][1][sets[k][0]], sets[k][1])
-    for _ in range(rounds if len(own) else 0):
-        taught = []
+    codes, y = known
+    n_cal = int(len(y) * CALIBRATE)
+    at, own = places(codes), slice(n_cal, None)
+    weights = [np.zeros(n) for n in (len(TEXT) * (BINS + 1) + 1, len(META) * (BINS + 1) + (codes.shape[1] - len(TEXT) - len(META)) * SLOTS + 1)]
+    share = y[own].mean() if len(y[own]) else 0.5
+    past, got = [], np.zeros((2, 2), np.int64)
+
+    def fit(starts: list[np.ndarray]) -> list[np.ndarray]:
+        class_weights = []
         for k in (0, 1):
-            p = _sigmoid(fit(k).logits(x[k][0][pool], x[k][1][pool]))
-            good, bad = np.argsort(-p, kind="stable"), np.argsort(p, kind="stable")
-            good = good[: int(take * share * len(pool))]
-            bad = bad[: int(take * (1 - share) * len(pool))]
-            good, bad = good[p[good] >= sure], bad[p[bad] <= 1 - sure]
-            taught.append((pool[np.concatenate([good, bad])], np.concatenate([np.ones(len(good)), np.zeros(len(bad))])))
-        sets = [tuple(map(np.concatenate, zip(sets[k], taught[1 - k], strict=True))) for k in (0, 1)]
-        pool = np.setdiff1d(pool, np.concatenate([t[0] for t in taught]))
-    views = [fit(0), fit(1)]
-    logits = [v.logits(x[k][0][cal], x[k][1][cal]) for k, v in enumerate(views)]
-    scales = [_calibrated(z[:, None], y[cal]) for z in logits]
-    both = _calibrated(np.column_stack([z * s[0] + s[1] for z, s in zip(logits, scales, strict=True)]), y[cal])
+            good, bad = np.array([y[own].sum(), (1 - y[own]).sum()]) + got[k]
+            part = np.clip(good / max(good + bad, 1), 0.01, 0.99)
+            class_weights.append((0.5 / part / max(good + bad, 1), 0.5 / (1 - part) / max(good + bad, 1)))
+
+        def total(w: list[np.ndarray]) -> list[np.ndarray]:
+            known = [sums(at[k][own], y[own], np.where(y[own] > 0.5, *class_weights[k]), w[k]) for k in (0, 1)]
+            return [a + b for a, b in zip(known, pool_sums(pool, past, w, class_weights, sure), strict=True)] if got.any() else known
+
+        return fit_views(total, starts)
+
+    for _ in range(rounds if len(y[own]) else 0):
+        weights = fit(weights)
+        cuts, sizes = cut_offs(pool, past, weights, share, take, sure)
+        past.append(Round(weights, cuts))
+        got += np.array(sizes)[::-1]
+        if not np.any(sizes):
+            break
+    weights = fit(weights)
+    views = [View(edges[: len(TEXT)], weights[0]), View(edges[len(TEXT) :], weights[1])]
+    logits = [w[-1] + w[at[k][:n_cal]].sum(1) for k, w in enumerate(weights)]
+    scales = [_calibrated(z[:, None], y[:n_cal]) for z in logits]
+    both = _calibrated(np.column_stack([z * s[0] + s[1] for z, s in zip(logits, scales, strict=True)]), y[:n_cal])
     return Model(*views, *scales, both)
 
 
@@ -166,31 +316,57 @@ def _arrays(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return flat("numbers").reshape(-1, len(TEXT) + len(META)), flat("slots").reshape(-1, 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model | None:
-    """The model of labels.quality from bounded samples of labelled and other rows, fitted in one task.
+def range_edges(rows: DataFrame) -> np.ndarray:
+    """BINS edges of each measurement, quantiles from counts over all rows; numbers count to 9 bits of their fraction."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4000):
+            numbers, _ = _arrays(batch)
+            for k in range(numbers.shape[1]):
+                x, n = np.unique(numbers[:, k].astype(np.float32).view(np.int32) >> CELL, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, np.int32)), pa.array(x, pa.int64()), pa.array(n, pa.int64())], ["kind", "x", "n"])
+
+    counts = _histograms(rows.mapInArrow(cells, "kind int, x long, n long"))
+    edges = np.zeros((len(TEXT) + len(META), BINS))
+    for k, (x, n) in counts.items():
+        value = (x.astype(np.int32) << CELL).view(np.float32).astype(float)
+        at = lambda v, n, q: v[np.minimum(np.searchsorted(np.cumsum(n), q * n.sum()), len(v) - 1)]
+        edges[k] = at(value, n, np.linspace(0, 1, BINS + 2)[1:-1])
+        # rare kinds of text differ in measurements that are 0 for most: half of the ranges lie among the larger values
+        rest = value > edges[k, BINS // 2]
+        if edges[k, 0] == edges[k, -1] and rest.any():
+            edges[k] = np.sort(np.concatenate([edges[k, : BINS // 2], at(value[rest], n[rest], np.linspace(0, 1, BINS - BINS // 2))]))
+    return edges
+
+
+def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled: int = MAX_LABELLED) -> Model | None:
+    """The model of labels.quality from a bounded sample of labelled rows and all other rows.
 
     None if no row has a label. where: SQL condition on doc_id of labels to learn from.
     """
-    docs = docs.select(*(c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns))
+    docs = docs.select(*(c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns)).where("doc_id IS NOT NULL")
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("y"))
     order = F.xxhash64("doc_id")
     picked = known.where(where).orderBy(order, "doc_id").limit(max_labelled)
-    pool = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").orderBy(order, "doc_id").limit(max_pool)
-    wanted = picked.unionByName(pool.select("doc_id", F.lit(None).cast("double").alias("y"))).groupBy("doc_id").agg(F.max("y").alias("y"))
-    # rows that have a label which isn't to be learned from stay unlabelled
-    rows = view_rows(docs.join(F.broadcast(wanted.select(F.col("doc_id").alias("_w"))), F.col("doc_id") == F.col("_w"), "left_semi")).join(F.broadcast(wanted), "doc_id")
-
-    def fitted(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("order", "ascending"), ("doc_id", "ascending")])
-        m = cotrain(*_arrays(table), table["y"].to_numpy())
-        flat = [m.text.edges, m.text.weights, m.meta.edges, m.meta.weights, m.text_scale, m.meta_scale, m.both]
-        return pa.table({"k": pa.array(range(len(flat)), pa.int32()), "v": pa.array([x.ravel().tolist() for x in flat], pa.list_(pa.float64()))})
-
     if picked.isEmpty():
         return None
-    out = rows.withColumns({"order": order, "one": F.lit(0)}).groupBy("one").applyInArrow(fitted, "k int, v array<double>").collect()
-    v = [np.array(r.v) for r in sorted(out, key=lambda r: r.k)]
-    return Model(View(v[0].reshape(-1, BINS), v[1]), View(v[2].reshape(-1, BINS), v[3]), *v[4:]) if v else None
+    # rows that have a label which isn't to be learned from stay unlabelled
+    rows = cut(view_rows(docs).join(F.broadcast(picked), "doc_id", "left").withColumn("order", order))
+    edges = range_edges(rows)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4000):
+            numbers, slots = _arrays(batch)
+            codes = np.column_stack([*(np.searchsorted(e, numbers[:, k], "right") for k, e in enumerate(edges)), slots]).astype(np.uint8)
+            binary = pa.array([c.tobytes() for c in codes], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("y"), binary], ["order", "y", "codes"])
+
+    rows = cut(rows.mapInArrow(coded, "order long, y double, codes binary"))
+    own = rows.where("y IS NOT NULL").groupBy("order").agg(F.max("y").alias("y"), F.min("codes").alias("codes")).toArrow().sort_by("order")
+    if not own.num_rows:
+        return None
+    codes = np.frombuffer(b"".join(own["codes"].to_pylist()), np.uint8).reshape(own.num_rows, -1)
+    return cotrain((codes, own["y"].to_numpy()), rows.where("y IS NULL").select("order", "codes"), edges)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
