@@ -53,6 +53,15 @@ def test_toxicity_rows_and_odd_tables(spark, labelled, make, corpus):
     assert {r.score for r in toxicity.toxic_scores(odd, labels.where("false")).collect()} == {0.5}
 
 
+def test_toxicity_learns_from_more_than_6000_rows(spark):
+    rows = spark.range(7000).orderBy(F.xxhash64("id"), "id").collect()
+    late = {r.id for r in rows[6000:]}
+    docs = spark.createDataFrame([(i, f"plain words here {i % 50} " + ("latebad" if i in late and i % 2 else "")) for i in range(7000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in late and i % 2)) for i in range(7000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert toxicity.keep_rows(docs, model).where("text LIKE '%latebad%'").count() == 0
+
+
 def test_cotraining_learns(labelled):
     docs, labels = labelled
     model = cotraining.train(docs, labels.where("doc_id % 3 > 0"), f"NOT {cotraining.HELD_OUT}")

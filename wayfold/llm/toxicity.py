@@ -14,13 +14,15 @@ from .common import key_of
 from .words import BASE, BYTE_HASH, LOWER, chunks, mix, powers, prefix_hash, slices, text_bytes
 
 #: Labelled rows that the model is fitted on at most, those with the smallest hashes of their ids.
-MAX_TRAIN = 6_000
+MAX_TRAIN = 12_000
 #: Documents of the sample that a feature must be in.
 MIN_DOCS = 3
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 3.0, 0.0
 #: Bytes of the word beginnings that count as stems.
 STEMS = (4, 6)
 CHUNK = 1 << 20
+#: Training texts whose features are merged at a time.
+BLOCK = 500
 _U = np.uint64
 
 #: Bytes of words: letters, digits and all of non-ASCII characters.
@@ -88,9 +90,15 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, alpha: flo
     for text in texts:
         slot = distinct(text) & _U(0xFFFFFF)
         counts[slot] = np.minimum(counts[slot], 254) + 1
-    per_doc = [own[counts[own & _U(0xFFFFFF)] >= MIN_DOCS] for own in map(distinct, texts)]
-    keys, ids = np.unique(np.concatenate([*per_doc, np.zeros(0, _U)]), return_inverse=True)
-    rows = np.split(ids, np.cumsum([len(x) for x in per_doc])[:-1]) if per_doc else []
+    per_doc, keys = [], np.zeros(0, _U)
+    for k in range(0, len(texts), BLOCK):
+        some = [own[counts[own & _U(0xFFFFFF)] >= MIN_DOCS] for own in map(distinct, texts[k : k + BLOCK])]
+        keys = np.union1d(keys, np.concatenate(some))
+        per_doc += some
+    rows = []
+    while per_doc:  # hashes become places in keys document by document, from the last one, and are let go
+        rows.append(np.searchsorted(keys, per_doc.pop()).astype(np.int32))
+    rows.reverse()
     z, n = np.zeros(len(keys)), np.zeros(len(keys))
     bias_z = bias_n = 0.0
 
