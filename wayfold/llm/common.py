@@ -39,15 +39,20 @@ def key_of(id_col: str, text_col: str):
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.shiftright(F.xxhash64(text), 3) - F.lit(1 << 62))
 
 
+def text_hash(text_col: str):
+    """64 bits of a text; null is empty. With an id it tells rows apart that repeat the id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_key, doc_id, text): null texts become empty.
+    """(_key, _text, doc_id, text): null texts become empty.
 
     _key is the id as a long. Rows without an id get a key made from their text, below all usual ids, so that rows
-    with different texts stay apart; equal ones count as repeated rows. Rows that repeat an id and its text share a
-    key. Other columns are left behind, whatever their names.
+    with different texts stay apart. _text is a hash of the text: rows that share _key and _text are one document,
+    those that repeat an id with another text aren't. Other columns are left behind, whatever their names.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(key_of(id_col, text_col).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(key_of(id_col, text_col).alias("_key"), text_hash(text_col).alias("_text"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def semi_by_size(left: DataFrame, ids: DataFrame, key: str) -> DataFrame:

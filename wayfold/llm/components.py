@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lookup
+from .common import cut
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of links (a, b long): component is the smallest node reachable.
 
-    Smallest labels travel over the links and labels are then replaced by their own labels, so that long chains
-    shorten by half each round; rounds end when no label changes. Nodes with very many links are dealt by salt.
-    Null ends are not allowed; loops and repeated links do no harm.
+    Alternating stars: first every node links its larger neighbours to the smallest node around it, then its smaller
+    ones and itself; rounds end when only stars are left. Minima are combined before rows move, and the joins with
+    them are plain ones, whose skewed keys Spark splits. Null ends are not allowed; loops and repeated links do no harm.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    loops = links.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        far = lookup(both, "b", labels.select(F.col("node").alias("b"), F.col("label").alias("far")), "a")
-        near = labels.join(far.groupBy(F.col("a").alias("node")).agg(F.min("far").alias("far")), "node")
-        near = cut(near.select("node", "label", F.least("label", "far").alias("next")))
-        jumped = lookup(near, "next", near.select(F.col("node").alias("next"), F.col("next").alias("jump")), "node")
-        moved = cut(jumped.select("node", "label", F.least("next", "jump").alias("next")))
-        labels = moved.select("node", F.col("next").alias("label"))
-        if moved.where("label <> next").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+        both = edges.union(edges.select("b", "a"))
+        around = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(around, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        below = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(below, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        edges = cut(small.select("e.a", "e.b").where("a <> b").distinct())
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up > 0 AND down > 0").isEmpty():
+            stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b")).union(loops)
+            return stars.groupBy("node").agg(F.min("component").alias("component"))

@@ -30,8 +30,12 @@ def _settle(keys: np.ndarray, ids: np.ndarray, pos: np.ndarray, later: bool) ->
 
     later: places that aren't the first (smallest id, pos) of their key; else places of keys with two places or more.
     """
-    order = np.lexsort((pos, ids, keys)) if later else np.argsort(keys, kind="stable")
+    order = np.lexsort((pos, ids, keys))
     keys, ids, pos = keys[order], ids[order], pos[order]
+    if len(keys) and not later:  # one place that comes twice, from two rows with equal sets, counts once
+        own = np.ones(len(keys), bool)
+        own[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]) | (pos[1:] != pos[:-1])
+        keys, ids, pos = keys[own], ids[own], pos[own]
     head = np.ones(len(keys), bool)
     head[1:] = keys[1:] != keys[:-1]
     group = np.cumsum(head) - 1
