@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast once it has been counted; more rows are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Rows of a few bytes that may be broadcast once they have been counted (some 8 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 250_000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -40,25 +40,38 @@ def key_of(id_col: str, text_col: str):
 
 
 def text_hash(text_col: str):
-    """64 bits of a text; null is empty. With an id it tells rows apart that repeat the id."""
-    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    """64 bits of a text, others than those in key_of; null is empty. It tells rows apart that repeat an id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(1))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_key, _text, doc_id, text): null texts become empty.
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple | list = ()) -> DataFrame:
+    """(_key, _text, doc_id, text) and the columns in more: null texts become empty.
 
     _key is the id as a long. Rows without an id get a key made from their text, below all usual ids, so that rows
     with different texts stay apart. _text is a hash of the text: rows that share _key and _text are one document,
     those that repeat an id with another text aren't. Other columns are left behind, whatever their names.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(key_of(id_col, text_col).alias("_key"), text_hash(text_col).alias("_text"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(key_of(id_col, text_col).alias("_key"), text_hash(text_col).alias("_text"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), *more)
 
 
-def semi_by_size(left: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """left_semi join; ids (checkpointed, so counting is cheap) is broadcast only if its counted rows allow it."""
-    small = ids.count() <= BROADCAST_ROWS
-    return left.join(F.broadcast(ids) if small else ids, key, "left_semi")
+def tagged(docs: DataFrame) -> DataFrame:
+    """keyed docs with _tag instead of _text: the text's hash where rows share an id or have none, else 0.
+
+    (_key, _tag) is a document; its order is that of ids, and of text hashes among rows that repeat an id with
+    different texts. That most tags are 0 keeps what is shuffled small. Only ids are read to find repeated ones.
+    """
+    again = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")))
+    again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+    tag = F.when(F.col("doc_id").isNull() | F.col("again").isNotNull(), F.col("_text")).otherwise(F.lit(0).cast("long"))
+    rest = [c for c in docs.columns if c not in ("_key", "_text", "again")]
+    return docs.join(again, F.col("doc_id") == F.col("again"), "left").select("_key", tag.alias("_tag"), *rest)
+
+
+def narrow(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """left_semi join; the distinct keys (of something checkpointed) are broadcast only if their counted rows allow it."""
+    keys = keys.select(*on).distinct()
+    return left.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
 def lookup(rows: DataFrame, key: str, table: DataFrame, spread: str) -> DataFrame:

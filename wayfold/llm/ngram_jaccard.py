@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, key_of, keyed, semi_by_size, text_hash
+from .common import cut, key_of, keyed, lookup, narrow, text_hash
 from .components import components
 from .repeats import find
-from .words import Words, docs_of, ngram_hash
+from .words import doc_hashes, ngram_hash
 
 #: Most tokens that two prefixes can be asked to share.
 MOST_MATCHES = 4
@@ -23,16 +23,15 @@ GRID = 4096
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[np.ndarray]]]:
     """For each chunk of rows i to j the sorted distinct shingle hashes of each document."""
-    for batch, i, j, buf, offsets in docs_of(batches):
-        words = Words(buf, offsets, lower=True)
-        grams = ngram_hash(words.hash, n)
+    for batch, i, j, hashes, first in doc_hashes(batches, lower=True):
+        grams = ngram_hash(hashes, n)
         sets = []
-        for a, b in zip(words.first[:-1], words.first[1:], strict=True):
+        for a, b in zip(first[:-1], first[1:], strict=True):
             if b - a >= n:
                 g = np.sort(grams[a : b - n + 1])
                 sets.append(g[np.concatenate([[True], g[1:] != g[:-1]])])
             else:  # fewer words than a shingle has: the whole sequence is one
-                sets.append(ngram_hash(words.hash[a:b], b - a) if b > a else np.zeros(0, np.uint64))
+                sets.append(ngram_hash(hashes[a:b], b - a) if b > a else np.zeros(0, np.uint64))
         yield batch, i, j, sets
 
 
@@ -123,7 +122,7 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     passed = _distinct(members).join(hits, "h").where(f"hits >= greatest(1, {least('n')} div 10)")
     nodes = cut(passed.select("digest", "first", "n", F.monotonically_increasing_id().alias("node")))
 
-    texts = semi_by_size(docs.select("_key", "text"), nodes.select("first._key").distinct(), "_key")
+    texts = narrow(docs.select("_key", "text"), nodes.select("first._key"), ["_key"])
     sets = texts.mapInArrow(_sets(shingle), "digest binary, tokens array<long>").dropDuplicates(["digest"]).join(nodes.select("digest", "n", "node"), "digest")
     tokens = cut(sets.select("node", "n", "tokens")).select("node", "n", F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df >= 2")
@@ -184,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = joined.join(labels, "component").select("digest", "label")
     classes = _distinct(members).join(labels, "digest", "left").select("digest", F.coalesce("label", "first").alias("label"))
     own = F.struct("_key", "_text")
-    out = members.join(classes, "digest", "left").withColumn("label", F.when(F.col("n") == 0, own).otherwise(F.col("label")))
+    out = lookup(members, "digest", classes, "_key").withColumn("label", F.when(F.col("n") == 0, own).otherwise(F.col("label")))
     return out.select("_key", "_text", "doc_id", F.col("n").alias("n_shingles"), F.col("label._key").alias("component"), (own == F.col("label")).alias("kept"))
 
 

@@ -1,118 +1,218 @@
-"""Substring dedup: seed and extend on winnowed anchors."""
+"""Substring dedup: seed and extend on winnowed anchors.
+
+1. Seeds. Every window has an anchor, the smallest hash of `anchor` neighbouring words in it, at the same place in each
+   of its copies. A place of an anchor whose windows have the same words as those of an earlier place is a seed, with
+   that place as its source. Anchors whose places differ are looked at window by window; each window that starts
+   earlier, too, is a seed.
+2. Chains. Seeds that follow each other in a document and in its source are chained.
+3. Extension. Chains are joined with the texts of their sources and then with their own. Words are compared from the
+   chain on both ways as far as they agree; what is `window` words long or longer is a maximal repeat.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import key_of, keyed
-from .repeats import attach, find
-from .words import Words, among, docs_of, ngram_hash, shrink, slices, texts_of, winnow
+from .common import cut, keyed, narrow, tagged
+from .repeats import CHECK, ONE, REPEAT, arrays_of, attach, entries, find_classes, ranges_for
+from .suffix_dedup import intervals
+from .words import BLOCK_BYTES, IS_SPACE, Spans, doc_hashes, hashed, mix, ngram_hash, owned, shrink, slices, texts_of, winnow
 
 #: Words of a repeat, and words of an anchor.
 WINDOW, ANCHOR = 20, 6
+_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
+_U = np.uint64
 
 
-def _anchors(buf: np.ndarray, offsets: np.ndarray, window: int, anchor: int):
-    """Words, which windows lie in one document, the hashes of anchors, each window's smallest, and the chosen places."""
-    words = Words(buf, offsets)
-    grams = ngram_hash(words.hash, anchor)
-    inside = words.left()[: max(0, len(words.hash) - window + 1)] >= window
-    return words, inside, grams, *winnow(grams, window - anchor + 1, inside)
-
-
-def _ids(batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
-    return batch.column("_key").slice(i, j - i).to_numpy(zero_copy_only=False)
+def _anchors(window: int, anchor: int):
+    """Places (repeats.PLACE) of the anchors of all windows: key the anchor, class the words that its windows span."""
 
-
-def _seeds(window: int, anchor: int):
     def places(batches: Iterator[pa.RecordBatch]):
-        for batch, i, j, buf, offsets in docs_of(batches):
-            words, _, grams, _, at = _anchors(buf, offsets, window, anchor)
-            doc = words.doc_of()[at]
-            yield grams[at], _ids(batch, i, j)[doc], (at - words.first[doc]).astype(np.int32)
+        for batch, i, _, hashes, first, base in hashed(batches, window - 1):
+            if len(hashes) < window:
+                continue
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_key", "_tag"))
+            grams = ngram_hash(hashes, anchor)
+            starts = len(hashes) - window + 1
+            left = np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes))
+            inside = left[:starts] >= window
+            least, chosen = winnow(grams, window - anchor + 1, inside)
+            lo, hi, at = owned(grams, least, chosen, inside, window - anchor + 1)
+            doc = np.searchsorted(first, lo, "right") - 1
+            cls = mix(Spans(hashes).hash(lo, hi - lo + window) + ((at - lo) << 20 | (hi - lo)).astype(_U) * _U(0x9E3779B97F4A7C15))
+            yield ids[i + doc], tags[i + doc], (lo - first[doc] + base).astype(np.int32), (hi - lo).astype(np.int32), grams[at], cls, np.full(len(lo), ONE, np.int8)
 
     return places
 
 
-def _extended(window: int, anchor: int):
-    """Every window that has a seed for its anchor: the seed extended to both sides as far as a window can hold it."""
+def _windows(window: int):
+    """Places of every window of the spans in the column _check; key and class are fingerprints of its words."""
 
     def places(batches: Iterator[pa.RecordBatch]):
-        for batch, i, j, buf, offsets in docs_of(batches):
-            words, inside, grams, least, _ = _anchors(buf, offsets, window, anchor)
-            seeds = batch.column("_seeds").slice(i, j - i)
-            doc = np.repeat(np.arange(j - i), seeds.value_lengths().to_numpy(zero_copy_only=False))
-            at = among(least, inside, grams[words.first[doc] + seeds.flatten().to_numpy(zero_copy_only=False)])
-            doc = words.doc_of()[at]
-            yield ngram_hash(words.hash, window)[at], _ids(batch, i, j)[doc], (at - words.first[doc]).astype(np.int32)
+        for batch, i, j, hashes, first in doc_hashes(batches):
+            rows, pos, ext = arrays_of(batch.column("_check").slice(i, j - i), "pos", "ext")
+            ids, tags = (batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in ("_key", "_tag"))
+            count = ext.astype(np.int64) + 1
+            at = np.repeat(pos.astype(np.int64), count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            rows = np.repeat(rows, count)
+            s = first[rows] + at
+            zeros = np.zeros(len(s), np.int32)
+            yield ids[rows], tags[rows], at.astype(np.int32), zeros, Spans(hashes).hash(s, window), Spans(mix(hashes ^ _U(0x5851F42D4C957F2D))).hash(s, window), zeros.astype(np.int8)
 
     return places
 
 
-def covered(n: int, starts: np.ndarray | None, window: int) -> np.ndarray:
-    """Which of n words lie in a window that begins at one of starts."""
-    depth = np.zeros(n + 1, np.int32)
-    if starts is not None and len(starts):
-        starts = np.unique(starts)
-        np.add.at(depth, starts, 1)
-        np.add.at(depth, np.minimum(starts + window, n), -1)
-    return np.cumsum(depth[:n]) > 0
+def _chains(window: int):
+    """Seeds of a document that follow each other there and in the same source, as one row: start and size in words."""
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, pos, ext, key, tag, source = arrays_of(batch.column("_marks"), "pos", "ext", "src_key", "src_tag", "src_pos")
+            pos, shift = pos.astype(np.int64), source.astype(np.int64) - pos
+            end = pos + ext + window
+            order = np.lexsort((pos, shift, tag, key, row))
+            row, pos, end, key, tag, shift = (x[order] for x in (row, pos, end, key, tag, shift))
+            same = np.zeros(len(pos), bool)
+            same[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in (row, key, tag, shift)])
+            reach = np.maximum.accumulate(end + (np.cumsum(~same) << 40)) - (np.cumsum(~same) << 40)
+            new = ~same
+            new[1:] |= pos[1:] > reach[:-1]
+            at = np.flatnonzero(new)
+            size = reach[np.append(at[1:], len(pos)) - 1] - pos[at] if len(at) else at
+            ids = [batch.column(c).to_numpy(zero_copy_only=False)[row[at]] for c in ("_key", "_tag")]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*ids, pos[at], size, key[at], tag[at], pos[at] + shift[at])], ["_key", "_tag", "start", "size", "src_key", "src_tag", "src_start"])
+
+    return chained
+
+
+def word_starts(data: bytes) -> np.ndarray:
+    """Where the words of a text begin, and its length at the end; the text is read in blocks."""
+    buf = np.frombuffer(data, np.uint8)
+    out = []
+    for p in range(0, len(buf), BLOCK_BYTES):
+        space = IS_SPACE[buf[max(0, p - 1) : p + BLOCK_BYTES]]
+        if p == 0:
+            space = np.concatenate([[True], space])
+        out.append(np.flatnonzero(space[:-1] & ~space[1:]) + p)
+    return np.concatenate([*out, [len(buf)]]).astype(np.int64)
+
+
+def _sources(window: int):
+    """Of each chain, the words of its source and `window` more on both sides; left counts those before it."""
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, unpacker = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        last, data, starts = None, b"", np.zeros(1, np.int64)
+        for batch in slices(batches):
+            left, source = [], []
+            for z, key, tag, start, size in zip(*(batch.column(c) for c in ("z", "src_key", "src_tag", "src_start", "size")), strict=True):
+                if last != (key.as_py(), tag.as_py()):
+                    last, data = (key.as_py(), tag.as_py()), unpacker.decompress(z.as_py())
+                    starts = word_starts(data)
+                a = max(0, start.as_py() - window)
+                b = min(len(starts) - 1, start.as_py() + size.as_py() + window)
+                left.append(start.as_py() - a)
+                source.append(packer.compress(data[starts[a] : starts[b]]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_key", "_tag", "start", "size")), pa.array(left, pa.int64()), pa.array(source, pa.binary())], ["_key", "_tag", "start", "size", "left", "source"])
+
+    return cut_out
+
+
+def extended(own: list[bytes], other: list[bytes], start: int, size: int, window: int) -> list[tuple[int, int]]:
+    """Maximal runs of `window` words or more that own and other have in common at the same places, from a chain on."""
+    n = min(len(own), len(other))
+    if own[start : start + size] == other[start : start + size] and start + size <= n:
+        a, b = start, start + size
+        while a > 0 and own[a - 1] == other[a - 1]:
+            a -= 1
+        while b < n and own[b] == other[b]:
+            b += 1
+        return [(a, b)] if b - a >= window else []
+    differ = [-1, *(k for k in range(n) if own[k] != other[k]), n]
+    return [(a + 1, b) for a, b in zip(differ, differ[1:], strict=False) if b - a - 1 >= window]
+
+
+def repeats_in(data: bytes, starts: np.ndarray, chains: list[dict] | None, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a text that its chains, extended both ways, cover: intervals."""
+    unpacker, found = zstandard.ZstdDecompressor(), []
+    for c in chains or ():
+        other = unpacker.decompress(c["source"]).split()
+        a = c["start"] - c["left"]
+        own = data[starts[max(0, a)] : starts[min(len(starts) - 1, a + len(other))]].split()
+        other = other[max(0, -a) :]
+        a = max(0, a)
+        found += [(a + x, a + y) for x, y in extended(own, other, c["start"] - a, c["size"], window)]
+    s, e = np.array(found, np.int64).reshape(-1, 2).T
+    return intervals(s, e)
+
+
+def left_over(data: bytes, starts: np.ndarray, gone: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    """The stretches of a text between intervals of words that go, without white space around them."""
+    stretches = zip([0, *gone[1]], [*gone[0], len(starts) - 1], strict=True)
+    return [data[starts[a] : starts[b]].strip(b" \t\n\r\x0b\x0c") for a, b in stretches if b > a]
+
+
+def _spaced(data: bytes) -> bytes:
+    return b" ".join(data.split()) if len(data) <= BLOCK_BYTES else _SPACES.sub(b" ", data).strip(b" ")
 
 
 def _cut_text(window: int):
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             kept, total, removed = [], [], []
-            for text, starts in zip(texts_of(batch), batch.column("_windows"), strict=True):
-                words = text.split()
-                total.append(len(words))
-                if not starts.is_valid:
-                    removed.append(0)
-                    kept.append(b" ".join(words))
-                else:
-                    gone = covered(len(words), starts.values.to_numpy(zero_copy_only=False), window)
-                    removed.append(int(gone.sum()))
-                    kept.append(b" ".join(compress(words, ~gone)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_key"), batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["_key", "doc_id", "n_words", "n_removed", "kept_text"],
-            )
+            for data, chains in zip(texts_of(batch), batch.column("_chains"), strict=True):
+                starts = word_starts(data)
+                gone = repeats_in(data, starts, chains.as_py(), window)
+                total.append(len(starts) - 1)
+                removed.append(int((gone[1] - gone[0]).sum()))
+                kept.append(b" ".join(map(_spaced, left_over(data, starts, gone))) if len(gone[0]) else _spaced(data))
+            new = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("doc_id"), *new], ["_key", "doc_id", "n_words", "n_removed", "kept_text"])
 
     return cut_text
 
 
-def _windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """Windows of keyed docs that also start earlier: _key, places."""
-    own = docs.select("_key", "text")
-    seeded = attach(shrink(own), find(own, _seeds(window, anchor)), "_seeds", "inner")
-    return find(seeded, _extended(window, anchor), later=True)
+def _matches(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Chains of seeds in tagged docs, with the words of their sources: _key, _tag, found array<struct>."""
+    buckets = ranges_for(docs)
+    own = docs.select("_key", "_tag", "text")
+    seed = ("pos", "ext", "src_key", "src_tag", "src_pos")
+    classes = cut(find_classes(own, _anchors(window, anchor), True, True, buckets))
+    check = entries(classes, CHECK, "pos", "ext")
+    check = attach(shrink(narrow(own, check, ["_key", "_tag"])), check, "_check", "inner")
+    windows = find_classes(check, _windows(window), True, False, buckets)
+    seeds = entries(classes, REPEAT, *seed).union(entries(windows, REPEAT, *seed)).groupBy("_key", "_tag").agg(F.flatten(F.collect_list("found")).alias("_marks"))
+    chains = cut(seeds.mapInArrow(_chains(window), "_key long, _tag long, start long, size long, src_key long, src_tag long, src_start long"))
+    source = own.withColumnsRenamed({"_key": "src_key", "_tag": "src_tag"})
+    source = shrink(narrow(source, chains, ["src_key", "src_tag"])).dropDuplicates(["src_key", "src_tag"])
+    joined = chains.join(source, ["src_key", "src_tag"]).mapInArrow(_sources(window), "_key long, _tag long, start long, size long, left long, source binary")
+    return joined.select("_key", "_tag", F.array(F.struct("start", "size", "left", "source")).alias("found"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row per row of docs: _key, doc_id, n_words, n_removed long, kept_text string.
 
     A word is removed if a window of `window` words around it also starts earlier: in a document with a smaller id,
-    or before it in the same one. Windows are judged on the input. Kept words are joined by one space.
-
-    Every window has an anchor, the smallest hash of `anchor` neighbouring words in it, so equal windows have equal
-    anchors, and neighbouring windows mostly share theirs. Anchors found more than once are the seeds; seeds are
-    extended to both sides to all windows they are the anchor of; of each window, all places but the first are
-    removed, and overlapping windows merge into maximal repeats. Both searches go through repeats.find, so a passage
-    in a third of all documents is settled within tasks first. Windows are compared by a 64-bit hash.
+    or before it in the same one. Windows are judged on the input. Kept words are joined by one space. What is removed
+    was compared word by word; hashes only say where to look. A passage in a third of all documents is settled within
+    tasks first, and each of its places has one source.
 
     Nulls and empty texts have no words. A null id counts as smaller than any id. Rows that repeat an id and its text
-    are one document and don't remove each other. An empty table gives an empty result.
+    are one document and don't remove each other; with different texts they are several, in the order of text hashes.
+    Very long texts are read in pieces; what is held of one whole is its bytes and 8 bytes a word. Other columns are
+    left behind, whatever their names. An empty table gives an empty result.
     """
-    docs = keyed(docs, id_col, text_col)
+    docs = tagged(keyed(docs, id_col, text_col))
     out = "_key long, doc_id long, n_words long, n_removed long, kept_text string"
-    return attach(shrink(docs), _windows(docs, window, anchor), "_windows").mapInArrow(_cut_text(window), out)
+    return attach(shrink(docs), _matches(docs, window, anchor), "_chains").mapInArrow(_cut_text(window), out)
 
 
 def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -125,21 +225,23 @@ def cut_rows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, stays = [], np.ones(batch.num_rows, bool)
-            for k, (data, starts) in enumerate(zip(texts_of(batch), batch.column("_windows"), strict=True)):
-                if starts.is_valid:
-                    words = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-                    left = ~covered(len(words.start), starts.values.to_numpy(zero_copy_only=False), window)
-                    edges = np.flatnonzero(np.diff(np.concatenate([[False], left, [False]]).astype(np.int8)))
-                    data = b" ".join(data[words.start[a] : words.end[b - 1]] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                    stays[k] = bool(data)
+            for k, (data, chains) in enumerate(zip(texts_of(batch), batch.column("_chains"), strict=True)):
+                if chains.is_valid:
+                    starts = word_starts(data)
+                    gone = repeats_in(data, starts, chains.as_py(), window)
+                    if len(gone[0]):
+                        data = b" ".join(left_over(data, starts, gone))
+                        stays[k] = bool(data)
                 texts.append(data)
             out = [batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(out, ["row", "text"]).filter(pa.array(stays))
 
     rest = [c for c in docs.columns if c != "text"]
-    rows = docs.select(key_of("doc_id", "text").alias("_key"), F.col("text").cast("string").alias("text"), F.struct(*rest).alias("row"))
+    own = tagged(keyed(docs))
+    tags = tagged(keyed(docs.select("*", F.struct("*").alias("_row")), "doc_id", "text", ["_row"]))
+    rows = tags.select("_key", "_tag", F.col("_row.text").cast("string").alias("text"), F.struct(*(F.col(f"_row.`{c}`") for c in rest)).alias("row"))
     schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("text", StringType())])
-    out = attach(shrink(rows), _windows(keyed(docs), window, anchor), "_windows").mapInArrow(cut_text, schema)
+    out = attach(shrink(rows), _matches(own, window, anchor), "_chains").mapInArrow(cut_text, schema)
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     return out.select(*(new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns))
 

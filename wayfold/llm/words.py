@@ -14,8 +14,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-CHUNK_BYTES = 2 << 20
-BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 _U = np.uint64
 
 
@@ -150,17 +150,95 @@ def winnow(h: np.ndarray, w: int, inside: np.ndarray) -> tuple[np.ndarray, np.nd
     return least, np.flatnonzero((most == h) & (most > 0))
 
 
-def among(least: np.ndarray, inside: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The windows inside whose smallest hash is one of wanted."""
-    if not len(least) or not len(wanted):
-        return np.zeros(0, np.int64)
-    begin = np.ones(len(least), bool)
-    begin[1:] = least[1:] != least[:-1]
-    at = np.flatnonzero(begin)
-    return np.flatnonzero(np.repeat(np.isin(least[at], wanted), np.diff(np.append(at, len(least)))) & inside)
+def owned(h: np.ndarray, least: np.ndarray, chosen: np.ndarray, inside: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lo, hi, anchor): of each anchor, a chosen place, the windows lo to hi whose first smallest hash it is.
 
-
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    least and chosen are winnow's, w its size. Every window inside has one anchor, at the same place in each of its copies.
+    """
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return at, at, at
+    begin = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]])])
+    s0, s1 = at[begin], at[np.append(np.flatnonzero(begin)[1:], len(at)) - 1]
+    # the run of windows with an anchor's hash that begins last before it
+    values = np.unique(least[s0])
+    runs = (np.searchsorted(values, least[s0]).astype(np.int64) << 40) | s0
+    order = np.argsort(runs)
+    run = order[np.searchsorted(runs[order], (np.searchsorted(values, h[chosen]).astype(np.int64) << 40) | chosen, "right") - 1]
+    order = np.lexsort((chosen, run))
+    run, anchor = run[order], chosen[order]
+    after = np.zeros(len(anchor), np.int64)
+    after[1:] = np.where(run[1:] == run[:-1], anchor[:-1] + 1, 0)
+    lo, hi = np.maximum(s0[run], after), np.minimum(s1[run], anchor)
+    own = lo <= hi
+    return lo[own], hi[own], anchor[own]
+
+
+class Spans:
+    """Hashes of spans of a sequence of 64-bit items, in time that doesn't depend on their length."""
+
+    def __init__(self, items: np.ndarray):
+        up, self.inverse = powers(len(items) + 1)
+        self.sums = np.zeros(len(items) + 1, _U)
+        np.cumsum(items * up[: len(items)], out=self.sums[1:])
+
+    def hash(self, s: np.ndarray, size) -> np.ndarray:
+        return mix((self.sums[s + size] - self.sums[s]) * self.inverse[s])
+
+
+def pieces(offsets: np.ndarray, buf: np.ndarray, limit: int) -> Iterator[tuple[int, int, int, int]]:
+    """(i, j, p, q): rows i to j with bytes p to q; a row of more than 2 * limit bytes comes in several pieces that end in white space."""
+    for i, j in chunks(offsets, limit):
+        p, end = int(offsets[i]), int(offsets[j])
+        while end - p > 2 * limit:
+            q = p + limit
+            while q < end and not (space := IS_SPACE[buf[q : q + 4096]]).any():
+                q += 4096
+            q = min(end, q + int(space.argmax()) + 1) if q < end else end
+            yield i, j, p, q
+            p = q
+        yield i, j, p, end
+
+
+def hashed(batches: Iterator[pa.RecordBatch], overlap: int, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, int]]:
+    """(batch, i, j, hashes, first, base) for pieces of rows i to j.
+
+    first are the documents' bounds in the words' hashes. A long document comes in pieces: base is the number of its
+    first word, and the last `overlap` words of a piece come again at the start of the next.
+    """
+    for batch in slices(batches):
+        buf, offsets = batch_bytes(batch)
+        row, base, carry = -1, 0, np.zeros(0, _U)
+        for i, j, p, q in pieces(offsets, buf, limit):
+            words = Words(buf[p:q], np.clip(offsets[i : j + 1], p, q) - p, lower)
+            if i != row:
+                row, base, carry = i, 0, np.zeros(0, _U)
+            hashes = np.concatenate([carry, words.hash]) if len(carry) else words.hash
+            yield batch, i, j, hashes, np.concatenate([[0], words.first[1:] + len(carry)]), base
+            carry = hashes[max(0, len(hashes) - overlap) :] if q < offsets[j] and overlap else np.zeros(0, _U)
+            base += len(hashes) - len(carry)
+
+
+def doc_hashes(batches: Iterator[pa.RecordBatch], lower: bool = False) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
+    """hashed() with the pieces of a long document put together: 8 bytes a word, not some 40 a byte."""
+    held: list[np.ndarray] = []
+    last = None
+    for batch, i, j, hashes, first, base in hashed(batches, 0, lower):
+        if held and not (last[0] is batch and last[1] == i):
+            whole = np.concatenate(held)
+            yield *last, whole, np.array([0, len(whole)])
+            held = []
+        if j == i + 1:
+            held.append(hashes)
+            last = (batch, i, j)
+        else:
+            yield batch, i, j, hashes, first
+    if held:
+        whole = np.concatenate(held)
+        yield *last, whole, np.array([0, len(whole)])
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what is made of a batch stays small."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
@@ -191,11 +269,3 @@ def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
 def batch_bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """text_bytes of a batch's texts."""
     return text_bytes(pa.array(texts_of(batch), pa.large_binary()) if "z" in batch.schema.names else batch.column("text"))
-
-
-def docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
-    """(batch, i, j, bytes, offsets) for chunks of rows i to j."""
-    for batch in slices(batches, 2000):
-        buf, offsets = batch_bytes(batch)
-        for i, j in chunks(offsets):
-            yield batch, i, j, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
