@@ -177,3 +177,93 @@ def test_result_does_not_depend_on_the_order_of_rows(spark):
     t = trips(spark, [0, 10, 1, 5, 10, 10, 0, 7, 0], modes=[3, 1, 6, 3, 2, 7, 6, 1, 1])
     a, b = sequence.link_chains(t), sequence.link_chains(t.orderBy(F.rand(1)).repartition(3))
     assert rows(a, *a.columns) == rows(b, *a.columns)
+
+
+def test_short_drive_transit_trips_change_at_the_midpoint(spark):
+    data = [(1, 1, 1, h, 1, 7, 0, 1, 600, 600 + m, 2, 2) for h, m in ((1, 1), (2, 2))] + [(1, 1, 1, 3, 1, 7, 0, 1, 600, 603, 2, 2)]
+    halves = spark.createDataFrame(data, "hh int, pno int, tour int, half int, tseg int, mode int, opurp int, dpurp int, dep int, arr int, path int, tpath int")
+    halves = halves.withColumns({"otaz": F.lit(5), "dtaz": F.lit(6), "otype": F.lit(1), "dtype": F.lit(2)})
+    out = tours.split_drive_transit(halves)
+    assert rows(out, "half", "tseg", "dep", "arr") == [(1, 1, 600, 600), (1, 2, 600, 601), (2, 1, 600, 601), (2, 2, 601, 602), (3, 1, 600, 601), (3, 2, 602, 603)]
+    assert rows(out.where("half = 1"), "tseg", "mode", "path", "otaz", "dtaz", "otype", "dtype") == [(1, 3, 0, 5, -1, 1, 6), (2, 6, 2, -1, 6, 6, 2)]
+    assert rows(out.where("half = 2"), "tseg", "mode", "path") == [(1, 6, 2), (2, 3, 0)]
+
+
+def test_subtours_in_the_week_pipeline_and_a_complete_day_without_trips(spark):
+    t = trips(spark, [0, 1, 5, 1, 0]).drop("act_dur", "has_next")
+    days = spark.createDataFrame([(1, 1, d, int(d != 4)) for d in range(1, 6)] + [(1, 2, 1, 1)], "hh int, pno int, day int, is_complete int")
+    out = week.week_pipeline(t, max_gap=9, days=days)
+    assert rows(out.tours, "tour", "subtour", "pdpurp", "tour_no", "parent", "subtrs", "expansion") == [(1, 0, 1, 1, 0, 1, 0.25), (1, 1, 5, 2, 1, 1, 0.25)]
+    assert rows(out.trips, "tour_no", "half", "tseg", "dpurp") == [(1, 1, 1, 1), (1, 2, 1, 0), (2, 1, 1, 5), (2, 2, 1, 1)]
+    assert rows(out.person_days, "pno", "day", "trips", "wktours", "wbtours", "shstops") == [(1, 1, 4, 1, 1, 0), (1, 2, 1, 0, 0, 0), (1, 3, 0, 0, 0, 0), (1, 5, 0, 0, 0, 0), (2, 1, 0, 0, 0, 0)]
+    assert rows(out.patterns, "wktours", "shstops") == [(1, 1)]
+    people = spark.createDataFrame([(1, 1, 1)], "hh int, pno int, ptype int")
+    homes = spark.createDataFrame([(1,), (2,)], "hh int")
+    assert rows(week.household_counts(people, homes), "hh", "members", "hhftw", "hhwkrs") == [(1, 1, 1, 1), (2, 0, 0, 0)]
+
+
+def test_a_person_with_very_many_trips(spark):
+    import time
+
+    n = 50_000
+    t = spark.range(n).select(F.lit(1).alias("hh"), F.lit(1).alias("pno"), (F.col("id") + 1).cast("int").alias("seq"), F.expr("cast(id div 40 as int)").alias("day_ix"), (F.col("id") % 40 * 30).cast("int").alias("dep"), (F.col("id") % 40 * 30 + 20).cast("int").alias("arr"))
+    t = t.withColumns({"day": F.lit(1), "opurp": F.lit(10), "dpurp": F.lit(10), "mode": F.lit(1), "path": F.lit(0), "ox": F.lit(0), "oy": F.lit(0), "x": F.lit(0), "y": F.lit(0)})
+    began = time.time()
+    linked = sequence.link_chains(sequence.activity_duration(t))
+    assert linked.agg(F.sum("segments")).collect()[0][0] == n
+    assert sequence.unwrap_clock(t).where("arr_min < dep_min").count() == 0
+    same = t.withColumns({"ox": F.lit(1), "pno": (F.col("seq") % 3).cast("int")})
+    assert joint.detect_parties(same).where("size(party) = 3").count() == n  # times of day, whatever the day
+    assert time.time() - began < 90
+
+
+def test_unwrapped_clocks_equal_a_loop(spark):
+    import random
+
+    r = random.Random(5)
+    data, want = [], []
+    for pno in range(30):
+        day, t, before = 0, 0, None
+        for seq in range(r.randint(1, 30)):
+            day += r.choice([0, 0, 0, 1, 2])
+            dep, arr = r.randrange(1440), r.randrange(1440)
+            t = 0 if before is None or day - before > 1 else t
+            d = dep + 1440 if dep < t else dep
+            a = arr + 1440 if arr < d else arr
+            data.append((1, pno, seq, day, dep, arr))
+            want.append((pno, seq, d, a))
+            t, before = a, day
+    out = sequence.unwrap_clock(spark.createDataFrame(data, "hh int, pno int, seq int, day_ix int, dep int, arr int"))
+    assert rows(out, "pno", "seq", "dep_min", "arr_min") == sorted(want, key=repr)
+
+
+def test_joint_tours_need_a_partner_in_the_file(spark):
+    df = spark.createDataFrame([(1, 1, 1, 1, 0, 5, 6), (1, 2, 1, 1, 0, 5, 6), (1, 3, 1, 1, 0, 5, 9), (1, 4, 1, 1, 0, 7, 6), (1, 5, 1, 0, 1, 5, 6)], "hh int, pno int, tour int, fully_joint int, partly_joint int, o int, d int")
+    df = df.withColumns({"purpose": F.lit("Shopping"), "subtour": F.lit(0)})
+    out = joint.identified(df, ["o", "d"])
+    assert rows(out, "pno", "identify") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, None)]
+    assert rows(joint.identified(df, ["o", "d"], same_row=False), "pno", "identify")[:4] == [(1, 1), (2, 1), (3, 0), (4, 0)]
+    alone, together = joint.split_joint(out, ["o", "d"], identify=True)
+    assert rows(alone, "pno", "fully_joint", "partly_joint") == [(3, 0, 1), (4, 0, 1), (5, 0, 1)]
+    assert rows(together, "pno", "joint_no") == [(1, 1)]
+
+
+def test_a_person_listed_with_two_types(spark):
+    tours_ = spark.createDataFrame([(1, 1, 1, [1, 2])], "hh int, pno int, tour int, party array<int>")
+    people = spark.createDataFrame([(1, 1, "PW"), (1, 1, "FW"), (1, 2, "ND")], "hh int, pno int, ptype string")
+    assert rows(joint.party_fields(tours_, people, 2), "type_1", "type_2", "composition") == [("FW", "ND", 3)]
+
+
+def test_zones_of_several_roles(spark):
+    zones = spatial.zones_from_wkt(spark.createDataFrame([(1, "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"), (2, "MULTIPOLYGON (((2 0, 3 0, 3 1, 2 1, 2 0)), ((8 0, 9 0, 9 1, 8 1, 8 0)))")], "zone_id int, wkt string"))
+    assert [len(r.edges) for r in zones.orderBy("zone_id").collect()] == [4, 8]
+    points = spark.createDataFrame([(1, 0.5, 0.5, 8.5, 0.5), (2, None, None, 5.0, 5.0)], "point_id int, hx double, hy double, wx double, wy double")
+    out = spatial.nearest_zones(points, zones, 0.6, {"home": ("hx", "hy"), "work": ("wx", "wy")})
+    assert rows(out, "point_id", "home_zone", "work_zone") == [(1, 1, 2), (2, None, None)]
+
+
+def test_subtour_records_follow_their_tour(spark):
+    scores = spark.createDataFrame([("Work", 1, *range(10, 1, -1)), ("EatOut", 2, *range(30, 21, -1))], "label string, tpurp int, " + ", ".join(f"d{k} int" for k in range(0, 481, 60)))
+    out = place.place_pipeline(visited(spark, ["Home", "Work", "EatOut", "Work", "Home", "Shopping", "Home"], ["DRIVER", "DRIVER", "WALK", "WALK", "DRIVER", "WALK", "WALK"]), scores)
+    assert rows(out.records, "tour", "tour_id", "tour_mode", "driver", "child_ids") == [(1, 1, 1, 1, "2"), (2, 3, 7, 1, "")]
+    assert rows(out.subtour_records, "tour", "subtour", "tour_id", "purpose", "tour_mode", "parent_tour_id", "parent_mode") == [(1, 1, 2, "EatOut", 7, 1, 1)]

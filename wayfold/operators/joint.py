@@ -19,8 +19,8 @@ def detect_parties(trips: DataFrame, minutes: int = 4, times: tuple[str, str] =
     Members are matched within the household by equal places; times may differ by `minutes`. Several matching trips of
     one member count once; a trip without places has no company.
     """
-    # the members' trips between the same places stand side by side in one window, so trips aren't joined with themselves
-    same = F.collect_list(F.struct("pno", *times)).over(W.partitionBy("hh", *places))
+    # a window over the minutes around each departure: trips aren't joined with themselves, and only those in it are held
+    same = F.collect_list(F.struct("pno", *times)).over(W.partitionBy("hh", *places).orderBy(F.col(times[0]).cast("long")).rangeBetween(-minutes, minutes))
     rows = trips.withColumn("_all", F.when(F.col(places[0]).isNotNull(), same))
     for p in places[1:]:
         rows = rows.withColumn("_all", F.when(F.col(p).isNotNull(), F.col("_all")))
@@ -38,26 +38,46 @@ def classify_joint_tours(trips: DataFrame, keys: list[str] = [*PERSON, "tour"])
 
 
 def party_fields(tours: DataFrame, persons: DataFrame, most: int = 9) -> DataFrame:
-    """tours with size, person_1 ... person_<most>, and composition: 1 all adults, 2 all children, 3 both.
+    """tours with size, person_1 ... person_<most>, type_1 ..., and composition: 1 all adults, 2 all children, 3 both.
 
-    persons: hh, pno, ptype.
+    persons: hh, pno, ptype; of a person with several types the smallest counts.
     """
-    types = persons.groupBy("hh").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("pno", "ptype")))).alias("_t"))
+    types = persons.groupBy("hh", "pno").agg(F.min("ptype").alias("ptype")).groupBy("hh").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("pno", "ptype")))).alias("_t"))
     rows = tours.join(types, "hh", "left")
     kinds = F.transform("party", lambda p: F.try_element_at("_t", p))
     adults = F.size(F.filter(kinds, lambda k: k.isin(*ADULTS)))
     composition = F.when(F.col("party").isNotNull(), cases((adults == F.size("party"), 1), (adults == 0, 2), default=3))
-    return rows.withColumns({"size": F.size("party"), "composition": composition, **{f"person_{i + 1}": F.get("party", F.lit(i)) for i in range(most)}}).drop("_t")
+    return rows.withColumns({"size": F.size("party"), "composition": composition, **{f"person_{i + 1}": F.get("party", F.lit(i)) for i in range(most)}, **{f"type_{i + 1}": F.get(kinds, F.lit(i)) for i in range(most)}}).drop("_t")
 
 
-def split_joint(tours: DataFrame, same: list[str], exclude: DataFrame | None = None, keep_mandatory: bool = True) -> tuple[DataFrame, DataFrame]:
+def identified(tours: DataFrame, ends: list[str], same_row: bool = True) -> DataFrame:
+    """tours with identify: 1 if another fully joint tour of the household has the same ends, else 0; null if not fully joint.
+
+    With same_row=False each of the ends may be found in another tour.
+    """
+    full = F.col("fully_joint") == 1
+    others = lambda *keys: F.count_if(full).over(W.partitionBy("hh", *keys)) > 1
+    found = others(*ends)
+    if not same_row:
+        found = others(ends[0])
+        for e in ends[1:]:
+            found &= others(e)
+    return tours.withColumn("identify", F.when(full, found.cast("int")))
+
+
+def split_joint(tours: DataFrame, same: list[str], exclude: DataFrame | None = None, keep_mandatory: bool = True, identify: bool = False) -> tuple[DataFrame, DataFrame]:
     """(individual, joint) tours; joint ones once for the whole party, numbered by household.
 
     tours: fully_joint, purpose, subtour. Mandatory tours that are no subtours stay individual. same: columns that
-    tell that two members report one tour; the first person's stays. exclude: keys of tours to leave out.
+    tell that two members report one tour; the first person's stays. exclude: keys of tours to leave out. identify:
+    tours whose column identify is 0 stay individual, too, and are partly joint.
     """
     back = F.col("purpose").isin(*MANDATORY) & (F.col("subtour") == 0) if keep_mandatory else F.lit(False)
     joint = (F.col("fully_joint") == 1) & ~F.coalesce(back, F.lit(False))
+    if identify:
+        known = F.coalesce(F.col("identify") == 1, F.lit(False))
+        tours = tours.withColumns({"fully_joint": (joint & known).cast("int"), "partly_joint": F.when(joint & ~known, 1).otherwise(F.col("partly_joint"))})
+        joint &= known
     rows = tours.withColumn("_joint", joint)
     if exclude is not None:
         rows = rows.join(exclude.distinct(), exclude.columns, "left_anti")

@@ -11,7 +11,7 @@ from ..functions.numeric import great_circle_miles, lerp_score
 from ..functions.recode import cases
 from ..functions.text import contains_any
 from ..sources.diary import PERSON
-from .relational import dedupe_first
+from .relational import dedupe_first, small
 from .sequence import by_person
 from .tours import number_segments
 
@@ -25,8 +25,9 @@ ACTIVITIES = {
     "School/University": (11, 12), "Shopping": (15, 16, 17), "EatOut": (21,), "Discretionary": (10, 22, 23, 24), "Social/Visit": (25,), "NA": (96, 97),
 }
 MODES = {"WALK": (1,), "BIKE/MOPED": (2, 11), "DRIVER": (3,), "PASSENGER": (4,), "LOCALBUS": (5,), "EXPRESSBUS": (6,), "RAIL": (7,), "TAXI": (8, 9), "SCHOOLBUS": (10,), "OTHER": (97,)}
+# fixed values: words that tell a stop
 STOP_WORDS = ["BUS STOP", "TRANSIT STOP", "STATION"]
-#: Mode codes of tours from the most to the least important.
+# fixed values: mode codes of tours from the most to the least important
 MODE_ORDER = (14, 13, 12, 17, 16, 15, 18, 8, 19, 6, 5, 4, 3, 2, 1, 11, 10, 9, 7, 20)
 
 
@@ -213,7 +214,7 @@ def score_primary_destination(tours: DataFrame, scores: DataFrame, keys: list[st
     rows = tours.withColumns({"_n": F.count("*").over(s), "_a": F.min_by(F.struct("x", "y"), order).over(s), "_i": F.row_number().over(s.orderBy(order))})
     knots = [f"d{k}" for k in range(0, 481, 60)]
     table = dedupe_first(scores, ["label"], [F.col("tpurp")]).select(F.col("label").alias("aggact"), *knots)
-    rows = rows.join(table, "aggact", "left")
+    rows = rows.join(small(table), "aggact", "left")
     minutes = F.round(great_circle_miles(F.col("_a.x").cast("double"), F.col("_a.y").cast("double"), F.col("x").cast("double"), F.col("y").cast("double")) / 0.5, digits)
     inner = (F.col("_i") > 1) & (F.col("_i") < F.col("_n"))
     score = F.coalesce(lerp_score(2 * minutes + F.col("act_dur"), [F.col(k) for k in knots]), F.lit(99.0))
@@ -245,26 +246,65 @@ def tour_mode(codes: Column) -> Column:
     return F.get(F.array(*map(F.lit, MODE_ORDER)), F.min(rank))
 
 
+def with_subtour_rows(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: str = "tour_idx") -> DataFrame:  # noqa: B006
+    """tours with aside (1 for rows of a subtour and the last return to work) and subtours (the last one's number).
+
+    A subtour lies between two work places of a tour with a row between them; its number is that of the first of the two.
+    """
+    s = W.partitionBy(*keys)
+    w = s.orderBy(order)
+    work = F.coalesce(F.col("aggact") == WORK, F.lit(False))
+    rows = tours.withColumns({"_w": work, "_b": F.coalesce(F.sum(work.cast("int")).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "_t": F.sum(work.cast("int")).over(s), "_p": F.coalesce(F.lag(work).over(w), F.lit(False))})
+    between = (F.col("_b") >= 1) & (F.col("_b") < F.col("_t"))
+    aside = between & (~F.col("_w") | ~F.col("_p") | (F.col("_b") == F.col("_t") - 1))
+    closes = between & F.col("_w") & ~F.col("_p")
+    return rows.withColumns({"aside": aside.cast("int"), "subtours": F.coalesce(F.max(F.when(closes, F.col("_b"))).over(s), F.lit(0)).cast("int")}).drop("_w", "_b", "_t", "_p")
+
+
 def tour_records(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: str = "tour_idx") -> DataFrame:  # noqa: B006
-    """One row per tour: ends, primary purpose, times, minutes, mode, tour_id over the household's persons.
+    """One row per tour: ends, primary purpose, times, minutes, mode, driver, and tour_id in the person.
 
-    tours: places with tour > 0, aggact, x, y, arr, dep, code, primary. The anchor's own row doesn't count for the mode.
+    tours: places with tour > 0, aggact, modename, x, y, arr, dep, code, primary. The anchor's own row, the rows of
+    subtours and the last return to work don't count for the mode. driver is 1 if any place was reached as a driver.
+    Ids number a person's tours, each followed by its subtours.
     """
     first = F.row_number().over(W.partitionBy(*keys).orderBy(order)) == 1
-    rows = tours.withColumn("_anchor", first)
+    rows = with_subtour_rows(tours, keys, order) if keys[-1] == "tour" else tours.withColumns({"aside": F.lit(0), "subtours": F.lit(0)})
+    rows = rows.withColumn("_anchor", first)
+    drove = F.array_contains("modes", "DRIVER") if "modes" in tours.columns else F.col("modename") == "DRIVER"
     out = rows.groupBy(*keys).agg(
         F.min_by(F.struct("x", "y", "dep"), order).alias("_o"), F.max_by(F.struct("x", "y", "arr"), order).alias("_e"),
         F.min_by(F.when(F.col("primary") == 1, F.struct("aggact", "x", "y")), F.when(F.col("primary") == 1, F.col(order))).alias("_p"),
-        tour_mode(F.when(~F.col("_anchor"), F.col("code"))).alias("tour_mode"), F.count("*").alias("places"),
+        tour_mode(F.when(~F.col("_anchor") & (F.col("aside") == 0), F.col("code"))).alias("tour_mode"), F.count("*").alias("places"),
+        F.coalesce(F.max(drove.cast("int")), F.lit(0)).alias("driver"), F.max("subtours").alias("subtours"),
     )
-    out = out.select(*keys, F.col("_p.aggact").alias("purpose"), F.col("_o.x").alias("ox"), F.col("_o.y").alias("oy"), F.col("_p.x").alias("dx"), F.col("_p.y").alias("dy"), F.col("_o.dep").alias("dep"), F.col("_e.arr").alias("arr"), "tour_mode", "places")
-    return out.withColumn("tour_id", F.row_number().over(W.partitionBy("hh").orderBy(*keys[1:]))).withColumn("minutes", wrapped(F.col("arr") - F.col("dep")))
+    out = out.select(*keys, F.col("_p.aggact").alias("purpose"), F.col("_o.x").alias("ox"), F.col("_o.y").alias("oy"), F.col("_p.x").alias("dx"), F.col("_p.y").alias("dy"), F.col("_o.dep").alias("dep"), F.col("_e.arr").alias("arr"), "tour_mode", "places", "driver", "subtours")
+    out = out.withColumn("minutes", wrapped(F.col("arr") - F.col("dep")))
+    if keys[-1] != "tour":
+        return out.drop("subtours")
+    before = F.coalesce(F.sum("subtours").over(W.partitionBy(*PERSON).orderBy("tour").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    out = out.withColumn("tour_id", (F.col("tour") + before).cast("int"))
+    return out.drop("subtours")
+
+
+def subtour_records(records: DataFrame, subtours: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row per subtour, as tour_records: tour_id after its tour's, parent_tour_id and parent_mode.
+
+    subtours: rows of number_work_subtours with the columns of tour_records but primary, which is found here.
+    """
+    keys = [*PERSON, "tour", "subtour"]
+    rows = score_primary_destination(subtours.where("subtour > 0").drop("score", "primary"), scores, keys, "subtour_idx")
+    parents = records.select(*PERSON, "tour", F.col("tour_id").alias("parent_tour_id"), F.col("tour_mode").alias("parent_mode"))
+    out = tour_records(rows, keys, "subtour_idx").join(parents, [*PERSON, "tour"], "left")
+    return out.withColumn("tour_id", F.col("parent_tour_id") + F.col("subtour"))
 
 
 def child_tours(records: DataFrame, subtours: DataFrame) -> DataFrame:
-    """records with child_ids: the numbers of their subtours, as text with commas; empty if there are none."""
-    found = subtours.where("subtour > 0").groupBy(*PERSON, "tour").agg(F.array_join(F.array_sort(F.collect_set("subtour")), ",").alias("child_ids"))
-    return records.join(found, [*PERSON, "tour"], "left").fillna("", ["child_ids"])
+    """records with child_ids: the ids of their subtours, as text with commas; empty if there are none."""
+    found = subtours.where("subtour > 0").groupBy(*PERSON, "tour").agg(F.array_sort(F.collect_set("subtour")).alias("_s"))
+    rows = records.join(found, [*PERSON, "tour"], "left")
+    ids = F.array_join(F.transform("_s", lambda n: n + F.col("tour_id")), ",")
+    return rows.withColumn("child_ids", F.coalesce(ids, F.lit(""))).drop("_s")
 
 
 def trip_records(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: str = "tour_idx") -> DataFrame:  # noqa: B006

@@ -85,3 +85,12 @@ def joined_text(key: str, value: Column, sep: str = "-") -> Column:
     """An aggregate: values of a group joined in the order of key."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))))
     return F.array_join(F.transform(pairs, lambda p: p["v"].cast("string")), sep)
+
+
+#: Rows of a lookup table that may be broadcast once they have been counted.
+SMALL = 250_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, broadcast if it has SMALL rows at most; counting it is a job, so df should be cheap to make."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df

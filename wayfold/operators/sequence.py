@@ -1,8 +1,8 @@
 """Ordered trips of persons: neighbours, durations, linked chains and unwrapped clocks.
 
 Windows are partitioned by the household first, so that one shuffle serves person and household operators. Where a
-result depends on itself (chains, clocks), rows are first cut into islands that can't depend on each other, and only
-an island's few rows are folded.
+result depends on itself, a running value says so (clocks), or rows are first cut into islands that can't depend on each
+other, and only an island's rows are folded (chains).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from ..sources.diary import CHANGE, HOME, PERSON, WORK
 
 WALK, DRIVE, TRANSIT, DRIVE_TRANSIT = (0, 1, 2), (3, 4, 5, 9), 6, 7
 OTHER = 4
+#: Results of a fold that are held in one array before the next one is begun.
+CHUNK = 128
 
 
 def by_person(order: str = "seq", keys: list[str] = PERSON) -> W:
@@ -69,26 +71,38 @@ def chain_heads(trips: DataFrame, limit: int = 35, short: int = 15) -> DataFrame
     rows = trips.withColumn("_can", can).withColumn("_island", F.sum(cut.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
     islands = rows.groupBy(*PERSON, "_island").agg(F.array_sort(F.collect_list(F.struct("seq", *(c for c in rows.columns if c not in (*PERSON, "seq", "_island"))))).alias("rows"))
 
+    entry = "struct<chain:int,chain_mode:int>"
     state = F.struct(
         F.lit(None).cast("int").alias("chain"),
         F.lit(None).cast("int").alias("mode"),
         F.lit(None).cast("int").alias("minutes"),
-        F.array().cast("array<struct<chain:int,chain_mode:int>>").alias("out"),
+        F.array().cast(f"array<array<{entry}>>").alias("done"),
+        F.array().cast(f"array<{entry}>").alias("open"),
     )
 
     def step(s: Column, r: Column) -> Column:
         both = linked_mode(s["mode"], r["mode"], s["minutes"], limit, short)
         chain, mode = F.when(both.isNotNull(), s["chain"]).otherwise(r["seq"]).cast("int"), F.coalesce(both, r["mode"]).cast("int")
         minutes = F.when(r["_can"], F.coalesce(r["act_dur"], F.lit(DAY * 10))).cast("int")
-        return F.struct(chain.alias("chain"), mode.alias("mode"), minutes.alias("minutes"), F.concat(s["out"], F.array(F.struct(chain.alias("chain"), mode.alias("chain_mode")))).alias("out"))
+        # results are gathered CHUNK by CHUNK, so that a step doesn't copy all those before it
+        new = F.array(F.struct(chain.alias("chain"), mode.alias("chain_mode")))
+        full = F.size(s["open"]) >= CHUNK
+        done, open_ = F.when(full, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]), F.when(full, new).otherwise(F.concat(s["open"], new))
+        return F.struct(chain.alias("chain"), mode.alias("mode"), minutes.alias("minutes"), done.alias("done"), open_.alias("open"))
 
+    all_of = lambda s: F.flatten(F.concat(s["done"], F.array(s["open"])))
     # rows and results go on together, so nothing is joined back
-    done = islands.select(*PERSON, "_island", "rows", F.aggregate("rows", state, step)["out"].alias("out"))
+    done = islands.select(*PERSON, "_island", "rows", F.aggregate("rows", state, step, all_of).alias("out"))
     out = done.select(*PERSON, F.explode(F.arrays_zip("rows", "out")).alias("z")).select(*PERSON, "z.rows.*", "z.out.*").select(*trips.columns, "chain", "chain_mode")
     return out.withColumn("linked_on", F.coalesce((F.lead("chain").over(w) == F.col("chain")).cast("int"), F.lit(0)))
 
 
 def link_chains(trips: DataFrame, limit: int = 35, short: int = 15, recode_dangling: bool = False) -> DataFrame:
+    """journeys() of the chains of trips."""
+    return journeys(chain_heads(trips, limit, short), recode_dangling)
+
+
+def journeys(chains: DataFrame, recode_dangling: bool = False) -> DataFrame:
     """One row per journey: origin of its first segment, destination of its last, mode, largest path, segments.
 
     A journey that ends at a change of mode gets the purpose 4, unless segments were linked and no next one exists
@@ -96,7 +110,7 @@ def link_chains(trips: DataFrame, limit: int = 35, short: int = 15, recode_dangl
     one gets the origin purpose 4 if it is the person's first or the last trip was the same day or the day before.
     """
     w = by_person()
-    rows = chain_heads(trips, limit, short).withColumn("_gap", F.col("day_ix") - F.lag("day_ix").over(w))
+    rows = chains.withColumn("_gap", F.col("day_ix") - F.lag("day_ix").over(w))
     at = lambda c, f: f(c, "seq").alias(c)
     heads, tails = ["day", "day_ix", "dep", "opurp", "ox", "oy", "_gap"], ["arr", "dpurp", "x", "y", "has_next"]
     out = rows.groupBy(*PERSON, "chain").agg(
@@ -156,19 +170,22 @@ def unwrap_clock(trips: DataFrame, last_end: int = 1680) -> DataFrame:
 
     A departure before the last arrival, and an arrival before the departure, are a day later. Runs end where more
     than a day passes between trips.
+
+    All that a trip hands on is whether its arrival was moved by a day. Its clock times say what becomes of that: it
+    is set anew, kept, or turned round. So the last trip that sets it and the turns since tell it for every trip, with
+    windows alone, however long a run is.
     """
     w = by_person()
+    so_far = w.rowsBetween(W.unboundedPreceding, 0)
     reset = F.coalesce(F.col("day_ix") - F.lag("day_ix").over(w) > 1, F.lit(True))
-    rows = trips.withColumn("run", F.sum(reset.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    runs = rows.groupBy(*PERSON, "run").agg(F.array_sort(F.collect_list(F.struct("seq", *(c for c in trips.columns if c not in (*PERSON, "seq"))))).alias("rows"))
-    state = F.struct(F.lit(0).alias("t"), F.array().cast("array<struct<dep_min:int,arr_min:int>>").alias("out"))
-
-    def step(s: Column, r: Column) -> Column:
-        dep = F.when(r["dep"] < s["t"], r["dep"] + DAY).otherwise(r["dep"]).cast("int")
-        arr = F.when(r["arr"] < dep, r["arr"] + DAY).otherwise(r["arr"]).cast("int")
-        return F.struct(arr.alias("t"), F.concat(s["out"], F.array(F.struct(dep.alias("dep_min"), arr.alias("arr_min")))).alias("out"))
-
-    done = runs.select(*PERSON, "run", "rows", F.aggregate("rows", state, step)["out"].alias("out"))
-    out = done.select(*PERSON, "run", F.explode(F.arrays_zip("rows", "out")).alias("z")).select(*PERSON, "run", "z.rows.*", "z.out.*")
+    rows = trips.withColumns({"run": F.sum(reset.cast("int")).over(so_far), "_before": F.when(~reset, F.lag("arr").over(w))})
+    dep = lambda moved: F.when(F.col("dep") < F.coalesce(F.col("_before") + moved * DAY, F.lit(0)), F.col("dep") + DAY).otherwise(F.col("dep")).cast("int")
+    moves = lambda moved: (F.col("arr") < dep(moved)).cast("int")
+    rows = rows.withColumns({"_0": moves(F.lit(0)), "_1": moves(F.lit(1))})
+    rows = rows.withColumn("_turns", F.sum(F.when(F.col("_0") > F.col("_1"), 1).otherwise(0)).over(so_far))
+    sets = F.last(F.when(F.col("_0") == F.col("_1"), F.struct(F.col("_0").alias("to"), F.col("_turns").alias("turns"))), ignorenulls=True).over(so_far)
+    rows = rows.withColumn("_set", sets).withColumn("_moved", F.pmod(F.col("_set.to") + F.col("_turns") - F.col("_set.turns"), F.lit(2)).cast("int"))
+    rows = rows.withColumn("_was", F.when(F.col("_before").isNull(), 0).otherwise(F.lag("_moved").over(w)))
+    rows = rows.withColumns({"dep_min": dep(F.col("_was")), "arr_min": (F.col("arr") + F.col("_moved") * DAY).cast("int")})
     after = F.lead("dep_min").over(W.partitionBy(*PERSON, "run").orderBy("seq"))
-    return out.select(*trips.columns, "run", "dep_min", "arr_min").withColumn("end_min", F.coalesce(after, F.lit(last_end)))
+    return rows.select(*trips.columns, "run", "dep_min", "arr_min").withColumn("end_min", F.coalesce(after, F.lit(last_end)))

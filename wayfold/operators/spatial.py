@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .relational import small
+
+#: Edges (of 32 bytes) that may be broadcast with their zones.
+MOST_EDGES = 250_000
 
 def zones_from_wkt(zones: DataFrame, wkt: str = "wkt", zone: str = "zone_id") -> DataFrame:
-    """zone, edges array<struct<x1, y1, x2, y2>> of POLYGON texts; every ring's edges count, so holes are outside."""
-    rings = F.split(F.regexp_extract(F.col(wkt), r"\(\s*\((.*)\)\s*\)", 1), r"\)\s*,\s*\(")
+    """zone, edges array<struct<x1, y1, x2, y2>> of POLYGON and MULTIPOLYGON texts; every ring's edges count, so holes are outside."""
+    rings = F.split(F.regexp_extract(F.col(wkt), r"\(\s*\(?\s*\(([^a-zA-Z]*?)\)\s*\)?\s*\)\s*$", 1), r"\)\s*\)?\s*,\s*\(?\s*\(")
     point = lambda t: F.struct(F.split(F.trim(t), r"\s+")[0].cast("double").alias("x"), F.split(F.trim(t), r"\s+")[1].cast("double").alias("y"))
     edges = F.flatten(
         F.transform(
@@ -39,16 +43,33 @@ def nearest_zone_join(points: DataFrame, zones: DataFrame, max_distance: float,
     """points with the nearest zone within max_distance, or null: inside counts as 0, ties (to 1e-9) go to the smallest zone id.
 
     Zones are listed in all grid cells that they, widened by max_distance, touch; a point looks up its own cell only,
-    so the join has an equal key. Point ids are unique. Points without coordinates have no zone.
+    so the join has an equal key. Cells are about as large as zones are on average, and only ids are listed in them;
+    the edges of a zone come in later, broadcast if their counted size allows it. Point ids are unique. Points without
+    coordinates have no zone.
     """
-    cell = cell or max(4 * max_distance, 1e-9)
     ends = lambda n: F.transform("edges", lambda e: e[n])
     side = lambda f, *names: f(F.flatten(F.array(*map(ends, names))))
-    span = lambda a, b: F.sequence(F.floor((a - max_distance) / cell), F.floor((b + max_distance) / cell))
-    cells = zones.select(zone, "edges", F.explode(span(side(F.array_min, "x1", "x2"), side(F.array_max, "x1", "x2"))).alias("_cx"), span(side(F.array_min, "y1", "y2"), side(F.array_max, "y1", "y2")).alias("_ys"))
-    cells = cells.select(zone, "edges", "_cx", F.explode("_ys").alias("_cy"))
+    boxes = zones.select(zone, F.size("edges").alias("_n"), side(F.array_min, "x1", "x2").alias("_x1"), side(F.array_max, "x1", "x2").alias("_x2"), side(F.array_min, "y1", "y2").alias("_y1"), side(F.array_max, "y1", "y2").alias("_y2"))
+    wide, edges = boxes.agg(F.avg(F.greatest(F.col("_x2") - F.col("_x1"), F.col("_y2") - F.col("_y1"))), F.sum("_n")).first()
+    cell = cell or max(2 * max_distance, wide or 0.0, 1e-9)
+    span = lambda a, b: F.sequence(F.floor((F.col(a) - max_distance) / cell), F.floor((F.col(b) + max_distance) / cell))
+    cells = boxes.select(zone, F.explode(span("_x1", "_x2")).alias("_cx"), span("_y1", "_y2").alias("_ys")).select(zone, "_cx", F.explode("_ys").alias("_cy"))
     keyed = points.select(point_id, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
     keyed = keyed.withColumns({"_cx": F.floor(F.col("_x") / cell), "_cy": F.floor(F.col("_y") / cell)})
-    near = keyed.join(cells, ["_cx", "_cy"]).withColumn("_d", _distance(F.col("_x"), F.col("_y"), F.col("edges"))).where(F.col("_d") <= max_distance)
+    shapes = zones.select(zone, "edges")
+    shapes = F.broadcast(shapes) if (edges or 0) <= MOST_EDGES else shapes
+    near = keyed.join(small(cells), ["_cx", "_cy"]).join(shapes, zone).withColumn("_d", _distance(F.col("_x"), F.col("_y"), F.col("edges"))).where(F.col("_d") <= max_distance)
     best = near.groupBy(point_id).agg(F.min_by(zone, F.struct(F.round("_d", 9), zone)).alias(zone), F.min("_d").alias("distance"))
     return points.join(best, point_id, "left")
+
+
+def nearest_zones(points: DataFrame, zones: DataFrame, max_distance: float, roles: dict[str, tuple[str, str]], point_id: str = "point_id", zone: str = "zone_id") -> DataFrame:
+    """points with <role>_zone for each role, the names of its coordinates: all roles go through one nearest_zone_join.
+
+    roles: {"home": ("home_x", "home_y"), "work": ("work_x", "work_y")}.
+    """
+    spots = points.select(F.col(point_id).alias("_id"), F.explode(F.array(*(F.struct(F.lit(r).alias("role"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for r, (a, b) in roles.items()))).alias("p"))
+    spots = spots.select(F.struct("_id", "p.role").alias("spot"), "p.x", "p.y")
+    found = nearest_zone_join(spots, zones, max_distance, "spot", zone=zone)
+    by_role = found.groupBy(F.col("spot._id").alias(point_id)).agg(*(F.max(F.when(F.col("spot.role") == r, F.col(zone))).alias(f"{r}_zone") for r in roles))
+    return points.join(by_role, point_id, "left")

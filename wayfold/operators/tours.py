@@ -86,12 +86,16 @@ def work_anchor(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     return with_primary(members, keys).where("seq = pseq").select(*keys, "pseq", "pdpurp", "arrive", "leave")
 
 
-def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
-    """keys, subtour, start, end: tours from work and back to it between the arrival at work and the last departure."""
+def subtour_trips(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
+    """The trips of tours from work and back to it between the arrival at work and the last departure, with subtour, start, end."""
     rows = with_primary(members, keys).where((F.col("pdpurp") == WORK) & (F.col("leave") > F.col("arrive") + 1))
-    inside = rows.where("seq > arrive AND seq <= leave").drop("start", "end")
-    found = with_tours(inside, leaves(WORK), returns(WORK), keys=keys, name="subtour")
-    return found.where("seq = start").select(*keys, "subtour", "start", "end")
+    inside = rows.where("seq > arrive AND seq <= leave").drop("start", "end", "pseq", "pdpurp", "arrive", "leave")
+    return with_tours(inside, leaves(WORK), returns(WORK), keys=keys, name="subtour").where("subtour IS NOT NULL")
+
+
+def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
+    """keys, subtour, start, end: one row for each of subtour_trips."""
+    return subtour_trips(members, keys).where("seq = start").select(*keys, "subtour", "start", "end")
 
 
 def with_halves(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
@@ -126,18 +130,24 @@ def tour_summary(halved: DataFrame, max_stops: int = 20, keys: list[str] = TOUR)
 def order_tours(tours: DataFrame) -> DataFrame:
     """tour_no within the person: work tours, subtours, other purposes in their order, and those without one last.
 
-    tours: pdpurp, subtour (0 for none), start.
+    tours: pdpurp, subtour (0 for none), start. With a column tour, parent is the number of a subtour's tour (else 0),
+    and subtrs counts a tour's subtours; of a subtour it is its number among them.
     """
     rank = cases((F.col("subtour") > 0, 2), (F.col("pdpurp") == WORK, 1), (F.col("pdpurp") > 0, 3), default=4)
     order = [rank, F.when(rank == 3, F.col("pdpurp")), "start", "subtour"]
-    return tours.withColumn("tour_no", F.row_number().over(W.partitionBy(*PERSON).orderBy(*order)))
+    rows = tours.withColumn("tour_no", F.row_number().over(W.partitionBy(*PERSON).orderBy(*order)))
+    if "tour" not in tours.columns:
+        return rows
+    own, sub = W.partitionBy(*TOUR), F.col("subtour") > 0
+    return rows.withColumns({"parent": F.when(sub, F.max(F.when(~sub, F.col("tour_no"))).over(own)).otherwise(0), "subtrs": F.when(sub, F.col("subtour")).otherwise(F.count_if(sub).over(own).cast("int"))})
 
 
-def person_day_pattern(trips: DataFrame, max_stops: int = 20) -> DataFrame:
+def person_day_pattern(trips: DataFrame, max_stops: int = 20, subtours: DataFrame | None = None) -> DataFrame:
     """Per person: beghom, endhom, and for each purpose tours and intermediate stops.
 
     trips: all trips of persons, as with_tours returns them. beghom and endhom are 1 unless a first origin or a last
-    destination is known to be elsewhere. One pass over the trips of each person.
+    destination is known to be elsewhere. One pass over the trips of each person. A subtour (PERSON, pdpurp) counts as
+    a stop of its purpose.
     """
     rows = with_primary(trips, TOUR)
     inside = F.col("tour").isNotNull()
@@ -148,7 +158,12 @@ def person_day_pattern(trips: DataFrame, max_stops: int = 20) -> DataFrame:
     tour, stop = inside & (F.col("seq") == F.col("pseq")), F.col("half").isNotNull() & (F.col("_n") < F.col("_all"))
     counts = [F.count_if(kind & (F.col("dpurp") == p)).alias(f"{n}{name}") for name, kind in (("tours", tour), ("stops", stop)) for p, n in PURPOSES.items()]
     first, last = F.min_by("opurp", "seq"), F.max_by("dpurp", "seq")
-    return rows.groupBy(*PERSON).agg(F.coalesce((first == HOME).cast("int"), F.lit(1)).alias("beghom"), F.coalesce((last == HOME).cast("int"), F.lit(1)).alias("endhom"), *counts)
+    out = rows.groupBy(*PERSON).agg(F.coalesce((first == HOME).cast("int"), F.lit(1)).alias("beghom"), F.coalesce((last == HOME).cast("int"), F.lit(1)).alias("endhom"), *counts)
+    if subtours is None:
+        return out
+    more = subtours.groupBy(*PERSON).agg(*(F.count_if(F.col("pdpurp") == p).alias(f"_{n}") for p, n in PURPOSES.items()))
+    out = out.join(more, PERSON, "left")
+    return out.withColumns({f"{n}stops": F.col(f"{n}stops") + F.coalesce(f"_{n}", F.lit(0)) for n in PURPOSES.values()}).drop(*(f"_{n}" for n in PURPOSES.values()))
 
 
 def intermediate_stops(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
@@ -160,8 +175,10 @@ def intermediate_stops(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
 def split_drive_transit(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     """The first drive-transit trip of each half as two legs: drive and transit on the way out, the reverse back.
 
-    The legs meet halfway in time at a change of mode; the second one begins a minute later if there is one. Later
-    trips of the half move up by one.
+    The legs meet halfway in time at a change of mode; the second one begins a minute later if that is before it
+    arrives. Later trips of the half move up by one. Of the columns path, tpath, otype, dtype, otaz, dtaz and role,
+    those that are there are filled: the drive has path 0 and the transit leg the tour's (tpath, else its own), the
+    change of mode has the type 6 and no zone (-1), and who drives is a driver (1).
     """
     w = W.partitionBy(*keys, "half")
     first = F.min(F.when(F.col("mode") == 7, F.col("tseg"))).over(w)
@@ -171,15 +188,23 @@ def split_drive_transit(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     out = F.col("half") == 1
     leg = lambda n, mode, o, d, dep, arr: F.struct(F.lit(n).alias("n"), mode.alias("mode"), o.alias("opurp"), d.alias("dpurp"), dep.alias("dep"), arr.alias("arr"))
     change = F.lit(CHANGE)
+    again = F.when(half_way + 1 < F.col("arr"), half_way + 1).otherwise(half_way)
     legs = F.when(
         here,
         F.array(
             leg(0, F.when(out, drive).otherwise(transit), F.col("opurp"), change, F.col("dep"), half_way),
-            leg(1, F.when(out, transit).otherwise(drive), change, F.col("dpurp"), F.least(half_way + 1, F.col("arr")), F.col("arr")),
+            leg(1, F.when(out, transit).otherwise(drive), change, F.col("dpurp"), again, F.col("arr")),
         ),
     ).otherwise(F.array(leg(0, F.col("mode"), F.col("opurp"), F.col("dpurp"), F.col("dep"), F.col("arr"))))
+    first_leg, second_leg, split = F.col("_leg.n") == 0, F.col("_leg.n") == 1, F.col("tseg") == F.col("_first")
+    ride = F.col("tpath" if "tpath" in halves.columns else "path") if "path" in halves.columns else None
+    known = {
+        "path": lambda: F.when(split, F.when(F.col("_leg.mode") == transit, ride).otherwise(0)), "role": lambda: F.when(split, 1),
+        "dtype": lambda: F.when(split & first_leg, 6), "otype": lambda: F.when(split & second_leg, 6), "dtaz": lambda: F.when(split & first_leg, -1), "otaz": lambda: F.when(split & second_leg, -1),
+    }
     rest = [c for c in halves.columns if c not in ("mode", "opurp", "dpurp", "dep", "arr", "tseg")]
-    shift = F.when(F.col("tseg") > F.col("_first"), 1).otherwise(0) + F.col("_leg.n")
+    rest = [F.coalesce(known[c](), F.col(c)).alias(c) if c in known else F.col(c) for c in rest]
+    shift = F.when(F.coalesce(F.col("tseg") > F.col("_first"), F.lit(False)), 1).otherwise(0) + F.col("_leg.n")
     return rows.withColumn("_leg", F.explode(legs)).select(*rest, (F.col("tseg") + shift).alias("tseg"), *(F.col(f"_leg.{c}").alias(c) for c in ("mode", "opurp", "dpurp", "dep", "arr")))
 
 

@@ -19,6 +19,7 @@ class PlaceTables:
     subtours: DataFrame
     stops: DataFrame
     records: DataFrame
+    subtour_records: DataFrame
     trips: DataFrame
     parties: DataFrame
 
@@ -32,5 +33,6 @@ def place_pipeline(visited: DataFrame, scores: DataFrame) -> PlaceTables:
     scored = places.score_primary_destination(numbered.where("tour > 0"), scores)
     subtours = places.number_work_subtours(numbered)
     records = places.child_tours(places.tour_records(scored), subtours)
+    below = places.subtour_records(records, subtours, scores)
     trips = places.trip_records(scored)
-    return PlaceTables(legs, numbered, subtours, places.stop_fields(scored, ["aggact", "x", "y"]), records, trips, joint.detect_parties(linked.where("leg > 0")))
+    return PlaceTables(legs, numbered, subtours, places.stop_fields(scored, ["aggact", "x", "y"]), records, below, trips, joint.detect_parties(linked.where("leg > 0")))

@@ -264,10 +264,12 @@ def flag_first_last(spark, folder):
     return sequence.flag_ends(rows, [*PERSON, "day_ix"], prefix="day_").select("event_id", "first", "last", "day_first", "day_last")
 
 
-@query(source.SQL + """, s AS (SELECT * FROM d WHERE k % 7 <> 0)
+@query(source.SQL + """, s AS (SELECT * REPLACE (seq + sum((k % 7 = 0)::INT) OVER (PARTITION BY hh, pno ORDER BY seq ROWS UNBOUNDED PRECEDING) AS seq) FROM d)
 SELECT a.event_id, b.dpurp AS next_dpurp, b.mode AS next_mode, (b.seq IS NOT NULL)::INT AS has_next FROM s a LEFT JOIN s b ON a.hh = b.hh AND a.pno = b.pno AND b.seq = a.seq + 1""")
 def next_if_consecutive(spark, folder):
-    rows = source.diary(spark, folder).where("k % 7 <> 0")
+    # gaps in the numbers before some of the events, as if trips were missing there
+    missing = F.sum((F.col("k") % 7 == 0).cast("int")).over(sequence.by_person().rowsBetween(W.unboundedPreceding, 0))
+    rows = source.diary(spark, folder).withColumn("seq", F.col("seq") + missing)
     return sequence.next_if_consecutive(rows, ["dpurp", "mode"]).select("event_id", "next_dpurp", "next_mode", "has_next")
 
 
@@ -355,6 +357,11 @@ sc AS (SELECT hh, pno, tour, s AS start, min(seq) AS "end", arg_min(day_ix, seq)
 sub AS (SELECT sc.hh, sc.pno, sc.tour, row_number() OVER (PARTITION BY sc.hh, sc.pno, sc.tour ORDER BY start) AS subtour, start, "end" FROM sc JOIN u ON u.hh = sc.hh AND u.pno = sc.pno AND u.seq = sc.start WHERE last_day - u.day_ix <= 1)"""
 
 
+# their primary destinations
+SUBTOURS += """, sp AS (SELECT hh, pno, tour, subtour, dpurp AS pdpurp FROM (SELECT s.*, u.dpurp, row_number() OVER (PARTITION BY s.hh, s.pno, s.tour, s.subtour
+    ORDER BY CASE u.dpurp WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END, coalesce(u.act_dur, 0) DESC, u.seq) AS n FROM sub s JOIN u ON u.hh = s.hh AND u.pno = s.pno AND u.seq >= s.start AND u.seq < s."end") WHERE n = 1)"""
+
+
 @query(SUBTOURS + " SELECT * FROM sub")
 def work_subtours(spark, folder):
     return tours.work_subtours(members_of(spark, folder))
@@ -372,12 +379,13 @@ def half_tour_mode(spark, folder):
     return out.select(*PERSON, "tour", "mode1", "mode2", "stops1", "stops2", "tmode", "tpath")
 
 
-@query(SUBTOURS + """, al AS (SELECT p.hh, p.pno, p.tour, 0 AS subtour, t.start, pdpurp FROM prim p JOIN tour t USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, 5 FROM sub)
+@query(SUBTOURS + """, al AS (SELECT p.hh, p.pno, p.tour, 0 AS subtour, t.start, pdpurp FROM prim p JOIN tour t USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, pdpurp FROM sub JOIN sp USING (hh, pno, tour, subtour))
 SELECT hh, pno, tour, subtour, row_number() OVER (PARTITION BY hh, pno ORDER BY r, CASE WHEN r = 3 THEN pdpurp END NULLS FIRST, start, subtour) AS tour_no FROM (SELECT *, CASE WHEN subtour > 0 THEN 2 WHEN pdpurp = 1 THEN 1 WHEN pdpurp > 0 THEN 3 ELSE 4 END AS r FROM al)""")
 def order_tours(spark, folder):
     members = members_of(spark, folder)
     main = tours.with_primary(members).where("seq = pseq").select(*PERSON, "tour", F.lit(0).alias("subtour"), "start", "pdpurp")
-    sub = tours.work_subtours(members).select(*PERSON, "tour", "subtour", "start", F.lit(5).alias("pdpurp"))
+    inside = tours.with_primary(tours.subtour_trips(members), [*PERSON, "tour", "subtour"])
+    sub = inside.where("seq = pseq").select(*PERSON, "tour", "subtour", "start", "pdpurp")
     return tours.order_tours(relational.union_all(main, sub)).select(*PERSON, "tour", "subtour", "tour_no")
 
 
@@ -395,7 +403,7 @@ LEGS = TOURS + """, f AS (SELECT *, min(CASE WHEN mode = 7 THEN tseg END) OVER (
 leg AS (
   SELECT hh, pno, tour, half, tseg + CASE WHEN tseg > f THEN 1 ELSE 0 END AS tseg, mode, opurp, dpurp, dep, arr FROM f WHERE tseg <> coalesce(f, -1)
   UNION ALL SELECT hh, pno, tour, half, tseg, CASE half WHEN 1 THEN 3 ELSE 6 END, opurp, 10, dep, mid FROM f WHERE tseg = f
-  UNION ALL SELECT hh, pno, tour, half, tseg + 1, CASE half WHEN 1 THEN 6 ELSE 3 END, 10, dpurp, least(mid + 1, arr), arr FROM f WHERE tseg = f
+  UNION ALL SELECT hh, pno, tour, half, tseg + 1, CASE half WHEN 1 THEN 6 ELSE 3 END, 10, dpurp, CASE WHEN mid + 1 < arr THEN mid + 1 ELSE mid END, arr FROM f WHERE tseg = f
 )"""
 
 
@@ -550,8 +558,12 @@ def stop_fields(spark, folder):
 _RANK = "CASE code " + " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(places.MODE_ORDER)) + " END"
 CODED = PRIMARY + f", cd AS (SELECT *, {MODE_CODE} AS code FROM (SELECT *, [modename] AS modes FROM pr))"
 RECORDS = CODED + f""", tr AS (SELECT hh, pno, tour, arg_min(CASE WHEN "primary" = 1 THEN aggact END, CASE WHEN "primary" = 1 THEN tour_idx END) AS purpose, arg_min(x, tour_idx) AS ox, arg_min(y, tour_idx) AS oy, arg_min(CASE WHEN "primary" = 1 THEN x END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dx,
-  arg_min(CASE WHEN "primary" = 1 THEN y END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dy, arg_min(dep, tour_idx) AS dep, arg_max(arr, tour_idx) AS arr, {list(places.MODE_ORDER)}[min(CASE WHEN tour_idx > 1 THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places FROM cd GROUP BY hh, pno, tour),
-rec AS (SELECT *, row_number() OVER (PARTITION BY hh ORDER BY pno, tour) AS tour_id, CASE WHEN arr < dep THEN arr - dep + 1440 ELSE arr - dep END AS minutes FROM tr)"""
+  arg_min(CASE WHEN "primary" = 1 THEN y END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dy, arg_min(dep, tour_idx) AS dep, arg_max(arr, tour_idx) AS arr, {list(places.MODE_ORDER)}[min(CASE WHEN tour_idx > 1 AND NOT aside THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver, max(coalesce(k, 0)) AS k FROM (
+    -- a row between the first and the last work place, or the return to work that closes such rows, or the last one, is of no account for the mode
+    SELECT c.*, (tour_idx > first_work AND tour_idx <= last_work AND (aggact <> 'Work' OR p <> 'Work' OR tour_idx = last_work)) IS TRUE AS aside, CASE WHEN aggact = 'Work' AND p <> 'Work' AND tour_idx > first_work THEN works - 1 END AS k
+    FROM (SELECT *, min(CASE WHEN aggact = 'Work' THEN tour_idx END) OVER g AS first_work, max(CASE WHEN aggact = 'Work' THEN tour_idx END) OVER g AS last_work, lag(aggact) OVER o AS p, count(*) FILTER (aggact = 'Work') OVER (PARTITION BY hh, pno, tour ORDER BY tour_idx ROWS UNBOUNDED PRECEDING) AS works
+      FROM cd WINDOW g AS (PARTITION BY hh, pno, tour), o AS (PARTITION BY hh, pno, tour ORDER BY tour_idx)) c) GROUP BY hh, pno, tour),
+rec AS (SELECT * EXCLUDE (k), (tour + coalesce(sum(k) OVER (PARTITION BY hh, pno ORDER BY tour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INT AS tour_id, CASE WHEN arr < dep THEN arr - dep + 1440 ELSE arr - dep END AS minutes FROM tr)"""
 
 
 def coded(spark, folder):
@@ -563,7 +575,7 @@ def tour_record(spark, folder):
     return places.tour_records(coded(spark, folder))
 
 
-@query(RECORDS.replace(NUMBERED, WORKSUB, 1) + " SELECT r.hh, r.pno, r.tour, tour_id, coalesce(c, '') AS child_ids FROM rec r LEFT JOIN (SELECT hh, pno, tour, string_agg(subtour, ',' ORDER BY subtour) AS c FROM (SELECT DISTINCT hh, pno, tour, subtour FROM ws WHERE subtour > 0) GROUP BY ALL) s ON r.hh = s.hh AND r.pno = s.pno AND r.tour = s.tour")
+@query(RECORDS.replace(NUMBERED, WORKSUB, 1) + " SELECT r.hh, r.pno, r.tour, tour_id, coalesce(c, '') AS child_ids FROM rec r LEFT JOIN (SELECT hh, pno, tour, string_agg(subtour + tour_id, ',' ORDER BY subtour) AS c FROM (SELECT DISTINCT hh, pno, tour, subtour FROM ws WHERE subtour > 0) JOIN rec USING (hh, pno, tour) GROUP BY ALL) s ON r.hh = s.hh AND r.pno = s.pno AND r.tour = s.tour")
 def child_tours(spark, folder):
     numbered = places.number_tours(visited(spark, folder))
     return places.child_tours(places.tour_records(coded(spark, folder)), places.number_work_subtours(numbered)).select(*PERSON, "tour", "tour_id", "child_ids")
@@ -620,13 +632,13 @@ def classify_joint_tours(spark, folder):
     return out.select(*PERSON, "tour", "fully_joint", "partly_joint", F.array_join("party", ".").alias("party_text"))
 
 
-PARTY = JTOURS + f", mt AS (SELECT hh, pno, {_TYPES}[max(k) % 8 + 1] AS ptype FROM u GROUP BY hh, pno), pc AS (SELECT hh, pno, tour, count(*) AS n, count(*) FILTER (ptype IN ('FW', 'PW', 'US', 'NW', 'RE')) AS adults FROM (SELECT hh, pno, tour, unnest(party) AS p FROM jc) z JOIN (SELECT hh, pno AS p, ptype FROM mt) USING (hh, p) GROUP BY hh, pno, tour)"
+PARTY = JTOURS + f", mt AS (SELECT hh, pno, {_TYPES}[max(k) % 8 + 1] AS ptype FROM u GROUP BY hh, pno), pc AS (SELECT hh, pno, tour, count(*) AS n, count(*) FILTER (ptype IN ('FW', 'PW', 'US', 'NW', 'RE')) AS adults FROM (SELECT hh, pno, tour, unnest(party) AS p FROM jc) z JOIN (SELECT hh, pno AS p, ptype FROM mt) USING (hh, p) GROUP BY hh, pno, tour), ty AS (SELECT hh, pno AS p, ptype FROM mt)"
 
 
-@query(PARTY + " SELECT jc.hh, jc.pno, jc.tour, len(party) AS size, CASE WHEN adults = n THEN 1 WHEN adults = 0 THEN 2 WHEN n IS NOT NULL THEN 3 END AS composition, party[1] AS person_1, party[2] AS person_2, party[3] AS person_3 FROM jc LEFT JOIN pc ON jc.hh = pc.hh AND jc.pno = pc.pno AND jc.tour = pc.tour")
+@query(PARTY + " SELECT jc.hh, jc.pno, jc.tour, len(party) AS size, CASE WHEN adults = n THEN 1 WHEN adults = 0 THEN 2 WHEN n IS NOT NULL THEN 3 END AS composition, party[1] AS person_1, party[2] AS person_2, party[3] AS person_3, (SELECT ptype FROM ty WHERE ty.hh = jc.hh AND p = party[1]) AS type_1, (SELECT ptype FROM ty WHERE ty.hh = jc.hh AND p = party[2]) AS type_2 FROM jc LEFT JOIN pc ON jc.hh = pc.hh AND jc.pno = pc.pno AND jc.tour = pc.tour")
 def party_fields(spark, folder):
     _, out = joint_days(spark, folder)
-    return joint.party_fields(out, member_types(spark, folder), most=3).select(*PERSON, "tour", "size", "composition", "person_1", "person_2", "person_3")
+    return joint.party_fields(out, member_types(spark, folder), most=3).select(*PERSON, "tour", "size", "composition", "person_1", "person_2", "person_3", "type_1", "type_2")
 
 
 SPLIT = JTOURS + """, sj AS (SELECT jc.*, jd.dep, jd.arr, CASE WHEN jc.tour % 2 = 0 THEN 'Work' ELSE 'Shopping' END AS purpose FROM jc JOIN jd ON jc.hh = jd.hh AND jc.pno = jd.pno AND jc.tour = jd.day_ix WHERE jc.hh % 10 <> 3),
@@ -733,17 +745,91 @@ lt AS (SELECT hh, pno, day, day_ix, dep, arr, CASE WHEN segments = 1 AND z <> 10
 _FIVE = " + ".join(f"max((day = {d})::INT)" for d in weights.WEEKS[5])
 
 
-@query(CHAINS + _LINKED + """ SELECT * FROM (WITH u AS (SELECT *, (lead(dep) OVER p - arr + CASE WHEN lead(day_ix) OVER p > day_ix AND lead(dep) OVER p < arr THEN 1440 ELSE 0 END)::INT AS act_dur FROM lt WINDOW p AS (PARTITION BY hh, pno ORDER BY seq))""" + TOURS[len(T) :] + f""",
-x AS (SELECT hh, pno, tour, half, arg_max(mode, mode * 1000 - tseg) AS mode FROM half GROUP BY hh, pno, tour, half),
-tm AS (SELECT hh, pno, tour, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING (hh, pno, tour)),
-md AS (SELECT hh, pno, tour, day FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour ORDER BY c DESC, day) AS n FROM (SELECT hh, pno, tour, day, count(*) AS c FROM m GROUP BY ALL)) WHERE n = 1),
-wk AS (SELECT hh, pno, {_FIVE} AS n FROM d GROUP BY hh, pno)
-SELECT tour.hh, tour.pno, tour.tour, tour.start, tour."end", pdpurp, tmode, md.day, round(CASE WHEN md.day <= 5 AND wk.n > 0 THEN 1.0 / wk.n ELSE 0 END, 6) AS expansion,
-  row_number() OVER (PARTITION BY tour.hh, tour.pno ORDER BY CASE WHEN pdpurp = 1 THEN 1 WHEN pdpurp > 0 THEN 3 ELSE 4 END, CASE WHEN pdpurp > 1 THEN pdpurp END NULLS FIRST, tour.start) AS tour_no
-FROM tour JOIN prim USING (hh, pno, tour) JOIN tm USING (hh, pno, tour) JOIN md USING (hh, pno, tour) JOIN wk ON wk.hh = tour.hh AND wk.pno = tour.pno)""")
-def week_pipeline_tours(spark, folder):
+# the week pipeline; two of a person's days in seven are incomplete
+_IS_COMPLETE = "((hh + g) % 4 <> 0)::INT"
+_SUB = "(hh, pno, tour, subtour)"
+WEEK = CHAINS + _LINKED + """ SELECT * FROM (WITH u AS (SELECT *, (lead(dep) OVER p - arr + CASE WHEN lead(day_ix) OVER p > day_ix AND lead(dep) OVER p < arr THEN 1440 ELSE 0 END)::INT AS act_dur FROM lt WINDOW p AS (PARTITION BY hh, pno ORDER BY seq))""" + SUBTOURS[len(T) :] + f""",
+sm AS (SELECT u.*, s.tour, s.subtour, s.start, s."end" FROM u JOIN sub s ON u.hh = s.hh AND u.pno = s.pno AND u.seq BETWEEN s.start AND s."end"),
+sq AS (SELECT hh, pno, tour, subtour, seq AS pseq, dpurp AS pdpurp FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY CASE dpurp WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END, coalesce(act_dur, 0) DESC, seq) AS n FROM sm WHERE seq < "end") WHERE n = 1),
+ah AS (SELECT hh, pno, tour, 0 AS subtour, seq, dep, arr, opurp, dpurp, mode, path, half, tseg FROM half
+  UNION ALL SELECT * FROM (SELECT hh, pno, tour, subtour, seq, dep, arr, opurp, dpurp, mode, path, half, row_number() OVER (PARTITION BY hh, pno, tour, subtour, half ORDER BY seq) AS tseg FROM (SELECT sm.*, CASE WHEN seq <= pseq THEN 1 ELSE 2 END AS half FROM sm JOIN sq USING {_SUB})) WHERE tseg <= 20),
+x AS (SELECT hh, pno, tour, subtour, half, count(*) - 1 AS stops, arg_max(mode, mode * 1000 - tseg) AS mode, arg_max(path, mode * 1000 - tseg) AS path FROM ah GROUP BY hh, pno, tour, subtour, half),
+tm AS (SELECT hh, pno, tour, subtour, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.path ELSE b.path END AS tpath, coalesce(a.stops, 0) AS stops1, coalesce(b.stops, 0) AS stops2 FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING {_SUB}),
+md AS (SELECT hh, pno, tour, subtour, day FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY c DESC, day) AS n FROM (SELECT hh, pno, tour, subtour, day, count(*) AS c FROM (SELECT hh, pno, tour, 0 AS subtour, day FROM m UNION ALL SELECT hh, pno, tour, subtour, day FROM sm) GROUP BY ALL)) WHERE n = 1),
+al AS (SELECT hh, pno, tour, 0 AS subtour, start, "end", pdpurp FROM tour JOIN prim USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, "end", pdpurp FROM sub JOIN sq USING {_SUB}),
+pd AS (SELECT DISTINCT hh, pno FROM d), fl AS (SELECT hh, pno, g AS day FROM pd, range(1, 8) AS r(g) WHERE {_IS_COMPLETE} = 1), wk AS (SELECT hh, pno, count(*) FILTER (day <= 5) AS n FROM fl GROUP BY hh, pno),
+rc AS (SELECT al.*, tmode, tpath, stops1, stops2, md.day, CASE WHEN md.day <= 5 AND wk.n > 0 THEN 1.0 / wk.n ELSE 0 END AS expansion,
+    row_number() OVER (PARTITION BY hh, pno ORDER BY CASE WHEN subtour > 0 THEN 2 WHEN pdpurp = 1 THEN 1 WHEN pdpurp > 0 THEN 3 ELSE 4 END, CASE WHEN subtour = 0 AND pdpurp > 1 THEN pdpurp END NULLS FIRST, start, subtour) AS tour_no
+  FROM al JOIN tm USING {_SUB} JOIN md USING {_SUB} JOIN wk USING (hh, pno))"""
+
+
+def week_of(spark, folder):
     from ..sources.tables import Config
     from .week import week_pipeline
 
-    out = week_pipeline(trips(spark, folder).drop("has_next", "act_dur"), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP)
-    return out.tours.select(*PERSON, "tour", "start", "end", "pdpurp", "tmode", "day", F.round("expansion", 6).alias("expansion"), "tour_no")
+    days = source.diary(spark, folder).select(*PERSON).distinct().select(*PERSON, F.explode(F.sequence(F.lit(1), F.lit(7))).alias("day"))
+    days = days.withColumn("is_complete", ((F.col("hh") + F.col("day")) % 4 != 0).cast("int"))
+    return week_pipeline(trips(spark, folder).drop("has_next", "act_dur"), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP, days=days)
+
+
+@query(WEEK + """ SELECT hh, pno, tour, subtour, start, "end", pdpurp, tmode, tpath, stops1, stops2, day, round(expansion, 6) AS expansion, tour_no,
+  CASE WHEN subtour > 0 THEN max(CASE WHEN subtour = 0 THEN tour_no END) OVER (PARTITION BY hh, pno, tour) ELSE 0 END AS parent, CASE WHEN subtour > 0 THEN subtour ELSE count(*) FILTER (subtour > 0) OVER (PARTITION BY hh, pno, tour) END AS subtrs FROM rc)""")
+def week_pipeline_tours(spark, folder):
+    out = week_of(spark, folder).tours
+    return out.select(*PERSON, "tour", "subtour", "start", "end", "pdpurp", "tmode", "tpath", "stops1", "stops2", "day", F.round("expansion", 6).alias("expansion"), "tour_no", "parent", "subtrs")
+
+
+@query(WEEK + """, f AS (SELECT ah.*, tour_no, tpath, day, expansion, min(CASE WHEN mode = 7 THEN tseg END) OVER (PARTITION BY ah.hh, ah.pno, ah.tour, ah.subtour, half) AS f, dep + floor((arr - dep) / 2)::INT AS mid FROM ah JOIN rc USING (hh, pno, tour, subtour)),
+leg AS (
+  SELECT hh, pno, tour_no, half, tseg + CASE WHEN tseg > f THEN 1 ELSE 0 END AS tseg, mode, path, opurp, dpurp, dep, arr, day, expansion FROM f WHERE tseg <> coalesce(f, -1)
+  UNION ALL SELECT hh, pno, tour_no, half, tseg, CASE half WHEN 1 THEN 3 ELSE 6 END, CASE half WHEN 1 THEN 0 ELSE tpath END, opurp, 10, dep, mid, day, expansion FROM f WHERE tseg = f
+  UNION ALL SELECT hh, pno, tour_no, half, tseg + 1, CASE half WHEN 1 THEN 6 ELSE 3 END, CASE half WHEN 1 THEN tpath ELSE 0 END, 10, dpurp, CASE WHEN mid + 1 < arr THEN mid + 1 ELSE mid END, arr, day, expansion FROM f WHERE tseg = f
+) SELECT * REPLACE (round(expansion, 6) AS expansion) FROM leg)""")
+def week_pipeline_trips(spark, folder):
+    out = week_of(spark, folder).trips
+    return out.select(*PERSON, "tour_no", "half", "tseg", "mode", "path", "opurp", "dpurp", "dep", "arr", "day", F.round("expansion", 6).alias("expansion"))
+
+
+_N = tours.PURPOSES.items()
+
+
+@query(WEEK + f""", st AS (SELECT * FROM (SELECT ah.*, day, max(tseg) OVER (PARTITION BY ah.hh, ah.pno, ah.tour, ah.subtour, half) AS l FROM ah JOIN rc USING {_SUB}) WHERE tseg < l),
+bt AS (SELECT hh, pno, day, count(*) FILTER (subtour > 0) AS wbtours, {", ".join(f"count(*) FILTER (subtour = 0 AND pdpurp = {p}) AS {n}tours" for p, n in _N)} FROM rc GROUP BY hh, pno, day),
+bs AS (SELECT hh, pno, day, {", ".join(f"count(*) FILTER (dpurp = {p}) AS {n}stops" for p, n in _N)} FROM st GROUP BY hh, pno, day),
+dt AS (SELECT hh, pno, day, count(*) AS trips, coalesce((first(opurp ORDER BY seq) = 0)::INT, 0) AS beghom, coalesce((arg_max(dpurp, seq) = 0)::INT, 0) AS endhom FROM u GROUP BY hh, pno, day)
+SELECT fl.hh, fl.pno, fl.day, coalesce(trips, 0) AS trips, coalesce(beghom, 1) AS beghom, coalesce(endhom, 1) AS endhom, coalesce(wbtours, 0) AS wbtours, {", ".join(f"coalesce({n}{k}, 0) AS {n}{k}" for k in ("tours", "stops") for _, n in _N)}, round(CASE WHEN fl.day <= 5 AND wk.n > 0 THEN 1.0 / wk.n ELSE 0 END, 6) AS expansion
+FROM fl JOIN wk USING (hh, pno) LEFT JOIN dt USING (hh, pno, day) LEFT JOIN bt USING (hh, pno, day) LEFT JOIN bs USING (hh, pno, day))""")
+def week_pipeline_person_days(spark, folder):
+    return week_of(spark, folder).person_days.withColumn("expansion", F.round("expansion", 6))
+
+
+def _case(e: str, table: dict, default: str | None = None) -> str:
+    return f"CASE {e} " + " ".join(f"WHEN {k} THEN {v}" for k, v in table.items()) + f" ELSE {default or e} END"
+
+
+def _week_persons_sql() -> str:
+    from . import week
+
+    ids = "c_custkey // 3 AS hh, (c_custkey % 3 + 1)::INT AS pno"
+    made = {"age0": "c_custkey % 12", "gender0": "c_custkey % 5", "employment": "c_custkey % 9", "student": "c_custkey % 6", "school_type": "c_custkey % 8", "work_county": "c_custkey % 4", "school_county": "c_custkey % 5"}
+    zones = ", ".join(f"CASE WHEN {p}_county IN (1, 3) AND {act} THEN hh::INT + {k} ELSE -1 END AS {p}_{z}" for p, act in (("work", "worker > 0"), ("school", "student_type > 0")) for k, z in enumerate(("zone", "parcel")))
+    unknown = ", ".join(f"-1 AS {c}" for c in week.UNKNOWN)
+    return f"""WITH p AS (SELECT {ids}, {", ".join(f"({e})::INT AS {n}" for n, e in made.items())}, (c_custkey % 7)::DOUBLE AS weight FROM customer),
+q AS (SELECT *, {_case("age0", week.AGES)} AS age, {_case("gender0", week.GENDERS)} AS gender, {_case("student", week.STUDENTS)} AS student_type FROM p),
+t AS (SELECT *, CASE WHEN age < 5 THEN 8 WHEN age < 16 THEN 7 WHEN employment IN (1, 3, 8) THEN 1 WHEN student IN (0, 1, 3, 4) AND (age < 18 OR (age < 25 AND school_type IN (4, 7))) THEN 6 WHEN student IN (0, 1, 3, 4) THEN 5 WHEN employment IN (2, 3, 7) THEN 2 WHEN age < 65 THEN 4 ELSE 3 END AS ptype FROM q),
+w AS (SELECT *, CASE WHEN ptype IN (1, 2) THEN ptype WHEN ptype IN (5, 6) AND employment IN (1, 2, 3) THEN 2 ELSE 0 END AS worker FROM t)
+SELECT hh, pno, ptype, age, gender, worker, student_type, {zones}, -1.0 AS work_x, -1.0 AS work_y, 1.0 * pno AS school_x, -1.0 AS school_y, {unknown}, weight AS expansion FROM w"""
+
+
+@query(_week_persons_sql())
+def week_pipeline_persons(spark, folder):
+    from ..sources.tables import Config
+    from .week import person_output, reformat_persons
+
+    (c,) = tables(spark, folder, "customer")
+    k = F.col("c_custkey")
+    made = {"age": k % 12, "gender": k % 5, "employment": k % 9, "student": k % 6, "school_type": k % 8, "work_county": k % 4, "school_county": k % 5, "work_park": F.lit(1), "residence_rent_own": F.lit(1), "residence_type": F.lit(1)}
+    rows = c.select(F.expr("c_custkey div 3").alias("hh"), (k % 3 + 1).cast("int").alias("pno"), *(e.cast("int").alias(n) for n, e in made.items()), (k % 7).cast("double").alias("weight"))
+    none = F.lit(None).cast("double")
+    rows = rows.withColumns({**{f"{p}_{z}": (F.col("hh") + n).cast("int") for p in ("work", "school") for n, z in enumerate(("zone", "parcel"))}, "work_x": none, "work_y": none, "school_x": 1.0 * F.col("pno"), "school_y": none})
+    return person_output(reformat_persons(rows, completeness(source.diary(spark, folder)), Config(counties=(1, 3))))

@@ -110,21 +110,46 @@ def attach_person(locations: DataFrame, trips: DataFrame) -> DataFrame:
     return locations.join(trips.select("trip_id", *PERSON), "trip_id", "left")
 
 
-def household_counts(persons: DataFrame) -> DataFrame:
-    """Members by type, and workers, of each household; households without persons are not in the result."""
+def household_counts(persons: DataFrame, households: DataFrame | None = None) -> DataFrame:
+    """Members by type, and workers, of each household; with households (hh), zeros for those without persons."""
     names = {1: "hhftw", 2: "hhptw", 3: "hhret", 4: "hhoad", 5: "hhuni", 6: "hhhsc", 7: "hh515", 8: "hhcu5"}
     counts = [F.count_if(F.col("ptype") == t).alias(n) for t, n in names.items()]
-    return persons.groupBy("hh").agg(F.count("*").alias("members"), *counts, F.count_if(F.col("ptype").isin(1, 2)).alias("hhwkrs"))
+    out = persons.groupBy("hh").agg(F.count("*").alias("members"), *counts, F.count_if(F.col("ptype").isin(1, 2)).alias("hhwkrs"))
+    if households is None:
+        return out
+    return households.select("hh").distinct().join(out, "hh", "left").fillna(0, ["members", *names.values(), "hhwkrs"])
 
 
-def person_day_records(trips: DataFrame, complete: DataFrame) -> DataFrame:
-    """A row for each complete day of each person with trips: trips, and whether the day begins and ends at home."""
+#: What a person's record has a column for, but no survey an answer.
+UNKNOWN = ("work_auto_minutes", "work_auto_miles", "school_auto_minutes", "school_auto_miles", "transit_pass", "paid_parking", "paper_diary", "proxy")
+
+
+def person_output(persons: DataFrame, weight: str = "weight") -> DataFrame:
+    """One record per person of reformat_persons: type, age, gender, usual places, weight; -1 for what is not known."""
+    places = [f"{p}_{c}" for p in ("work", "school") for c in ("parcel", "zone", "x", "y")]
+    known = ["ptype", "age", "gender", "worker", *places[:4], "student_type", *places[4:]]
+    expansion = F.coalesce(F.col(weight).cast("double"), F.lit(0.0)) if weight in persons.columns else F.lit(1.0)
+    return persons.select(*PERSON, *(F.coalesce(c, F.lit(-1)).alias(c) for c in known), *(F.lit(-1).alias(c) for c in UNKNOWN), expansion.alias("expansion"))
+
+
+def person_day_records(trips: DataFrame, complete: DataFrame, tour_records: DataFrame | None = None, stops: DataFrame | None = None) -> DataFrame:
+    """A row for each complete day of each person: trips, and whether the day begins and ends at home (1 without trips).
+
+    tour_records (subtour, pdpurp, day) and stops (dpurp, day) add tours and stops by purpose, and wbtours, subtours.
+    """
     g = W.partitionBy(*PERSON, "day")
     rows = trips.withColumns({"_f": F.min("seq").over(g), "_l": F.max("seq").over(g)})
     begins = F.coalesce((F.col("seq") == F.col("_f")) & F.col("opurp").eqNullSafe(F.lit(HOME)), F.lit(False))
     ends = (F.col("seq") == F.col("_l")) & (F.col("dpurp") == HOME)
     found = rows.groupBy(*PERSON, "day").agg(F.count("*").alias("trips"), F.max(begins.cast("int")).alias("beghom"), F.max(ends.cast("int")).alias("endhom"))
-    return weights.complete_person_days(complete, PERSON).join(found, [*PERSON, "day"], "left").fillna({"trips": 0, "beghom": 1, "endhom": 1})
+    out = weights.complete_person_days(complete, PERSON).join(found, [*PERSON, "day"], "left").fillna({"trips": 0, "beghom": 1, "endhom": 1})
+    if tour_records is None:
+        return out
+    main, of_tour = F.col("subtour") == 0, F.col("pdpurp")
+    by_tour = tour_records.groupBy(*PERSON, "day").agg(*(F.count_if(main & (of_tour == p)).alias(f"{n}tours") for p, n in tours.PURPOSES.items()), F.count_if(~main).alias("wbtours"))
+    by_stop = stops.groupBy(*PERSON, "day").agg(*(F.count_if(F.col("dpurp") == p).alias(f"{n}stops") for p, n in tours.PURPOSES.items()))
+    out = out.join(by_tour, [*PERSON, "day"], "left").join(by_stop, [*PERSON, "day"], "left")
+    return out.fillna(0, [*(f"{n}{k}" for k in ("tours", "stops") for n in tours.PURPOSES.values()), "wbtours"])
 
 
 @dataclass(frozen=True)
@@ -139,22 +164,40 @@ class WeekTables:
     person_days: DataFrame
 
 
-def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1) -> WeekTables:  # noqa: B008
+def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1, days: DataFrame | None = None) -> WeekTables:  # noqa: B008
     """From trips (hh, pno, seq, day, day_ix, dep, arr, opurp, dpurp, ox, oy, x, y, mode, mode_type, path) to tables.
 
-    Without a column weight every person weighs 1.
+    days (hh, pno, day, is_complete) tells which days of a week are complete, also those without trips; without it,
+    days with trips are. Without a column weight, or if the config says so, every person weighs 1.
+
+    tours: home tours and their work subtours (subtour > 0), with tour_no, parent, subtrs, times, modes, stops, day and
+    expansion. trips: the segments of both, drive-transit ones split, with tour_no, half, tseg, day and expansion.
+    person_days: complete days with trips, tours and stops by purpose. patterns: the same over all days of a person.
     """
-    rows = trips if "weight" in trips.columns else trips.withColumn("weight", F.lit(1.0))
-    timed = sequence.activity_duration(rows)
-    heads = sequence.chain_heads(timed, config.link_minutes, config.short_link_minutes)
-    linked = sequence.link_chains(timed, config.link_minutes, config.short_link_minutes)
+    rows = trips if "weight" in trips.columns and config.weighted else trips.withColumn("weight", F.lit(1.0))
+    heads = sequence.chain_heads(sequence.activity_duration(rows), config.link_minutes, config.short_link_minutes)
+    linked = sequence.journeys(heads)
     walked = sequence.activity_duration(linked.withColumnRenamed("trip", "seq"))
     toured = tours.with_tours(walked, tours.leaves(HOME), tours.returns(HOME), max_gap=max_gap)
     members = toured.where("tour IS NOT NULL")
-    halved = tours.with_halves(members)
-    halves = halved.where((F.col("half").isNotNull()) & (F.col("tseg") <= config.max_stops))
-    complete = weights.day_completeness(rows.select(*PERSON, "day", F.lit(1).alias("is_complete")), PERSON)
-    person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight")).join(complete, PERSON)
-    record = tours.order_tours(tours.tour_summary(halved, config.max_stops).withColumn("subtour", F.lit(0))).join(person, PERSON)
-    record = weights.expansion_weights(record, "weight", "num_days_complete_5dayweekday", F.col("day"), config.analysis_days, config.weight_cap)
-    return WeekTables(linked, sequence.access_egress(heads), record, tours.split_drive_transit(halves), tours.person_day_pattern(toured, config.max_stops), person_day_records(walked, complete))
+    below = [*tours.TOUR, "subtour"]
+    halved = tours.with_halves(members).withColumn("subtour", F.lit(0))
+    halved = halved.unionByName(tours.with_halves(tours.subtour_trips(members), below), allowMissingColumns=True)
+
+    if days is None:
+        days = rows.select(*PERSON, "day", F.lit(1).alias("is_complete"))
+    complete = weights.day_completeness(days, PERSON)
+    person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight")).join(complete, PERSON, "full")
+    weigh = lambda df: weights.expansion_weights(df, "weight", "num_days_complete_5dayweekday", F.col("day"), config.analysis_days, config.weight_cap)
+    record = tours.order_tours(tours.tour_summary(halved, config.max_stops, below))
+    record = weigh(record.join(person, PERSON, "left"))
+
+    halves = halved.where(F.col("half").isNotNull() & (F.col("tseg") <= config.max_stops))
+    of_tour = record.select(*below, "tour_no", "tpath", F.col("day").alias("_day"), "expansion")
+    halves = halves.join(of_tour, below).withColumn("day", F.col("_day")).drop("_day")
+    legs = tours.split_drive_transit(halves, below)
+    stops = tours.intermediate_stops(halves, below)
+    day_rows = person_day_records(walked, complete, record, stops)
+    day_rows = weigh(day_rows.join(person.select(*PERSON, "weight", "num_days_complete_5dayweekday"), PERSON, "left").fillna({"weight": 1.0})).drop("weight", "num_days_complete_5dayweekday")
+    patterns = tours.person_day_pattern(toured, config.max_stops, record.where("subtour > 0"))
+    return WeekTables(linked, sequence.access_egress(heads), record, legs, patterns, day_rows)

@@ -18,6 +18,7 @@ class Config:
     agency: str = ""
     weighted: bool = True
     app_only: bool = False
+    app_suffix: str = "_app_only"
     weight_cap: float | None = None
     analysis_days: tuple[int, ...] = (1, 2, 3, 4, 5)
     counties: tuple[int, ...] = ()
@@ -28,7 +29,7 @@ class Config:
 
     def weight(self, name: str) -> str:
         """A weight column's name: its suffix depends on whose diaries are used."""
-        return f"{name}_rmove_only" if self.app_only else name
+        return f"{name}{self.app_suffix}" if self.app_only else name
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, columns: list[str] | None = None) -> DataFrame:
