@@ -74,6 +74,20 @@ def narrow(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return left.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, most: int = 4096) -> DataFrame:
+    """rows joined with table (one row per keys), also where very many rows have the same keys.
+
+    Keys of more than `most` rows are dealt into as many slots as they need, by a hash of the column `by`; the table's
+    row goes to each of them. rows should be checkpointed: they are counted by keys first.
+    """
+    hot = cut(rows.groupBy(*keys).count().where(F.col("count") > most).select(*keys, F.expr(f"cast(1 + count div {most} as int)").alias("_slots")))
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
+    slots = F.coalesce("_slots", F.lit(1))
+    rows = rows.join(hot, keys, "left").withColumn("_slot", F.pmod(F.xxhash64(by), slots.cast("long")).cast("int")).drop("_slots")
+    table = table.join(hot, keys, "left").withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("_slots")
+    return rows.join(table, [*keys, "_slot"]).drop("_slot")
+
+
 def lookup(rows: DataFrame, key: str, table: DataFrame, spread: str) -> DataFrame:
     """rows left joined with table (one row per key), also where very many rows have the same key.
 

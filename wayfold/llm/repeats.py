@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions
+from .words import mix
 
 #: Places that a task gathers before it packs them, and bytes of text for a range of keys.
-PACK, RANGE_BYTES = 400_000, 8 << 20
+PACK, RANGE_BYTES = 400_000, 2 << 20
 #: pos of a key that its sender knows to be repeated, with all its own places settled.
 SETTLED = -1
 
@@ -62,7 +63,8 @@ def pack(keys: np.ndarray, buckets: int, sent: list[np.ndarray], found: list[np.
     sent begins with ids and pos and is put in their order within a row. What is found already (ids, ...) goes along,
     an equal share with each row.
     """
-    of = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+    # keys are mixed first: anchors and prefix tokens are the smallest hashes of many, all near zero
+    of = (((mix(keys) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
     order = np.lexsort((sent[1], sent[0], of))
     of, sent = of[order], [x[order] for x in sent]
     order = np.argsort(found[0], kind="stable")

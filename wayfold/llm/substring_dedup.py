@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import cut, keyed, narrow, tagged
+from .common import cut, keyed, narrow, spread_join, tagged
 from .repeats import CHECK, ONE, REPEAT, arrays_of, attach, entries, find_classes, ranges_for
 from .suffix_dedup import intervals
 from .words import BLOCK_BYTES, IS_SPACE, Spans, doc_hashes, hashed, mix, ngram_hash, owned, shrink, slices, texts_of, winnow
@@ -70,8 +70,27 @@ def _windows(window: int):
     return places
 
 
+def cover(starts: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """Which of some intervals, in the order of their starts, are enough to cover what all of them cover."""
+    kept, covered, best, reach = [], -1, -1, -1
+    for k, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+        if s > covered:
+            if reach > covered:
+                kept.append(best)
+                covered = reach
+            covered = max(covered, s)
+        if s + n > reach:
+            best, reach = k, s + n
+    if reach > covered:
+        kept.append(best)
+    return kept
+
+
 def _chains(window: int):
-    """Seeds of a document that follow each other there and in the same source, as one row: start and size in words."""
+    """Seeds of a document that follow each other there and in the same source, as one row: start and size in words.
+
+    Of chains that overlap, as those of a text that repeats itself do, only as many are kept as cover the same words.
+    """
 
     def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,6 +106,9 @@ def _chains(window: int):
             new[1:] |= pos[1:] > reach[:-1]
             at = np.flatnonzero(new)
             size = reach[np.append(at[1:], len(pos)) - 1] - pos[at] if len(at) else at
+            order = np.lexsort((-size, pos[at], row[at]))
+            kept = order[cover((pos[at] + (row[at].astype(np.int64) << 40))[order], size[order])]
+            at, size = at[kept], size[kept]
             ids = [batch.column(c).to_numpy(zero_copy_only=False)[row[at]] for c in ("_key", "_tag")]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*ids, pos[at], size, key[at], tag[at], pos[at] + shift[at])], ["_key", "_tag", "start", "size", "src_key", "src_tag", "src_start"])
 
@@ -192,8 +214,10 @@ def _matches(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     seeds = entries(classes, REPEAT, *seed).union(entries(windows, REPEAT, *seed)).groupBy("_key", "_tag").agg(F.flatten(F.collect_list("found")).alias("_marks"))
     chains = cut(seeds.mapInArrow(_chains(window), "_key long, _tag long, start long, size long, src_key long, src_tag long, src_start long"))
     source = own.withColumnsRenamed({"_key": "src_key", "_tag": "src_tag"})
-    source = shrink(narrow(source, chains, ["src_key", "src_tag"])).dropDuplicates(["src_key", "src_tag"])
-    joined = chains.join(source, ["src_key", "src_tag"]).mapInArrow(_sources(window), "_key long, _tag long, start long, size long, left long, source binary")
+    source = narrow(source, chains, ["src_key", "src_tag"])
+    again = F.col("src_tag") != 0  # of rows that share an id and a text, one is a source
+    source = shrink(source.where(~again).union(source.where(again).dropDuplicates(["src_key", "src_tag"])))
+    joined = spread_join(chains, source, ["src_key", "src_tag"], "_key").mapInArrow(_sources(window), "_key long, _tag long, start long, size long, left long, source binary")
     return joined.select("_key", "_tag", F.array(F.struct("start", "size", "left", "source")).alias("found"))
 
 
