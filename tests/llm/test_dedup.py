@@ -194,3 +194,120 @@ def test_results_do_not_depend_on_partitions(make, corpus):
     docs = make(corpus)
     a, b = (sorted(substring_dedup.substring_dedup(d).select("doc_id", "kept_text").collect(), key=repr) for d in (docs.coalesce(1), docs.orderBy(F.rand(1)).repartition(9)))
     assert a == b
+
+
+@pytest.fixture(scope="module")
+def odd(words):
+    """Ids that several rows have, with the same text or others; rows without an id; copies across all of them."""
+    base, other, third = words(150), words(90), words(120)
+    rows = [(1, "short text of its own"), (1, base), (1, other), (2, base + " tail"), (3, base), (3, base), (4, third), (4, third + " end")]
+    return rows + [(None, other), (None, other), (None, base + " x"), (None, None), (5, None), (5, ""), (6, other.upper())]
+
+
+def order_of(spark, make, rows):
+    """The documents of rows (once each) in the operators' order, and which of them each row is."""
+    from wayfold.llm.common import keyed, tagged
+
+    keys = [(r._key, r._tag, r.text) for r in tagged(keyed(make(rows))).collect()]
+    return sorted(set(keys)), Counter(keys)
+
+
+def test_repeated_and_missing_ids(spark, make, odd):
+    docs, count = order_of(spark, make, odd)
+    assert sum(count.values()) == len(odd)
+    assert len(docs) == len({(i, t or "") for i, t in odd})
+    # windows of words, the first copy stays
+    texts = {k[:2]: split(k[2]) for k in docs}
+    first, _ = brute_windows(texts, 20)
+    want = Counter()
+    for k in docs:
+        gone = brute_cut(texts[k[:2]], k[:2], 20, lambda w, at: first[w] != at)
+        want[k[0], sum(gone), " ".join(w for w, g in zip(texts[k[:2]], gone, strict=True) if not g)] += count[k]
+    out = substring_dedup.substring_dedup(make(odd).repartition(5)).collect()
+    assert Counter((r._key, r.n_removed, r.kept_text) for r in out) == want
+    # strings of bytes, either way
+    data = {k[:2]: k[2].encode() for k in docs}
+    first, times = brute_windows(data, 100)
+    for stays in (True, False):
+        want = Counter()
+        for k in docs:
+            gone = brute_cut(data[k[:2]], k[:2], 100, (lambda w, at: first[w] != at) if stays else (lambda w, at: times[w] > 1))
+            want[k[0], sum(gone), bytes(b for b, g in zip(data[k[:2]], gone, strict=True) if not g)] += count[k]
+        out = suffix_dedup.suffix_dedup(make(odd).repartition(5), length=100, first_stays=stays).collect()
+        assert Counter((r._key, r.n_removed, bytes(r.kept)) for r in out) == want
+    # near copies: every text is a node
+    _, reach = brute_links([(n, k[2]) for n, k in enumerate(docs)], 4, 85, 100)
+    label = {n: min(docs[m][0] for m in reach if reach[m] == reach[n]) for n in reach}
+    out = ngram_jaccard.near_duplicates(make(odd).repartition(5)).collect()
+    assert Counter((r._key, r.component) for r in out) == Counter({(docs[n][0], label[n]): 0 for n in reach}) + sum((Counter({(docs[n][0], label[n]): count[docs[n]]}) for n in reach), Counter())
+    assert ngram_jaccard.keep_rows(make(odd)).count() == len({reach[n] for n in reach})
+
+
+def test_empty_tables(make, corpus):
+    none = make(corpus).where("false")
+    for f in (substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, ngram_jaccard.near_duplicates, exact_dedup.exact_dedup):
+        assert f(none).count() == 0
+    blank = make([(1, None), (2, ""), (2, " \n")])
+    assert substring_dedup.substring_dedup(blank).agg(F.sum("n_words")).first()[0] == 0
+    assert suffix_dedup.suffix_dedup(blank).agg(F.sum("n_bytes")).first()[0] == 2
+    assert [r.component == r._key for r in ngram_jaccard.near_duplicates(blank).collect()] == [True] * 3
+
+
+def test_very_long_texts_are_read_in_pieces(make):
+    import random
+
+    r = random.Random(2)
+    long = " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(3, 12))) for _ in range(650_000))
+    assert len(long) > 5 << 20
+    step = 1 << 18
+    spots = [step - 700, step - 10, 2 * step - 399, 4 * step - 200, 8 * step + 5, len(long) - 900]
+    rows = [(0, long)] + [(n + 1, "#" * 7 + long[p : p + 900] + "!" * 7) for n, p in enumerate(spots)] + [(90, long[3:])]
+    gone = [True] * 900
+    out = {x.doc_id: x for x in suffix_dedup.suffix_dedup(make(rows)).select("doc_id", "n_removed", "kept").collect()}
+    assert (out[0].n_removed, out[90].n_removed) == (0, len(long) - 3)
+    assert all(bytes(out[n + 1].kept) == b"#" * 7 + b"!" * 7 for n in range(len(spots)))
+    both = {x.doc_id: x.n_removed for x in suffix_dedup.suffix_dedup(make(rows), first_stays=False).select("doc_id", "n_removed").collect()}
+    assert both == {0: len(long) - 3, 90: len(long) - 3, **{n + 1: len(gone) for n in range(len(spots))}}
+    texts = {i: split(t) for i, t in rows}
+    first, _ = brute_windows(texts, 20)
+    found = {x.doc_id: x.n_removed for x in substring_dedup.substring_dedup(make(rows)).select("doc_id", "n_removed").collect()}
+    assert found == {i: sum(brute_cut(t, i, 20, lambda w, at: first[w] != at)) for i, t in texts.items()}
+    near = {x.doc_id: x.component for x in ngram_jaccard.near_duplicates(make([(0, long), (90, long[3:] + " more"), (91, "other words that are here")])).collect()}
+    assert near == {0: 0, 90: 0, 91: 91}
+
+
+def test_near_copies_and_a_passage_common_to_many(make, words):
+    import random
+
+    r = random.Random(9)
+    base, passage = words(120).split(), words(80)
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for _ in range(r.randint(0, 9)):
+            copy[r.randrange(len(copy))] = f"w{r.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    rows += [(500 + i, passage + " " + words(r.choice([0, 3, 8, 60]))) for i in range(160)]
+    sets, reach = brute_links(rows, 4, 85, 100)
+    out = ngram_jaccard.near_duplicates(make(rows)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component) for x in out} == {i: (len(sets[i]), reach[i]) for i in sets}
+
+
+def test_suffixes_and_factors_equal_brute_force():
+    import random
+
+    import numpy as np
+
+    r = random.Random(4)
+    for length in (3, 8, 13, 20):
+        for _ in range(30):
+            text = bytes(r.choice(b"ab") for _ in range(r.randint(length, 60)))
+            starts = np.array(sorted(r.sample(range(len(text) - length + 1), r.randint(1, len(text) - length + 1))))
+            s = suffix_dedup.Suffixes(np.frombuffer(text, np.uint8), starts, length)
+            cut = [text[a : a + length] for a in starts]
+            assert s.rank.tolist() == [sum(x < y for x in cut) for y in cut]
+            common = lambda x, y: next((k for k in range(length) if x[k] != y[k]), length)
+            assert s.factors(np.arange(len(starts))).tolist() == [max((common(cut[j], cut[k]) for j in range(k)), default=0) for k in range(len(cut))]
+    x = np.array(r.sample(range(50), 50))
+    assert suffix_dedup.previous_smaller(x).tolist() == [max((j for j in range(k) if x[j] < x[k]), default=-1) for k in range(50)]
+    assert suffix_dedup.previous_smaller(x, back=True).tolist() == [min((j for j in range(k + 1, 50) if x[j] < x[k]), default=-1) for k in range(50)]

@@ -91,10 +91,10 @@ def test_cotraining_teaches_with_all_rows(spark, monkeypatch):
 
 def test_cotraining_sums_over_tasks(spark):
     rng = np.random.default_rng(1)
-    codes = rng.integers(0, cotraining.BINS + 1, (3000, 14)).astype(np.uint8)
+    codes = rng.integers(0, cotraining.BINS + 1, (3000, len(cotraining.TEXT) + 3)).astype(np.uint8)
     order = rng.integers(-(2**62), 2**62, 3000)
     pool = spark.createDataFrame([(int(o), bytearray(c.tobytes())) for o, c in zip(order, codes, strict=True)], "order long, codes binary").repartition(7)
-    weights = [rng.normal(size=144), rng.normal(size=142)]
+    weights = [rng.normal(size=len(cotraining.TEXT) * 13 + 1), rng.normal(size=142)]
     cuts, sizes = cotraining.cut_offs(pool, [], weights, 0.5, 0.2, 0.9)
     past = [cotraining.Round(weights, cuts)]
     at = cotraining.places(codes)
@@ -160,3 +160,75 @@ def test_packing_keeps_every_word(make, corpus, shard):
         assert items[-1][0] + items[-1][1] == items[0][3] <= items[0][2]
     assert all(r.bin is None for r in out if r.length == 0)
     assert packing.pack(make([])).count() == 0
+
+
+def brute_cost(lengths, capacities, overhead, attention):
+    """The least cost of all partitions of a few lengths into bins."""
+    best = [float("inf")]
+
+    def put(k, bins):
+        if k == len(lengths):
+            best[0] = min(best[0], sum(packing.cost(next(c for c in capacities if c >= b), overhead, attention) for b in bins))
+            return
+        for j in range(len(bins)):
+            if bins[j] + lengths[k] <= capacities[-1]:
+                put(k + 1, bins[:j] + [bins[j] + lengths[k]] + bins[j + 1 :])
+        put(k + 1, [*bins, lengths[k]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_optimum_and_opens_several_sizes():
+    import random
+
+    r = random.Random(11)
+    ratios, opened = [], set()
+    for _ in range(60):
+        lengths = sorted((r.choice([r.randint(1, 8), r.randint(1, 32)]) for _ in range(r.randint(1, 8))), reverse=True)
+        out = packing.best_fit(lengths, (8, 16, 32), 2, 128)
+        total = sum(packing.cost(c, 2, 128) for c in {b: c for b, _, c in out}.values())
+        opened |= {c for *_, c in out}
+        ratios.append(total / brute_cost(lengths, (8, 16, 32), 2, 128))
+    assert opened == {8, 16, 32}
+    assert min(ratios) >= 1 - 1e-9 and max(ratios) < 1.5 and sum(ratios) / len(ratios) < 1.1
+    many = [r.randint(1, 600) for _ in range(3000)] + [r.randint(600, 4096) for _ in range(200)]
+    sizes = {b: c for b, _, c in packing.best_fit(sorted(many, reverse=True))}
+    assert len(set(sizes.values())) >= 3 and sum(many) / sum(sizes.values()) > 0.9
+
+
+def test_contents_of_bins_are_the_texts(make, corpus):
+    docs = make(corpus)
+    bins = packing.contents(packing.pack(docs, capacities=(64, 128), shard=10, with_text=True)).collect()
+    assert all(len(b.text.split(" ")) == b.fill <= b.capacity for b in bins)
+    want = sorted(w for _, t in corpus for w in re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert sorted(w for b in bins for w in b.text.split(" ")) == want
+
+
+def test_ftrl_equals_a_plain_loop():
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(r.randint(1, 9))).encode() for _ in range(80)]
+    labels = np.array([int(b"w1" in t.split()) for t in texts])
+    alpha, beta, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+    rows = [sorted({int(f) for f in toxicity.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1]}) for t in texts]
+    often = {f for f in {f for row in rows for f in row} if sum(f in row for row in rows) >= toxicity.MIN_DOCS}
+    z, n = {f: 0.0 for f in often} | {None: 0.0}, {f: 0.0 for f in often} | {None: 0.0}
+
+    def weight(f):
+        if f is None:
+            return -z[f] * alpha / (beta + n[f] ** 0.5)
+        return 0.0 if abs(z[f]) <= l1 else -(z[f] - np.sign(z[f]) * l1) / ((beta + n[f] ** 0.5) / alpha + l2)
+
+    for _ in range(toxicity.EPOCHS):
+        for row, y in zip(rows, labels, strict=True):
+            own = [f for f in row if f in often] + [None]
+            w = {f: weight(f) for f in own}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for f in own:
+                z[f] += g - ((n[f] + g * g) ** 0.5 - n[f] ** 0.5) / alpha * w[f]
+                n[f] += g * g
+    model = toxicity.fit(texts, labels)
+    want = {f: weight(f) for f in often if weight(f)}
+    assert dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(want)
+    assert model.bias == pytest.approx(weight(None))

@@ -45,8 +45,23 @@ def test_stages_against_brute_force(spark, tmp_path, words):
 
 
 def test_run_equals_its_stages(spark, tmp_path, words):
+    text = words(50)
+    docs = [(i, words(50) if i < 6 else text, "en", "s", 1) for i in range(8)]
+    toxic = [(100 + i, words(30) + " idiotish moronic scumlike", "en", "s", 1) for i in range(30)] + [(200 + i, words(40), "en", "s", 1) for i in range(30)]
+    spark.createDataFrame(docs + toxic, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i < 200)) for i, *_ in toxic], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    stage = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for k, (_, f) in enumerate(corpus_pipeline.STAGES):
+        f(spark, stage, str(tmp_path)).write.parquet(str(tmp_path / f"stage{k}"))
+        stage = spark.read.parquet(str(tmp_path / f"stage{k}"))
+    same = lambda df: sorted((r.doc_id, r.piece, r.length) for r in df.collect())
+    assert same(out) == same(stage)
+    assert {r.doc_id for r in out.collect()} == {*range(6), 7, *range(200, 230)}
+
+
+def test_all_documents_stay_where_no_label_tells_toxic_ones(spark, tmp_path, words):
     docs = [(i, words(50), "en", "s", 1) for i in range(8)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    # without labels no text is known to be clean, and a score of 0.5 rejects
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(8))

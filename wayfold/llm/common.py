@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,24 @@ def lower_ascii(col):
     return F.translate(col, UPPER, UPPER.lower())
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints, that of spark.checkpoint.dir.
 
-    A folder of our own is set only where the session has none, as in tests.
+    Without one, a session in a single process gets a temporary folder; on a cluster that would be another folder on
+    each machine, so it is an error there.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="wayfold-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="wayfold-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 
 from .common import cut, key_of
 
-#: Permitted sequence lengths in words, what a sequence costs besides its length, and pieces packed together.
-CAPACITIES, OVERHEAD, SHARD = (512, 1024, 2048, 4096), 16, 20_000
+#: Permitted sequence lengths in words, what a sequence costs besides its words, the length at which attention costs as
+#: much again as the words themselves, and pieces packed together.
+CAPACITIES, OVERHEAD, ATTENTION, SHARD = (512, 1024, 2048, 4096), 64, 16_384, 20_000
 
 
-def best_fit(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, int, int]]:
+def cost(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    """What a sequence of a capacity costs: a fixed part, its words, and attention among them."""
+    return overhead + capacity + capacity * capacity / attention
+
+
+def best_fit(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION) -> list[tuple[int, int, int]]:
     """(bin, offset, capacity) of each length, for lengths from 1 to the largest capacity in falling order.
 
     A length goes to the open bin with the least room that holds it. Where none does, a bin is opened of the capacity
-    with the least cost (capacity and overhead) per word that it can be expected to hold: this length, and shorter
-    ones still to come as far as they fit the room and there are enough of them. At last each bin gets the smallest
+    with the least cost per word that it can be expected to hold: this length, and shorter ones still to come as far
+    as they fit the room and there are enough of them. Long sequences spare fixed costs and short ones attention, so
+    which capacity is the cheapest depends on the length and on what is left. At last each bin gets the smallest
     capacity that holds its contents.
     """
     capacities = sorted(capacities)
@@ -44,9 +51,9 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overh
                 if c >= size:
                     short = len(lengths) - int(np.searchsorted(rising, c - size, "right"))
                     fill = size + min(c - size, rest[max(short, k + 1)] if max(short, k + 1) < len(rest) else 0)
-                    cost = (c + overhead) / fill
-                    if best is None or cost <= best:
-                        best, room = cost, c
+                    price = cost(c, overhead, attention) / fill
+                    if best is None or price <= best:
+                        best, room = price, c
             b = len(used)
             used.append(0)
             room_of.append(0)
@@ -59,37 +66,57 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overh
     return [(b, at, final[b]) for b, at in out]
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION, shard: int = SHARD, with_text: bool = False) -> DataFrame:
     """One row per piece of a document: doc_id, piece, start and length (words of the text), bin, position, capacity, fill.
 
+    with_text adds the piece's words, joined by one space, as text; contents() puts them together.
+
     Texts longer than the largest capacity are cut into pieces of it, all of which are packed. Pieces are dealt by hash
     into shards of about `shard` pieces, as many as the input needs, and each shard is packed by itself; a shard ends
     with a few unfilled bins, so the loss is bounded by the number of shards.
 
     Nulls and texts without words are one piece of length 0 that no bin holds (bin, position, capacity and fill are
-    null). Ids may be null; repeated rows are packed each; ties go by key and piece. An empty table gives an empty result.
+    null). Ids may be null; repeated rows are packed each and dealt like others; ties go by key and piece. A very long
+    text is counted whole in one task and then cut. Only the named columns are used, whatever others are called. An
+    empty table gives an empty result.
     """
     most = max(capacities)
-    words = F.regexp_count(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    rows = docs.select(key_of(id_col, text_col).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), words.alias("n"))
-    pieces = rows.select("_key", "doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {most}")))).alias("piece"))
-    pieces = pieces.select("_key", "doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - F.col("piece") * most).alias("length"))
-    pieces = cut(pieces)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    more = [F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0).alias("words")] if with_text else []
+    rows = docs.select(key_of(id_col, text_col).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), words.alias("n"), *more)
+    keep = ["words"] if with_text else []
+    pieces = rows.select("_key", "doc_id", "n", *keep, F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {most}")))).alias("piece"))
+    pieces = pieces.select("_key", "doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - F.col("piece") * most).alias("length"), *([F.array_join(F.expr(f"slice(words, cast(piece * {most} + 1 as int), {most})"), " ").alias("text")] if with_text else []))
+    pieces = cut(pieces.withColumn("_row", F.monotonically_increasing_id()))
     shards = max(1, -(-pieces.count() // shard))
-    dealt = pieces.where("length > 0").withColumn("shard", F.pmod(F.xxhash64("_key", "piece"), F.lit(shards)))
+    dealt = pieces.where("length > 0").withColumn("shard", F.pmod(F.xxhash64("_row"), F.lit(shards)))
+
+    names = ["doc_id", "piece", "start", "length", "bin", "position", "capacity", "fill", *(["text"] if with_text else [])]
 
     def packed(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("_key", "ascending"), ("piece", "ascending")])
-        bins, at, capacity = (np.array(x, np.int64) for x in zip(*best_fit(table["length"].to_pylist(), capacities, overhead), strict=True))
+        bins, at, capacity = (np.array(x, np.int64) for x in zip(*best_fit(table["length"].to_pylist(), capacities, overhead, attention), strict=True))
         fill = np.bincount(bins, table["length"].to_numpy()).astype(np.int64)[bins]
         bins = table["shard"].to_numpy() * (1 << 32) + bins
-        columns = [table[c] for c in ("doc_id", "piece", "start", "length")]
-        return pa.table([*columns, *map(pa.array, (bins, at, capacity, fill))], ["doc_id", "piece", "start", "length", "bin", "position", "capacity", "fill"])
+        columns = [table[c] for c in names[:4]]
+        return pa.table([*columns, *map(pa.array, (bins, at, capacity, fill)), *(table[c] for c in names[8:])], names)
 
-    schema = "doc_id long, piece long, start long, length long, bin long, position long, capacity long, fill long"
+    schema = "doc_id long, piece long, start long, length long, bin long, position long, capacity long, fill long" + (", text string" if with_text else "")
     out = dealt.groupBy("shard").applyInArrow(packed, schema)
     none = [F.lit(None).cast("long").alias(c) for c in ("bin", "position", "capacity", "fill")]
-    return out.unionByName(pieces.where("length <= 0").select("doc_id", "piece", "start", F.lit(0).cast("long").alias("length"), *none))
+    return out.unionByName(pieces.where("length <= 0").select("doc_id", "piece", "start", F.lit(0).cast("long").alias("length"), *none, *(["text"] if with_text else [])))
+
+
+def contents(packed: DataFrame) -> DataFrame:
+    """One row per bin of pack(with_text=True): bin, capacity, fill, pieces (doc_id, start, length in order), text.
+
+    A bin holds no more words than its capacity, so that no group is large.
+    """
+    inside = F.array_sort(F.collect_list(F.struct("position", "doc_id", "start", "length", "text")))
+    rows = packed.where("bin IS NOT NULL").groupBy("bin").agg(F.first("capacity").alias("capacity"), F.first("fill").alias("fill"), inside.alias("p"))
+    pieces = F.transform("p", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["start"].alias("start"), x["length"].alias("length")))
+    return rows.select("bin", "capacity", "fill", pieces.alias("pieces"), F.array_join(F.col("p.text"), " ").alias("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

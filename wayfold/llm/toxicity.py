@@ -164,7 +164,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_rows(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
-    """The rows of docs with a score below the limit, with all their columns."""
+    """The rows of docs with a score below the limit, with all their columns; all of them if the model knows nothing.
+
+    A model without weights and bias, fitted without labels, gives every text the same score of 0.5.
+    """
+    if not len(model.keys) and not model.bias:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
