@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfold.llm import exact_dedup, ngram_jaccard, packing, substring_dedup, toxicity
-from wayfold.llm.common import cut
+from wayfold.llm.common import shared_folder
 
 #: Words of a passage that counts as repeated.
 PASSAGE = 30
@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model accepts (score under 0.5)."""
+    """Documents that the toxicity model accepts (score under 0.5); all of them where no label says what is toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, f"NOT {toxicity.HELD_OUT}")
     return toxicity.keep_rows(docs.select(COLUMNS), model)
@@ -54,8 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what a stage keeps is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cut(spark.range(1))  # sets the folder where the session has none
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
