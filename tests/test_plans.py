@@ -31,3 +31,24 @@ def test_trips_are_recoded(spark):
     assert (r.opurp, r.dpurp, r.mode, r.path, r.role, r.dep_hhmm, r.arr, r.depart_time, r.o_zone, r.d_zone, r.d_parcel) == (0, 1, 7, 6, 3, 705, 510, "07:05:09", 5, -1, -1)
     places = spark.createDataFrame([(1, "a"), (9, "b")], "trip_id int, v string")
     assert sorted((p.v, p.pno) for p in week.attach_person(places, trips).collect()) == [("a", 1), ("b", None)]
+
+
+def test_further_jobs_and_own_words(spark):
+    from wayfold.operators import places
+
+    c = F.col
+    df = spark.createDataFrame([(1, 30, 20, 20), (2, 30, 20, 20), (3, 10, 10, 20), (0, 5, 5, 5)], "j int, a int, b int, c int")
+    assert [r[0] for r in df.select(places.hours_of_jobs(c("j"), c("a"), c("b"), c("c"))).collect()] == [30, 50, 40, None]
+    kinds = spark.createDataFrame([(97, " union class", 1, 40), (97, "GED", 1, 40), (97, "?", 1, 17), (None, None, 1, 20), (99, None, 1, 10), (97, "GED", 0, 40), (3, "GED", 1, 9)], "l int, w string, s int, a int")
+    assert [r[0] for r in kinds.select(places.school_level(c("l"), c("w"), c("s"), c("a"))).collect()] == [5, 4, 4, 5, 4, 97, 3]
+    df = spark.createDataFrame([(40, 2, 30, 40), (40, 2, 40, 10)], "age int, jobs int, first int, all int").withColumns({"ageb": F.lit(0), "works": F.lit(1), "student": F.lit(0), "school": F.lit(0)})
+    kind = places.person_type_8(c("age"), c("ageb"), c("works"), c("all"), c("student"), c("school"), c("first"))
+    assert [r[0] for r in df.select(kind).collect()] == ["FW", "PW"]
+    homes = spark.createDataFrame([(1, 9, 5, 5)], "hh int, htaz int, hx int, hy int")
+    people = spark.createDataFrame([(1, p, 40, None, 1, jobs, 10, 3, None, 7, 7, 8, 5, 6) for p, jobs in ((1, 1), (2, 2), (3, 3))], "hh int, pno int, age int, ageb int, works int, jobs int, hours int, wloc int, wtaz int, wx int, wy int, stude int, hours2 int, hours3 int")
+    seen = spark.createDataFrame([(1, 1, 97, "studying"), (1, 2, 5, None), (1, 3, 97, None)], "hh int, pno int, tpurp int, o_tpurp string")
+    out = places.clean_persons(people, homes, seen)
+    assert sorted((r.pno, r.hours2, r.hours3, r.student) for r in out.collect()) == [(1, 0, 0, 1), (2, 5, 0, 0), (3, 5, 6, 0)]
+    spots = spark.createDataFrame([(1, 1, 97, "x", w, 1, 2, 1, 1, 1) for w in ("eat", "Studying", "", "?", None)], "hh int, pno int, tpurp int, pname string, o_tpurp string, mode int, riders int, taz int, x int, y int")
+    got = places.clean_places(spots, people.select("hh", "pno", "wx", "wy"), homes)
+    assert [r.aggact for r in got.collect()] == ["EatOut", "School/University", "Discretionary", "NA", "NA"]

@@ -27,7 +27,17 @@ def test_schema_helpers(spark):
     assert tables.empty_like(df).count() == 0
     assert tables.repeated_keys(df, ["depart_seconds"]).count() == 1
     assert tables.repeated_keys(df, ["k"]).count() == 0
-    assert Config(app_only=True).weight("trip_weight") == "trip_weight_rmove_only"
+    assert Config(app_only=True).weight("trip_weight") == "trip_weight_app_only"
+    assert Config(app_only=True, app_suffix="_x").weight("w") == "w_x"
+
+
+def test_append_to_a_table(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    spark.sql("DROP TABLE IF EXISTS appended_rows")
+    tables.append(df, "appended_rows")
+    tables.append(df.withColumn("k", df.k + 1), "appended_rows")
+    assert sorted(r.k for r in spark.table("appended_rows").collect()) == [1, 2]
+    spark.sql("DROP TABLE appended_rows")
 
 
 def test_stream_of_person_days(spark, tmp_path):

@@ -25,6 +25,36 @@ ACTIVITIES = {
     "School/University": (11, 12), "Shopping": (15, 16, 17), "EatOut": (21,), "Discretionary": (10, 22, 23, 24), "Social/Visit": (25,), "NA": (96, 97),
 }
 MODES = {"WALK": (1,), "BIKE/MOPED": (2, 11), "DRIVER": (3,), "PASSENGER": (4,), "LOCALBUS": (5,), "EXPRESSBUS": (6,), "RAIL": (7,), "TAXI": (8, 9), "SCHOOLBUS": (10,), "OTHER": (97,)}
+# fixed values: what a purpose in the person's own words is
+OWN_WORDS = {
+    "Maintenance": ("ACCOMPANY", "ACCOMPANY PARENT", "AUTO ACCIDENT", "HOUSE HUNTING", "LOCATING/FINDING THIS PLACE", "PRACTICE"),
+    "School/University": ("ADULT DAYCARE", "AFTER SCHOOL PROGRAM", "ATTEND CLASS", "BEFORE SCHOOL PROGRAM", "DAYCARE", "GRADUATION", "ORIENTATION", "SCHOOL FUNCTION", "SCHOOL RELATED", "STUDYING"),
+    "Shopping": ("CARPOOL",),
+    "Escorting": (
+        "DROP OFF CHILD", "DROP OFF CHILDREN", "DROP OFF GRANDCHILDREN", "DROP OFF HH MEMBER", "PICK UP CHILD", "PICK UP CHILDREN", "PICK UP GRANDCHILD",
+        "PICK UP GRANDCHILDREN", "PICK UP HH MEMBER",
+    ),
+    "EatOut": ("EAT",),
+    "Home": ("HOMESCHOOLED",),
+    "Discretionary": (
+        "CLARINET LESSON", "CUB SCOUTS", "BALLET LESSON", "ENTERTAINMENT", "GIRL SCOUTS", "GUITAR LESSON", "HORSEBACK LESSONS", "MUSIC LESSON", "MUSIC REHEARSAL",
+        "PIANO LESSONS", "VACATION", "VIOLIN LESSON", "ZITHER LESSON", "ROAD TRIP", "SIGHTSEEING", "TRAVELING", "AIRPORT", "ASKING FOR DIRECTIONS", "BABYSITTER",
+        "BABYSITTING", "BATHROOM STOP", "BEING BABYSAT", "BEING DROPPED OFF", "BEING PICKED UP", "CELL PHONE CALL-STOPPED", "CO-OP PICK UP", "CO-OP PICKUP", "HOTEL",
+        "LEFT-CHANGED MIND", "LEFT-CLOSED", "LEFT-FORGOT PHONE", "LEFT-NO ONE HOME", "LEFT-TOO CROWDED", "LEFT-WRONG OFFICE", "OUT OF AREA", "OUT OF TOWN",
+        "SECOND HOME", "VOLUNTEERING", "WAITING", "SLEEP", "FUNERAL", "GRAVE", "",
+    ),
+}
+# fixed values: the level of a school in the person's own words: 5 after high school, 4 high school and the like
+SCHOOLS = {
+    5: (
+        "CONTINUING EDUCATION", "FRESHMAN IN COLLEGE", "BIBLE COLLEGE", "SPANISH CLASS", "TAX PROFESSIONAL COURSE", "REAL ESTATE CLASS", "TRAINING PROGRAM",
+        "ENGLISH CLASSES", "PHOTOGRAPHY CLASSES", "INSTITUTE", "UNION CLASS", "ADULT EDUCATION", "CNA TRAINING", "ART SCHOOL",
+    ),
+    4: (
+        "GED", "CERTIFICATE PROGRAM", "CERTIFICATION", "MENTAL HEALTH SCHOOL", "SPECIAL", "DISABILITY SUPPORT GROUP", "MINISTERIAL SCHOOL", "MENTAL HEALTH PROGRAM",
+        "SPECIAL NEEDS PROGRAM",
+    ),
+}
 # fixed values: words that tell a stop
 STOP_WORDS = ["BUS STOP", "TRANSIT STOP", "STATION"]
 # fixed values: mode codes of tours from the most to the least important
@@ -39,10 +69,13 @@ def labelled(c: Column, table: dict[str, tuple]) -> Column:
 def clean_persons(persons: DataFrame, households: DataFrame, places: DataFrame) -> DataFrame:
     """works, jobs, hours, work place and student of persons, with what is missing filled in.
 
-    persons: hh, pno, age, ageb, works, jobs, hours, wloc, wtaz, wx, wy, stude; households: hh, htaz, hx, hy; places:
-    hh, pno, tpurp. Home workers work at home; persons of unknown status are students if they visit a school.
+    persons: hh, pno, age, ageb, works, jobs, hours, wloc, wtaz, wx, wy, stude, and, if there, hours2 and hours3 of
+    further jobs, 0 for those who lack them; households: hh, htaz, hx, hy; places: hh, pno, tpurp, and, if there,
+    o_tpurp. Home workers work at home; persons of unknown status are students if they visit a school.
     """
     school = F.col("tpurp").isin(11, 12)
+    if "o_tpurp" in places.columns:
+        school |= F.coalesce(F.upper(F.trim("o_tpurp")).isin(*OWN_WORDS["School/University"]), F.lit(False))
     seen = places.groupBy(*PERSON).agg(F.max(school).alias("_school"), F.max(~school).alias("_other"))
     homes = households.select("hh", F.col("htaz").alias("_ht"), F.col("hx").alias("_hx"), F.col("hy").alias("_hy"))
     rows = persons.join(seen, PERSON, "left").join(homes, "hh", "left")
@@ -58,11 +91,33 @@ def clean_persons(persons: DataFrame, households: DataFrame, places: DataFrame)
             "wtaz": F.coalesce(F.col("wtaz"), F.when(at_home, F.col("_ht")), F.lit(9999)), "wx": place("wx", "_hx"), "wy": place("wy", "_hy"),
         }
     )
+    no_job = {"hours2": F.lit(1), "hours3": F.lit(2)}
+    for c, most in no_job.items():
+        if c in persons.columns:
+            without = ((F.col("works") == 1) & F.col("jobs").between(1, most)) | ((F.col("works") == 2) & (F.col("jobs") == 0))
+            rows = rows.withColumn(c, F.when(without, 0).otherwise(F.col(c)))
     return rows.drop("_school", "_other", "_ht", "_hx", "_hy")
 
 
-def person_type_8(age: Column, ageb: Column, works: Column, hours: Column, student: Column, school: Column) -> Column:
-    """US, DS, FW, PW, NW, RE, ND or PS by the first rule that holds, else NA; hours are those of all jobs."""
+def hours_of_jobs(jobs: Column, hours: Column, hours2: Column, hours3: Column) -> Column:
+    """The hours of as many jobs as a person has, three at most; null without a job."""
+    return cases((jobs == 1, hours), (jobs == 2, hours + hours2), (jobs >= 3, hours + hours2 + hours3))
+
+
+def school_level(level: Column, own_words: Column, student: Column, age: Column) -> Column:
+    """The level of a student's school: other ones (97) by their words, missing ones by age; others keep theirs."""
+    words = F.upper(F.trim(own_words))
+    told = cases(*((words.isin(*texts), code) for code, texts in SCHOOLS.items()))
+    missing = level.isNull() | level.isin(98, 99)
+    return cases(((student == 1) & (level == 97), F.coalesce(told, F.when(age >= 19, 5).otherwise(4))), ((student == 1) & missing, F.when(age >= 19, 5).otherwise(4)), default=level)
+
+
+def person_type_8(age: Column, ageb: Column, works: Column, hours: Column, student: Column, school: Column, first_job: Column | None = None) -> Column:
+    """US, DS, FW, PW, NW, RE, ND or PS by the first rule that holds, else NA.
+
+    hours are those of all jobs (hours_of_jobs); the rules for persons of unknown kind ask for those of the first job.
+    """
+    first_job = hours if first_job is None else first_job
     known, adult = (age < 998), ((age >= 16) & (age < 998)) | ageb.isin(1, 2)
     worker, idle = works == 1, works == 2
     return cases(
@@ -74,8 +129,8 @@ def person_type_8(age: Column, ageb: Column, works: Column, hours: Column, stude
         (idle & (student == 0) & (((age >= 65) & known) | (ageb == 1)), "RE"),
         (age.between(6, 15), "ND"),
         (age < 6, "PS"),
-        ((age >= 19) & worker & (hours >= 35), "FW"),
-        ((age >= 19) & worker & (hours < 35), "PW"),
+        ((age >= 19) & worker & (first_job >= 35), "FW"),
+        ((age >= 19) & worker & (first_job < 35), "PW"),
         ((age <= 30) & idle & (student == 1), "US"),
         (age.between(30, 64) & idle, "NW"),
         ((age >= 65) & known & idle, "RE"),
@@ -88,7 +143,8 @@ def clean_places(places: DataFrame, persons: DataFrame, households: DataFrame) -
     """aggact and modename of places: hh, pno, tpurp, pname, o_tpurp, mode, riders, taz, x, y.
 
     Places at home's coordinates and zone are home; waiting at a stop is a change of mode; work is work at the usual
-    work place and related to it elsewhere; a driver is whoever rides alone.
+    work place and related to it elsewhere; other purposes (NA) go by the person's own words; a driver is whoever
+    rides alone.
     """
     home = households.select("hh", F.col("hx").alias("_hx"), F.col("hy").alias("_hy"), F.col("htaz").alias("_ht"))
     usual = persons.select(*PERSON, F.col("wx").alias("_wx"), F.col("wy").alias("_wy"))
@@ -102,6 +158,8 @@ def clean_places(places: DataFrame, persons: DataFrame, households: DataFrame) -
     rows = rows.withColumn("tpurp", cases((at_home & (~p.isin(1, 2, 3, 96, 97) | ((p == 96) & named_home)), 3), (waiting, 4), default=p))
     label = labelled(F.col("tpurp"), ACTIVITIES)
     rows = rows.withColumn("aggact", cases((F.coalesce(at_work, F.lit(False)) & F.col("tpurp").isin(10, 13), WORK), (F.coalesce(away, F.lit(False)) & F.col("tpurp").isin(8, 9), "WorkRelated"), default=label))
+    told = labelled(F.upper(F.trim("o_tpurp")), OWN_WORDS)
+    rows = rows.withColumn("aggact", F.when(F.col("aggact") == "NA", F.coalesce(told, F.col("aggact"))).otherwise(F.col("aggact")))
     rows = rows.withColumn("mode", F.when((F.col("riders") == 1) & (F.col("mode") == 4), 3).otherwise(F.col("mode")))
     return rows.withColumn("modename", labelled(F.col("mode"), MODES)).drop("_hx", "_hy", "_ht", "_wx", "_wy")
 

@@ -191,7 +191,7 @@ def household_summary(spark, folder):
     from .week import household_counts
 
     p = source.diary(spark, folder).groupBy(*PERSON).agg((F.max("k") % 8 + 1).alias("ptype"))
-    return household_counts(p)
+    return household_counts(p, p.select("hh").distinct())
 
 
 @query("SELECT c_custkey, CASE WHEN n_regionkey IN (1, 3) AND c_acctbal > 0 THEN c_nationkey ELSE -1 END AS zone FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -703,7 +703,7 @@ def clean_persons(spark, folder):
 _CP = """WITH p AS (SELECT o_orderkey AS id, o_custkey // 3 AS hh, (o_custkey % 3)::INT AS pno, ([1, 4, 5, 8, 10, 13, 15, 21, 25, 96, 97])[o_orderkey % 11 + 1] AS tpurp, (['HOME', 'Main St bus stop', 'station road', 'shop', NULL])[o_orderkey % 5 + 1] AS pname, CASE WHEN o_orderkey % 2 = 0 THEN 'waiting' END AS o_tpurp, (o_orderkey % 11 + 1)::INT AS mode, (o_orderkey % 3)::INT AS riders, (o_orderkey % 2)::INT AS taz, (o_orderkey % 3)::INT AS x, (o_orderkey % 4)::INT AS y FROM orders),
 j AS (SELECT *, x = hh % 3 AND y = hh % 4 AND taz = hh % 2 AS home, x = pno AND y = hh % 4 AS work, x <> pno AND y <> hh % 4 AS away, upper(pname) AS pn FROM p),
 q AS (SELECT *, CASE WHEN home AND (tpurp NOT IN (1, 2, 3, 96, 97) OR (tpurp = 96 AND coalesce(pn = 'HOME', false))) THEN 3 WHEN (tpurp = 96 AND coalesce(pn LIKE '%BUS STOP%' OR pn LIKE '%TRANSIT STOP%' OR pn LIKE '%STATION%', false)) OR (tpurp = 97 AND upper(o_tpurp) = 'WAITING' AND coalesce(pn LIKE '%BUS STOP%' OR pn LIKE '%STATION%', false)) THEN 4 ELSE tpurp END AS t, CASE WHEN riders = 1 AND mode = 4 THEN 3 ELSE mode END AS m FROM j)
-SELECT id, t AS tpurp, CASE WHEN work AND t IN (10, 13) THEN 'Work' WHEN away AND t IN (8, 9) THEN 'WorkRelated' WHEN t IN (1, 2, 3) THEN 'Home' WHEN t = 4 THEN 'ChangeMode' WHEN t IN (5, 6) THEN 'Escorting' WHEN t IN (8, 9) THEN 'Work' WHEN t = 13 THEN 'WorkRelated' WHEN t IN (15, 16, 17) THEN 'Shopping' WHEN t = 21 THEN 'EatOut' WHEN t = 10 THEN 'Discretionary' WHEN t = 25 THEN 'Social/Visit' WHEN t IN (96, 97) THEN 'NA' END AS aggact,
+SELECT id, t AS tpurp, CASE WHEN work AND t IN (10, 13) THEN 'Work' WHEN away AND t IN (8, 9) THEN 'WorkRelated' WHEN t IN (1, 2, 3) THEN 'Home' WHEN t = 4 THEN 'ChangeMode' WHEN t IN (5, 6) THEN 'Escorting' WHEN t IN (8, 9) THEN 'Work' WHEN t = 13 THEN 'WorkRelated' WHEN t IN (15, 16, 17) THEN 'Shopping' WHEN t = 21 THEN 'EatOut' WHEN t = 10 THEN 'Discretionary' WHEN t = 25 THEN 'Social/Visit' WHEN t IN (96, 97) THEN CASE WHEN upper(o_tpurp) = 'WAITING' THEN 'Discretionary' ELSE 'NA' END END AS aggact,
   CASE WHEN m = 1 THEN 'WALK' WHEN m IN (2, 11) THEN 'BIKE/MOPED' WHEN m = 3 THEN 'DRIVER' WHEN m = 4 THEN 'PASSENGER' WHEN m = 5 THEN 'LOCALBUS' WHEN m = 6 THEN 'EXPRESSBUS' WHEN m = 7 THEN 'RAIL' WHEN m IN (8, 9) THEN 'TAXI' WHEN m = 10 THEN 'SCHOOLBUS' END AS modename FROM q"""
 
 

@@ -174,7 +174,8 @@ def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1,
     expansion. trips: the segments of both, drive-transit ones split, with tour_no, half, tseg, day and expansion.
     person_days: complete days with trips, tours and stops by purpose. patterns: the same over all days of a person.
     """
-    rows = trips if "weight" in trips.columns and config.weighted else trips.withColumn("weight", F.lit(1.0))
+    name = config.weight("weight")
+    rows = trips.withColumn("weight", F.col(name) if name in trips.columns and config.weighted else F.lit(1.0))
     heads = sequence.chain_heads(sequence.activity_duration(rows), config.link_minutes, config.short_link_minutes)
     linked = sequence.journeys(heads)
     walked = sequence.activity_duration(linked.withColumnRenamed("trip", "seq"))
