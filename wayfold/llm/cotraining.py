@@ -27,13 +27,15 @@ NOT_SURE = LEVELS * LEVELS
 #: Bits of a float that are left out where measurements are counted.
 CELL = 14
 
-TEXT = ("symbols", "bars", "marks", "capitals", "digits", "stops", "lines", "word_length", "distinct", "echo", "words")
+#: Slots of hashed words: the text view sees which share of a text's words falls into each.
+WORDS = 8
+TEXT = ("symbols", "bars", "marks", "capitals", "digits", "stops", "lines", "word_length", "distinct", "echo", "words", *(f"words_{k}" for k in range(WORDS)))
 META = ("chars",)
 _CLASSES = [np.isin(np.arange(256), list(chars.encode())) for chars in ("#*$%&<>@^~", "|", "!?", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:", "\n")]
 
 
 def measurements(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The TEXT measurements of each text, one row each: shares of kinds of bytes, and how words repeat."""
+    """The TEXT measurements of each text, one row each: shares of kinds of bytes, and how words repeat and which there are."""
     words = Words(buf, offsets, lower=True)
     n = np.maximum(words.counts, 1)
     size = np.maximum(np.diff(offsets), 1)
@@ -44,7 +46,8 @@ def measurements(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     same = np.zeros(len(words.hash), bool)
     same[1:] = words.hash[1:] == words.hash[:-1]
     echo = np.diff(np.concatenate([[0], np.cumsum(same)])[words.first]) / n
-    return np.column_stack([*shares, length, distinct, echo, np.log2(words.counts + 1.0)])
+    slots = np.bincount(words.doc_of() * WORDS + (words.hash % np.uint64(WORDS)).astype(np.int64), minlength=len(n) * WORDS).reshape(-1, WORDS) / n[:, None]
+    return np.column_stack([*shares, length, distinct, echo, np.log2(words.counts + 1.0), slots])
 
 
 class View(NamedTuple):
