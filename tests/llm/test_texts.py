@@ -94,6 +94,8 @@ def test_bpe_rows(make, corpus, tokenizer):
     library, _ = tokenizer
     path = public_tokenizers.path(bpe.VOCABULARY)
     out = bpe.decode(bpe.encode(make(corpus), path), path).collect()
+    assert Counter(bpe.round_trip(make(corpus), path).collect()) == Counter(out)
+    assert bpe.round_trip(make([]), path).count() == 0
     want = [(i, library.encode(t or "", add_special_tokens=False).ids) for i, t in corpus]
     assert Counter((r.doc_id, r.ids, r.decoded) for r in out) == Counter((i, np.array(x, "<u4").tobytes(), library.decode(x, skip_special_tokens=False)) for i, x in want)
 

@@ -130,7 +130,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """One row per row of docs: doc_id, ids binary (little-endian unsigned 32-bit integers, no special tokens added).
 
     Strings of special tokens inside texts become these tokens. Nulls and empty texts have no ids; ids may be null and
-    rows may repeat; only the named columns are used; an empty table gives an empty result.
+    rows may repeat; only the named columns are used, whatever others are called; a very long text is held whole in
+    one task, word by word; an empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(WordBPE(path))
 
@@ -157,9 +158,23 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids binary, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode(encode(docs)) in one pass: doc_id, ids, decoded."""
+    model = docs.sparkSession.sparkContext.broadcast(WordBPE(path))
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = model.value
+        for batch in slices(batches):
+            ids = [bpe.encode(t.as_py() or "") for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.mapInArrow(both, "doc_id long, ids binary, decoded string")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    out = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path), path)
+    out = round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
     return out.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
