@@ -232,3 +232,12 @@ def test_ftrl_equals_a_plain_loop():
     want = {f: weight(f) for f in often if weight(f)}
     assert dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(want)
     assert model.bias == pytest.approx(weight(None))
+
+
+def test_parts_of_a_long_text_have_all_features(words):
+    text = np.frombuffer(" ".join(f"{words(9)} z{i}" for i in range(90_000)).encode(), np.uint8)
+    assert len(text) > 3 * toxicity.CHUNK
+    whole = np.unique(toxicity.features(text, np.array([0, len(text)]))[1])
+    parts = list(toxicity.feature_parts(text, np.array([0, len(text)])))
+    assert len(parts) > 3
+    assert np.array_equal(np.unique(np.concatenate([h for _, h in parts])), whole)

@@ -20,7 +20,8 @@ MIN_DOCS = 3
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 3.0, 0.0
 #: Bytes of the word beginnings that count as stems.
 STEMS = (4, 6)
-CHUNK = 1 << 20
+#: Bytes of texts that are looked at together, and bytes in which the last three words before a part are looked for.
+CHUNK, BACK = 1 << 20, 1 << 12
 #: Training texts whose features are merged at a time.
 BLOCK = 500
 _U = np.uint64
@@ -57,6 +58,24 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(docs), np.concatenate(out)
 
 
+def feature_parts(buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """features() of the texts; those of one long text come in parts, with the last words of a part again in the next."""
+    n, p = len(buf), 0
+    if len(offsets) > 2 or n <= 2 * CHUNK:
+        yield features(buf, offsets)
+        return
+    while p < n:
+        q = min(n, p + CHUNK)
+        while q < n and _WORD[buf[q - 1]] and _WORD[buf[q]]:
+            q += 1
+        back = max(0, p - BACK)
+        word = _WORD[buf[back:p]]
+        begins = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+        a = back + int(begins[-3]) if len(begins) >= 3 else back
+        yield features(buf[a:q], np.array([0, q - a]))
+        p = q
+
+
 class Model(NamedTuple):
     """Weights that L1 has left, by sorted feature hash."""
 
@@ -69,13 +88,15 @@ class Model(NamedTuple):
         n = len(offsets) - 1
         total = np.full(n, self.bias)
         if len(self.keys) and len(buf):
-            doc, h = features(buf, offsets)
             seen = np.zeros(1 << 16, bool)  # most features are none of the model's: look at 16 bits first
             seen[self.keys & _U(0xFFFF)] = True
-            maybe = np.flatnonzero(seen[h & _U(0xFFFF)])
-            at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
-            hit = self.keys[at] == h[maybe]
-            pair = np.unique(doc[maybe][hit] * len(self.keys) + at[hit])
+            pairs = []
+            for doc, h in feature_parts(buf, offsets):
+                maybe = np.flatnonzero(seen[h & _U(0xFFFF)])
+                at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
+                hit = self.keys[at] == h[maybe]
+                pairs.append(np.unique(doc[maybe][hit] * len(self.keys) + at[hit]))
+            pair = np.unique(np.concatenate(pairs))
             np.add.at(total, pair // len(self.keys), self.weights[pair % len(self.keys)])
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
@@ -83,7 +104,8 @@ class Model(NamedTuple):
 def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> Model:
     """FTRL-proximal: every coordinate has its own rate, falling with its gradients, and L1 keeps most at zero."""
     def distinct(text: bytes) -> np.ndarray:
-        return np.unique(features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[1]) if text else np.zeros(0, _U)
+        parts = feature_parts(np.frombuffer(text, np.uint8), np.array([0, len(text)])) if text else ()
+        return np.unique(np.concatenate([np.zeros(0, _U), *(np.unique(h) for _, h in parts)]))
 
     # texts are read twice, as most features are rare: only those in MIN_DOCS documents or more are ever kept
     counts = np.zeros(1 << 24, np.uint8)
@@ -148,7 +170,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per row of docs: _key, doc_id, score (0 to 1, higher: more likely toxic).
 
     Nulls and empty texts get the score of a text without features. Rows that repeat are scored each; an empty table
-    gives an empty result; without any labels every score is 0.5.
+    gives an empty result; without any labels every score is 0.5. Very long texts are looked at in parts. Only the named columns are
+    used, whatever others are called.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
