@@ -833,3 +833,41 @@ def week_pipeline_persons(spark, folder):
     none = F.lit(None).cast("double")
     rows = rows.withColumns({**{f"{p}_{z}": (F.col("hh") + n).cast("int") for p in ("work", "school") for n, z in enumerate(("zone", "parcel"))}, "work_x": none, "work_y": none, "school_x": 1.0 * F.col("pno"), "school_y": none})
     return person_output(reformat_persons(rows, completeness(source.diary(spark, folder)), Config(counties=(1, 3))))
+
+
+# joint tours of a household whose ends another one shares
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN (count(*) FILTER (c_custkey % 3 > 0) OVER (PARTITION BY c_nationkey, c_custkey % 11, c_custkey % 7) > 1)::INT END AS identify FROM customer")
+def identify_joint_tours(spark, folder):
+    (c,) = tables(spark, folder, "customer")
+    k = F.col("c_custkey")
+    rows = c.select(k, F.col("c_nationkey").alias("hh"), (k % 3 > 0).cast("int").alias("fully_joint"), (k % 11).alias("o"), (k % 7).alias("d"))
+    return joint.identified(rows, ["o", "d"]).select("c_custkey", "identify")
+
+
+@query("""WITH p AS (SELECT c_custkey AS point_id, 'home' AS role, (c_custkey % 131) / 20.0 - 0.5 AS x, (c_custkey % 97) / 16.0 - 0.5 AS y FROM customer
+  UNION ALL SELECT c_custkey, 'work', (c_custkey % 89) / 15.0 - 0.5, (c_custkey % 113) / 18.0 - 0.5 FROM customer),
+z AS (SELECT n_nationkey AS zone_id, n_nationkey % 5 + 0.1 AS x1, n_nationkey % 5 + 0.8 AS x2, n_nationkey // 5 + 0.1 AS y1, n_nationkey // 5 + 0.8 AS y2 FROM nation),
+n AS (SELECT point_id, role, zone_id, sqrt(greatest(x1 - x, 0, x - x2) ** 2 + greatest(y1 - y, 0, y - y2) ** 2) AS d FROM p, z),
+b AS (SELECT *, row_number() OVER (PARTITION BY point_id, role ORDER BY round(d, 9), zone_id) AS r FROM n WHERE d <= 0.3)
+SELECT point_id, max(zone_id) FILTER (role = 'home' AND r = 1) AS home_zone, max(zone_id) FILTER (role = 'work' AND r = 1) AS work_zone FROM (SELECT DISTINCT point_id FROM p) LEFT JOIN b USING (point_id) GROUP BY point_id""")
+def zones_of_roles(spark, folder):
+    c, n = tables(spark, folder, "customer", "nation")
+    k = F.col("c_custkey")
+    points = c.select(k.alias("point_id"), ((k % 131) / 20.0 - 0.5).alias("hx"), ((k % 97) / 16.0 - 0.5).alias("hy"), ((k % 89) / 15.0 - 0.5).alias("wx"), ((k % 113) / 18.0 - 0.5).alias("wy"))
+    a, b = (F.col("n_nationkey") % 5).cast("double"), F.expr("cast(n_nationkey div 5 as double)")
+    corner = [(a + i, b + j) for i, j in ((0.1, 0.1), (0.8, 0.1), (0.8, 0.8), (0.1, 0.8), (0.1, 0.1))]
+    edges = F.array(*(F.struct(p[0].alias("x1"), p[1].alias("y1"), q[0].alias("x2"), q[1].alias("y2")) for p, q in zip(corner, corner[1:], strict=False)))
+    zones = n.select(F.col("n_nationkey").alias("zone_id"), edges.alias("edges"))
+    return spatial.nearest_zones(points, zones, 0.3, {"home": ("hx", "hy"), "work": ("wx", "wy")}).select("point_id", "home_zone", "work_zone")
+
+
+@query("""SELECT c_custkey, CASE jobs WHEN 1 THEN h WHEN 2 THEN h + h % 7 WHEN 3 THEN h + h % 7 + h % 5 END AS hours,
+  CASE WHEN student = 1 AND level = 97 THEN CASE word WHEN 'GED' THEN 4 WHEN 'INSTITUTE' THEN 5 ELSE CASE WHEN age >= 19 THEN 5 ELSE 4 END END WHEN student = 1 AND (level IS NULL OR level IN (98, 99)) THEN CASE WHEN age >= 19 THEN 5 ELSE 4 END ELSE level END AS level
+FROM (SELECT c_custkey, (c_custkey % 4)::INT AS jobs, (c_custkey % 50)::INT AS h, (c_custkey % 2)::INT AS student, (c_custkey % 30)::INT AS age, ([97, 98, NULL, 3, 97])[c_custkey % 5 + 1] AS level, (['GED', 'INSTITUTE', 'elsewhere'])[c_custkey % 3 + 1] AS word FROM customer)""")
+def jobs_and_schools(spark, folder):
+    (c,) = tables(spark, folder, "customer")
+    k, of = F.col("c_custkey"), (lambda e: e.cast("int"))
+    h = of(k % 50)
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), of(k % len(values)))
+    level = places.school_level(pick([97, 98, None, 3, 97]), pick(["GED", "INSTITUTE", "elsewhere"]), of(k % 2), of(k % 30))
+    return c.select("c_custkey", places.hours_of_jobs(of(k % 4), h, h % 7, h % 5).alias("hours"), level.alias("level"))
