@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -581,6 +583,22 @@ def child_tours(spark, folder):
     return places.child_tours(places.tour_records(coded(spark, folder)), places.number_work_subtours(numbered)).select(*PERSON, "tour", "tour_id", "child_ids")
 
 
+# the same for subtours, whose rows lie between two work places
+_BELOW = re.sub(r"\b(pa|pm|ps|pb|pr)\b", lambda m: f"q{m[1][1]}", PRIMARY[PRIMARY.index("pa AS (SELECT nt.*") :])
+for _old, _new in {"FROM nt WHERE tour > 0": "FROM ws WHERE subtour > 0", "nt.*": "ws.*", "PARTITION BY hh, pno, tour": "PARTITION BY hh, pno, tour, subtour", "tour_idx": "subtour_idx", "USING (hh, pno, tour)": "USING (hh, pno, tour, subtour)", "SELECT hh, pno, tour, subtour_idx AS bi": "SELECT hh, pno, tour, subtour, subtour_idx AS bi"}.items():
+    _BELOW = _BELOW.replace(_old, _new)
+
+
+@query(RECORDS.replace(NUMBERED, WORKSUB, 1) + ", " + _BELOW + f""", qc AS (SELECT *, {MODE_CODE} AS code FROM (SELECT *, [modename] AS modes FROM qr)),
+sr AS (SELECT hh, pno, tour, subtour, arg_min(CASE WHEN "primary" = 1 THEN aggact END, CASE WHEN "primary" = 1 THEN subtour_idx END) AS purpose, {list(places.MODE_ORDER)}[min(CASE WHEN subtour_idx > 1 THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver FROM qc GROUP BY hh, pno, tour, subtour)
+SELECT sr.*, rec.tour_id + sr.subtour AS tour_id, rec.tour_id AS parent_tour_id, rec.tour_mode AS parent_mode FROM sr LEFT JOIN rec ON rec.hh = sr.hh AND rec.pno = sr.pno AND rec.tour = sr.tour""")
+def subtour_record(spark, folder):
+    code = places.mode_code(F.array("modename"), F.col("toll"), F.col("riders"))
+    below = places.number_work_subtours(places.number_tours(visited(spark, folder))).withColumn("code", code)
+    out = places.subtour_records(places.tour_records(coded(spark, folder)), below, scores_table(spark))
+    return out.select(*PERSON, "tour", "subtour", "purpose", "tour_mode", "places", "driver", "tour_id", "parent_tour_id", "parent_mode")
+
+
 @query(CODED + """, tw AS (SELECT *, max(CASE WHEN "primary" = 1 THEN tour_idx END) OVER g AS l, min(CASE WHEN "primary" = 1 THEN tour_idx END) OVER g AS f, count(*) OVER g AS cn, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(aggact) OVER w AS pa FROM cd WINDOW g AS (PARTITION BY hh, pno, tour), w AS (PARTITION BY hh, pno, tour ORDER BY tour_idx))
 SELECT hh, pno, tour, tour_idx - 1 AS trip, pa AS opurp, aggact AS dpurp, px AS ox, py AS oy, x, y, code, coalesce((tour_idx > l)::INT, 0) AS inbound, CASE WHEN tour_idx > l THEN cn - l ELSE coalesce(f, cn) - 1 END AS trips_on_journey, cn - 1 AS trips_on_tour, CASE WHEN code BETWEEN 1 AND 6 THEN riders END AS auto_occ FROM tw WHERE tour_idx > 1""")
 def trip_record(spark, folder):
