@@ -54,7 +54,8 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     Turns are collected, sorted by turn, and neighbours of one role merged into one block. The loss mask covers each
     text of a loss role, without control strings. Null texts and roles are empty; null turns come first; turns with
     the same number are sorted by role and text, and repeated rows are turns of their own. Rows without a conversation
-    id form one conversation. Other columns are not used; an empty table gives an empty result.
+    id form one conversation. Very long texts are formatted whole; a conversation's turns are in one task. Other columns
+    are not used, whatever their names; an empty table gives an empty result.
     """
     rows = turns.select(
         F.col(f"`{conv}`").cast("long").alias("conv_id"),

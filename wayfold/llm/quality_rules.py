@@ -66,8 +66,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The measurements and fail_bits (long): bit k is set if rule k fails. Every rule is evaluated once.
 
-    Nulls and empty texts have no words and fail few_words only. Rows that repeat are judged each; only the named
-    columns are used; an empty table gives an empty ledger.
+    Nulls and empty texts have no words and fail few_words only. Rows that repeat are judged each; a very long text is
+    measured whole, in one task. Only the named columns are used, whatever others are called; an empty table gives an
+    empty ledger.
     """
     bits = " + ".join(f"CASE WHEN {condition} THEN {BIT[name]}L ELSE 0L END" for name, condition in RULES)
     return measure(docs, id_col, text_col).withColumn("fail_bits", F.expr(bits))
