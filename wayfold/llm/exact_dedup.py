@@ -36,7 +36,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     keep: "max" or "min" doc_id stays. Nulls: a null text equals an empty one; a null id loses against any id, and
     keep_id is null only if no row of the group has one. Repeated rows (same id and text) count in group_size and one
-    of them stays. Only the named columns are used; an empty table gives an empty result.
+    of them stays. Very long texts are hashed whole and go no further than that. Only the named columns are used, whatever
+    others are called; an empty table gives an empty result.
     """
     text = normalise(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     ids = F.col(f"`{id_col}`").cast("long")
