@@ -15,6 +15,7 @@ _MODULES = {
     "op8_ngram_jaccard": "ngram_jaccard",
     "op9_quality_rules": "quality_rules",
     "op10_best_fit_packing": "packing",
+    "op11_periodic_runs": "periodic_runs",
 }
 
 
