@@ -86,13 +86,13 @@ def test_documents_equal_brute_force(spark, make, corpus, words):
 
 def test_a_very_long_text_and_none_at_all(spark, make, words):
     part = words(5000)
-    n = len(part.split())
+    n = len(words_of(part))
     head = words(100) + " <"
     text = " ".join([head, part, part, part, part, ">", words(100)])
     (r,) = P.periodic_runs(make([(1, text)])).collect()
-    a = len(text.split())
-    assert [tuple(x) for x in r.runs if x.period == n] == [(len(head.split()), 4 * n, n)]
-    assert r.n_words == a and len(r.collapsed.split()) == a - 3 * n
+    a = len(words_of(text))
+    assert [tuple(x) for x in r.runs if x.period == n] == [(len(words_of(head)), 4 * n, n)]
+    assert r.n_words == a and len(words_of(r.collapsed)) == a - 3 * n
     assert P.digests(P.periodic_runs(make([]))).count() == 0
     with pytest.raises(ValueError, match="three periods"):
         P.periodic_runs(make([]), min_repeats=2)
