@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import IS_SPACE, batch_bytes, chunks, slices
+from .words import IS_SPACE, batch_bytes, chunks, slices, tokens
 
 #: A run has at least so many words, and at least so many times its period.
 MIN_WORDS, MIN_REPEATS = 24, 3
@@ -86,20 +86,6 @@ def repeated_words(n: int, start: np.ndarray, length: np.ndarray, period: np.nda
     return np.cumsum(edges[:n]) > 0
 
 
-def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """All words of some texts, and the bounds of the documents in them."""
-    space = IS_SPACE[buf]
-    begin = ~space
-    edge = np.zeros(len(buf) + 1, bool)
-    edge[offsets] = True
-    begin[1:] &= space[:-1] | edge[1:-1]
-    data = buf[~space]
-    start = np.flatnonzero(begin)
-    bounds = np.append((np.cumsum(~space) - 1)[start], len(data)).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
-    return words, np.searchsorted(start, offsets)
-
-
 def periodic_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_repeats: int = MIN_REPEATS, order: Callable[[int | None, int], np.ndarray | None] | None = None
 ) -> DataFrame:
@@ -119,7 +105,7 @@ def periodic_runs(
         raise ValueError("shorter runs than three periods aren't proposed")
 
     def part(ids: list, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
-        words, first = _words(buf, offsets)
+        words, first = tokens(buf, offsets, ~IS_SPACE)
         if order is not None:
             each = []
             for i, a, b in zip(ids, first[:-1], first[1:], strict=True):

@@ -16,6 +16,7 @@ _MODULES = {
     "op9_quality_rules": "quality_rules",
     "op10_best_fit_packing": "packing",
     "op11_periodic_runs": "periodic_runs",
+    "op12_language_id": "language_id",
 }
 
 

@@ -269,3 +269,15 @@ def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
 def batch_bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """text_bytes of a batch's texts."""
     return text_bytes(pa.array(texts_of(batch), pa.large_binary()) if "z" in batch.schema.names else batch.column("text"))
+
+
+def tokens(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(tokens, first): maximal runs of the bytes marked in `inside`, within documents; document d has first[d] to first[d + 1]."""
+    held = inside[buf]
+    begin = held.copy()
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[offsets] = True
+    begin[1:] &= ~held[:-1] | edge[1:-1]
+    start, data = np.flatnonzero(begin), buf[held]
+    bounds = np.append((np.cumsum(held) - 1)[start], len(data)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]), np.searchsorted(start, offsets)
