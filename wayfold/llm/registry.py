@@ -17,6 +17,7 @@ _MODULES = {
     "op10_best_fit_packing": "packing",
     "op11_periodic_runs": "periodic_runs",
     "op12_language_id": "language_id",
+    "op13_ranked_search": "ranked_search",
 }
 
 
