@@ -267,3 +267,68 @@ def test_subtour_records_follow_their_tour(spark):
     out = place.place_pipeline(visited(spark, ["Home", "Work", "EatOut", "Work", "Home", "Shopping", "Home"], ["DRIVER", "DRIVER", "WALK", "WALK", "DRIVER", "WALK", "WALK"]), scores)
     assert rows(out.records, "tour", "tour_id", "tour_mode", "driver", "child_ids") == [(1, 1, 1, 1, "2"), (2, 3, 7, 1, "")]
     assert rows(out.subtour_records, "tour", "subtour", "tour_id", "purpose", "tour_mode", "parent_tour_id", "parent_mode") == [(1, 1, 2, "EatOut", 7, 1, 1)]
+
+
+def plain_link(a, b, minutes, limit=35, short=15):
+    """The mode of two segments as one, or None; what linked_mode says, for numbers."""
+    walk, drive, transit = {0, 1, 2}, {3, 4, 5, 9}, {6, 7}
+    if minutes is None:
+        return None
+    if minutes <= limit and ((a in walk and b == 6) or (a == 6 and b in walk)):
+        return 6
+    if minutes <= limit and ((a in walk | drive and b in transit) or (b in walk | drive and a in transit)):
+        return 7
+    return max(a, b) if (minutes <= limit and a in transit and b in transit) or minutes <= short else None
+
+
+def test_chains_equal_a_loop_whatever_the_blocks(spark, monkeypatch):
+    import random
+
+    r = random.Random(11)
+    data, want = [], []
+    for pno in range(12):
+        n = r.choice([1, 2, 5, 40, 90])
+        chain, mode, into = None, None, None
+        for seq in range(1, n + 1):
+            purpose, m, stay, more = r.choice([10, 10, 10, 10, 10, 10, 1]), r.randrange(10), r.choice([5, 15, 16, 30, 35, 36, None]), int(seq < n)
+            both = plain_link(mode, m, into) if mode is not None else None
+            chain, mode = (chain, both) if both is not None else (seq, m)
+            data.append((1, pno, seq, purpose, m, stay, more))
+            want.append((pno, seq, chain, mode))
+            into = (14400 if stay is None else stay) if purpose == 10 and more else None
+    t = spark.createDataFrame(data, "hh int, pno int, seq int, dpurp int, mode int, act_dur int, has_next int").repartition(3)
+    for block in (2, 3, 128):
+        monkeypatch.setattr(sequence, "BLOCK", block)
+        assert rows(sequence.chain_heads(t), "pno", "seq", "chain", "chain_mode") == sorted(want, key=repr)
+
+
+def test_parties_equal_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    data = [(i, r.choice([1, 1, 2]), r.choice([1, 2]), r.randrange(5), r.choice([None, *range(90, 130)]), r.randrange(100, 112), r.choice([1, 1, None]), r.choice([1, 2])) for i in range(300)]
+    names = "event_id int, hh int, day int, pno int, dep int, arr int, ox int, x int"
+    df = spark.createDataFrame(data, names)
+    for minutes, day in ((4, None), (4, "day"), (0, None), (7, "day")):
+        got = rows(joint.detect_parties(df, minutes, places=("ox", "x"), day=day), "event_id", "party_text")
+        want = []
+        for i, hh, d, p, dep, arr, ox, x in data:
+            mates = {q for _, h2, d2, q, e2, a2, o2, x2 in data if h2 == hh and (day is None or d2 == d) and None not in (ox, dep, e2) and (o2, x2) == (ox, x) and q != p and abs(e2 - dep) <= minutes and abs(a2 - arr) <= minutes}
+            want.append((i, ".".join(map(str, [p, *sorted(mates)]))))
+        assert got == sorted(want, key=repr)
+
+
+def test_long_chains_and_crowded_departures_take_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        t = spark.range(n).select(F.lit(1).alias("hh"), F.lit(1).alias("pno"), (F.col("id") + 1).cast("int").alias("seq"), F.lit(10).alias("dpurp"), (F.col("id") % 9).cast("int").alias("mode"), F.lit(5).alias("act_dur"), F.lit(1).alias("has_next"))
+        began = time.time()
+        assert sequence.chain_heads(t).where("linked_on = 1").count() > 0
+        crowd = t.select("hh", "seq", (F.col("seq") % 4).alias("pno"), (F.col("seq") % 7).alias("dep"), (F.col("seq") % 11).alias("arr"), F.lit(1).alias("ox"))
+        assert joint.detect_parties(crowd, places=("ox",)).where("size(party) = 4").count() == n
+        return time.time() - began
+
+    seconds(20_000)
+    small, large = (min(seconds(n) for _ in range(2)) for n in (50_000, 200_000))
+    assert large < 2.3**2 * small

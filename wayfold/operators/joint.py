@@ -13,21 +13,29 @@ ADULTS = ("FW", "PW", "US", "NW", "RE")
 MANDATORY = ("School", "University", "Work", "WorkRelated")
 
 
-def detect_parties(trips: DataFrame, minutes: int = 4, times: tuple[str, str] = ("dep", "arr"), places: tuple[str, ...] = ("ox", "oy", "x", "y")) -> DataFrame:
+def detect_parties(trips: DataFrame, minutes: int = 4, times: tuple[str, str] = ("dep", "arr"), places: tuple[str, ...] = ("ox", "oy", "x", "y"), day: str | None = None) -> DataFrame:
     """trips with party: the person first, then the other members with a trip between the same places at the same times.
 
-    Members are matched within the household by equal places; times may differ by `minutes`. Several matching trips of
-    one member count once; a trip without places has no company.
+    Members are matched within the household by equal places, on the same day if its column is named; times may differ
+    by `minutes`. Several matching trips of one member count once; a trip without places has no company.
+
+    This is a band join: a member's distinct times are listed in the cell of both times, `minutes` wide, and in the
+    cells around it, and a trip looks up its own cell. A cell lists no more than each member's times in 3 x 3 cells,
+    however many trips there are, and a crowded one is a key of few rows on one side, so Spark can split the other.
     """
-    # a window over the minutes around each departure: trips aren't joined with themselves, and only those in it are held
-    same = F.collect_list(F.struct("pno", *times)).over(W.partitionBy("hh", *places).orderBy(F.col(times[0]).cast("long")).rangeBetween(-minutes, minutes))
-    rows = trips.withColumn("_all", F.when(F.col(places[0]).isNotNull(), same))
-    for p in places[1:]:
-        rows = rows.withColumn("_all", F.when(F.col(p).isNotNull(), F.col("_all")))
+    width = max(1, minutes)
+    keys = ["hh", *([day] if day else []), *places]
+    cells = [F.floor(F.col(t) / width).cast("long").alias(f"_{k}") for k, t in enumerate(times)]
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
+    rows = trips.select("*", *cells)
+    members = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in ("_0", "_1", "pno", *keys))).select(*keys, "pno", *times, "_0", "_1").distinct()
+    listed = members.select(*keys, "pno", *times, around("_0"), "_1").select(*keys, "pno", *times, "_0", around("_1"))
+    listed = listed.groupBy(*keys, "_0", "_1").agg(F.collect_set(F.struct("pno", *times)).alias("_all"))
+    rows = rows.join(listed, [*keys, "_0", "_1"], "left")
     close = lambda o: (o["pno"] != F.col("pno")) & (F.abs(o[times[0]] - F.col(times[0])) <= minutes) & (F.abs(o[times[1]] - F.col(times[1])) <= minutes)
     others = F.array_sort(F.array_distinct(F.transform(F.filter("_all", close), lambda o: o["pno"])))
     party = F.concat(F.array("pno"), F.coalesce(others, F.array().cast("array<int>")))
-    return rows.withColumn("party", party).drop("_all").withColumn("party_text", F.array_join("party", "."))
+    return rows.select(*trips.columns, party.alias("party")).withColumn("party_text", F.array_join("party", "."))
 
 
 def classify_joint_tours(trips: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006

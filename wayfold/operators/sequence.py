@@ -1,8 +1,8 @@
 """Ordered trips of persons: neighbours, durations, linked chains and unwrapped clocks.
 
 Windows are partitioned by the household first, so that one shuffle serves person and household operators. Where a
-result depends on itself, a running value says so (clocks), or rows are first cut into islands that can't depend on each
-other, and only an island's rows are folded (chains).
+result depends on itself, a running value says so (clocks), or rows are cut into blocks that are composed as functions
+of what they are entered with (chains).
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from ..sources.diary import CHANGE, HOME, PERSON, WORK
 
 WALK, DRIVE, TRANSIT, DRIVE_TRANSIT = (0, 1, 2), (3, 4, 5, 9), 6, 7
 OTHER = 4
-#: Results of a fold that are held in one array before the next one is begun.
-CHUNK = 128
+#: Rows of a block, and blocks of a group, that linked chains are worked through in. Modes are numbers below MODES.
+BLOCK, MODES = 128, 16
 
 
 def by_person(order: str = "seq", keys: list[str] = PERSON) -> W:
@@ -63,37 +63,45 @@ def chain_heads(trips: DataFrame, limit: int = 35, short: int = 15) -> DataFrame
     """trips (with act_dur, has_next) with chain (the head's seq), chain_mode so far, and linked_on: 1 if the next joins.
 
     A row whose purpose is a change of mode can be linked to the next one. Rows up to the first one that cannot are an
-    island; the fold carries the mode that the chain has come to.
+    island. Whether a row joins depends on the mode that its chain has come to, so an island's rows depend on each
+    other; they are worked through in blocks of BLOCK rows. A block is a function of the mode that it is entered with,
+    held as an array over MODES. Functions of blocks are composed within groups of BLOCK blocks and these over the
+    island, which tells every block its mode; only then are the rows of a block, all blocks alike, looked at one by one.
     """
     w = by_person()
+    so_far = w.rowsBetween(W.unboundedPreceding, 0)
     can = (F.col("dpurp") == CHANGE) & (F.col("has_next") == 1)
-    cut = F.coalesce(F.lag(can.cast("int")).over(w), F.lit(0)) == 0
-    rows = trips.withColumn("_can", can).withColumn("_island", F.sum(cut.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    islands = rows.groupBy(*PERSON, "_island").agg(F.array_sort(F.collect_list(F.struct("seq", *(c for c in rows.columns if c not in (*PERSON, "seq", "_island"))))).alias("rows"))
-
-    entry = "struct<chain:int,chain_mode:int>"
-    state = F.struct(
-        F.lit(None).cast("int").alias("chain"),
-        F.lit(None).cast("int").alias("mode"),
-        F.lit(None).cast("int").alias("minutes"),
-        F.array().cast(f"array<array<{entry}>>").alias("done"),
-        F.array().cast(f"array<{entry}>").alias("open"),
-    )
+    rows = trips.withColumns({"_in": F.lag(F.when(can, F.coalesce("act_dur", F.lit(DAY * 10)))).over(w), "_block": F.expr(f"cast((row_number() OVER (PARTITION BY {', '.join(PERSON)} ORDER BY seq) - 1) div {BLOCK} AS int)")})
+    rows = rows.withColumn("_island", F.sum(F.col("_in").isNull().cast("int")).over(so_far))
+    rest = [c for c in rows.columns if c not in (*PERSON, "seq", "_island", "_block")]
+    blocks = rows.groupBy(*PERSON, "_island", "_block").agg(F.array_sort(F.collect_list(F.struct("seq", *rest))).alias("rows"))
+
+    join = lambda mode, r: linked_mode(mode, r["mode"], r["_in"], limit, short)
+    same = F.array(*map(F.lit, range(MODES)), F.lit(None).cast("int"))
+    at = lambda f, mode: F.get(f, F.when(mode.between(0, MODES - 1), mode).otherwise(MODES))
+    then = lambda f, g: F.transform(f, lambda mode: at(g, mode))
+    of_island, of_group = (W.partitionBy(*PERSON, "_island", *more) for more in ([], ["_group"]))
+    before = lambda v: v.rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_group", F.expr(f"_block div {BLOCK}")).withColumn("_more", F.count("*").over(of_island) > 1)
+    blocks = blocks.withColumn("_f", F.when(F.col("_more"), F.aggregate("rows", same, lambda f, r: F.transform(f, lambda mode: F.coalesce(join(mode, r), r["mode"]).cast("int")))))
+    in_group = of_group.orderBy("_block")
+    blocks = blocks.withColumns({"_before": F.collect_list("_f").over(before(in_group)), "_last": F.lead("_block").over(in_group).isNull()})
+    blocks = blocks.withColumn("_to", F.when(F.col("_more"), F.aggregate("_before", same, then))).drop("_before")
+    blocks = blocks.withColumn("_groups", F.collect_list(F.when(F.col("_last"), then(F.col("_to"), F.col("_f")))).over(before(of_island.orderBy("_group", "_block"))))
+    entered = F.when(F.col("_more"), at(F.col("_to"), F.aggregate("_groups", F.lit(None).cast("int"), lambda mode, f: at(f, mode))))
+
+    entry = "array<struct<chain:int,chain_mode:int>>"
+    state = F.struct(F.lit(None).cast("int").alias("chain"), F.col("_entered").alias("mode"), F.array().cast(entry).alias("out"))
 
     def step(s: Column, r: Column) -> Column:
-        both = linked_mode(s["mode"], r["mode"], s["minutes"], limit, short)
+        both = join(s["mode"], r)
         chain, mode = F.when(both.isNotNull(), s["chain"]).otherwise(r["seq"]).cast("int"), F.coalesce(both, r["mode"]).cast("int")
-        minutes = F.when(r["_can"], F.coalesce(r["act_dur"], F.lit(DAY * 10))).cast("int")
-        # results are gathered CHUNK by CHUNK, so that a step doesn't copy all those before it
-        new = F.array(F.struct(chain.alias("chain"), mode.alias("chain_mode")))
-        full = F.size(s["open"]) >= CHUNK
-        done, open_ = F.when(full, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]), F.when(full, new).otherwise(F.concat(s["open"], new))
-        return F.struct(chain.alias("chain"), mode.alias("mode"), minutes.alias("minutes"), done.alias("done"), open_.alias("open"))
-
-    all_of = lambda s: F.flatten(F.concat(s["done"], F.array(s["open"])))
-    # rows and results go on together, so nothing is joined back
-    done = islands.select(*PERSON, "_island", "rows", F.aggregate("rows", state, step, all_of).alias("out"))
+        return F.struct(chain.alias("chain"), mode.alias("mode"), F.concat(s["out"], F.array(F.struct(chain.alias("chain"), mode.alias("chain_mode")))).alias("out"))
+
+    # rows and results go on together, so nothing is joined back; a chain that an earlier block began is filled in
+    done = blocks.withColumn("_entered", entered).select(*PERSON, "rows", F.aggregate("rows", state, step, lambda s: s["out"]).alias("out"))
     out = done.select(*PERSON, F.explode(F.arrays_zip("rows", "out")).alias("z")).select(*PERSON, "z.rows.*", "z.out.*").select(*trips.columns, "chain", "chain_mode")
+    out = out.withColumn("chain", F.last("chain", ignorenulls=True).over(so_far))
     return out.withColumn("linked_on", F.coalesce((F.lead("chain").over(w) == F.col("chain")).cast("int"), F.lit(0)))
 
 
