@@ -9,12 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .words import BYTE_HASH, mix, pieces, powers, prefix_hash, slices, text_bytes, tokens
 
-#: Documents of a language that the filters are made from, at most: those with the smallest hashes of their ids.
+#: Documents of a language that the filters are made from, about: those with the smallest hashes of their ids.
 MAX_TRAIN = 3_000
 #: Languages that are learned at most, the most frequent ones.
 MAX_LANGS = 256
@@ -66,12 +65,15 @@ def text_words(column: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndarra
 
 
 def _sample(docs: DataFrame, where: str, max_train: int) -> DataFrame:
-    """(lang, text) of documents to learn from: up to max_train of each of the most frequent languages, by hashes of ids."""
+    """(lang, text) of documents to learn from: of the most frequent languages, those with the smallest hashes of their ids.
+
+    A language of n documents gives those whose hash is in the first max_train / n of all hashes, so documents are only
+    counted by language; no task sees all of a language.
+    """
     rows = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(where)
-    order = F.xxhash64("doc_id")
-    ranked = rows.select("lang", order.alias("h")).withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(f"n <= {max_train}")
-    cuts = ranked.groupBy("lang").agg(F.max("h").alias("cut"), F.max("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    return rows.join(F.broadcast(cuts.select("lang", "cut")), "lang").where(order <= F.col("cut")).select("lang", "text")
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31).cast("long")) / (1 << 31)
+    return rows.join(F.broadcast(sizes), "lang").where(share * F.col("count") < max_train).select("lang", "text")
 
 
 def _doc_counts(sample: DataFrame) -> DataFrame:
@@ -137,7 +139,7 @@ class Filters(NamedTuple):
 
 
 def train(docs: DataFrame, where: str = "true", max_train: int = MAX_TRAIN) -> Filters:
-    """The filters of a table (doc_id, text, lang), made of at most max_train documents of each language.
+    """The filters of a table (doc_id, text, lang), made of some max_train documents of each language, all if there are fewer.
 
     where: SQL condition of rows to learn from. Rows without id or language aren't; rows that repeat count as often as
     they come. Documents are counted and filters put together by Spark; what comes to the driver are the filters, 2 **
