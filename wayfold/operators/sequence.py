@@ -114,13 +114,14 @@ def journeys(chains: DataFrame, recode_dangling: bool = False) -> DataFrame:
     """One row per journey: origin of its first segment, destination of its last, mode, largest path, segments.
 
     A journey that ends at a change of mode gets the purpose 4, unless segments were linked and no next one exists
-    (then it stays 10, or becomes 4 with recode_dangling). A single segment that is no change of mode and begins at
+    (then it stays 10, or becomes 4 with recode_dangling). Zones, parcels and role are taken along if there are any. A single segment that is no change of mode and begins at
     one gets the origin purpose 4 if it is the person's first or the last trip was the same day or the day before.
     """
     w = by_person()
     rows = chains.withColumn("_gap", F.col("day_ix") - F.lag("day_ix").over(w))
     at = lambda c, f: f(c, "seq").alias(c)
     heads, tails = ["day", "day_ix", "dep", "opurp", "ox", "oy", "_gap"], ["arr", "dpurp", "x", "y", "has_next"]
+    heads, tails = heads + [c for c in ("otaz", "opcl", "role") if c in chains.columns], tails + [c for c in ("dtaz", "dpcl") if c in chains.columns]
     out = rows.groupBy(*PERSON, "chain").agg(
         *(at(c, F.min_by) for c in heads), *(at(c, F.max_by) for c in tails), F.max_by("chain_mode", "seq").alias("mode"), F.max("path").alias("path"), F.count("*").alias("segments")
     )
@@ -173,6 +174,32 @@ def classify_ends(trips: DataFrame) -> DataFrame:
     return rows.withColumn("opurp", cases((F.col("chained") == 1, F.col("opurp")), (F.col("otype") == 1, HOME), (F.col("otype") == 2, WORK), default=OTHER))
 
 
+def settle_ends(trips: DataFrame) -> DataFrame:
+    """trips with otype and dtype (1 home, 2 usual work, 4 other, 5 missing) and both ends written over by what is known.
+
+    trips: both ends (ox, oy, otaz, opcl; x, y, dtaz, dpcl) as reported, and the person's places (hx, hy, htaz, hpcl;
+    wx, wy, wtaz, wpcl); -1 is missing. A destination at home gets the zone and parcel of the home. An origin is the
+    last destination, with its purpose; of the first trip, and after a day without trips, it is home or work with all
+    of their columns if it was reported so (home also by its place), else an unknown place of purpose 4.
+    """
+    c = F.col
+    same = lambda a, b, d, e: near_equal(c(a), c(d)) & near_equal(c(b), c(e))
+    known = lambda a, b: (c(a) != -1) & (c(b) != -1)
+    at_home = (c("dpurp") == HOME) | (same("x", "y", "hx", "hy") & known("x", "y"))
+    at_work = (c("dpurp") == WORK) | (same("x", "y", "wx", "wy") & known("x", "y"))
+    rows = trips.withColumn("dtype", cases((at_home, 1), (at_work, 2), (known("x", "y"), 4), default=5))
+    home = c("dtype") == 1
+    rows = rows.withColumns({"dtaz": F.when(home, c("htaz")).otherwise(c("dtaz")), "dpcl": F.when(home, c("hpcl")).otherwise(c("dpcl"))})
+    w = by_person()
+    ends = {"ox": ("x", "hx", "wx", -1), "oy": ("y", "hy", "wy", -1), "otaz": ("dtaz", "htaz", "wtaz", 0), "opcl": ("dpcl", "hpcl", "wpcl", 0), "otype": ("dtype", None, None, 5), "opurp": ("dpurp", None, None, OTHER)}
+    rows = rows.withColumns({"_before": F.lag(F.struct(*(e[0] for e in ends.values()))).over(w), "_chained": F.coalesce(c("day_ix") - F.lag("day_ix").over(w) <= 1, F.lit(False))})
+    from_home = (c("opurp") == HOME) | (same("ox", "oy", "hx", "hy") & known("ox", "oy"))
+    rows = rows.withColumn("_from", cases((c("_chained"), 0), (from_home, 1), (c("opurp") == WORK, 2), default=3))
+    at = {"otype": (1, 2), "opurp": (HOME, WORK)}
+    value = lambda n: cases((c("_from") == 0, c(f"_before.{ends[n][0]}")), (c("_from") == 1, c(ends[n][1]) if ends[n][1] else at[n][0]), (c("_from") == 2, c(ends[n][2]) if ends[n][2] else at[n][1]), default=ends[n][3])
+    return rows.withColumns({n: value(n) for n in ends}).drop("_before", "_chained", "_from")
+
+
 def unwrap_clock(trips: DataFrame, last_end: int = 1680) -> DataFrame:
     """dep and arr as minutes that don't fall within a contiguous run, and end: the next departure, or last_end.
 

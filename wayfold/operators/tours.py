@@ -24,6 +24,15 @@ def returns(anchor: int) -> Column:
     return (F.col("opurp") != anchor) & (F.col("dpurp") == anchor)
 
 
+def leaves_type(kind: int) -> Column:
+    """Trips from a place of the kind (1 home, 2 usual work) to another one, by the types of settled ends."""
+    return (F.col("otype") == kind) & (F.col("dtype") != kind)
+
+
+def returns_type(kind: int) -> Column:
+    return (F.col("otype") != kind) & (F.col("dtype") == kind)
+
+
 def with_tours(trips: DataFrame, departs: Column, arrives: Column, keys: list[str] = PERSON, day: str = "day_ix", max_gap: int = 1, name: str = "tour") -> DataFrame:
     """trips with tour (from 1), start and end (seq) of the tour they belong to, null outside of tours.
 
@@ -59,12 +68,13 @@ def priority(purpose: Column, student: Column | None = None) -> Column:
     return cases((purpose == 1, F.when(student, 2).otherwise(1)), (purpose == 2, F.when(student, 1).otherwise(2)), (purpose == 3, 3), default=4)
 
 
-def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None) -> DataFrame:
+def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False) -> DataFrame:
     """The trips of tours with pseq and pdpurp, the primary destination, and arrive and leave (seq).
 
     Of all trips but the one that closes the tour: the most important purpose, then the longest stay (act_dur), then
     the earliest. On work tours arrive and leave are the first arrival at work and the last departure from it, else
-    the primary destination and the trip after it.
+    the primary destination and the trip after it. With usual they are so at the usual workplace only (types of settled
+    ends): the first arrival there up to the primary destination, the last departure after it.
     """
     t = W.partitionBy(*keys)
     inner = F.col("seq") < F.col("end")
@@ -73,7 +83,12 @@ def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | N
     rows = members.withColumns({"_p": best, "_a": F.min(F.when(F.col("dpurp") == WORK, F.col("seq"))).over(t), "_l": F.max(F.when(F.col("opurp") == WORK, F.col("seq"))).over(t)})
     rows = rows.withColumns({"pseq": F.col("_p.seq"), "pdpurp": F.col("_p.dpurp")})
     work = F.col("pdpurp") == WORK
-    return rows.withColumns({"arrive": F.when(work, F.col("_a")).otherwise(F.col("pseq")), "leave": F.when(work, F.coalesce("_l", F.col("pseq") + 1)).otherwise(F.col("pseq") + 1)}).drop("_p", "_a", "_l")
+    if usual:
+        seq = F.col("seq")
+        first, last = F.min(F.when((F.col("dtype") == 2) & (seq <= F.col("pseq")), seq)).over(t), F.max(F.when((F.col("otype") == 2) & (seq > F.col("pseq")), seq)).over(t)
+        rows = rows.withColumns({"_a": first, "_l": last, "_there": F.coalesce(F.max((seq == F.col("pseq")) & (F.col("dtype") == 2)).over(t), F.lit(False))})
+        work &= F.col("_there")
+    return rows.withColumns({"arrive": F.when(work, F.col("_a")).otherwise(F.col("pseq")), "leave": F.when(work, F.coalesce("_l", F.col("pseq") + 1)).otherwise(F.col("pseq") + 1)}).drop("_p", "_a", "_l", "_there")
 
 
 def primary_destination(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None) -> DataFrame:
@@ -86,11 +101,15 @@ def work_anchor(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     return with_primary(members, keys).where("seq = pseq").select(*keys, "pseq", "pdpurp", "arrive", "leave")
 
 
-def subtour_trips(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
-    """The trips of tours from work and back to it between the arrival at work and the last departure, with subtour, start, end."""
-    rows = with_primary(members, keys).where((F.col("pdpurp") == WORK) & (F.col("leave") > F.col("arrive") + 1))
+def subtour_trips(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False, max_gap: int = 1) -> DataFrame:
+    """The trips of tours from work and back to it between the arrival at work and the last departure, with subtour, start, end.
+
+    With usual, they go from the usual workplace (types of settled ends) and back to it.
+    """
+    rows = with_primary(members, keys, student, usual).where((F.col("pdpurp") == WORK) & (F.col("leave") > F.col("arrive") + 1))
     inside = rows.where("seq > arrive AND seq <= leave").drop("start", "end", "pseq", "pdpurp", "arrive", "leave")
-    return with_tours(inside, leaves(WORK), returns(WORK), keys=keys, name="subtour").where("subtour IS NOT NULL")
+    out, back = (leaves_type(2), returns_type(2)) if usual else (leaves(WORK), returns(WORK))
+    return with_tours(inside, out, back, keys=keys, name="subtour", max_gap=max_gap).where("subtour IS NOT NULL")
 
 
 def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
@@ -98,9 +117,9 @@ def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     return subtour_trips(members, keys).where("seq = start").select(*keys, "subtour", "start", "end")
 
 
-def with_halves(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
+def with_halves(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False) -> DataFrame:
     """with_primary, and half (1 out, 2 back, null for the stay at the primary destination) and tseg (from 1) in it."""
-    rows = with_primary(members, keys).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2))
+    rows = with_primary(members, keys, student, usual).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2))
     return rows.withColumn("tseg", F.row_number().over(W.partitionBy(*keys, "half").orderBy("seq")))
 
 
@@ -113,20 +132,31 @@ def tour_summary(halved: DataFrame, max_stops: int = 20, keys: list[str] = TOUR)
     """One row per tour of with_halves: start, end, pseq, pdpurp, day, mode1, mode2, stops1, stops2, tmode, tpath.
 
     The mode of a half is its largest, with the path of the first such trip; the tour has the larger one, of equal ones
-    the outbound one. The day is the one that most trips have, of equal ones the first.
+    the outbound one. The day is the one that most trips have, of equal ones the first. Of trips with settled ends and
+    unwrapped clocks the ends come, too: leave_home, arrived, left, returned (structs of minute, type, parcel, zone, x, y).
     """
     rows = halved.withColumn("_k", F.count("*").over(W.partitionBy(*keys, "day")))
     on = lambda h: (F.col("half") == h) & (F.col("tseg") <= max_stops)
     out = rows.groupBy(*keys).agg(
         *(F.first(c).alias(c) for c in ("start", "end", "pseq", "pdpurp")), F.max_by("day", F.struct("_k", -F.col("day"))).alias("day"),
         *(F.max_by(F.when(on(h), F.struct("mode", "path")), F.when(on(h), F.struct("mode", -F.col("tseg")))).alias(f"_{h}") for h in (1, 2)),
-        *(F.greatest(F.count_if(on(h)) - 1, F.lit(0)).alias(f"stops{h}") for h in (1, 2)),
+        *(F.greatest(F.count_if(on(h)) - 1, F.lit(0)).alias(f"stops{h}") for h in (1, 2)), *_ends(halved.columns),
     )
     first = F.coalesce(F.col("_1.mode") >= F.col("_2.mode"), F.col("_2.mode").isNull())
     pick = lambda c: F.when(first, F.col(f"_1.{c}")).otherwise(F.col(f"_2.{c}"))
     return out.withColumns({"mode1": F.col("_1.mode"), "mode2": F.col("_2.mode"), "tmode": pick("mode"), "tpath": pick("path")}).drop("_1", "_2")
 
 
+def _ends(columns: list[str]) -> list[Column]:
+    """The four ends of a tour, each taken from the one trip that has it, in one aggregation."""
+    if not {"otype", "dtype", "dep_min", "arr_min", "opcl", "dpcl", "otaz", "dtaz"} <= set(columns):
+        return []
+    of = lambda *names: F.struct(*(F.col(c).alias(n) for c, n in zip(names, ("minute", "type", "parcel", "zone", "x", "y"), strict=True)))
+    origin, destination = of("dep_min", "otype", "opcl", "otaz", "ox", "oy"), of("arr_min", "dtype", "dpcl", "dtaz", "x", "y")
+    ends = (("leave_home", "start", origin), ("arrived", "arrive", destination), ("left", "leave", origin), ("returned", "end", destination))
+    return [F.max(F.when(F.col("seq") == F.col(at), place)).alias(name) for name, at, place in ends]
+
+
 def order_tours(tours: DataFrame) -> DataFrame:
     """tour_no within the person: work tours, subtours, other purposes in their order, and those without one last.
 
@@ -178,7 +208,8 @@ def split_drive_transit(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     The legs meet halfway in time at a change of mode; the second one begins a minute later if that is before it
     arrives. Later trips of the half move up by one. Of the columns path, tpath, otype, dtype, otaz, dtaz and role,
     those that are there are filled: the drive has path 0 and the transit leg the tour's (tpath, else its own), the
-    change of mode has the type 6 and no zone (-1), and who drives is a driver (1).
+    change of mode has the type 6 and no zone or parcel (-1), and who drives is a driver (1). end_min of the first leg is
+    when the second one begins.
     """
     w = W.partitionBy(*keys, "half")
     first = F.min(F.when(F.col("mode") == 7, F.col("tseg"))).over(w)
@@ -201,6 +232,7 @@ def split_drive_transit(halves: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     known = {
         "path": lambda: F.when(split, F.when(F.col("_leg.mode") == transit, ride).otherwise(0)), "role": lambda: F.when(split, 1),
         "dtype": lambda: F.when(split & first_leg, 6), "otype": lambda: F.when(split & second_leg, 6), "dtaz": lambda: F.when(split & first_leg, -1), "otaz": lambda: F.when(split & second_leg, -1),
+        "dpcl": lambda: F.when(split & first_leg, -1), "opcl": lambda: F.when(split & second_leg, -1), "end_min": lambda: F.when(split & first_leg, again),
     }
     rest = [c for c in halves.columns if c not in ("mode", "opurp", "dpurp", "dep", "arr", "tseg")]
     rest = [F.coalesce(known[c](), F.col(c)).alias(c) if c in known else F.col(c) for c in rest]

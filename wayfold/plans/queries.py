@@ -782,12 +782,12 @@ rc AS (SELECT al.*, tmode, tpath, stops1, stops2, md.day, CASE WHEN md.day <= 5
 
 
 def week_of(spark, folder):
-    from ..sources.tables import Config
+    from ..sources.tables import Config, Stages
     from .week import week_pipeline
 
     days = source.diary(spark, folder).select(*PERSON).distinct().select(*PERSON, F.explode(F.sequence(F.lit(1), F.lit(7))).alias("day"))
     days = days.withColumn("is_complete", ((F.col("hh") + F.col("day")) % 4 != 0).cast("int"))
-    return week_pipeline(trips(spark, folder).drop("has_next", "act_dur"), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP, days=days)
+    return week_pipeline(trips(spark, folder).drop("has_next", "act_dur"), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP, days=days, stages=Stages(spark))
 
 
 @query(WEEK + """ SELECT hh, pno, tour, subtour, start, "end", pdpurp, tmode, tpath, stops1, stops2, day, round(expansion, 6) AS expansion, tour_no,

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.clock import clock_text, hm_to_hhmm
+from ..functions.clock import clock_text, hm_to_hhmm, min_to_hhmm
 from ..functions.recode import any_of, cases, gate, recode
 from ..operators import sequence, tours, weights
 from ..operators.relational import first_by
-from ..sources.diary import HOME, PERSON
-from ..sources.tables import Config
+from ..sources.diary import HOME, PERSON, WORK
+from ..sources.tables import Config, Stages
 
 # fixed values: codes of the survey and what they become
 AGES = {1: 3, 2: 10, 3: 16, 4: 21, 5: 30, 6: 40, 7: 50, 8: 60, 9: 70, 10: 80, 11: 90}
@@ -152,53 +152,158 @@ def person_day_records(trips: DataFrame, complete: DataFrame, tour_records: Data
     return out.fillna(0, [*(f"{n}{k}" for k in ("tours", "stops") for n in tours.PURPOSES.values()), "wbtours"])
 
 
-@dataclass(frozen=True)
 class WeekTables:
-    """What the pipeline makes; nothing is computed before a table is used."""
-
-    linked: DataFrame
-    access: DataFrame
-    tours: DataFrame
-    trips: DataFrame
-    patterns: DataFrame
-    person_days: DataFrame
+    """What the pipeline makes; nothing is computed before a table is used.
 
+    With stages, the linked trips, the halves of tours and the tours' records are written once, when they are first
+    needed, and every table reads them; without, each table is a plan of its own.
+    """
 
-def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1, days: DataFrame | None = None) -> WeekTables:  # noqa: B008
+    def __init__(self, trips: DataFrame, config: Config, max_gap: int, days: DataFrame | None, persons: DataFrame | None, stages: Stages | None):
+        name = config.weight("weight")
+        self.rows = trips.withColumn("weight", F.col(name) if name in trips.columns and config.weighted else F.lit(1.0))
+        self.config, self.max_gap, self.persons, self.stages = config, max_gap, persons, stages
+        self.days = days if days is not None else self.rows.select(*PERSON, "day", F.lit(1).alias("is_complete"))
+        self.settled = persons is not None
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.stages.keep(df, name) if self.stages else df
+
+    @cached_property
+    def heads(self) -> DataFrame:
+        return sequence.chain_heads(sequence.activity_duration(self.rows), self.config.link_minutes, self.config.short_link_minutes)
+
+    @cached_property
+    def linked(self) -> DataFrame:
+        return sequence.journeys(self.heads)
+
+    @cached_property
+    def access(self) -> DataFrame:
+        return sequence.access_egress(self.heads)
+
+    @cached_property
+    def walked(self) -> DataFrame:
+        """Linked trips with the time spent at their ends; with persons, settled ends and minutes that don't fall."""
+        rows = self.linked.withColumnRenamed("trip", "seq")
+        if not self.settled:
+            return self._keep(sequence.activity_duration(rows), "walked")
+        missing = [c for c in ("otaz", "opcl", "dtaz", "dpcl") if c not in rows.columns]
+        rows = rows.withColumns({c: F.lit(-1) for c in missing}) if missing else rows
+        rows = rows if "role" in rows.columns else rows.withColumn("role", F.lit(3))
+        known = [c for c in PLACES if c in self.persons.columns]
+        places = self.persons.select(*PERSON, *known, "ptype" if "ptype" in self.persons.columns else F.lit(None).cast("int").alias("ptype"))
+        rows = rows.join(places, PERSON, "left")
+        rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(-1)) if c in known else F.lit(-1) for c in PLACES})
+        rows = sequence.unwrap_clock(sequence.settle_ends(rows).drop(*PLACES))
+        return self._keep(rows.withColumn("act_dur", F.col("end_min") - F.col("arr_min")), "walked")
+
+    @cached_property
+    def toured(self) -> DataFrame:
+        out, back = (tours.leaves_type(1), tours.returns_type(1)) if self.settled else (tours.leaves(HOME), tours.returns(HOME))
+        return tours.with_tours(self.walked, out, back, max_gap=self.max_gap)
+
+    @cached_property
+    def halved(self) -> DataFrame:
+        members = self.toured.where("tour IS NOT NULL")
+        student = F.coalesce(F.col("ptype") > 4, F.lit(False)) if self.settled else None
+        halved = tours.with_halves(members, student=student, usual=self.settled).withColumn("subtour", F.lit(0))
+        below = tours.with_halves(tours.subtour_trips(members, student=student, usual=self.settled), BELOW, student)
+        return self._keep(halved.unionByName(below, allowMissingColumns=True), "halved")
+
+    @cached_property
+    def complete(self) -> DataFrame:
+        return weights.day_completeness(self.days, PERSON)
+
+    @cached_property
+    def person(self) -> DataFrame:
+        return self.rows.groupBy(*PERSON).agg(F.max("weight").alias("weight")).join(self.complete, PERSON, "full")
+
+    def _weigh(self, df: DataFrame) -> DataFrame:
+        return weights.expansion_weights(df, "weight", "num_days_complete_5dayweekday", F.col("day"), self.config.analysis_days, self.config.weight_cap)
+
+    @cached_property
+    def tours(self) -> DataFrame:
+        record = tours.order_tours(tours.tour_summary(self.halved, self.config.max_stops, BELOW))
+        return self._keep(self._weigh(record.join(self.person, PERSON, "left")), "tours")
+
+    @cached_property
+    def halves(self) -> DataFrame:
+        halves = self.halved.where(F.col("half").isNotNull() & (F.col("tseg") <= self.config.max_stops))
+        of_tour = self.tours.select(*BELOW, "tour_no", "tpath", F.col("day").alias("_day"), "expansion")
+        return halves.join(of_tour, BELOW).withColumn("day", F.col("_day")).drop("_day")
+
+    @cached_property
+    def trips(self) -> DataFrame:
+        return tours.split_drive_transit(self.halves, BELOW)
+
+    @cached_property
+    def person_days(self) -> DataFrame:
+        rows = person_day_records(self.walked, self.complete, self.tours, tours.intermediate_stops(self.halves, BELOW))
+        rows = rows.join(self.person.select(*PERSON, "weight", "num_days_complete_5dayweekday"), PERSON, "left").fillna({"weight": 1.0})
+        return self._weigh(rows).drop("weight", "num_days_complete_5dayweekday")
+
+    @cached_property
+    def patterns(self) -> DataFrame:
+        return tours.person_day_pattern(self.toured, self.config.max_stops, self.tours.where("subtour > 0"))
+
+    @cached_property
+    def tour_output(self) -> DataFrame:
+        """The tour file: one record per tour and subtour with its four times, both ends, modes and trips each way."""
+        self._need_persons()
+        at, clock = (lambda end, field: F.col(f"{end}.{field}")), (lambda end: min_to_hhmm(F.col(f"{end}.minute")))
+        return self.tours.select(
+            *PERSON, "day", F.col("tour_no").alias("tour"), "parent", "subtrs", "pdpurp",
+            clock("leave_home").alias("tlvorig"), clock("arrived").alias("tardest"), clock("left").alias("tlvdest"), clock("returned").alias("tarorig"),
+            at("leave_home", "type").alias("toadtyp"), at("arrived", "type").alias("tdadtyp"),
+            at("leave_home", "parcel").alias("topcl"), at("leave_home", "zone").alias("totaz"), at("arrived", "parcel").alias("tdpcl"), at("arrived", "zone").alias("tdtaz"),
+            at("leave_home", "x").alias("toxco"), at("leave_home", "y").alias("toyco"), at("arrived", "x").alias("tdxco"), at("arrived", "y").alias("tdyco"),
+            F.col("tmode").alias("tmodetp"), F.col("tpath").alias("tpathtp"), (F.col("stops1") + 1).alias("tripsh1"), (F.col("stops2") + 1).alias("tripsh2"), F.col("expansion").alias("toexpfac"),
+        )
+
+    @cached_property
+    def trip_output(self) -> DataFrame:
+        """The trip file: the trips of all tours in their halves, drive-transit ones split, with ends and clock times."""
+        self._need_persons()
+        timed = self.halves.withColumns({"dep": F.col("dep_min"), "arr": F.col("arr_min")}).drop("dep_min", "arr_min")
+        legs = tours.split_drive_transit(timed, BELOW)
+        names = {"tour_no": "tour", "half": "half", "tseg": "tseg", "chain": "tsvid", "opurp": "opurp", "dpurp": "dpurp", "otype": "oadtyp", "dtype": "dadtyp", "opcl": "opcl", "otaz": "otaz", "dpcl": "dpcl", "dtaz": "dtaz", "ox": "oxco", "oy": "oyco", "x": "dxco", "y": "dyco", "mode": "mode", "path": "pathtype", "role": "dorp"}
+        times = {"dep": "deptm", "arr": "arrtm", "end_min": "endacttm"}
+        return legs.select(*PERSON, "day", *(F.col(c).alias(n) for c, n in names.items()), *(min_to_hhmm(F.col(c)).alias(n) for c, n in times.items()), F.col("expansion").alias("trexpfac"))
+
+    @cached_property
+    def day_output(self) -> DataFrame:
+        """The person-day file: each complete day with its tours (from home, work, to the usual workplace, by purpose), stops and weight."""
+        self._need_persons()
+        main, usual = F.col("subtour") == 0, (F.col("pdpurp") == WORK) & (F.col("arrived.type") == 2)
+        more = self.tours.groupBy(*PERSON, "day").agg(F.count_if(main).alias("hbtours"), F.count_if(main & usual).alias("uwtours"))
+        rows = self.person_days.join(more, [*PERSON, "day"], "left").fillna(0, ["hbtours", "uwtours"])
+        counts = [f"{n}{k}" for k in ("tours", "stops") for n in tours.PURPOSES.values()]
+        return rows.select(*PERSON, "day", "beghom", "endhom", "hbtours", "wbtours", "uwtours", *counts, F.col("expansion").alias("pdexpfac"))
+
+    def _need_persons(self) -> None:
+        if not self.settled:
+            raise ValueError("records of ends need the persons' places: week_pipeline(..., persons=)")
+
+
+#: A tour or subtour, and the columns of a person's places: home and usual work.
+BELOW = [*tours.TOUR, "subtour"]
+PLACES = ("hx", "hy", "htaz", "hpcl", "wx", "wy", "wtaz", "wpcl")
+
+
+def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1, days: DataFrame | None = None, persons: DataFrame | None = None, stages: Stages | None = None) -> WeekTables:  # noqa: B008
     """From trips (hh, pno, seq, day, day_ix, dep, arr, opurp, dpurp, ox, oy, x, y, mode, mode_type, path) to tables.
 
     days (hh, pno, day, is_complete) tells which days of a week are complete, also those without trips; without it,
     days with trips are. Without a column weight, or if the config says so, every person weighs 1.
 
-    tours: home tours and their work subtours (subtour > 0), with tour_no, parent, subtrs, times, modes, stops, day and
+    persons (hh, pno, ptype; hx, hy, htaz, hpcl; wx, wy, wtaz, wpcl; each but the first two may be missing) tells where
+    home and usual work are. With it, ends of linked trips are settled and clocks unwrapped before tours are cut: tours
+    go from home and back by the types of ends, work tours are taken apart at the usual workplace only, and students put
+    school first. Trips may have otaz, dtaz, opcl, dpcl and role. stages: where to keep what several tables read.
+
+    tours: home tours and their work subtours (subtour > 0), with tour_no, parent, subtrs, modes, stops, day and
     expansion. trips: the segments of both, drive-transit ones split, with tour_no, half, tseg, day and expansion.
     person_days: complete days with trips, tours and stops by purpose. patterns: the same over all days of a person.
+    tour_output, trip_output, day_output (with persons): the records of the three files.
     """
-    name = config.weight("weight")
-    rows = trips.withColumn("weight", F.col(name) if name in trips.columns and config.weighted else F.lit(1.0))
-    heads = sequence.chain_heads(sequence.activity_duration(rows), config.link_minutes, config.short_link_minutes)
-    linked = sequence.journeys(heads)
-    walked = sequence.activity_duration(linked.withColumnRenamed("trip", "seq"))
-    toured = tours.with_tours(walked, tours.leaves(HOME), tours.returns(HOME), max_gap=max_gap)
-    members = toured.where("tour IS NOT NULL")
-    below = [*tours.TOUR, "subtour"]
-    halved = tours.with_halves(members).withColumn("subtour", F.lit(0))
-    halved = halved.unionByName(tours.with_halves(tours.subtour_trips(members), below), allowMissingColumns=True)
-
-    if days is None:
-        days = rows.select(*PERSON, "day", F.lit(1).alias("is_complete"))
-    complete = weights.day_completeness(days, PERSON)
-    person = rows.groupBy(*PERSON).agg(F.max("weight").alias("weight")).join(complete, PERSON, "full")
-    weigh = lambda df: weights.expansion_weights(df, "weight", "num_days_complete_5dayweekday", F.col("day"), config.analysis_days, config.weight_cap)
-    record = tours.order_tours(tours.tour_summary(halved, config.max_stops, below))
-    record = weigh(record.join(person, PERSON, "left"))
-
-    halves = halved.where(F.col("half").isNotNull() & (F.col("tseg") <= config.max_stops))
-    of_tour = record.select(*below, "tour_no", "tpath", F.col("day").alias("_day"), "expansion")
-    halves = halves.join(of_tour, below).withColumn("day", F.col("_day")).drop("_day")
-    legs = tours.split_drive_transit(halves, below)
-    stops = tours.intermediate_stops(halves, below)
-    day_rows = person_day_records(walked, complete, record, stops)
-    day_rows = weigh(day_rows.join(person.select(*PERSON, "weight", "num_days_complete_5dayweekday"), PERSON, "left").fillna({"weight": 1.0})).drop("weight", "num_days_complete_5dayweekday")
-    patterns = tours.person_day_pattern(toured, config.max_stops, record.where("subtour > 0"))
-    return WeekTables(linked, sequence.access_egress(heads), record, legs, patterns, day_rows)
+    return WeekTables(trips, config, max_gap, days, persons, stages)
