@@ -68,13 +68,14 @@ def priority(purpose: Column, student: Column | None = None) -> Column:
     return cases((purpose == 1, F.when(student, 2).otherwise(1)), (purpose == 2, F.when(student, 1).otherwise(2)), (purpose == 3, 3), default=4)
 
 
-def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False) -> DataFrame:
+def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False, extend: bool = True) -> DataFrame:
     """The trips of tours with pseq and pdpurp, the primary destination, and arrive and leave (seq).
 
     Of all trips but the one that closes the tour: the most important purpose, then the longest stay (act_dur), then
     the earliest. On work tours arrive and leave are the first arrival at work and the last departure from it, else
     the primary destination and the trip after it. With usual they are so at the usual workplace only (types of settled
-    ends): the first arrival there up to the primary destination, the last departure after it.
+    ends): the first arrival there up to the primary destination, the last departure after it. Without extend, no tour's
+    stay is longer than its primary destination.
     """
     t = W.partitionBy(*keys)
     inner = F.col("seq") < F.col("end")
@@ -88,6 +89,7 @@ def with_primary(members: DataFrame, keys: list[str] = TOUR, student: Column | N
         first, last = F.min(F.when((F.col("dtype") == 2) & (seq <= F.col("pseq")), seq)).over(t), F.max(F.when((F.col("otype") == 2) & (seq > F.col("pseq")), seq)).over(t)
         rows = rows.withColumns({"_a": first, "_l": last, "_there": F.coalesce(F.max((seq == F.col("pseq")) & (F.col("dtype") == 2)).over(t), F.lit(False))})
         work &= F.col("_there")
+    work &= F.lit(extend)
     return rows.withColumns({"arrive": F.when(work, F.col("_a")).otherwise(F.col("pseq")), "leave": F.when(work, F.coalesce("_l", F.col("pseq") + 1)).otherwise(F.col("pseq") + 1)}).drop("_p", "_a", "_l", "_there")
 
 
@@ -117,9 +119,9 @@ def work_subtours(members: DataFrame, keys: list[str] = TOUR) -> DataFrame:
     return subtour_trips(members, keys).where("seq = start").select(*keys, "subtour", "start", "end")
 
 
-def with_halves(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False) -> DataFrame:
+def with_halves(members: DataFrame, keys: list[str] = TOUR, student: Column | None = None, usual: bool = False, extend: bool = True) -> DataFrame:
     """with_primary, and half (1 out, 2 back, null for the stay at the primary destination) and tseg (from 1) in it."""
-    rows = with_primary(members, keys, student, usual).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2))
+    rows = with_primary(members, keys, student, usual, extend).withColumn("half", F.when(F.col("seq") <= F.col("arrive"), 1).when(F.col("seq") >= F.col("leave"), 2))
     return rows.withColumn("tseg", F.row_number().over(W.partitionBy(*keys, "half").orderBy("seq")))
 
 

@@ -628,6 +628,13 @@ def detect_joint_trips(spark, folder):
     return joint.detect_parties(trips(spark, folder), **SAME).select("event_id", *PERSON, "party_text")
 
 
+@query(T + """, pt AS (SELECT a.event_id, list_sort(list(DISTINCT b.pno)) AS ms FROM u a JOIN u b ON a.hh = b.hh AND a.pno <> b.pno AND a.day_ix = b.day_ix AND a.dpurp = b.dpurp AND abs(a.dep - b.dep) <= 300 AND abs(a.arr - b.arr) <= 300 GROUP BY 1)
+SELECT u.event_id, hh, pno, day_ix, array_to_string(list_concat([pno], coalesce(ms, [])), '.') AS party_text FROM u LEFT JOIN pt ON u.event_id = pt.event_id""")
+def joint_trips_of_a_day(spark, folder):
+    out = joint.detect_parties(trips(spark, folder), 300, places=("dpurp",), day="day_ix")
+    return out.select("event_id", *PERSON, "day_ix", "party_text")
+
+
 @query(JOINT + " SELECT event_id, len(party) AS tokens, party[2] AS second, CASE WHEN len(party) > 1 THEN length(party[1]::VARCHAR) + 1 ELSE 0 END AS first_dot, 7 AS golden FROM jt")
 def party_text_fields(spark, folder):
     t = F.col("party_text")
@@ -763,15 +770,11 @@ lt AS (SELECT hh, pno, day, day_ix, dep, arr, CASE WHEN segments = 1 AND z <> 10
 _FIVE = " + ".join(f"max((day = {d})::INT)" for d in weights.WEEKS[5])
 
 
-# the week pipeline; two of a person's days in seven are incomplete
+#: Two of a person's days in seven are incomplete.
 _IS_COMPLETE = "((hh + g) % 4 <> 0)::INT"
 _SUB = "(hh, pno, tour, subtour)"
-WEEK = CHAINS + _LINKED + """ SELECT * FROM (WITH u AS (SELECT *, (lead(dep) OVER p - arr + CASE WHEN lead(day_ix) OVER p > day_ix AND lead(dep) OVER p < arr THEN 1440 ELSE 0 END)::INT AS act_dur FROM lt WINDOW p AS (PARTITION BY hh, pno ORDER BY seq))""" + SUBTOURS[len(T) :] + f""",
-sm AS (SELECT u.*, s.tour, s.subtour, s.start, s."end" FROM u JOIN sub s ON u.hh = s.hh AND u.pno = s.pno AND u.seq BETWEEN s.start AND s."end"),
-sq AS (SELECT hh, pno, tour, subtour, seq AS pseq, dpurp AS pdpurp FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY CASE dpurp WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END, coalesce(act_dur, 0) DESC, seq) AS n FROM sm WHERE seq < "end") WHERE n = 1),
-ah AS (SELECT hh, pno, tour, 0 AS subtour, seq, dep, arr, opurp, dpurp, mode, path, half, tseg FROM half
-  UNION ALL SELECT * FROM (SELECT hh, pno, tour, subtour, seq, dep, arr, opurp, dpurp, mode, path, half, row_number() OVER (PARTITION BY hh, pno, tour, subtour, half ORDER BY seq) AS tseg FROM (SELECT sm.*, CASE WHEN seq <= pseq THEN 1 ELSE 2 END AS half FROM sm JOIN sq USING {_SUB})) WHERE tseg <= 20),
-x AS (SELECT hh, pno, tour, subtour, half, count(*) - 1 AS stops, arg_max(mode, mode * 1000 - tseg) AS mode, arg_max(path, mode * 1000 - tseg) AS path FROM ah GROUP BY hh, pno, tour, subtour, half),
+# modes, stops, days, weights and numbers of tours and subtours
+_SUMMARY = f"""x AS (SELECT hh, pno, tour, subtour, half, count(*) - 1 AS stops, arg_max(mode, mode * 1000 - tseg) AS mode, arg_max(path, mode * 1000 - tseg) AS path FROM ah GROUP BY hh, pno, tour, subtour, half),
 tm AS (SELECT hh, pno, tour, subtour, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.mode ELSE b.mode END AS tmode, CASE WHEN b.mode IS NULL OR a.mode >= b.mode THEN a.path ELSE b.path END AS tpath, coalesce(a.stops, 0) AS stops1, coalesce(b.stops, 0) AS stops2 FROM (SELECT * FROM x WHERE half = 1) a FULL JOIN (SELECT * FROM x WHERE half = 2) b USING {_SUB}),
 md AS (SELECT hh, pno, tour, subtour, day FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY c DESC, day) AS n FROM (SELECT hh, pno, tour, subtour, day, count(*) AS c FROM (SELECT hh, pno, tour, 0 AS subtour, day FROM m UNION ALL SELECT hh, pno, tour, subtour, day FROM sm) GROUP BY ALL)) WHERE n = 1),
 al AS (SELECT hh, pno, tour, 0 AS subtour, start, "end", pdpurp FROM tour JOIN prim USING (hh, pno, tour) UNION ALL SELECT hh, pno, tour, subtour, start, "end", pdpurp FROM sub JOIN sq USING {_SUB}),
@@ -781,6 +784,15 @@ rc AS (SELECT al.*, tmode, tpath, stops1, stops2, md.day, CASE WHEN md.day <= 5
   FROM al JOIN tm USING {_SUB} JOIN md USING {_SUB} JOIN wk USING (hh, pno))"""
 
 
+# the week pipeline; two of a person's days in seven are incomplete
+WEEK = CHAINS + _LINKED + """ SELECT * FROM (WITH u AS (SELECT *, (lead(dep) OVER p - arr + CASE WHEN lead(day_ix) OVER p > day_ix AND lead(dep) OVER p < arr THEN 1440 ELSE 0 END)::INT AS act_dur FROM lt WINDOW p AS (PARTITION BY hh, pno ORDER BY seq))""" + SUBTOURS[len(T) :] + f""",
+sm AS (SELECT u.*, s.tour, s.subtour, s.start, s."end" FROM u JOIN sub s ON u.hh = s.hh AND u.pno = s.pno AND u.seq BETWEEN s.start AND s."end"),
+sq AS (SELECT hh, pno, tour, subtour, seq AS pseq, dpurp AS pdpurp FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY CASE dpurp WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END, coalesce(act_dur, 0) DESC, seq) AS n FROM sm WHERE seq < "end") WHERE n = 1),
+ah AS (SELECT hh, pno, tour, 0 AS subtour, seq, dep, arr, opurp, dpurp, mode, path, half, tseg FROM half
+  UNION ALL SELECT * FROM (SELECT hh, pno, tour, subtour, seq, dep, arr, opurp, dpurp, mode, path, half, row_number() OVER (PARTITION BY hh, pno, tour, subtour, half ORDER BY seq) AS tseg FROM (SELECT sm.*, CASE WHEN seq <= pseq THEN 1 ELSE 2 END AS half FROM sm JOIN sq USING {_SUB})) WHERE tseg <= 20),
+""" + _SUMMARY
+
+
 def week_of(spark, folder):
     from ..sources.tables import Config, Stages
     from .week import week_pipeline
@@ -821,6 +833,105 @@ def week_pipeline_person_days(spark, folder):
     return week_of(spark, folder).person_days.withColumn("expansion", F.round("expansion", 6))
 
 
+# the same with persons' places: settled ends, minutes that don't fall, tours by the types of their ends
+_PLACES = """, pe AS (SELECT DISTINCT hh, pno, ((hh + pno) % 8 + 1)::INT AS ptype, (hh % 10)::INT AS hx, (hh // 7 % 10)::INT AS hy, (500 + hh % 20)::INT AS htaz, (600 + hh)::INT AS hpcl,
+  ((hh + pno) % 10)::INT AS wx, ((hh + 2 * pno) % 10)::INT AS wy, 700 + pno AS wtaz, 800 + pno AS wpcl FROM d WHERE hh % 5 <> 0)"""
+SETTLED = CHAINS + _PLACES + f""", j AS (SELECT u.*, r.chain, r.acc, u.day_ix - lag(u.day_ix) OVER (PARTITION BY u.hh, u.pno ORDER BY u.seq) AS gap FROM u JOIN r ON u.hh = r.hh AND u.pno = r.pno AND u.seq = r.seq),
+g AS (SELECT hh, pno, chain, arg_min(day, seq) AS day, arg_min(day_ix, seq) AS day_ix, arg_min(dep, seq) AS dep, arg_min(coalesce(opurp, -9), seq) AS o, arg_min(coalesce(gap, 0), seq) AS gap,
+  arg_min(coalesce(ox, -1), seq) AS ox, arg_min(coalesce(oy, -1), seq) AS oy, arg_min(k % 3 + 1, seq) AS role, arg_max(arr, seq) AS arr, arg_max(dpurp, seq) AS z, arg_max(x, seq) AS x, arg_max(y, seq) AS y,
+  arg_max(has_next, seq) AS hn, arg_max(acc, seq) AS mode, max(path) AS path, count(*) AS segments FROM j GROUP BY hh, pno, chain),
+l1 AS (SELECT g.hh, g.pno, chain, day, day_ix, dep, arr, CASE WHEN segments = 1 AND z <> 10 AND o = 10 AND gap <= 1 THEN 4 WHEN o = -9 THEN NULL ELSE o END AS opurp, CASE WHEN z = 10 AND NOT (segments > 1 AND hn = 0) THEN 4 ELSE z END AS dpurp,
+  mode, path, role, ox, oy, CASE WHEN ox < 0 THEN -1 ELSE 100 + ox END AS otaz, CASE WHEN oy < 0 THEN -1 ELSE 200 + oy END AS opcl, x, y, 100 + x AS dtaz, 200 + y AS dpcl, ptype,
+  coalesce(hx, -1) AS hx, coalesce(hy, -1) AS hy, coalesce(htaz, -1) AS htaz, coalesce(hpcl, -1) AS hpcl, coalesce(wx, -1) AS wx, coalesce(wy, -1) AS wy, coalesce(wtaz, -1) AS wtaz, coalesce(wpcl, -1) AS wpcl,
+  row_number() OVER (PARTITION BY g.hh, g.pno ORDER BY chain) AS seq FROM g LEFT JOIN pe ON g.hh = pe.hh AND g.pno = pe.pno),
+l2 AS (SELECT *, CASE WHEN dpurp = 0 OR (x = hx AND y = hy AND x <> -1 AND y <> -1) THEN 1 WHEN dpurp = 1 OR (x = wx AND y = wy AND x <> -1 AND y <> -1) THEN 2 WHEN x <> -1 AND y <> -1 THEN 4 ELSE 5 END AS dtype FROM l1),
+l3 AS (SELECT * REPLACE (CASE WHEN dtype = 1 THEN htaz ELSE dtaz END AS dtaz, CASE WHEN dtype = 1 THEN hpcl ELSE dpcl END AS dpcl) FROM l2),
+l4 AS (SELECT *, coalesce(day_ix - lag(day_ix) OVER p <= 1, false) AS ch, lag(x) OVER p AS px, lag(y) OVER p AS py, lag(dtype) OVER p AS pt, lag(dtaz) OVER p AS pz, lag(dpcl) OVER p AS pp, lag(dpurp) OVER p AS pd FROM l3 WINDOW p AS (PARTITION BY hh, pno ORDER BY seq)),
+l5 AS (SELECT *, CASE WHEN ch THEN 1 WHEN opurp = 0 OR (ox = hx AND oy = hy AND ox <> -1 AND oy <> -1) THEN 2 WHEN opurp = 1 THEN 3 ELSE 4 END AS f FROM l4),
+l6 AS MATERIALIZED (SELECT * REPLACE (([px, hx, wx, -1])[f] AS ox, ([py, hy, wy, -1])[f] AS oy, ([pz, htaz, wtaz, 0])[f] AS otaz, ([pp, hpcl, wpcl, 0])[f] AS opcl, ([pd, 0, 1, 4])[f] AS opurp), ([pt, 1, 2, 5])[f] AS otype,
+  sum(CASE WHEN ch THEN 0 ELSE 1 END) OVER (PARTITION BY hh, pno ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run FROM l5),
+ck AS (
+  SELECT hh, pno, seq, run, dep AS dm, CASE WHEN arr < dep THEN arr + 1440 ELSE arr END AS am FROM l6 WHERE seq = 1
+  UNION ALL
+  SELECT hh, pno, seq, run, dm, CASE WHEN arr < dm THEN arr + 1440 ELSE arr END FROM (
+    SELECT q.hh, q.pno, q.seq, q.run, q.arr, CASE WHEN q.dep < CASE WHEN q.run = ck.run THEN ck.am ELSE 0 END THEN q.dep + 1440 ELSE q.dep END AS dm FROM ck JOIN l6 q ON q.hh = ck.hh AND q.pno = ck.pno AND q.seq = ck.seq + 1)
+),
+l7 AS MATERIALIZED (SELECT l6.*, dm, am, coalesce(lead(dm) OVER (PARTITION BY l6.hh, l6.pno, l6.run ORDER BY l6.seq), 1680) AS em FROM l6 JOIN ck ON l6.hh = ck.hh AND l6.pno = ck.pno AND l6.seq = ck.seq),
+h AS (SELECT *, max(CASE WHEN otype = 1 AND dtype <> 1 THEN seq END) OVER (PARTITION BY hh, pno ORDER BY seq ROWS UNBOUNDED PRECEDING) AS s FROM l7),
+c AS (SELECT hh, pno, s AS start, min(seq) AS "end" FROM h WHERE s IS NOT NULL AND otype <> 1 AND dtype = 1 GROUP BY hh, pno, s),
+tour AS (SELECT c.hh, c.pno, c.start, c."end", row_number() OVER (PARTITION BY c.hh, c.pno ORDER BY c.start) AS tour FROM c JOIN l7 a ON a.hh = c.hh AND a.pno = c.pno AND a.seq = c.start JOIN l7 b ON b.hh = c.hh AND b.pno = c.pno AND b.seq = c."end" WHERE b.day_ix - a.day_ix <= 30),
+m AS (SELECT l7.*, tour, start, "end" FROM l7 JOIN tour ON l7.hh = tour.hh AND l7.pno = tour.pno AND seq BETWEEN start AND "end"),
+prim AS (SELECT hh, pno, tour, seq AS pseq, dpurp AS pdpurp, dtype AS ptyp FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour ORDER BY CASE dpurp WHEN 1 THEN CASE WHEN ptype > 4 THEN 2 ELSE 1 END WHEN 2 THEN CASE WHEN ptype > 4 THEN 1 ELSE 2 END WHEN 3 THEN 3 ELSE 4 END, em - am DESC, seq) AS n FROM m WHERE seq < "end") WHERE n = 1),
+anchor AS (SELECT hh, pno, tour, any_value(pseq) AS pseq, any_value(pdpurp) AS pdpurp,
+  CASE WHEN any_value(pdpurp = 1 AND ptyp = 2) THEN min(CASE WHEN dtype = 2 AND seq <= pseq THEN seq END) ELSE any_value(pseq) END AS arrive,
+  CASE WHEN any_value(pdpurp = 1 AND ptyp = 2) THEN coalesce(max(CASE WHEN otype = 2 AND seq > pseq THEN seq END), any_value(pseq) + 1) ELSE any_value(pseq) + 1 END AS leave FROM m JOIN prim USING (hh, pno, tour) GROUP BY hh, pno, tour),
+si AS (SELECT m.*, max(CASE WHEN otype = 2 AND dtype <> 2 THEN seq END) OVER (PARTITION BY m.hh, m.pno, m.tour ORDER BY seq ROWS UNBOUNDED PRECEDING) AS s FROM m JOIN anchor USING (hh, pno, tour) WHERE pdpurp = 1 AND leave > arrive + 1 AND seq > arrive AND seq <= leave),
+sc AS (SELECT hh, pno, tour, s AS start, min(seq) AS "end", arg_min(day_ix, seq) AS last_day FROM si WHERE s IS NOT NULL AND otype <> 2 AND dtype = 2 GROUP BY hh, pno, tour, s),
+sub AS (SELECT sc.hh, sc.pno, sc.tour, row_number() OVER (PARTITION BY sc.hh, sc.pno, sc.tour ORDER BY start) AS subtour, start, "end" FROM sc JOIN l7 ON l7.hh = sc.hh AND l7.pno = sc.pno AND l7.seq = sc.start WHERE last_day - l7.day_ix <= 1),
+sm AS (SELECT l7.*, tour, subtour, start, "end" FROM l7 JOIN sub ON l7.hh = sub.hh AND l7.pno = sub.pno AND seq BETWEEN start AND "end"),
+sq AS (SELECT hh, pno, tour, subtour, seq AS pseq, dpurp AS pdpurp FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour ORDER BY CASE dpurp WHEN 1 THEN CASE WHEN ptype > 4 THEN 2 ELSE 1 END WHEN 2 THEN CASE WHEN ptype > 4 THEN 1 ELSE 2 END WHEN 3 THEN 3 ELSE 4 END, em - am DESC, seq) AS n FROM sm WHERE seq < "end") WHERE n = 1),
+an AS (SELECT hh, pno, tour, 0 AS subtour, arrive, leave FROM anchor UNION ALL SELECT hh, pno, tour, subtour, pseq, pseq + 1 FROM sq),
+ah AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hh, pno, tour, subtour, half ORDER BY seq) AS tseg FROM (SELECT a.*, CASE WHEN seq <= arrive THEN 1 WHEN seq >= leave THEN 2 END AS half
+  FROM (SELECT *, 0 AS subtour FROM m UNION ALL BY NAME SELECT * FROM sm) a JOIN an USING {_SUB}) WHERE half IS NOT NULL) WHERE tseg <= 20),
+""" + _SUMMARY
+
+
+def settled_week(spark, folder):
+    from ..sources.tables import Config, Stages
+    from .week import week_pipeline
+
+    rows = trips(spark, folder).drop("has_next", "act_dur")
+    days = rows.select(*PERSON).distinct().select(*PERSON, F.explode(F.sequence(F.lit(1), F.lit(7))).alias("day"))
+    days = days.withColumn("is_complete", ((F.col("hh") + F.col("day")) % 4 != 0).cast("int"))
+    hh, pno = F.col("hh"), F.col("pno")
+    made = {"ptype": (hh + pno) % 8 + 1, "hx": hh % 10, "hy": F.expr("hh div 7 % 10"), "htaz": 500 + hh % 20, "hpcl": 600 + hh, "wx": (hh + pno) % 10, "wy": (hh + 2 * pno) % 10, "wtaz": 700 + pno, "wpcl": 800 + pno}
+    persons = rows.where("hh % 5 <> 0").select(*PERSON).distinct().withColumns({n: e.cast("int") for n, e in made.items()})
+    ox, oy = F.coalesce("ox", F.lit(-1)), F.coalesce("oy", F.lit(-1))
+    ends = {"ox": ox, "oy": oy, "otaz": F.when(ox < 0, -1).otherwise(100 + ox), "opcl": F.when(oy < 0, -1).otherwise(200 + oy), "dtaz": 100 + F.col("x"), "dpcl": 200 + F.col("y"), "role": F.col("k") % 3 + 1}
+    return week_pipeline(rows.withColumns(ends), Config(link_minutes=LIMIT, short_link_minutes=SHORT), max_gap=GAP, days=days, persons=persons, stages=Stages(spark))
+
+
+_CLOCK = "({0} % 1440 // 60 * 100 + {0} % 60)::INT"
+
+
+@query(SETTLED + f""" SELECT hh, pno, rc.day, tour_no AS tour, CASE WHEN subtour > 0 THEN max(CASE WHEN subtour = 0 THEN tour_no END) OVER (PARTITION BY hh, pno, tour) ELSE 0 END AS parent, CASE WHEN subtour > 0 THEN subtour ELSE count(*) FILTER (subtour > 0) OVER (PARTITION BY hh, pno, tour) END AS subtrs, pdpurp,
+  {_CLOCK.format("a.dm")} AS tlvorig, {_CLOCK.format("b.am")} AS tardest, {_CLOCK.format("e.dm")} AS tlvdest, {_CLOCK.format("z.am")} AS tarorig, a.otype AS toadtyp, b.dtype AS tdadtyp, a.opcl AS topcl, a.otaz AS totaz, b.dpcl AS tdpcl, b.dtaz AS tdtaz, a.ox AS toxco, a.oy AS toyco, b.x AS tdxco, b.y AS tdyco,
+  tmode AS tmodetp, tpath AS tpathtp, stops1 + 1 AS tripsh1, stops2 + 1 AS tripsh2, round(expansion, 6) AS toexpfac
+FROM rc JOIN an USING {_SUB} JOIN (SELECT hh, pno, seq AS start, dm, otype, opcl, otaz, ox, oy FROM l7) a USING (hh, pno, start) JOIN (SELECT hh, pno, seq AS arrive, am, dtype, dpcl, dtaz, x, y FROM l7) b USING (hh, pno, arrive)
+  JOIN (SELECT hh, pno, seq AS leave, dm FROM l7) e USING (hh, pno, leave) JOIN (SELECT hh, pno, seq AS "end", am FROM l7) z USING (hh, pno, "end")""")
+def tour_output(spark, folder):
+    return settled_week(spark, folder).tour_output.withColumn("toexpfac", F.round("toexpfac", 6))
+
+
+_LEG = "hh, pno, day, tour_no AS tour, half, chain AS tsvid"
+_FROM, _TO = "opurp, otype AS oadtyp, opcl, otaz", "dpurp, dtype AS dadtyp, dpcl, dtaz"
+
+
+@query(SETTLED + f""", f AS (SELECT ah.* EXCLUDE (day), rc.day, tour_no, tpath, expansion, min(CASE WHEN mode = 7 THEN tseg END) OVER (PARTITION BY ah.hh, ah.pno, ah.tour, ah.subtour, half) AS first, dm + floor((am - dm) / 2)::INT AS mid FROM ah JOIN rc USING {_SUB}),
+f2 AS (SELECT *, CASE WHEN mid + 1 < am THEN mid + 1 ELSE mid END AS again FROM f),
+leg AS (
+  SELECT {_LEG}, tseg + CASE WHEN tseg > first THEN 1 ELSE 0 END AS tseg, {_FROM}, {_TO}, ox, oy, x, y, mode, path, role, dm, am, em, expansion FROM f2 WHERE tseg <> coalesce(first, -1)
+  UNION ALL SELECT {_LEG}, tseg, {_FROM}, 10, 6, -1, -1, ox, oy, x, y, CASE half WHEN 1 THEN 3 ELSE 6 END, CASE half WHEN 1 THEN 0 ELSE tpath END, 1, dm, mid, again, expansion FROM f2 WHERE tseg = first
+  UNION ALL SELECT {_LEG}, tseg + 1, 10, 6, -1, -1, {_TO}, ox, oy, x, y, CASE half WHEN 1 THEN 6 ELSE 3 END, CASE half WHEN 1 THEN tpath ELSE 0 END, 1, again, am, em, expansion FROM f2 WHERE tseg = first
+) SELECT hh, pno, day, tour, half, tseg, tsvid, opurp, dpurp, oadtyp, dadtyp, opcl, otaz, dpcl, dtaz, ox AS oxco, oy AS oyco, x AS dxco, y AS dyco, mode, path AS pathtype, role AS dorp, {_CLOCK.format("dm")} AS deptm, {_CLOCK.format("am")} AS arrtm, {_CLOCK.format("em")} AS endacttm, round(expansion, 6) AS trexpfac FROM leg""")
+def trip_output(spark, folder):
+    return settled_week(spark, folder).trip_output.withColumn("trexpfac", F.round("trexpfac", 6))
+
+
+_KINDS = {1: "wk", 2: "sc", 3: "es", 4: "pb", 5: "sh", 6: "ml", 7: "so"}
+
+
+@query(SETTLED + f""", st AS (SELECT * FROM (SELECT ah.* EXCLUDE (day), rc.day, max(tseg) OVER (PARTITION BY ah.hh, ah.pno, ah.tour, ah.subtour, half) AS l FROM ah JOIN rc USING {_SUB}) WHERE tseg < l),
+bt AS (SELECT hh, pno, rc.day, count(*) FILTER (subtour = 0) AS hbtours, count(*) FILTER (subtour > 0) AS wbtours, count(*) FILTER (subtour = 0 AND pdpurp = 1 AND b.dtype = 2) AS uwtours, {", ".join(f"count(*) FILTER (subtour = 0 AND pdpurp = {p}) AS {n}tours" for p, n in _KINDS.items())}
+  FROM rc JOIN an USING {_SUB} JOIN (SELECT hh, pno, seq AS arrive, dtype FROM l7) b USING (hh, pno, arrive) GROUP BY hh, pno, rc.day),
+bs AS (SELECT hh, pno, day, {", ".join(f"count(*) FILTER (dpurp = {p}) AS {n}stops" for p, n in _KINDS.items())} FROM st GROUP BY hh, pno, day),
+dt AS (SELECT hh, pno, day, coalesce((first(opurp ORDER BY seq) = 0)::INT, 0) AS beghom, coalesce((arg_max(dpurp, seq) = 0)::INT, 0) AS endhom FROM l7 GROUP BY hh, pno, day)
+SELECT fl.hh, fl.pno, fl.day, coalesce(beghom, 1) AS beghom, coalesce(endhom, 1) AS endhom, {", ".join(f"coalesce({n}, 0) AS {n}" for n in ["hbtours", "wbtours", "uwtours", *(f"{n}{k}" for k in ("tours", "stops") for n in _KINDS.values())])}, round(CASE WHEN fl.day <= 5 AND wk.n > 0 THEN 1.0 / wk.n ELSE 0 END, 6) AS pdexpfac
+FROM fl JOIN wk USING (hh, pno) LEFT JOIN dt USING (hh, pno, day) LEFT JOIN bt USING (hh, pno, day) LEFT JOIN bs USING (hh, pno, day)""")
+def person_day_output(spark, folder):
+    return settled_week(spark, folder).day_output.withColumn("pdexpfac", F.round("pdexpfac", 6))
+
+
 def _case(e: str, table: dict, default: str | None = None) -> str:
     return f"CASE {e} " + " ".join(f"WHEN {k} THEN {v}" for k, v in table.items()) + f" ELSE {default or e} END"
 

@@ -207,7 +207,7 @@ class WeekTables:
         members = self.toured.where("tour IS NOT NULL")
         student = F.coalesce(F.col("ptype") > 4, F.lit(False)) if self.settled else None
         halved = tours.with_halves(members, student=student, usual=self.settled).withColumn("subtour", F.lit(0))
-        below = tours.with_halves(tours.subtour_trips(members, student=student, usual=self.settled), BELOW, student)
+        below = tours.with_halves(tours.subtour_trips(members, student=student, usual=self.settled), BELOW, student, extend=not self.settled)
         return self._keep(halved.unionByName(below, allowMissingColumns=True), "halved")
 
     @cached_property
