@@ -332,3 +332,36 @@ def test_long_chains_and_crowded_departures_take_time_in_proportion(spark):
     seconds(20_000)
     small, large = (min(seconds(n) for _ in range(2)) for n in (50_000, 200_000))
     assert large < 2.3**2 * small
+
+
+def square(x, y, side):
+    c = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+    return [(*a, *b) for a, b in zip(c, c[1:], strict=False)]
+
+
+def test_zones_of_unlike_sizes_are_listed_in_few_cells(spark):
+    squares = [(i, i % 30 * 2.0, i // 30 * 2.0, 1.0) for i in range(600)] + [(1000, -500.3, -400.7, 1000.0), (1001, 3.0, 3.0, 0.0)]
+    zones = spark.createDataFrame([(z, square(x, y, s)) for z, x, y, s in squares], "zone_id int, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    cells = spatial.zone_cells(zones, 0.25).groupBy("zone_id").count()
+    assert cells.agg(F.max("count")).first()[0] <= 4 and cells.count() == len(squares)
+    spots = [(p, (p * 37 % 700) / 10.0 - 5, (p * 91 % 500) / 10.0 - 4) for p in range(400)] + [(900, -499.0, 590.0), (901, 5000.0, 0.0), (902, None, 1.0)]
+    out = spatial.nearest_zone_join(spark.createDataFrame(spots, "point_id int, x double, y double"), zones, 0.25)
+    gap = lambda v, a, s: max(a - v, 0.0, v - a - s)
+    want = {}
+    for p, x, y in spots:
+        near = [] if x is None else [(round((gap(x, a, s) ** 2 + gap(y, b, s) ** 2) ** 0.5, 9), z) for z, a, b, s in squares]
+        best = min(near, default=None)
+        want[p] = best[1] if best and best[0] <= 0.25 else None
+    assert {r.point_id: r.zone_id for r in out.collect()} == want
+
+
+def test_dense_numbers_of_a_whole_table_need_no_single_task(spark):
+    rows_ = [(i * 7 % 50, "ab"[i % 2] if i % 5 else None) for i in range(300)]
+    df = spark.createDataFrame(rows_, "k int, s string")
+    out = relational.dense_numbers(df, ["s", "k"], "n")
+    keys = sorted(set(rows_), key=lambda r: (r[1] is not None, r[1] or "", r[0]))
+    number = {key: i + 1 for i, key in enumerate(keys)}
+    assert sorted((r.k, r.s or "", r.n) for r in out.collect()) == sorted((k, s or "", number[k, s]) for k, s in rows_)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" in plan
+    assert relational.dense_numbers(df.limit(0), ["k"], "n").count() == 0

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from wayfold.operators import weights
@@ -52,3 +53,51 @@ def test_further_jobs_and_own_words(spark):
     spots = spark.createDataFrame([(1, 1, 97, "x", w, 1, 2, 1, 1, 1) for w in ("eat", "Studying", "", "?", None)], "hh int, pno int, tpurp int, pname string, o_tpurp string, mode int, riders int, taz int, x int, y int")
     got = places.clean_places(spots, people.select("hh", "pno", "wx", "wy"), homes)
     assert [r.aggact for r in got.collect()] == ["EatOut", "School/University", "Discretionary", "NA", "NA"]
+
+
+def reported(spark):
+    """Home, out to work by way of a change, lunch, back to work, home over midnight; then a day without trips and one from elsewhere."""
+    data = [(1, 0, 480, 485, 0, 10, 1, 1), (2, 0, 490, 520, 10, 1, 6, 0), (3, 0, 720, 725, 1, 6, 1, 0), (4, 0, 780, 785, 6, 1, 1, 0), (5, 0, 1420, 20, 1, 0, 7, 4), (6, 1, 600, 630, 0, 5, 3, 1), (7, 1, 700, 730, 5, 0, 3, 1), (8, 4, 100, 130, 7, 5, 3, 1)]
+    spots = {0: (3, 4), 1: (5, 6), 10: (9, 9), 6: (7, 7), 5: (8, 8)}
+    rows = [(1, 1, s, 1 + ix % 7, ix, dep, arr, o, d, m, path, *spots.get(o, (-1, -1)), *spots[d]) for s, ix, dep, arr, o, d, m, path in data]
+    out = spark.createDataFrame(rows, "hh int, pno int, seq int, day int, day_ix int, dep int, arr int, opurp int, dpurp int, mode int, path int, ox int, oy int, x int, y int")
+    return out.withColumns({"mode_type": F.col("mode"), "otaz": F.col("ox") * 10, "opcl": F.col("oy") * 100, "dtaz": F.col("x") * 10, "dpcl": F.col("y") * 100, "role": F.lit(2)})
+
+
+def test_records_of_tours_and_trips_have_their_ends(spark):
+    persons = spark.createDataFrame([(1, 1, 1, 3, 4, 31, 41, 5, 6, 51, 61)], "hh int, pno int, ptype int, hx int, hy int, htaz int, hpcl int, wx int, wy int, wtaz int, wpcl int")
+    out = week.week_pipeline(reported(spark), persons=persons)
+    tours = sorted(tuple(r)[3:] for r in out.tour_output.collect())
+    assert tours == [
+        (1, 0, 1, 1, 800, 840, 2340, 20, 1, 2, 41, 31, 600, 50, 3, 4, 5, 6, 7, 4, 1, 1, 0.3333333333333333),
+        (2, 1, 1, 6, 1200, 1205, 1300, 1305, 2, 4, 600, 50, 700, 70, 5, 6, 7, 7, 1, 0, 1, 1, 0.3333333333333333),
+        (3, 0, 0, 5, 1000, 1030, 1140, 1210, 1, 4, 41, 31, 800, 80, 3, 4, 8, 8, 3, 1, 1, 1, 0.3333333333333333),
+    ]
+    legs = {(r.tour, r.half, r.tseg): r for r in out.trip_output.collect()}
+    assert sorted(legs) == [(1, 1, 1), (1, 2, 1), (1, 2, 2), (2, 1, 1), (2, 2, 1), (3, 1, 1), (3, 2, 1)]
+    first, ride, car = legs[1, 1, 1], legs[1, 2, 1], legs[1, 2, 2]
+    assert (first.opurp, first.dpurp, first.oadtyp, first.dadtyp, first.otaz, first.dtaz, first.deptm, first.arrtm, first.endacttm, first.dorp) == (0, 1, 1, 2, 31, 50, 800, 840, 1200, 2)
+    assert (ride.mode, ride.pathtype, ride.dpurp, ride.dadtyp, ride.dpcl, ride.deptm, ride.arrtm, ride.endacttm, ride.dorp) == (6, 4, 10, 6, -1, 2340, 0, 1, 1)
+    assert (car.mode, car.opurp, car.oadtyp, car.otaz, car.dpcl, car.dtaz, car.deptm, car.arrtm) == (3, 10, 6, -1, 41, 31, 1, 20)
+    days = {r.day: r for r in out.day_output.collect()}
+    assert [(days[d].hbtours, days[d].wbtours, days[d].uwtours, days[d].wktours, days[d].shtours, days[d].beghom, days[d].endhom) for d in (1, 2, 5)] == [(1, 1, 1, 1, 0, 1, 1), (1, 0, 0, 0, 1, 1, 1), (0, 0, 0, 0, 0, 0, 0)]
+    late = next(r for r in out.walked.where("day_ix = 4").collect())
+    assert (late.otype, late.ox, late.otaz, late.opcl, late.opurp) == (5, -1, 0, 0, 4)  # no trip the day before, and from elsewhere
+    with pytest.raises(ValueError, match="persons"):
+        week.week_pipeline(reported(spark)).tour_output.count()
+
+
+def test_stages_save_the_work_of_a_week(spark):
+    from wayfold.sources.tables import Stages
+
+    with Stages(spark) as stages:
+        out = week.week_pipeline(reported(spark), stages=stages)
+        plain = week.week_pipeline(reported(spark))
+        for name in ("tours", "person_days"):
+            one, two = getattr(out, name), getattr(plain, name)
+            assert sorted(map(tuple, one.select(two.columns).collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+            plan = one._jdf.queryExecution().executedPlan().toString()
+            assert "collect_list" not in plan  # chains aren't linked again
+        scans = out.person_days._jdf.queryExecution().optimizedPlan().toString().count("Relation spark_catalog")
+        assert scans <= 8  # of stages; none of the trips
+        assert len(stages.kept) == 3

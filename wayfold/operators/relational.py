@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.tables import partitions, shared_folder
+
 
 def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on all columns that both sides have."""
@@ -62,6 +64,25 @@ def renumber(df: DataFrame, keys: list[str], order: list[str], name: str, dense:
     return df.withColumn(name, (F.dense_rank() if dense else F.row_number()).over(w))
 
 
+def dense_numbers(df: DataFrame, order: list[str], name: str, parts: int | None = None) -> DataFrame:
+    """df with its dense rank by the columns `order` over the whole table, from 1; nulls come first.
+
+    A window without keys would be one task. Distinct keys are dealt by range and counted in each part; the counts,
+    one for each part, give the number before each part, and only ranks within parts are windows.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    n = parts or partitions(spark)
+    # dealing by range looks at a sample, so what is dealt is kept: counts and ranks must see the same parts
+    keys = df.select(*order).distinct().repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    counts = {r["_part"]: r["count"] for r in keys.groupBy("_part").count().collect()}
+    before = [(p, sum(c for q, c in counts.items() if q < p)) for p in counts]
+    offsets = F.broadcast(spark.createDataFrame(before, "_part int, _before long"))
+    ranked = keys.withColumn(name, F.row_number().over(W.partitionBy("_part").orderBy(*order))).join(offsets, "_part")
+    ranked = ranked.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(order)), (F.col(name) + F.col("_before")).alias(name))
+    return df.join(ranked, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)))).select(*df.columns, name)
+
+
 def exclude_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     """df without the rows whose key is in a table of keys."""
     return df.join(keys.distinct(), keys.columns, "left_anti")

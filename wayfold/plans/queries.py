@@ -990,6 +990,53 @@ def zones_of_roles(spark, folder):
     return spatial.nearest_zones(points, zones, 0.3, {"home": ("hx", "hy"), "work": ("wx", "wy")}).select("point_id", "home_zone", "work_zone")
 
 
+# blocks beside a zone that is two thousand times as wide
+@query("""WITH p AS (SELECT c_custkey AS point_id, (c_custkey % 1310) / 7.0 - 20.0 AS x, (c_custkey % 97) / 5.0 - 3.0 AS y FROM customer),
+z AS (SELECT n_nationkey AS zone_id, n_nationkey % 5 + 0.1 AS x1, n_nationkey % 5 + 0.8 AS x2, n_nationkey // 5 + 0.1 AS y1, n_nationkey // 5 + 0.8 AS y2 FROM nation
+  UNION ALL SELECT 100 + r_regionkey, 10.0 + r_regionkey * 4, 10.0 + r_regionkey * 4 + 4.0 ** r_regionkey, r_regionkey + 6.0, r_regionkey + 6.0 + 6.0 ** r_regionkey FROM region),
+n AS (SELECT point_id, zone_id, sqrt(greatest(x1 - x, 0, x - x2) ** 2 + greatest(y1 - y, 0, y - y2) ** 2) AS d FROM p, z),
+b AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY round(d, 9), zone_id) AS r FROM n WHERE d <= 0.3)
+SELECT p.point_id, zone_id, round(d, 6) AS distance FROM p LEFT JOIN b ON p.point_id = b.point_id AND r = 1""")
+def zones_of_unlike_sizes(spark, folder):
+    c, n, r = tables(spark, folder, "customer", "nation", "region")
+    k, key = F.col("c_custkey"), F.col("r_regionkey")
+    points = c.select(k.alias("point_id"), ((k % 1310) / 7.0 - 20.0).alias("x"), ((k % 97) / 5.0 - 3.0).alias("y"))
+    a, b = (F.col("n_nationkey") % 5).cast("double"), F.expr("cast(n_nationkey div 5 as double)")
+    blocks = n.select(F.col("n_nationkey").cast("long").alias("zone_id"), _rectangle(a + 0.1, b + 0.1, a + 0.8, b + 0.8))
+    x, y = 10.0 + key * 4, key + 6.0
+    wide = r.select((100 + key).cast("long").alias("zone_id"), _rectangle(x, y, x + F.pow(F.lit(4.0), key), y + F.pow(F.lit(6.0), key)))
+    return spatial.nearest_zone_join(points, blocks.unionByName(wide), 0.3).select("point_id", "zone_id", F.round("distance", 6).alias("distance"))
+
+
+def _rectangle(x1, y1, x2, y2):
+    corner = [(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]
+    return F.array(*(F.struct(p[0].alias("x1"), p[1].alias("y1"), q[0].alias("x2"), q[1].alias("y2")) for p, q in zip(corner, corner[1:], strict=False))).alias("edges")
+
+
+# places in degrees, and a limit in feet
+@query("""WITH p AS (SELECT c_custkey AS point_id, (c_custkey % 131) / 2000.0 - 122.5 AS lon, (c_custkey % 97) / 1500.0 + 37.7 AS lat FROM customer),
+z AS (SELECT n_nationkey AS zone_id, n_nationkey % 5 / 80.0 - 122.499 AS x1, n_nationkey % 5 / 80.0 - 122.493 AS x2, n_nationkey // 5 / 80.0 + 37.701 AS y1, n_nationkey // 5 / 80.0 + 37.707 AS y2 FROM nation),
+f AS (SELECT 3963.1676 * 5280 AS r, cos(radians(37.75)) AS c),
+n AS (SELECT point_id, zone_id, sqrt((r * c * radians(greatest(x1 - lon, 0, lon - x2))) ** 2 + (r * radians(greatest(y1 - lat, 0, lat - y2))) ** 2) AS d FROM p, z, f),
+b AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY round(d, 6), zone_id) AS r FROM n WHERE d <= 1320)
+SELECT p.point_id, zone_id, round(d, 2) AS feet FROM p LEFT JOIN b ON p.point_id = b.point_id AND r = 1""")
+def nearest_zone_feet(spark, folder):
+    c, n = tables(spark, folder, "customer", "nation")
+    k = F.col("c_custkey")
+    points = c.select(k.alias("point_id"), ((k % 131) / 2000.0 - 122.5).alias("x"), ((k % 97) / 1500.0 + 37.7).alias("y"))
+    a, b = F.col("n_nationkey") % 5 / 80.0, F.expr("cast(n_nationkey div 5 as double)") / 80.0
+    zones = n.select(F.col("n_nationkey").alias("zone_id"), _rectangle(a - 122.499, b + 37.701, a - 122.493, b + 37.707))
+    return spatial.nearest_zone_join(points, zones, 1320.0, latitude=37.75).select("point_id", "zone_id", F.round("distance", 2).alias("feet"))
+
+
+@query("SELECT event_id, dense_rank() OVER (ORDER BY user_id // 3)::BIGINT AS household_no, dense_rank() OVER (ORDER BY event_type, user_id // 3)::BIGINT AS kind_no FROM events")
+def household_numbers(spark, folder):
+    (events,) = tables(spark, folder, "events")
+    rows = events.select("event_id", "event_type", F.expr("user_id div 3").alias("hh"))
+    out = relational.dense_numbers(relational.dense_numbers(rows, ["hh"], "household_no"), ["event_type", "hh"], "kind_no")
+    return out.select("event_id", "household_no", "kind_no")
+
+
 @query("""SELECT c_custkey, CASE jobs WHEN 1 THEN h WHEN 2 THEN h + h % 7 WHEN 3 THEN h + h % 7 + h % 5 END AS hours,
   CASE WHEN student = 1 AND level = 97 THEN CASE word WHEN 'GED' THEN 4 WHEN 'INSTITUTE' THEN 5 ELSE CASE WHEN age >= 19 THEN 5 ELSE 4 END END WHEN student = 1 AND (level IS NULL OR level IN (98, 99)) THEN CASE WHEN age >= 19 THEN 5 ELSE 4 END ELSE level END AS level
 FROM (SELECT c_custkey, (c_custkey % 4)::INT AS jobs, (c_custkey % 50)::INT AS h, (c_custkey % 2)::INT AS student, (c_custkey % 30)::INT AS age, ([97, 98, NULL, 3, 97])[c_custkey % 5 + 1] AS level, (['GED', 'INSTITUTE', 'elsewhere'])[c_custkey % 3 + 1] AS word FROM customer)""")
