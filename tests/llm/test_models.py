@@ -241,3 +241,29 @@ def test_parts_of_a_long_text_have_all_features(words):
     parts = list(toxicity.feature_parts(text, np.array([0, len(text)])))
     assert len(parts) > 3
     assert np.array_equal(np.unique(np.concatenate([h for _, h in parts])), whole)
+
+
+def test_rounds_help_where_both_views_tell_and_do_no_harm_where_one_does_not(spark, monkeypatch):
+    r = random.Random(8)
+
+    def page(good, told):
+        # a few marks in bad texts, as many in some good ones; the source tells most of the time, or nothing
+        marks = "".join(r.choice("#*$%") for _ in range(r.choice([0, 0, 1, 2] if good else [1, 2, 4, 6])))
+        words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(r.randint(20, 60))]
+        kind = good if not told or r.random() < 0.97 else not good
+        return " ".join(words) + " " + marks, f"s{r.randrange(3) + 3 * kind if told else r.randrange(6)}"
+
+    def ranked(told, rounds):
+        monkeypatch.setattr(cotraining.cotrain, "__defaults__", (rounds, *cotraining.cotrain.__defaults__[1:]))
+        docs = spark.createDataFrame([(i, *tables[told][i][:1], "en", tables[told][i][1], 100) for i in range(4000)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+        model = cotraining.train(docs, spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(160)], "doc_id long, quality int"))
+        out = cotraining.score(docs, model).where("doc_id >= 160").collect()
+        good, bad = (np.array([x.text_score for x in out if (x.doc_id % 3 > 0) == k]) for k in (True, False))
+        wins = np.searchsorted(np.sort(bad), good, "left") + np.searchsorted(np.sort(bad), good, "right")
+        return wins.mean() / 2 / len(bad), np.mean([(x.score >= 0.5) == (x.doc_id % 3 > 0) for x in out])
+
+    tables = {told: [page(i % 3 > 0, told) for i in range(4000)] for told in (True, False)}
+    (plain, _), (taught, right) = ranked(True, 0), ranked(True, 4)
+    assert taught > plain + 0.01 and right > 0.95  # the text view has learned from what the source tells
+    (plain, before), (taught, after) = ranked(False, 0), ranked(False, 4)
+    assert taught > plain - 0.01 and after > before - 0.01

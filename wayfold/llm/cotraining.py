@@ -7,18 +7,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, partitions
 from .words import Words, chunks, slices, text_bytes
 
 #: Labelled rows that the views are fitted on at most, those with the smallest hashes of their ids.
 MAX_LABELLED = 8_000
-ROUNDS, TAKE, SURE = 4, 0.05, 0.9
-#: Ranges of each measurement, and slots of each hashed name.
-BINS, SLOTS = 12, 64
+ROUNDS, TAKE, SURE, LIFT = 4, 0.05, 0.9, 4
+#: Ranges of each measurement, slots of each hashed name, and names: source, language, and both with the length's range.
+BINS, SLOTS, NAMES = 12, 64, 3
 #: Share of the labelled rows that calibration keeps for itself.
 CALIBRATE = 0.25
 #: Levels of certainty that are counted, and of order within one; the rank of rows that aren't sure enough.
@@ -114,6 +113,21 @@ def _calibrated(x: np.ndarray, y: np.ndarray, steps: int = 500) -> np.ndarray:
     return w
 
 
+def _scale(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """(factor, shift) that make the logits z of calibration rows chances; (0, 0) if they tell no more than the prior.
+
+    Labels are drawn in by the number of rows of their class (Platt), so that a few rows can't make a view sure; and
+    the two numbers have to earn their keep: the loss falls by one for each of them, or the view tells nothing.
+    """
+    good, bad = y.sum(), (1 - y).sum()
+    if not good or not bad:
+        return np.zeros(2)
+    w = _calibrated(z[:, None], np.where(y > 0.5, (good + 1) / (good + 2), 1 / (bad + 2)))
+    loss = lambda p: -np.sum(y * np.log(p) + (1 - y) * np.log(1 - p))
+    better = loss(np.clip(_sigmoid(z * w[0] + w[1]), 1e-9, 1 - 1e-9)) + 2 < loss(np.full(len(y), (good + 1) / (len(y) + 2)))
+    return w if better and w[0] > 0 else np.zeros(2)
+
+
 class Model(NamedTuple):
     text: View
     meta: View
@@ -145,15 +159,16 @@ def places(codes: np.ndarray) -> list[np.ndarray]:
     return [text, np.column_stack([meta, names])]
 
 
-def ranks(at: np.ndarray, w: np.ndarray, order: np.ndarray, sure: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each row as good and as bad, the surest first, equal ones by order; NOT_SURE for those below `sure`."""
+def ranks(at: np.ndarray, w: np.ndarray, order: np.ndarray, sure: float | tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each row as good and as bad, the surest first, equal ones by order; NOT_SURE for those below `sure` (as good, as bad)."""
+    sure = (sure, sure) if np.isscalar(sure) else sure
     z = np.clip(w[-1] + w[at].sum(1), -35, 35)
     level = np.floor((z + 35) / 70 * (LEVELS - 1)).astype(np.int64)
-    tie, least = (order >> 40) & (LEVELS - 1), np.log(sure / (1 - sure))
-    return np.where(z >= least, (LEVELS - 1 - level) * LEVELS + tie, NOT_SURE), np.where(z <= -least, level * LEVELS + tie, NOT_SURE)
+    tie, (good, bad) = (order >> 40) & (LEVELS - 1), (np.log(s / (1 - s)) for s in sure)
+    return np.where(z >= good, (LEVELS - 1 - level) * LEVELS + tie, NOT_SURE), np.where(z <= -bad, level * LEVELS + tie, NOT_SURE)
 
 
-def taught(at: list[np.ndarray], order: np.ndarray, rounds: list[Round], sure: float) -> tuple[list[np.ndarray], np.ndarray]:
+def taught(at: list[np.ndarray], order: np.ndarray, rounds: list[Round], sure: float | tuple[float, float]) -> tuple[list[np.ndarray], np.ndarray]:
     """Labels that each view has got from the other one (NaN: none), and which rows are still in the pool."""
     labels, free = [np.full(len(order), np.nan) for _ in (0, 1)], np.ones(len(order), bool)
     for r in rounds:
@@ -198,7 +213,7 @@ def _below(table: tuple[np.ndarray, np.ndarray] | None, want: int) -> tuple[int,
     return (int(table[0][at]) if at < len(total) else NOT_SURE), int(total[at - 1]) if at else 0
 
 
-def cut_offs(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], share: float, take: float, sure: float) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def cut_offs(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], share: float, take: float, sure: float | tuple[float, float]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Ranks below which rows of the pool get a label from each view, and how many rows (good, bad) that are.
 
     Counts over all rows tell the level at which `take` of them is reached, a second count the place within it.
@@ -228,7 +243,7 @@ def cut_offs(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], sh
     return [(cuts[0], cuts[1]), (cuts[2], cuts[3])], [(sizes[0], sizes[1]), (sizes[2], sizes[3])]
 
 
-def pool_sums(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], class_weights: list[tuple[float, float]], sure: float) -> list[np.ndarray]:
+def pool_sums(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], class_weights: list[tuple[float, float]], sure: float | tuple[float, float]) -> list[np.ndarray]:
     """sums() of both views over the rows of the pool that have got a label."""
     sizes = [1 + len(w) + len(w) ** 2 for w in weights]
 
@@ -237,25 +252,24 @@ def pool_sums(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], c
         for at, order in _state(batches):
             labels, _ = taught(at, order, rounds, sure)
             have = [~np.isnan(y) for y in labels]
-            out += np.concatenate([sums(at[k][h], y[h], np.where(y[h] > 0.5, *class_weights[k]), weights[k]) for k, (y, h) in enumerate(zip(labels, have, strict=True))])
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["part", "v"])
-
-    def added(table: pa.Table) -> pa.Table:
-        out = np.zeros(sum(sizes))
-        for v in table["v"]:
-            out += np.frombuffer(v.as_py())
-        return pa.table({"v": pa.array([out.tobytes()], pa.binary())})
-
-    rows = pool.mapInArrow(part, "part int, v binary").groupBy("part").applyInArrow(added, "v binary").collect()
-    out = np.sum([np.zeros(sum(sizes)), *(np.frombuffer(r.v) for r in rows)], axis=0)
+            if any(h.any() for h in have):
+                out += np.concatenate([sums(at[k][h], y[h], np.where(y[h] > 0.5, *class_weights[k]), weights[k]) for k, (y, h) in enumerate(zip(labels, have, strict=True))])
+        place = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(out[place])], ["place", "v"])
+
+    # numbers are added up by their places, each place by itself, whatever the number of tasks
+    rows = pool.mapInArrow(part, "place int, v double").groupBy("place").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(sum(sizes))
+    out[rows["place"].to_numpy()] = rows["v"].to_numpy()
     return [out[: sizes[0]], out[sizes[0] :]]
 
 
 def cotrain(known: tuple[np.ndarray, np.ndarray], pool: DataFrame, edges: np.ndarray, rounds: int = ROUNDS, take: float = TAKE, sure: float = SURE) -> Model:
     """Fit on known rows (codes, labels) in a fixed order and on all rows of pool (order, codes), which have no label.
 
-    In each round both views are fitted on their labels; of the pool, each view passes up to `take` of it, those it
-    is surest of and at least `sure`, as labels to the other one. Labels keep the two classes' shares. Rows stay where
+    In each round both views are fitted on their labels and calibrated on known rows that they aren't fitted on; of the
+    pool, each view passes up to `take` of it, those it is surest of and, calibrated, at least `sure`, as labels to the
+    other one. A view that tells no more of the calibration rows than the classes' shares do teaches nothing. Labels keep the two classes' shares. Rows stay where
     they are: their labels follow from the weights and cut-offs of the rounds, and only sums come to the driver.
     """
     codes, y = known
@@ -264,6 +278,8 @@ def cotrain(known: tuple[np.ndarray, np.ndarray], pool: DataFrame, edges: np.nda
     weights = [np.zeros(n) for n in (len(TEXT) * (BINS + 1) + 1, len(META) * (BINS + 1) + (codes.shape[1] - len(TEXT) - len(META)) * SLOTS + 1)]
     share = y[own].mean() if len(y[own]) else 0.5
     past, got = [], np.zeros((2, 2), np.int64)
+    # where most rows are good, to be right in `sure` of the cases is no news: errors must be rarer than guesses by LIFT
+    sure = tuple(max(sure, 1 - (1 - of_class) / LIFT) for of_class in (share, 1 - share))
 
     def fit(starts: list[np.ndarray]) -> list[np.ndarray]:
         class_weights = []
@@ -278,23 +294,31 @@ def cotrain(known: tuple[np.ndarray, np.ndarray], pool: DataFrame, edges: np.nda
 
         return fit_views(total, starts)
 
+    def scales() -> list[np.ndarray]:
+        return [_scale(w[-1] + w[at[k][:n_cal]].sum(1), y[:n_cal]) for k, w in enumerate(weights)]
+
     for _ in range(rounds if len(y[own]) else 0):
         weights = fit(weights)
-        cuts, sizes = cut_offs(pool, past, weights, share, take, sure)
-        past.append(Round(weights, cuts))
+        told = [np.append(w[:-1] * a, w[-1] * a + b) for w, (a, b) in zip(weights, scales(), strict=True)]
+        if not np.any([t.any() for t in told]):
+            break
+        cuts, sizes = cut_offs(pool, past, told, share, take, sure)
+        past.append(Round(told, cuts))
         got += np.array(sizes)[::-1]
         if not np.any(sizes):
             break
     weights = fit(weights)
     views = [View(edges[: len(TEXT)], weights[0]), View(edges[len(TEXT) :], weights[1])]
     logits = [w[-1] + w[at[k][:n_cal]].sum(1) for k, w in enumerate(weights)]
-    scales = [_calibrated(z[:, None], y[:n_cal]) for z in logits]
-    both = _calibrated(np.column_stack([z * s[0] + s[1] for z, s in zip(logits, scales, strict=True)]), y[:n_cal])
-    return Model(*views, *scales, both)
+    found = scales()
+    if not np.any(found):  # with next to no labels, what little the views tell is better than nothing
+        found = [_calibrated(z[:, None], y[:n_cal]) for z in logits]
+    both = _calibrated(np.column_stack([z * s[0] + s[1] for z, s in zip(logits, found, strict=True)]), y[:n_cal])
+    return Model(*views, *found, both)
 
 
 def view_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, numbers array<double> (TEXT and META), slots array<int> of source and language, one row per row of docs.
+    """doc_id, numbers array<double> (TEXT and META), slots array<int> of the NAMES, one row per row of docs.
 
     Metadata columns that docs lacks count as null; nulls have a slot of their own.
     """
@@ -309,14 +333,16 @@ def view_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, batch.column("slots")], ["doc_id", "numbers", "slots"])
 
     name = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")), F.lit(SLOTS)).cast("int")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-")) if c in docs.columns else F.lit("-")
     chars = F.greatest(F.lit(0.0), F.coalesce((F.col("n_chars") if "n_chars" in docs.columns else F.lit(None).cast("double")).try_cast("double"), F.lit(0.0)))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), chars.alias("chars"), F.array(name("source"), name("lang")).alias("slots"))
+    crossed = F.pmod(F.xxhash64(text("source"), text("lang"), F.floor(F.log2(chars + 1))), F.lit(SLOTS)).cast("int")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), chars.alias("chars"), F.array(name("source"), name("lang"), crossed).alias("slots"))
     return rows.mapInArrow(measured, "doc_id long, numbers array<double>, slots array<int>")
 
 
 def _arrays(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     flat = lambda c: np.asarray((x.combine_chunks() if isinstance(x := table.column(c), pa.ChunkedArray) else x).flatten())
-    return flat("numbers").reshape(-1, len(TEXT) + len(META)), flat("slots").reshape(-1, 2)
+    return flat("numbers").reshape(-1, len(TEXT) + len(META)), flat("slots").reshape(-1, NAMES)
 
 
 def range_edges(rows: DataFrame) -> np.ndarray:
@@ -345,7 +371,8 @@ def range_edges(rows: DataFrame) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled: int = MAX_LABELLED) -> Model | None:
     """The model of labels.quality from a bounded sample of labelled rows and all other rows.
 
-    None if no row has a label. where: SQL condition on doc_id of labels to learn from.
+    None if no row has a label. Of repeated labels the larger counts, of repeated ids the row of the smallest codes; sure
+    rows that tie are taken by a hash of their ids. where: SQL condition on doc_id of labels to learn from.
     """
     docs = docs.select(*(c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns)).where("doc_id IS NOT NULL")
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("y"))
@@ -364,7 +391,8 @@ def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled:
             binary = pa.array([c.tobytes() for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("y"), binary], ["order", "y", "codes"])
 
-    rows = cut(rows.mapInArrow(coded, "order long, y double, codes binary"))
+    # codes are some 25 bytes a row: fewer partitions, so that the rounds' sums come from fewer tasks
+    rows = cut(rows.coalesce(4 * partitions(rows.sparkSession)).mapInArrow(coded, "order long, y double, codes binary"))
     own = rows.where("y IS NOT NULL").groupBy("order").agg(F.max("y").alias("y"), F.min("codes").alias("codes")).toArrow().sort_by("order")
     if not own.num_rows:
         return None
@@ -375,7 +403,8 @@ def train(docs: DataFrame, labels: DataFrame, where: str = "true", max_labelled:
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, score, text_score, meta_score (0 to 1, higher: better quality).
 
-    Nulls and empty texts have measurements of 0. Rows that repeat are scored each; an empty table gives an empty
+    A very long text is measured whole in one task, some 50 bytes of memory a byte; of names and ids any value goes, and
+    other columns than text, source, lang, n_chars aren't looked at, whatever they are called. Nulls and empty texts have measurements of 0. Rows that repeat are scored each; an empty table gives an empty
     result; without a model every score is 0.5.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
