@@ -267,3 +267,15 @@ def test_rounds_help_where_both_views_tell_and_do_no_harm_where_one_does_not(spa
     assert taught > plain + 0.01 and right > 0.95  # the text view has learned from what the source tells
     (plain, before), (taught, after) = ranked(False, 0), ranked(False, 4)
     assert taught > plain - 0.01 and after > before - 0.01
+
+
+def test_parts_keep_pairs_of_very_long_words(monkeypatch):
+    r = random.Random(2)
+    long = [("".join(r.choice("abcd") for _ in range(k)) + " ").encode() for k in [30_000, 3000, 1, 9000, 2, 5000, 12_000, 3, 4] * 12]
+    text = np.frombuffer(b" .. ".join(long) + b" " * 9000 + b"end of it", np.uint8)
+    whole = np.unique(toxicity.features(text, np.array([0, len(text)]))[1])
+    for chunk in (1000, 4096, 20_000):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        parts = list(toxicity.feature_parts(text, np.array([0, len(text)])))
+        assert len(parts) > 10
+        assert np.array_equal(np.unique(np.concatenate([h for _, h in parts])), whole)

@@ -20,8 +20,8 @@ MIN_DOCS = 3
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 3.0, 0.0
 #: Bytes of the word beginnings that count as stems.
 STEMS = (4, 6)
-#: Bytes of texts that are looked at together, and bytes in which the last three words before a part are looked for.
-CHUNK, BACK = 1 << 20, 1 << 12
+#: Bytes of texts that are looked at together.
+CHUNK = 1 << 20
 #: Training texts whose features are merged at a time.
 BLOCK = 500
 _U = np.uint64
@@ -30,10 +30,11 @@ _U = np.uint64
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
-def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of every feature of the texts, repeats included.
+def features(buf: np.ndarray, offsets: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, hash) of every feature of the texts, repeats included, and the hashes of the last words.
 
-    Features are lower-cased words, their stems, pairs of neighbours, and pairs with one or two words between.
+    Features are lower-cased words, their stems, pairs of neighbours, and pairs with one or two words between. before:
+    of a text that comes in parts, the hashes of the last words of the part before; they pair with the words here.
     """
     word = _WORD[buf]
     begin, end = word.copy(), word.copy()
@@ -51,28 +52,29 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         long = stop - start > k
         docs.append(doc[long])
         out.append(mix((sums[start[long] + k] - sums[start[long]]) * inverse[start[long]] + _U(k)))
+    if before is not None and len(before):
+        doc, h = np.concatenate([np.zeros(len(before), doc.dtype), doc]), np.concatenate([before, h])
+    known = 0 if before is None else len(before)
     for gap in (1, 2, 3):
-        near = doc[gap:] == doc[:-gap]
-        docs.append(doc[gap:][near])
-        out.append(mix(h[:-gap][near] * _U(BASE) + h[gap:][near] + _U(100 + gap)))
-    return np.concatenate(docs), np.concatenate(out)
+        a = max(0, known - gap)  # pairs of words before are in the part before
+        near = doc[gap + a :] == doc[a : max(a, len(doc) - gap)]
+        docs.append(doc[gap + a :][near])
+        out.append(mix(h[a : max(a, len(h) - gap)][near] * _U(BASE) + h[gap + a :][near] + _U(100 + gap)))
+    return np.concatenate(docs), np.concatenate(out), h[-3:]
 
 
 def feature_parts(buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """features() of the texts; those of one long text come in parts, with the last words of a part again in the next."""
-    n, p = len(buf), 0
+    """features() of the texts; those of one long text come in parts that end with a word and know the last words before."""
+    n, p, before = len(buf), 0, np.zeros(0, _U)
     if len(offsets) > 2 or n <= 2 * CHUNK:
-        yield features(buf, offsets)
+        yield features(buf, offsets)[:2]
         return
     while p < n:
         q = min(n, p + CHUNK)
         while q < n and _WORD[buf[q - 1]] and _WORD[buf[q]]:
             q += 1
-        back = max(0, p - BACK)
-        word = _WORD[buf[back:p]]
-        begins = np.flatnonzero(word[1:] & ~word[:-1]) + 1
-        a = back + int(begins[-3]) if len(begins) >= 3 else back
-        yield features(buf[a:q], np.array([0, q - a]))
+        doc, h, before = features(buf[p:q], np.array([0, q - p]), before)
+        yield doc, h
         p = q
 
 
