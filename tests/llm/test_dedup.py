@@ -311,3 +311,25 @@ def test_suffixes_and_factors_equal_brute_force():
     x = np.array(r.sample(range(50), 50))
     assert suffix_dedup.previous_smaller(x).tolist() == [max((j for j in range(k) if x[j] < x[k]), default=-1) for k in range(50)]
     assert suffix_dedup.previous_smaller(x, back=True).tolist() == [min((j for j in range(k + 1, 50) if x[j] < x[k]), default=-1) for k in range(50)]
+
+
+def test_a_passage_in_parts_of_several_large_groups(spark, make, words, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "GRID", 8)
+    shared, rows = words(45), []
+    for g in range(5):
+        own = words(18).split()
+        for m in range(14):
+            body = [*own[:m], "new", *own[m + 1 :]] if m < len(own) else own
+            rows.append((g * 100 + m, " ".join(body) + " " + (shared if m % 3 else words(45))))
+    sets, reach = brute_links(rows, 4, 60, 100)
+    out = ngram_jaccard.near_duplicates(make(rows), num=60).collect()
+    assert {x.doc_id: x.component for x in out} == reach
+    assert len(set(reach.values())) < len(rows) / 2
+
+
+def test_rows_without_an_id_name_no_component(make, words):
+    text = words(80)
+    near = text + " end"
+    rows = [(7, text), (5, near), (None, text + " more"), (None, words(50)), (None, None), (9, None), (11, "x y")]
+    out = ngram_jaccard.near_duplicates(make(rows)).collect()
+    assert sorted(((x.doc_id, x.component_id) for x in out), key=repr) == sorted([(7, 5), (5, 5), (None, 5), (None, None), (None, None), (9, 9), (11, 11)], key=repr)

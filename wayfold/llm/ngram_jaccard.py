@@ -95,15 +95,15 @@ def _bits(tokens):
 
 
 def _distinct(members: DataFrame) -> DataFrame:
-    """The distinct sets that aren't empty: digest, h, n, and first, the smallest (key, text hash) that has the set."""
-    return members.where("n > 0").groupBy("digest").agg(F.min("h").alias("h"), F.min("n").alias("n"), F.min(F.struct("_key", "_text")).alias("first"))
+    """The distinct sets that aren't empty: digest, h, n, and first and least, the smallest (key, text hash) and id that have the set."""
+    return members.where("n > 0").groupBy("digest").agg(F.min("h").alias("h"), F.min("n").alias("n"), F.min(F.struct("_key", "_text")).alias("first"), F.min("doc_id").alias("least"))
 
 
 def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, nodes, links) of keyed documents; two sets link when den * intersection >= num * union.
 
-    members: _key, _text, doc_id, n (set size), digest of the set, h, for every row. nodes: digest, node, first, for
-    the distinct sets that may have a partner. links: a, b, two nodes. Links between nodes that earlier links connect
+    members: _key, _text, doc_id, n (set size), digest of the set, h, for every row. nodes: digest, node, first, least,
+    for the distinct sets that may have a partner. links: a, b, two nodes. Links between nodes that earlier links connect
     already may be missing; the connected components are those of all links.
 
     1. A first filter, in hash order: a prefix of n - t + m tokens (t: the least overlap for size n, m = n / 10) must
@@ -120,7 +120,7 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     members = cut(docs.mapInArrow(_signatures(shingle), "_key long, _text long, doc_id long, n long, digest binary, h long"))
     hits = find(docs.select("_key", "text"), _prefixes(shingle, num, den)).groupBy(F.col("_key").alias("h")).agg(F.sum(F.size("places")).alias("hits"))
     passed = _distinct(members).join(hits, "h").where(f"hits >= greatest(1, {least('n')} div 10)")
-    nodes = cut(passed.select("digest", "first", "n", F.monotonically_increasing_id().alias("node")))
+    nodes = cut(passed.select("digest", "first", "least", "n", F.monotonically_increasing_id().alias("node")))
 
     texts = narrow(docs.select("_key", "text"), nodes.select("first._key"), ["_key"])
     sets = texts.mapInArrow(_sets(shingle), "digest binary, tokens array<long>").dropDuplicates(["digest"]).join(nodes.select("digest", "n", "node"), "digest")
@@ -146,8 +146,10 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
     about = stars.select(F.col("a").alias("node"), F.when(F.col("linked"), F.col("b")).alias("c"), F.col("b").alias("centre"), "common", "whole", "lacks", "adds")
     wide = ordered.select("node", "n", "e", "t", "l", "central", head.alias("head")).join(about, "node", "left").withColumn("c", F.coalesce("c", "node"))
     wide = wide.select("*", F.posexplode("head").alias("i", "token")).drop("head").withColumns({"i": F.expr("i + 1L"), "level": F.expr("greatest(1L, i + 1 - (e - t))")})
-    groups = wide.groupBy("token").agg(F.count("*").alias("k"), F.count_if(F.col("c") == F.col("node")).alias("single"), F.max_by("c", F.struct("central", -F.col("node"))).alias("hub")).where("k > 1")
-    groups = groups.select("token", "hub", F.expr(f"cast(1 + single div {GRID} as int)").alias("rows"), F.expr(f"cast(1 + k div {GRID} as int)").alias("columns"))
+    # rows of the grid hold the sets outside of the token's hub group, whatever groups they are in
+    of_group = wide.groupBy("token", "c").agg(F.count("*").alias("k"), F.max(F.struct("central", -F.col("node"))).alias("most"))
+    groups = of_group.groupBy("token").agg(F.sum("k").alias("k"), F.max_by("c", "most").alias("hub"), F.max_by("k", "most").alias("held")).where("k > 1")
+    groups = groups.select("token", "hub", F.expr(f"cast(1 + (k - held) div {GRID} as int)").alias("rows"), F.expr(f"cast(1 + k div {GRID} as int)").alias("columns"))
     wide = wide.drop("central").join(groups, "token").withColumn("outside", F.col("c") != F.col("hub"))
     spread = lambda size: F.pmod(F.xxhash64("node"), F.col(size).cast("long")).cast("int")
     slots = lambda size: F.explode(F.sequence(F.lit(0), F.col(size) - 1))
@@ -168,7 +170,9 @@ def jaccard_links(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 1
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """One row per row of docs: _key, _text, doc_id, n_shingles, component (the smallest key reachable by links), kept.
+    """One row per row of docs: _key, _text, doc_id, n_shingles, component, component_id, kept.
+
+    component is the smallest key reachable by links, component_id the smallest id, null if no row there has one.
 
     Sets are the distinct shingles of lower-cased (A-Z) words; with fewer words the whole sequence is one shingle.
     Nulls and empty texts have empty sets, which link with nothing. Equal sets always link. Rows without an id have
@@ -178,13 +182,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one task. Other columns are left behind, whatever their names. An empty table gives an empty result.
     """
     members, nodes, links = jaccard_links(keyed(docs, id_col, text_col), shingle, num, den)
-    joined = components(links).join(nodes.select("node", "digest", "first"), "node")
-    labels = joined.groupBy("component").agg(F.min("first").alias("label"))
-    labels = joined.join(labels, "component").select("digest", "label")
-    classes = _distinct(members).join(labels, "digest", "left").select("digest", F.coalesce("label", "first").alias("label"))
+    joined = components(links).join(nodes.select("node", "digest", "first", "least"), "node")
+    labels = joined.groupBy("component").agg(F.min("first").alias("label"), F.min("least").alias("id"))
+    labels = joined.select("component", "digest").join(labels, "component").select("digest", "label", "id")
+    classes = _distinct(members).join(labels, "digest", "left").select("digest", F.coalesce("label", "first").alias("label"), F.coalesce("id", "least").alias("id"))
     own = F.struct("_key", "_text")
     out = lookup(members, "digest", classes, "_key").withColumn("label", F.when(F.col("n") == 0, own).otherwise(F.col("label")))
-    return out.select("_key", "_text", "doc_id", F.col("n").alias("n_shingles"), F.col("label._key").alias("component"), (own == F.col("label")).alias("kept"))
+    least = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("id")).alias("component_id")
+    return out.select("_key", "_text", "doc_id", F.col("n").alias("n_shingles"), F.col("label._key").alias("component"), least, (own == F.col("label")).alias("kept"))
 
 
 def keep_rows(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -199,7 +204,7 @@ def keep_rows(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100)
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
 SQL = r"""
