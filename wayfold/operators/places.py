@@ -365,8 +365,8 @@ def child_tours(records: DataFrame, subtours: DataFrame) -> DataFrame:
     return rows.withColumn("child_ids", F.coalesce(ids, F.lit(""))).drop("_s")
 
 
-def trip_records(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: str = "tour_idx") -> DataFrame:  # noqa: B006
-    """One row per trip of a tour: trip, ends, inbound (0 or 1), trips on the journey and the tour, persons in the car."""
+def trip_records(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: str = "tour_idx", more: tuple[str, ...] = ()) -> DataFrame:  # noqa: B006
+    """One row per trip of a tour: trip, ends, inbound (0 or 1), trips on the journey and the tour, persons in the car; and columns in more."""
     s = W.partitionBy(*keys)
     w = s.orderBy(order)
     last = F.max(F.when(F.col("primary") == 1, F.col(order))).over(s)
@@ -376,7 +376,7 @@ def trip_records(tours: DataFrame, keys: list[str] = [*PERSON, "tour"], order: s
     side = F.when(inbound == 1, F.col("_n") - F.col("_l")).otherwise(F.coalesce(F.col("_f"), F.col("_n")) - 1)
     return rows.select(
         *keys, (F.col("_i") - 1).alias("trip"), "opurp", F.col("aggact").alias("dpurp"), "ox", "oy", "x", "y", "code", inbound.alias("inbound"),
-        side.cast("long").alias("trips_on_journey"), (F.col("_n") - 1).alias("trips_on_tour"), F.when(F.col("code").between(1, 6), F.col("riders")).alias("auto_occ"),
+        side.cast("long").alias("trips_on_journey"), (F.col("_n") - 1).alias("trips_on_tour"), F.when(F.col("code").between(1, 6), F.col("riders")).alias("auto_occ"), *more,
     )
 
 

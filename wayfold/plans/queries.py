@@ -689,6 +689,44 @@ def split_joint_trips(spark, folder):
     return joint.number_joint_trips(rows, together).select("event_id", "joint_no")
 
 
+# the place pipeline: tours of linked legs; members travel together if purposes and, widely, times agree
+_LEGS_RECORDS = RECORDS.replace(NUMBERED, LINKED + ", lp AS (SELECT * FROM (SELECT *, " + MODE_CODE + " AS code FROM lk) JOIN (SELECT hh, pno, seq, dep, arr, act_dur FROM pl) USING (hh, pno, seq))" + NUMBERED[len(PLACES) :].replace("FROM pl)", "FROM lp)"), 1)
+_LEGS_RECORDS = _LEGS_RECORDS.replace(f", cd AS (SELECT *, {MODE_CODE} AS code FROM (SELECT *, [modename] AS modes FROM pr))", ", cd AS (SELECT * FROM pr)", 1).replace("max((modename = 'DRIVER')::INT)", "max(list_contains(modes, 'DRIVER')::INT)", 1)
+PLACE = _LEGS_RECORDS + """, tq AS (SELECT *, tour_idx - 1 AS trip FROM cd WHERE tour_idx > 1),
+pt AS (SELECT a.hh, a.pno, a.tour, a.trip, list_sort(list(DISTINCT b.pno)) AS ms FROM tq a JOIN tq b ON a.hh = b.hh AND a.pno <> b.pno AND a.aggact = b.aggact AND abs(a.odep - b.odep) <= 500 AND abs(a.arr - b.arr) <= 500 GROUP BY ALL),
+jt AS (SELECT tq.*, list_concat([tq.pno], coalesce(ms, [])) AS party FROM tq LEFT JOIN pt USING (hh, pno, tour, trip)),
+jc AS (SELECT hh, pno, tour, (n = 1 AND len(p) > 1)::INT AS fully, (n > 1)::INT AS partly, p FROM (SELECT hh, pno, tour, count(DISTINCT array_to_string(party, '.')) AS n, min(party) AS p FROM jt GROUP BY ALL)),
+ji AS (SELECT rec.*, fully, partly, p, fully = 1 AND purpose NOT IN ('School', 'University', 'Work', 'WorkRelated') AS social, count(*) FILTER (fully = 1) OVER (PARTITION BY rec.hh, purpose) > 1 AS known FROM rec JOIN jc USING (hh, pno, tour)),
+jo AS (SELECT *, dense_rank() OVER (PARTITION BY hh ORDER BY pno, tour) AS joint_no FROM (SELECT *, row_number() OVER (PARTITION BY hh, purpose, dep ORDER BY pno, tour) AS r FROM ji WHERE social AND known) WHERE r = 1),
+ty AS (SELECT hh, pno AS member, (['FW', 'PW', 'US', 'NW', 'RE', 'DS', 'ND', 'PS'])[max(k) % 8 + 1] AS ptype FROM u GROUP BY hh, pno)"""
+
+
+def placed(spark, folder):
+    from .place import Joint, place_pipeline
+
+    together = Joint(minutes=500, places=("dpurp",), ends=("purpose",), same=("purpose", "dep"))
+    return place_pipeline(visited(spark, folder), scores_table(spark), member_types(spark, folder), together)
+
+
+@query(PLACE + """ SELECT 'joint' AS kind, hh, pno, tour, tour_id, purpose, tour_mode, driver, minutes, 1 AS fully_joint, 0 AS partly_joint, joint_no, len(p) AS size, p[1] AS person_1, p[2] AS person_2, p[3] AS person_3,
+  (SELECT CASE count(*) FILTER (ptype IN ('FW', 'PW', 'US', 'NW', 'RE')) WHEN count(*) THEN 1 WHEN 0 THEN 2 ELSE 3 END FROM ty WHERE ty.hh = jo.hh AND list_contains(jo.p, member)) AS composition FROM jo
+UNION ALL SELECT 'individual', hh, pno, tour, tour_id, purpose, tour_mode, driver, minutes, 0, CASE WHEN fully = 1 AND social THEN 1 ELSE partly END, NULL, NULL, NULL, NULL, NULL, NULL FROM ji WHERE NOT (social AND known) AND NOT (fully = 1 AND NOT social)
+UNION ALL SELECT 'individual', hh, pno, tour, tour_id, purpose, tour_mode, driver, minutes, 0, partly, NULL, NULL, NULL, NULL, NULL, NULL FROM ji WHERE fully = 1 AND NOT social""")
+def place_pipeline_joint_tours(spark, folder):
+    out = placed(spark, folder)
+    cols = [*PERSON, "tour", "tour_id", "purpose", "tour_mode", "driver", "minutes", "fully_joint", "partly_joint"]
+    members = ["joint_no", "size", "person_1", "person_2", "person_3", "composition"]
+    together = out.joint_tours.select(F.lit("joint").alias("kind"), *cols, *members)
+    return together.unionByName(out.individual_tours.select(F.lit("individual").alias("kind"), *cols), allowMissingColumns=True)
+
+
+@query(PLACE + """, tw AS (SELECT *, max(CASE WHEN "primary" = 1 THEN tour_idx END) OVER g AS l, lag(aggact) OVER w AS pa FROM cd WINDOW g AS (PARTITION BY hh, pno, tour), w AS (PARTITION BY hh, pno, tour ORDER BY tour_idx))
+SELECT hh, pno, tour, jt.trip, pa AS opurp, jt.aggact AS dpurp, jt.code, coalesce((jt.tour_idx > l)::INT, 0) AS inbound, jt.odep, jt.arr, array_to_string(party, '.') AS party_text, joint_no
+FROM jt JOIN (SELECT hh, pno, tour, tour_idx - 1 AS trip, l, pa FROM tw) USING (hh, pno, tour, trip) LEFT JOIN (SELECT hh, pno, tour, joint_no FROM jo) USING (hh, pno, tour)""")
+def place_pipeline_trips(spark, folder):
+    return placed(spark, folder).trips.select(*PERSON, "tour", "trip", "opurp", "dpurp", "code", "inbound", "odep", "arr", "party_text", "joint_no")
+
+
 # nations as unit squares of a grid with five columns, customers as points by their keys
 @query("""WITH p AS (SELECT c_custkey AS point_id, (c_custkey % 131) / 20.0 - 0.5 AS x, (c_custkey % 97) / 16.0 - 0.5 AS y FROM customer),
 z AS (SELECT n_nationkey AS zone_id, n_nationkey % 5 + 0.1 AS x1, n_nationkey % 5 + 0.8 AS x2, n_nationkey // 5 + 0.1 AS y1, n_nationkey // 5 + 0.8 AS y2 FROM nation),
