@@ -101,3 +101,39 @@ def test_stages_save_the_work_of_a_week(spark):
         scans = out.person_days._jdf.queryExecution().optimizedPlan().toString().count("Relation spark_catalog")
         assert scans <= 8  # of stages; none of the trips
         assert len(stages.kept) == 3
+
+
+def test_reported_tables_become_all_outputs(spark):
+    persons = spark.createDataFrame([(1, 1, 6, 1, 1, 2, 0, 1, 1, 1, 1, 1, 51, 61, 0, 0, 5.0, 6.0, None, None, 2.5)], "hh int, pno int, age int, gender int, employment int, student int, school_type int, work_park int, residence_rent_own int, residence_type int, work_county int, school_county int, work_zone int, work_parcel int, school_zone int, school_parcel int, work_x double, work_y double, school_x double, school_y double, person_weight double")
+    homes = spark.createDataFrame([(1, 999, 3, 3.0, 4.0, 31, 41), (2, 4, 1, 0.0, 0.0, 9, 9)], "hh int, income_detailed int, income_followup int, home_x double, home_y double, home_zone int, home_parcel int")
+    days = spark.createDataFrame([(1, 1, d, 1) for d in (2, 3)], "hh int, pno int, day int, is_complete int")
+    names = "trip_id hh pno trip_num travel_dow day_is_complete o_purpose_category d_purpose_category mode_type num_travelers mode_1 mode_2 mode_3 mode_4 transit_access transit_egress driver depart_hour depart_minute depart_second arrive_hour arrive_minute arrive_second o_county d_county o_zone d_zone o_parcel d_parcel o_x o_y d_x d_y"
+    trip = lambda i, dow, ok, o, d, h, ends: (i, 1, 1, i, dow, ok, o, d, 8, 1, None, None, None, None, None, None, 1, h, 0, 0, h, 30, 0, 1, 1, *ends)
+    out_, back = (31, 99, 41, 98, 3, 4, 5, 6), (99, 31, 98, 41, 5, 6, 3, 4)
+    trips = spark.createDataFrame([trip(2, 2, 1, 2, 1, 17, back), trip(1, 2, 1, 1, 2, 8, out_), trip(3, 4, 0, 1, 2, 8, out_)], ", ".join(f"{n} int" for n in names.split()))
+    got = week.week_from_reported(trips, persons, homes, days, Config(counties=(1,)))
+    assert [(r.pno, r.ptype, r.work_zone, r.expansion) for r in got.persons.collect()] == [(1, 1, 51, 2.5)]
+    assert sorted((r.hh, r.income, r.members, r.hhftw) for r in got.households.collect()) == [(1, 62500, 1, 1), (2, 42500, 0, 0)]
+    (tour,) = got.week.tour_output.collect()
+    assert (tour.pdpurp, tour.day, tour.tlvorig, tour.tardest, tour.tlvdest, tour.tarorig, tour.toadtyp, tour.tdadtyp, tour.totaz, tour.topcl, tour.tdtaz, tour.tmodetp, tour.tpathtp, tour.toexpfac) == (1, 2, 800, 830, 1700, 1730, 1, 2, 31, 41, 99, 3, 1, 1.25)
+    assert sorted((r.half, r.otaz, r.dtaz, r.dorp) for r in got.week.trip_output.collect()) == [(1, 31, 99, 1), (2, 99, 31, 1)]
+    assert sorted((r.day, r.hbtours, r.uwtours, r.pdexpfac) for r in got.week.day_output.collect()) == [(2, 1, 1, 1.25), (3, 0, 0, 1.25)]
+
+
+def test_joint_tours_of_the_place_pipeline(spark):
+    from wayfold.plans import place
+
+    def day(pno, acts, late=0):
+        return [(1, pno, i + 1, a, "DRIVER", i % 3, 0, (i - 1) % 3, 0, i * 60 + late, i * 60 + 10 + late, (i - 1) * 60 + 10 + late) for i, a in enumerate(acts)]
+
+    rows = day(1, ["Home", "Shopping", "Home", "Work", "Home"]) + day(2, ["Home", "Shopping", "Home"], 3) + day(3, ["Home", "Shopping", "Home"], 30)
+    df = spark.createDataFrame(rows, "hh int, pno int, seq int, aggact string, modename string, x int, y int, ox int, oy int, arr int, dep int, odep int").withColumns({"minutes": F.lit(5), "miles": F.lit(1), "toll": F.lit(2), "riders": F.lit(2), "act_dur": F.lit(10)})
+    scores = spark.createDataFrame([(a, k, *range(10, 1, -1)) for k, a in enumerate(("Work", "Shopping"))], "label string, tpurp int, " + ", ".join(f"d{k} int" for k in range(0, 481, 60)))
+    people = spark.createDataFrame([(1, 1, "FW"), (1, 2, "PS"), (1, 3, "FW")], "hh int, pno int, ptype string")
+    out = place.place_pipeline(df, scores, people)
+    # the two leave three minutes apart; records differ in the minute of leaving, so each of them is kept
+    assert sorted((r.pno, r.tour, r.purpose, r.joint_no, r.size, r.person_1, r.person_2, r.composition) for r in out.joint_tours.collect()) == [(1, 1, "Shopping", 1, 2, 1, 2, 3), (2, 1, "Shopping", 2, 2, 2, 1, 3)]
+    once = place.place_pipeline(df, scores, people, place.Joint(same=("ox", "oy", "dx", "dy")))
+    assert sorted((r.pno, r.tour, r.joint_no) for r in once.joint_tours.collect()) == [(1, 1, 1)]
+    assert sorted((r.pno, r.tour) for r in once.individual_tours.collect()) == [(1, 2), (3, 1)]
+    assert sorted((r.pno, r.tour, r.party_text, r.joint_no) for r in once.trips.where("pno = 1").collect()) == [(1, 1, "1.2", 1), (1, 1, "1.2", 1), (1, 2, "1", None), (1, 2, "1", None)]

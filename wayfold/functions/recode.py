@@ -40,6 +40,16 @@ def gate(value: Column, area: Column, areas: list, active: Column | None = None,
     return F.when(inside, value).otherwise(F.lit(outside))
 
 
+def positive_or(first: Column, second: Column) -> Column:
+    """The first value if it is above 0, else the second: a detailed answer and its follow-up."""
+    return F.when(first > 0, first).otherwise(second)
+
+
+def split_key(key: Column, base: int = 100) -> tuple[Column, Column]:
+    """A joint key as its household and its person: hh * base + pno."""
+    return F.floor(key / F.lit(base)).cast("long"), (key % base).cast("int")
+
+
 def null_to_sentinel(c: Column, sentinel=-1) -> Column:
     return F.coalesce(c, F.lit(sentinel))
 

@@ -136,7 +136,8 @@ def clock_format(spark, folder):
 def key_split(spark, folder):
     (o,) = tables(spark, folder, "orders")
     o = alias_columns(with_fallback(o, "o_status", "o_orderstatus"), {"o_status": "status", "absent": "nothing"})
-    return o.select("o_orderkey", F.expr("o_orderkey div 100").alias("household"), (F.col("o_orderkey") % 100).cast("int").alias("person"), "status", F.lit(-1).alias("parcel"))
+    household, person = recode.split_key(F.col("o_orderkey"))
+    return o.select("o_orderkey", household.alias("household"), person.alias("person"), "status", F.lit(-1).alias("parcel"))
 
 
 _DAYS = ", ".join(f"max(CASE WHEN day = {d} THEN 1 ELSE 0 END) AS {n}_complete" for d, n in weights.DAYS.items())
@@ -185,7 +186,7 @@ def household_attributes(spark, folder):
     first = relational.first_by(o.select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"])
     k = F.col("c_custkey")
     rows = c.join(first.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("first_priority")), "c_custkey", "left")
-    return rows.select("c_custkey", "c_mktsegment", "first_priority", F.when(k % 11 > 0, (k % 11) * 1000).otherwise((k % 7) * 500).alias("income"))
+    return rows.select("c_custkey", "c_mktsegment", "first_priority", recode.positive_or((k % 11) * 1000, (k % 7) * 500).alias("income"))
 
 
 @query(source.SQL + ", p AS (SELECT hh, pno, (max(k) % 8 + 1)::INT AS ptype FROM d GROUP BY ALL) SELECT hh, count(*) AS members, " + ", ".join(f"count(*) FILTER (ptype = {t}) AS {n}" for t, n in {1: "hhftw", 2: "hhptw", 3: "hhret", 4: "hhoad", 5: "hhuni", 6: "hhhsc", 7: "hh515", 8: "hhcu5"}.items()) + ", count(*) FILTER (ptype IN (1, 2)) AS hhwkrs FROM p GROUP BY hh")
@@ -1067,6 +1068,12 @@ def nearest_zone_feet(spark, folder):
     return spatial.nearest_zone_join(points, zones, 1320.0, latitude=37.75).select("point_id", "zone_id", F.round("distance", 2).alias("feet"))
 
 
+@query("SELECT o_custkey, string_agg(o_orderpriority, '-' ORDER BY o_orderkey) AS priorities, string_agg(o_orderstatus, '' ORDER BY o_orderkey) AS statuses FROM orders GROUP BY o_custkey")
+def ordered_text(spark, folder):
+    (o,) = tables(spark, folder, "orders")
+    return o.groupBy("o_custkey").agg(relational.joined_text("o_orderkey", F.col("o_orderpriority")).alias("priorities"), relational.joined_text("o_orderkey", F.col("o_orderstatus"), "").alias("statuses"))
+
+
 @query("SELECT event_id, dense_rank() OVER (ORDER BY user_id // 3)::BIGINT AS household_no, dense_rank() OVER (ORDER BY event_type, user_id // 3)::BIGINT AS kind_no FROM events")
 def household_numbers(spark, folder):
     (events,) = tables(spark, folder, "events")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clock import clock_text, hm_to_hhmm, min_to_hhmm
-from ..functions.recode import any_of, cases, gate, recode
+from ..functions.recode import any_of, cases, gate, positive_or, recode
 from ..operators import sequence, tours, weights
 from ..operators.relational import first_by
 from ..sources.diary import HOME, PERSON, WORK
@@ -63,7 +64,7 @@ def reformat_households(households: DataFrame, persons: DataFrame) -> DataFrame:
     """Households with income (the detailed answer, else the follow-up), and the first member's tenure and kind of home."""
     first = first_by(persons.select("hh", "pno", "owner", "home_type"), ["hh"], ["pno"]).drop("pno")
     detailed, again = recode(F.col("income_detailed"), INCOMES), recode(F.col("income_followup"), INCOMES_AGAIN)
-    return households.withColumn("income", F.when(detailed > 0, detailed).otherwise(again)).join(first, "hh", "left")
+    return households.withColumn("income", positive_or(detailed, again)).join(first, "hh", "left")
 
 
 def trip_mode(kind: Column, travelers: Column, first: Column, access: Column, egress: Column) -> Column:
@@ -307,3 +308,35 @@ def week_pipeline(trips: DataFrame, config: Config = Config(), max_gap: int = 1,
     tour_output, trip_output, day_output (with persons): the records of the three files.
     """
     return WeekTables(trips, config, max_gap, days, persons, stages)
+
+
+@dataclass(frozen=True)
+class ReportedWeek:
+    """What a survey's reported tables become: the files of persons and households, and the tables of the week."""
+
+    persons: DataFrame
+    households: DataFrame
+    week: WeekTables
+
+
+def week_from_reported(trips: DataFrame, persons: DataFrame, households: DataFrame, days: DataFrame, config: Config = Config(), max_gap: int = 1, stages: Stages | None = None) -> ReportedWeek:  # noqa: B008
+    """From the reported tables of a survey to all outputs of the week.
+
+    trips: hh, pno, trip_num, travel_dow, ends (o_x, o_y, d_x, d_y) and the columns of reformat_trips. persons: those of
+    reformat_persons, and person_weight (with the suffix that config asks for; 1 without it). households: hh, home_x,
+    home_y, home_zone, home_parcel, and those of reformat_households. days: hh, pno, day, is_complete. Trips are read by
+    their day of the week and number; those of a day that isn't complete are left out.
+    """
+    people = reformat_persons(persons, weights.day_completeness(days, PERSON), config)
+    homes = reformat_households(households, people)
+    name = config.weight("person_weight")
+    weight = (F.col(name) if name in persons.columns else F.lit(1.0)).cast("double").alias(config.weight("weight"))
+    ends = {"ox": "o_x", "oy": "o_y", "x": "d_x", "y": "d_y", "otaz": "o_zone", "dtaz": "d_zone", "opcl": "o_parcel", "dpcl": "d_parcel", "day": "travel_dow", "day_ix": "travel_dow"}
+    rows = reformat_trips(trips, config).withColumns({n: F.coalesce(F.col(c), F.lit(-1)) for n, c in ends.items()})
+    rows = rows.withColumn("seq", F.row_number().over(W.partitionBy(*PERSON).orderBy("travel_dow", "trip_num")))
+    rows = rows.join(people.select(*PERSON, weight), PERSON, "left").select(*PERSON, "seq", *ends, "dep", "arr", "opurp", "dpurp", "mode", "mode_type", "path", "role", config.weight("weight"))
+    work = people.select(*PERSON, "ptype", F.col("work_x").alias("wx"), F.col("work_y").alias("wy"), F.col("work_zone").alias("wtaz"), F.col("work_parcel").alias("wpcl"))
+    home = homes.select("hh", F.col("home_x").alias("hx"), F.col("home_y").alias("hy"), F.col("home_zone").alias("htaz"), F.col("home_parcel").alias("hpcl"))
+    week = week_pipeline(rows, config, max_gap, days, work.join(home, "hh", "left"), stages)
+    counts = household_counts(people, homes)
+    return ReportedWeek(person_output(people, name), homes.join(counts, "hh", "left"), week)
