@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -12,7 +13,7 @@ from ..functions import clock, numeric, recode, text
 from ..operators import joint, places, relational, sequence, spatial, tours, weights
 from ..sources import diary as source
 from ..sources.diary import PERSON
-from ..sources.tables import alias_columns, tables, with_fallback
+from ..sources.tables import alias_columns, append_batch, bulk_load_counted, empty_like, read_csv, shared_folder, tables, with_fallback, write_csv
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -140,8 +141,11 @@ def key_split(spark, folder):
     return o.select("o_orderkey", household.alias("household"), person.alias("person"), "status", F.lit(-1).alias("parcel"))
 
 
-_DAYS = ", ".join(f"max(CASE WHEN day = {d} THEN 1 ELSE 0 END) AS {n}_complete" for d, n in weights.DAYS.items())
-_WEEKS = ", ".join(f"{' + '.join(weights.COMPLETE[d] for d in w)} AS num_days_complete_{n}dayweekday" for n, w in weights.WEEKS.items())
+# the SQL states values by itself, so that a wrong one in the library is seen
+_WEEKDAYS = {1: "mon", 2: "tue", 3: "wed", 4: "thu", 5: "fri", 6: "sat", 7: "sun"}
+_DAYS = ", ".join(f"max(CASE WHEN day = {d} THEN 1 ELSE 0 END) AS {n}_complete" for d, n in _WEEKDAYS.items())
+_WEEKS = """tue_complete + wed_complete + thu_complete AS num_days_complete_3dayweekday, mon_complete + tue_complete + wed_complete + thu_complete AS num_days_complete_4dayweekday,
+  mon_complete + tue_complete + wed_complete + thu_complete + fri_complete AS num_days_complete_5dayweekday"""
 COMPLETE = source.SQL + f", pd AS (SELECT hh, pno, {_DAYS} FROM d GROUP BY hh, pno), comp AS (SELECT *, {_WEEKS} FROM pd)"
 
 
@@ -154,7 +158,7 @@ def pivot_completeness(spark, folder):
     return completeness(source.diary(spark, folder))
 
 
-@query(COMPLETE + " SELECT hh, pno, day::INT AS day FROM (" + " UNION ALL ".join(f"SELECT hh, pno, {d} AS day FROM comp WHERE {c} = 1" for d, c in weights.COMPLETE.items()) + ")")
+@query(COMPLETE + " SELECT hh, pno, day::INT AS day FROM (" + " UNION ALL ".join(f"SELECT hh, pno, {d} AS day FROM comp WHERE {n}_complete = 1" for d, n in _WEEKDAYS.items()) + ")")
 def unpivot_person_days(spark, folder):
     return weights.complete_person_days(completeness(source.diary(spark, folder)), PERSON)
 
@@ -392,7 +396,7 @@ def order_tours(spark, folder):
     return tours.order_tours(relational.union_all(main, sub)).select(*PERSON, "tour", "subtour", "tour_no")
 
 
-@query(TOURS + ", st AS (SELECT * FROM (SELECT *, max(tseg) OVER (PARTITION BY hh, pno, tour, half) AS l FROM half) WHERE tseg < l), e AS (SELECT hh, pno, coalesce((first(opurp ORDER BY seq) = 0)::INT, 1) AS beghom, (arg_max(dpurp, seq) = 0)::INT AS endhom FROM u GROUP BY hh, pno) SELECT e.*, " + ", ".join(f"(SELECT count(*) FROM prim p WHERE p.hh = e.hh AND p.pno = e.pno AND pdpurp = {p}) AS {n}tours, (SELECT count(*) FROM st s WHERE s.hh = e.hh AND s.pno = e.pno AND dpurp = {p}) AS {n}stops" for p, n in tours.PURPOSES.items()) + " FROM e")
+@query(TOURS + ", st AS (SELECT * FROM (SELECT *, max(tseg) OVER (PARTITION BY hh, pno, tour, half) AS l FROM half) WHERE tseg < l), e AS (SELECT hh, pno, coalesce((first(opurp ORDER BY seq) = 0)::INT, 1) AS beghom, (arg_max(dpurp, seq) = 0)::INT AS endhom FROM u GROUP BY hh, pno) SELECT e.*, " + ", ".join(f"(SELECT count(*) FROM prim p WHERE p.hh = e.hh AND p.pno = e.pno AND pdpurp = {p}) AS {n}tours, (SELECT count(*) FROM st s WHERE s.hh = e.hh AND s.pno = e.pno AND dpurp = {p}) AS {n}stops" for p, n in {1: "wk", 2: "sc", 3: "es", 4: "pb", 5: "sh", 6: "ml", 7: "so"}.items()) + " FROM e")
 def person_day_pattern(spark, folder):
     return tours.person_day_pattern(toured(spark, folder))
 
@@ -558,10 +562,11 @@ def stop_fields(spark, folder):
     return places.stop_fields(scored(spark, folder), ["aggact", "x"])
 
 
-_RANK = "CASE code " + " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(places.MODE_ORDER)) + " END"
+_ORDER = "[14, 13, 12, 17, 16, 15, 18, 8, 19, 6, 5, 4, 3, 2, 1, 11, 10, 9, 7, 20]"
+_RANK = f"list_position({_ORDER}, code) - 1"
 CODED = PRIMARY + f", cd AS (SELECT *, {MODE_CODE} AS code FROM (SELECT *, [modename] AS modes FROM pr))"
 RECORDS = CODED + f""", tr AS (SELECT hh, pno, tour, arg_min(CASE WHEN "primary" = 1 THEN aggact END, CASE WHEN "primary" = 1 THEN tour_idx END) AS purpose, arg_min(x, tour_idx) AS ox, arg_min(y, tour_idx) AS oy, arg_min(CASE WHEN "primary" = 1 THEN x END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dx,
-  arg_min(CASE WHEN "primary" = 1 THEN y END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dy, arg_min(dep, tour_idx) AS dep, arg_max(arr, tour_idx) AS arr, {list(places.MODE_ORDER)}[min(CASE WHEN tour_idx > 1 AND NOT aside THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver, max(coalesce(k, 0)) AS k FROM (
+  arg_min(CASE WHEN "primary" = 1 THEN y END, CASE WHEN "primary" = 1 THEN tour_idx END) AS dy, arg_min(dep, tour_idx) AS dep, arg_max(arr, tour_idx) AS arr, {_ORDER}[min(CASE WHEN tour_idx > 1 AND NOT aside THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver, max(coalesce(k, 0)) AS k FROM (
     -- a row between the first and the last work place, or the return to work that closes such rows, or the last one, is of no account for the mode
     SELECT c.*, (tour_idx > first_work AND tour_idx <= last_work AND (aggact <> 'Work' OR p <> 'Work' OR tour_idx = last_work)) IS TRUE AS aside, CASE WHEN aggact = 'Work' AND p <> 'Work' AND tour_idx > first_work THEN works - 1 END AS k
     FROM (SELECT *, min(CASE WHEN aggact = 'Work' THEN tour_idx END) OVER g AS first_work, max(CASE WHEN aggact = 'Work' THEN tour_idx END) OVER g AS last_work, lag(aggact) OVER o AS p, count(*) FILTER (aggact = 'Work') OVER (PARTITION BY hh, pno, tour ORDER BY tour_idx ROWS UNBOUNDED PRECEDING) AS works
@@ -591,7 +596,7 @@ for _old, _new in {"FROM nt WHERE tour > 0": "FROM ws WHERE subtour > 0", "nt.*"
 
 
 @query(RECORDS.replace(NUMBERED, WORKSUB, 1) + ", " + _BELOW + f""", qc AS (SELECT *, {MODE_CODE} AS code FROM (SELECT *, [modename] AS modes FROM qr)),
-sr AS (SELECT hh, pno, tour, subtour, arg_min(CASE WHEN "primary" = 1 THEN aggact END, CASE WHEN "primary" = 1 THEN subtour_idx END) AS purpose, {list(places.MODE_ORDER)}[min(CASE WHEN subtour_idx > 1 THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver FROM qc GROUP BY hh, pno, tour, subtour)
+sr AS (SELECT hh, pno, tour, subtour, arg_min(CASE WHEN "primary" = 1 THEN aggact END, CASE WHEN "primary" = 1 THEN subtour_idx END) AS purpose, {_ORDER}[min(CASE WHEN subtour_idx > 1 THEN {_RANK} END) + 1] AS tour_mode, count(*) AS places, coalesce(max((modename = 'DRIVER')::INT), 0) AS driver FROM qc GROUP BY hh, pno, tour, subtour)
 SELECT sr.*, rec.tour_id + sr.subtour AS tour_id, rec.tour_id AS parent_tour_id, rec.tour_mode AS parent_mode FROM sr LEFT JOIN rec ON rec.hh = sr.hh AND rec.pno = sr.pno AND rec.tour = sr.tour""")
 def subtour_record(spark, folder):
     code = places.mode_code(F.array("modename"), F.col("toll"), F.col("riders"))
@@ -806,7 +811,7 @@ def trip_codes(spark, folder):
 _LINKED = """, j AS (SELECT u.*, r.chain, r.acc, u.day_ix - lag(u.day_ix) OVER (PARTITION BY u.hh, u.pno ORDER BY u.seq) AS gap FROM u JOIN r ON u.hh = r.hh AND u.pno = r.pno AND u.seq = r.seq),
 g AS (SELECT hh, pno, chain, arg_min(day, seq) AS day, arg_min(day_ix, seq) AS day_ix, arg_min(dep, seq) AS dep, arg_min(coalesce(opurp, -9), seq) AS o, arg_min(coalesce(gap, 0), seq) AS gap, arg_max(arr, seq) AS arr, arg_max(dpurp, seq) AS z, arg_max(has_next, seq) AS hn, arg_max(acc, seq) AS mode, max(path) AS path, count(*) AS segments FROM j GROUP BY hh, pno, chain),
 lt AS (SELECT hh, pno, day, day_ix, dep, arr, CASE WHEN segments = 1 AND z <> 10 AND o = 10 AND gap <= 1 THEN 4 WHEN o = -9 THEN NULL ELSE o END AS opurp, CASE WHEN z = 10 AND NOT (segments > 1 AND hn = 0) THEN 4 ELSE z END AS dpurp, mode, path, row_number() OVER (PARTITION BY hh, pno ORDER BY chain) AS seq FROM g)"""
-_FIVE = " + ".join(f"max((day = {d})::INT)" for d in weights.WEEKS[5])
+_FIVE = "max((day = 1)::INT) + max((day = 2)::INT) + max((day = 3)::INT) + max((day = 4)::INT) + max((day = 5)::INT)"
 
 
 #: Two of a person's days in seven are incomplete.
@@ -859,7 +864,7 @@ def week_pipeline_trips(spark, folder):
     return out.select(*PERSON, "tour_no", "half", "tseg", "mode", "path", "opurp", "dpurp", "dep", "arr", "day", F.round("expansion", 6).alias("expansion"))
 
 
-_N = tours.PURPOSES.items()
+_N = {1: "wk", 2: "sc", 3: "es", 4: "pb", 5: "sh", 6: "ml", 7: "so"}.items()
 
 
 @query(WEEK + f""", st AS (SELECT * FROM (SELECT ah.*, day, max(tseg) OVER (PARTITION BY ah.hh, ah.pno, ah.tour, ah.subtour, half) AS l FROM ah JOIN rc USING {_SUB}) WHERE tseg < l),
@@ -976,14 +981,14 @@ def _case(e: str, table: dict, default: str | None = None) -> str:
 
 
 def _week_persons_sql() -> str:
-    from . import week
-
     ids = "c_custkey // 3 AS hh, (c_custkey % 3 + 1)::INT AS pno"
     made = {"age0": "c_custkey % 12", "gender0": "c_custkey % 5", "employment": "c_custkey % 9", "student": "c_custkey % 6", "school_type": "c_custkey % 8", "work_county": "c_custkey % 4", "school_county": "c_custkey % 5"}
     zones = ", ".join(f"CASE WHEN {p}_county IN (1, 3) AND {act} THEN hh::INT + {k} ELSE -1 END AS {p}_{z}" for p, act in (("work", "worker > 0"), ("school", "student_type > 0")) for k, z in enumerate(("zone", "parcel")))
-    unknown = ", ".join(f"-1 AS {c}" for c in week.UNKNOWN)
+    unknown = "-1 AS work_auto_minutes, -1 AS work_auto_miles, -1 AS school_auto_minutes, -1 AS school_auto_miles, -1 AS transit_pass, -1 AS paid_parking, -1 AS paper_diary, -1 AS proxy"
+    ages = {1: 3, 2: 10, 3: 16, 4: 21, 5: 30, 6: 40, 7: 50, 8: 60, 9: 70, 10: 80, 11: 90}
+    genders, students = {1: 2, 2: 1, 4: 3, 997: 3, 995: 9, 999: 9}, {0: 1, 1: 2, 2: 0, 3: 2, 4: 1, 995: -1}
     return f"""WITH p AS (SELECT {ids}, {", ".join(f"({e})::INT AS {n}" for n, e in made.items())}, (c_custkey % 7)::DOUBLE AS weight FROM customer),
-q AS (SELECT *, {_case("age0", week.AGES)} AS age, {_case("gender0", week.GENDERS)} AS gender, {_case("student", week.STUDENTS)} AS student_type FROM p),
+q AS (SELECT *, {_case("age0", ages)} AS age, {_case("gender0", genders)} AS gender, {_case("student", students)} AS student_type FROM p),
 t AS (SELECT *, CASE WHEN age < 5 THEN 8 WHEN age < 16 THEN 7 WHEN employment IN (1, 3, 8) THEN 1 WHEN student IN (0, 1, 3, 4) AND (age < 18 OR (age < 25 AND school_type IN (4, 7))) THEN 6 WHEN student IN (0, 1, 3, 4) THEN 5 WHEN employment IN (2, 3, 7) THEN 2 WHEN age < 65 THEN 4 ELSE 3 END AS ptype FROM q),
 w AS (SELECT *, CASE WHEN ptype IN (1, 2) THEN ptype WHEN ptype IN (5, 6) AND employment IN (1, 2, 3) THEN 2 ELSE 0 END AS worker FROM t)
 SELECT hh, pno, ptype, age, gender, worker, student_type, {zones}, -1.0 AS work_x, -1.0 AS work_y, 1.0 * pno AS school_x, -1.0 AS school_y, {unknown}, weight AS expansion FROM w"""
@@ -1074,6 +1079,73 @@ def ordered_text(spark, folder):
     return o.groupBy("o_custkey").agg(relational.joined_text("o_orderkey", F.col("o_orderpriority")).alias("priorities"), relational.joined_text("o_orderkey", F.col("o_orderstatus"), "").alias("statuses"))
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+# what is written as text is read again with the types and columns asked for
+@query("SELECT c_custkey, c_nationkey::BIGINT AS c_nationkey, c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM customer WHERE c_custkey % 10 > 0 UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment, round(c_acctbal, 2) FROM customer WHERE c_custkey % 10 = 0")
+def csv_round_trip(spark, folder):
+    (c,) = tables(spark, folder, "customer")
+    rows, path = c.select("c_custkey", "c_name", "c_nationkey", F.round("c_acctbal", 2).alias("c_acctbal"), "c_mktsegment"), _scratch(spark, "customers")
+    write_csv(rows.where("c_custkey % 10 > 0"), path)
+    write_csv(relational.union_all(empty_like(rows), rows.where("c_custkey % 10 = 0")), path, "append")
+    return read_csv(spark, path, "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string", ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"])
+
+
+@query("SELECT l_orderkey, l_linenumber::INTEGER AS l_linenumber, l_comment_like FROM (SELECT l_orderkey, l_linenumber, l_returnflag || '\"' || l_linestatus AS l_comment_like FROM lineitem) WHERE l_orderkey % 997 > 0")
+def bulk_load(spark, folder):
+    (items,) = tables(spark, folder, "lineitem")
+    key = F.when(F.col("l_orderkey") % 997 > 0, F.col("l_orderkey").cast("string")).otherwise(F.lit("none"))
+    path = _scratch(spark, "lines")
+    write_csv(items.select(key.alias("key"), "l_linenumber", F.concat("l_returnflag", F.lit('"'), "l_linestatus").alias("flags")), path, quote="")
+    rows, _ = bulk_load_counted(spark, path, "l_orderkey long, l_linenumber int, l_comment_like string", max_errors=1 << 40)
+    return rows
+
+
+@query("SELECT o_orderkey, o_custkey, year(o_orderdate)::VARCHAR AS batch FROM orders")
+def appended_batches(spark, folder):
+    (o,) = tables(spark, folder, "orders")
+    rows, table = o.select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("year")), f"batches_{uuid.uuid4().hex}"
+    years = sorted(r.year for r in rows.select("year").distinct().collect())
+    for year in [*years, years[0]]:  # one of them twice, as a job that was tried again
+        append_batch(rows.where(F.col("year") == year).drop("year"), table, year, bucket_by=("o_custkey",))
+    return spark.table(table)
+
+
+@query("SELECT l_orderkey, l_linenumber, o_custkey AS hh, (o_orderkey % 7)::INTEGER AS pno FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 5 > 0) ON l_orderkey = o_orderkey")
+def located_trips(spark, folder):
+    from .week import attach_person
+
+    items, o = tables(spark, folder, "lineitem", "orders")
+    made = o.where("o_orderkey % 5 > 0").select(F.col("o_orderkey").alias("trip_id"), F.col("o_custkey").alias("hh"), (F.col("o_orderkey") % 7).cast("int").alias("pno"))
+    return attach_person(items.select(F.col("l_orderkey").alias("trip_id"), "l_linenumber"), made).withColumnRenamed("trip_id", "l_orderkey")
+
+
+@query(T + " SELECT event_id, ((CASE WHEN arr < dep THEN arr - dep + 1440 ELSE arr - dep END) // 60)::INT AS hours, (CASE WHEN arr < dep THEN arr - dep + 1440 ELSE arr - dep END) % 60 AS minutes, arr // 60 * 100 + arr % 60 AS hhmm FROM u")
+def hours_and_minutes(spark, folder):
+    hours, minutes = clock.hours_and_minutes(F.col("arr") - F.col("dep"))
+    return trips(spark, folder).select("event_id", hours.alias("hours"), minutes.alias("minutes"), clock.hm_to_hhmm(clock.div(F.col("arr"), 60), F.col("arr") % 60).alias("hhmm"))
+
+
+@query("""WITH p AS (SELECT c_custkey // 3 AS hh, c_custkey % 3 + 1 AS pno, c_custkey % 4 AS rent, c_custkey % 10 AS kind FROM customer),
+f AS (SELECT hh, arg_min(CASE rent WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE rent END, pno) AS owner, arg_min(CASE kind WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 3 WHEN 5 THEN 3 WHEN 6 THEN 3 WHEN 7 THEN 4 WHEN 9 THEN 5 ELSE kind END, pno) AS home_type FROM p GROUP BY hh),
+h AS (SELECT DISTINCT hh, ([999, 1, 4, 10])[hh % 4 + 1] AS d, ([999, 1, 3, 6])[hh % 3 + 1] AS a FROM p)
+SELECT h.hh, (CASE d WHEN 999 THEN CASE a WHEN 999 THEN -1 WHEN 1 THEN 12500 WHEN 3 THEN 62500 WHEN 6 THEN 250000 END WHEN 1 THEN 7500 WHEN 4 THEN 42500 WHEN 10 THEN 350000 END)::INTEGER AS income, owner::INTEGER AS owner, home_type::INTEGER AS home_type FROM h JOIN f ON h.hh = f.hh""")
+def reported_households(spark, folder):
+    from ..sources.tables import Config
+    from .week import reformat_households, reformat_persons
+
+    (c,) = tables(spark, folder, "customer")
+    k, hh = F.col("c_custkey"), F.expr("c_custkey div 3")
+    names = ("age", "gender", "employment", "student", "school_type", "work_park", "work_county", "school_county", "work_zone", "work_parcel", "school_zone", "school_parcel")
+    rows = c.select(hh.alias("hh"), (k % 3 + 1).cast("int").alias("pno"), (k % 4).cast("int").alias("residence_rent_own"), (k % 10).cast("int").alias("residence_type"), *(F.lit(1).alias(n) for n in names), *(F.lit(0.0).alias(n) for n in ("work_x", "work_y", "school_x", "school_y")))
+    pick = lambda *values: F.get(F.array(*map(F.lit, values)), (F.col("hh") % len(values)).cast("int"))
+    homes = rows.select("hh").distinct().select("hh", pick(999, 1, 4, 10).alias("income_detailed"), pick(999, 1, 3).alias("income_followup"))
+    people = reformat_persons(rows, rows.select(*PERSON), Config(counties=(1,)))
+    return reformat_households(homes, people).select("hh", "income", "owner", "home_type")
+
+
 @query("SELECT event_id, dense_rank() OVER (ORDER BY user_id // 3)::BIGINT AS household_no, dense_rank() OVER (ORDER BY event_type, user_id // 3)::BIGINT AS kind_no FROM events")
 def household_numbers(spark, folder):
     (events,) = tables(spark, folder, "events")

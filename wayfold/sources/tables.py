@@ -62,15 +62,16 @@ def bulk_load_counted(spark: SparkSession, path: str, schema: StructType | str,
     options = {"sep": sep, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = lines.select("file", "value", F.from_csv("value", wide.simpleString()[7:-1].replace(":", " "), options).alias("r"))
     bad = parsed.where("r._bad IS NOT NULL").select("file", F.col("value").alias("line"))
-    found = bad.limit(max_errors + 1).count()
+    found = bad.limit(max_errors + 1).count() if max_errors < 10_000 else bad.count()
     if found > max_errors:
         examples = "; ".join(f"{r.file}: {r.line[:200]!r}" for r in bad.orderBy("file", "line").limit(shown).collect())
         raise BadLines(f"{bad.count()} lines don't fit the schema, {max_errors} are allowed: {examples}")
     return parsed.where("r._bad IS NULL").select(*(F.col(f"r.`{f.name}`") for f in schema.fields)), bad
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", quote: str = '"') -> None:
+    """A CSV file with a header for each partition; with an empty quote, values are written as they are."""
+    df.write.mode(mode).option("header", True).option("quote", quote or "\x00").csv(path)
 
 
 def partitions(spark: SparkSession) -> int:
