@@ -39,7 +39,7 @@ def items_of(spark, rows):
     return spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "item_id long, text string, rank int, block string")
 
 
-@pytest.mark.parametrize(("block", "bundle", "rows", "top", "postings"), [(2048, 256, 250_000, 50, 1 << 20), (7, 3, 40, 4, 60), (3, 2, 250_000, 1, 1 << 20)])
+@pytest.mark.parametrize(("block", "bundle", "rows", "top", "postings"), [(2048, 256, 250_000, 50, 1 << 20), (7, 3, 100, 4, 60)])
 def test_results_equal_brute_force(spark, make, corpus, words, monkeypatch, block, bundle, rows, top, postings):
     for name, value in (("BLOCK", block), ("BUNDLE", bundle), ("BROADCAST_ROWS", rows), ("POSTINGS", postings), ("CHUNK", 500)):
         monkeypatch.setattr(R, name, value)
