@@ -162,6 +162,39 @@ def test_packing_keeps_every_word(make, corpus, shard):
     assert packing.pack(make([])).count() == 0
 
 
+@pytest.mark.parametrize(("shard", "shard_tokens", "end"), [(20_000, 1 << 23, None), (5, 1 << 23, 7), (20_000, 600, None)])
+def test_sequences_of_ids_hold_every_token_once(spark, make, corpus, shard, shard_tokens, end):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from wayfold.llm import bpe
+
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    encoded = bpe.encode(make(corpus), path)
+    out = packing.pack_ids(encoded.selectExpr("*", "1 AS shard", "'x' AS piece", "2 AS _row", "3 AS n"), (64, 128, 256), shard=shard, shard_tokens=shard_tokens, end=end).collect()
+    assert len({r.bin for r in out}) == len(out)
+    assert len({r.bin >> 32 for r in out}) > 1 or (shard, shard_tokens) == (20_000, 1 << 23)
+    found = {}
+    for r in out:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.fill <= r.capacity and r.capacity == min(c for c in (64, 128, 256) if c >= r.fill)
+        at = 0
+        for p in r.pieces:
+            assert p.position == at and p.start == p.piece * 256 and 0 < p.length <= 256
+            found.setdefault((p.doc_id, p.start), []).append(tuple(ids[at : at + p.length]))
+            at += p.length
+        assert at == r.fill
+    want = {}
+    for r in encoded.collect():
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        ids += [end] if ids and end is not None else []
+        for s in range(0, len(ids), 256):
+            want.setdefault((r.doc_id, s), []).append(tuple(ids[s : s + 256]))
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
+    if shard_tokens == 1 << 23 and shard == 20_000:
+        assert sum(r.fill for r in out) / sum(r.capacity for r in out) > 0.95
+    none = spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary")
+    assert packing.pack_ids(none, end=7).count() == packing.pack_ids(none.limit(0)).count() == 0
+
+
 def brute_cost(lengths, capacities, overhead, attention):
     """The least cost of all partitions of a few lengths into bins."""
     best = [float("inf")]

@@ -14,6 +14,8 @@ from .common import cut, key_of
 #: Permitted sequence lengths in words, what a sequence costs besides its words, the length at which attention costs as
 #: much again as the words themselves, and pieces packed together.
 CAPACITIES, OVERHEAD, ATTENTION, SHARD = (512, 1024, 2048, 4096), 64, 16_384, 20_000
+#: Tokens that are packed together at most, about: 32 MB of ids.
+SHARD_TOKENS = 1 << 23
 
 
 def cost(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
@@ -119,5 +121,51 @@ def contents(packed: DataFrame) -> DataFrame:
     return rows.select("bin", "capacity", "fill", pieces.alias("pieces"), F.array_join(F.col("p.text"), " ").alias("text"))
 
 
+def pack_ids(encoded: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION, shard: int = SHARD, shard_tokens: int = SHARD_TOKENS, end: int | None = None) -> DataFrame:
+    """Sequences of token ids, one row each, from encoded texts (doc_id, ids; bpe.encode makes them).
+
+    Columns: bin, capacity, fill long; pieces array<struct<doc_id, piece, start, length, position>>, by position (start
+    counts tokens of the document, position those of the sequence); ids binary (little-endian unsigned 32-bit integers,
+    fill of them, to be padded up to capacity). end is a token that closes each document.
+
+    Lengths are tokens here, so a capacity is what a model's context holds. Ids are written once in the shared folder,
+    then move once, to their shard: of `shard` pieces and `shard_tokens` tokens at most, about, dealt by row, so that no
+    task holds much whatever one document or source has. Sequences are put together there.
+
+    Documents without tokens are in no sequence, with or without end. Ids of documents may be null; repeated rows are
+    packed each; ties go by id and piece; documents longer than the largest capacity are cut into pieces of it. Other
+    columns are left behind, whatever their names. An empty table gives an empty result.
+    """
+    most = max(capacities)
+    ids = F.col("ids").cast("binary")
+    if end is not None:
+        ids = F.concat(ids, F.lit(bytearray(np.array([end], "<u4").tobytes())))
+    rows = encoded.where("octet_length(ids) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("ids")).withColumn("n", F.expr("octet_length(ids) div 4"))
+    piece = f"named_struct('piece', i, 'start', i * {most}, 'length', least({most}L, n - i * {most}), 'ids', substring(ids, cast(i * {4 * most} + 1 as int), {4 * most}))"
+    pieces = rows.select("doc_id", F.explode(F.expr(f"transform(sequence(0L, (n - 1) div {most}), i -> {piece})")).alias("p")).select("doc_id", "p.*")
+    pieces = cut(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    count, total = pieces.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    shards = max(1, -(-count // shard), -(-total // shard_tokens))
+
+    def sequences(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("_row", "ascending")])
+        placed = np.array(best_fit(table["length"].to_pylist(), capacities, overhead, attention), np.int64)
+        order = np.lexsort((placed[:, 1], placed[:, 0]))
+        bins, at, capacity = placed[order].T
+        table = table.take(pa.array(order)).combine_chunks()
+        first = np.flatnonzero(np.diff(bins, prepend=-1))
+        fill = np.add.reduceat(table["length"].to_numpy(), first)
+        inside = [table[c].combine_chunks() for c in ("doc_id", "piece", "start", "length")]
+        parts = pa.StructArray.from_arrays([*inside, pa.array(at)], ["doc_id", "piece", "start", "length", "position"])
+        tokens = np.frombuffer(b"".join(table["ids"].to_pylist()), "<u4")
+        stretches = [tokens[a : a + n].tobytes() for a, n in zip(np.cumsum(fill) - fill, fill, strict=True)]
+        number = table["shard"].to_numpy()[first] * (1 << 32) + bins[first]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(bins)), pa.int32()), parts)
+        return pa.table([pa.array(number), pa.array(capacity[first]), pa.array(fill), lists, pa.array(stretches, pa.binary())], ["bin", "capacity", "fill", "pieces", "ids"])
+
+    schema = "bin long, capacity long, fill long, pieces array<struct<doc_id: long, piece: long, start: long, length: long, position: long>>, ids binary"
+    return pieces.withColumn("shard", F.pmod(F.xxhash64("_row"), F.lit(shards).cast("long"))).groupBy("shard").applyInArrow(sequences, schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -6,7 +6,8 @@
    earlier, too, is a seed.
 2. Chains. Seeds that follow each other in a document and in its source are chained.
 3. Extension. Chains are joined with the texts of their sources and then with their own. Words are compared from the
-   chain on both ways as far as they agree; what is `window` words long or longer is a maximal repeat.
+   chain on both ways as far as they agree, up to `window` words beyond it: windows further on are seeds themselves, of
+   this source or of an earlier one, so that all words of maximal repeats of `window` words or more are covered.
 """
 
 from __future__ import annotations
