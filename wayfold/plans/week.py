@@ -156,8 +156,8 @@ def person_day_records(trips: DataFrame, complete: DataFrame, tour_records: Data
 class WeekTables:
     """What the pipeline makes; nothing is computed before a table is used.
 
-    With stages, the linked trips, the halves of tours and the tours' records are written once, when they are first
-    needed, and every table reads them; without, each table is a plan of its own.
+    With stages, the linked trips, the halves of tours and the tours' records are written once, when a table that is
+    made from them first needs them, and every table reads them; without, each table is a plan of its own.
     """
 
     def __init__(self, trips: DataFrame, config: Config, max_gap: int, days: DataFrame | None, persons: DataFrame | None, stages: Stages | None):
@@ -223,14 +223,24 @@ class WeekTables:
         return weights.expansion_weights(df, "weight", "num_days_complete_5dayweekday", F.col("day"), self.config.analysis_days, self.config.weight_cap)
 
     @cached_property
-    def tours(self) -> DataFrame:
+    def _tour_records(self) -> DataFrame:
         record = tours.order_tours(tours.tour_summary(self.halved, self.config.max_stops, BELOW))
-        return self._keep(self._weigh(record.join(self.person, PERSON, "left")), "tours")
+        return self._weigh(record.join(self.person, PERSON, "left"))
+
+    @cached_property
+    def kept_tours(self) -> DataFrame:
+        """The tours' records for tables that read them."""
+        return self._keep(self._tour_records, "tours")
+
+    @property
+    def tours(self) -> DataFrame:
+        """The tours' records: those that are kept already, else the plan that makes them, as nothing else reads them yet."""
+        return self.kept_tours if "kept_tours" in self.__dict__ else self._tour_records
 
     @cached_property
     def halves(self) -> DataFrame:
         halves = self.halved.where(F.col("half").isNotNull() & (F.col("tseg") <= self.config.max_stops))
-        of_tour = self.tours.select(*BELOW, "tour_no", "tpath", F.col("day").alias("_day"), "expansion")
+        of_tour = self.kept_tours.select(*BELOW, "tour_no", "tpath", F.col("day").alias("_day"), "expansion")
         return halves.join(of_tour, BELOW).withColumn("day", F.col("_day")).drop("_day")
 
     @cached_property
@@ -239,13 +249,13 @@ class WeekTables:
 
     @cached_property
     def person_days(self) -> DataFrame:
-        rows = person_day_records(self.walked, self.complete, self.tours, tours.intermediate_stops(self.halves, BELOW))
+        rows = person_day_records(self.walked, self.complete, self.kept_tours, tours.intermediate_stops(self.halves, BELOW))
         rows = rows.join(self.person.select(*PERSON, "weight", "num_days_complete_5dayweekday"), PERSON, "left").fillna({"weight": 1.0})
         return self._weigh(rows).drop("weight", "num_days_complete_5dayweekday")
 
     @cached_property
     def patterns(self) -> DataFrame:
-        return tours.person_day_pattern(self.toured, self.config.max_stops, self.tours.where("subtour > 0"))
+        return tours.person_day_pattern(self.toured, self.config.max_stops, self.kept_tours.where("subtour > 0"))
 
     @cached_property
     def tour_output(self) -> DataFrame:
@@ -276,7 +286,7 @@ class WeekTables:
         """The person-day file: each complete day with its tours (from home, work, to the usual workplace, by purpose), stops and weight."""
         self._need_persons()
         main, usual = F.col("subtour") == 0, (F.col("pdpurp") == WORK) & (F.col("arrived.type") == 2)
-        more = self.tours.groupBy(*PERSON, "day").agg(F.count_if(main).alias("hbtours"), F.count_if(main & usual).alias("uwtours"))
+        more = self.kept_tours.groupBy(*PERSON, "day").agg(F.count_if(main).alias("hbtours"), F.count_if(main & usual).alias("uwtours"))
         rows = self.person_days.join(more, [*PERSON, "day"], "left").fillna(0, ["hbtours", "uwtours"])
         counts = [f"{n}{k}" for k in ("tours", "stops") for n in tours.PURPOSES.values()]
         return rows.select(*PERSON, "day", "beghom", "endhom", "hbtours", "wbtours", "uwtours", *counts, F.col("expansion").alias("pdexpfac"))
