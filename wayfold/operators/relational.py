@@ -17,6 +17,17 @@ def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, on, "left")
 
 
+def of_household(rows: DataFrame, members: DataFrame, hh: str = "hh", member: str = "pno") -> DataFrame:
+    """Left join of members (hh, pno, ...) to rows by both keys, for rows that are dealt by household and stay where they are.
+
+    A join by both keys would deal both sides anew. Here the other columns of a household's few members come as a list.
+    """
+    rest = [c for c in members.columns if c not in (hh, member)]
+    listed = members.where(F.col(hh).isNotNull()).groupBy(hh).agg(F.collect_list(F.struct(F.col(member).alias("_m"), *rest)).alias("_all"))
+    own = F.explode_outer(F.filter("_all", lambda m: m["_m"] == F.col(member)))
+    return rows.join(listed, hh, "left").withColumn("_own", own).select(*rows.columns, *(F.col(f"_own.{c}") for c in rest))
+
+
 def update_from(target: DataFrame, source: DataFrame, on: list[str], columns: dict[str, str], order: Column | None = None) -> DataFrame:
     """target with columns replaced by those of its match in source, where these aren't null.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import clock_text, hm_to_hhmm, min_to_hhmm
 from ..functions.recode import any_of, cases, gate, positive_or, recode
 from ..operators import sequence, tours, weights
-from ..operators.relational import first_by
+from ..operators.relational import first_by, of_household
 from ..sources.diary import HOME, PERSON, WORK
 from ..sources.tables import Config, Stages
 
@@ -193,7 +193,7 @@ class WeekTables:
         rows = rows if "role" in rows.columns else rows.withColumn("role", F.lit(3))
         known = [c for c in PLACES if c in self.persons.columns]
         places = self.persons.select(*PERSON, *known, "ptype" if "ptype" in self.persons.columns else F.lit(None).cast("int").alias("ptype"))
-        rows = rows.join(places, PERSON, "left")
+        rows = of_household(rows, places)
         rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(-1)) if c in known else F.lit(-1) for c in PLACES})
         rows = sequence.unwrap_clock(sequence.settle_ends(rows).drop(*PLACES))
         return self._keep(rows.withColumn("act_dur", F.col("end_min") - F.col("arr_min")), "walked")

@@ -136,8 +136,8 @@ class Stages:
     """Intermediate tables that several results read: written once to the shared folder, bucketed by `keys`.
 
     A stage is computed when it is kept, and read from then on: its rows are not computed again, whatever reads them
-    and whichever executor is lost, and windows and groups by the keys begin without an exchange. As a context manager
-    it drops its tables and files in the end; without, they stay for whoever owns the folder.
+    and whichever executor is lost, and windows and groups by the keys begin without an exchange. A task reads a bucket,
+    so there should be as many of them as the tables are dealt to. As a context manager it drops its tables and files in the end; without, they stay for whoever owns the folder.
     """
 
     def __init__(self, spark: SparkSession, keys: tuple[str, ...] = ("hh",), buckets: int | None = None):
