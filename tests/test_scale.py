@@ -1,6 +1,8 @@
 """How rows are dealt: tasks by rows, and no exchange for rows that are dealt by household."""
 
-from wayfold.operators import relational
+from pyspark.sql import functions as F
+
+from wayfold.operators import joint, relational
 from wayfold.sources import diary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,3 +27,9 @@ def test_members_join_households_where_they_are(spark):
     want = trips.join(members, ["hh", "pno"], "left").select(out.columns)
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     assert "ENSURE_REQUIREMENTS" not in plan(out)
+
+
+def test_parties_are_found_without_another_exchange(spark):
+    trips = spark.range(200).select((F.col("id") % 7).alias("hh"), (F.col("id") % 3).cast("int").alias("pno"), (F.col("id") % 50).cast("int").alias("dep"), (F.col("id") % 50 + 5).cast("int").alias("arr"), F.lit(1).alias("x"))
+    found = plan(joint.detect_parties(trips.repartition(3, "hh"), places=("x",)))
+    assert found.count("Exchange") == 1 and "Join" not in found

@@ -19,23 +19,28 @@ def detect_parties(trips: DataFrame, minutes: int = 4, times: tuple[str, str] =
     Members are matched within the household by equal places, on the same day if its column is named; times may differ
     by `minutes`. Several matching trips of one member count once; a trip without places has no company.
 
-    This is a band join: a member's distinct times are listed in the cell of both times, `minutes` wide, and in the
-    cells around it, and a trip looks up its own cell. A cell lists no more than each member's times in 3 x 3 cells,
-    however many trips there are, and a crowded one is a key of few rows on one side, so Spark can split the other.
+    This is a band join: a member's times are listed in the cell of both times, `minutes` wide, and in the cells around
+    it, and a trip looks up its own cell. Trip and listings meet in a window by household, place and cell, so that trips
+    which are dealt by household stay where they are: neither side is dealt or broadcast. A cell's list has each member's
+    distinct times in 3 x 3 cells, however many trips there are; the window's rows can be spilled.
     """
     width = max(1, minutes)
     keys = ["hh", *([day] if day else []), *places]
-    cells = [F.floor(F.col(t) / width).cast("long").alias(f"_{k}") for k, t in enumerate(times)]
-    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
-    rows = trips.select("*", *cells)
-    members = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in ("_0", "_1", "pno", *keys))).select(*keys, "pno", *times, "_0", "_1").distinct()
-    listed = members.select(*keys, "pno", *times, around("_0"), "_1").select(*keys, "pno", *times, "_0", around("_1"))
-    listed = listed.groupBy(*keys, "_0", "_1").agg(F.collect_set(F.struct("pno", *times)).alias("_all"))
-    rows = rows.join(listed, [*keys, "_0", "_1"], "left")
+    cell = lambda t: F.floor(F.col(t) / width).cast("long")
+    known = F.lit(True)
+    for c in (*times, "pno", *keys):
+        known &= F.col(c).isNotNull()
+    at = lambda i, j: F.struct((cell(times[0]) + i).alias("_0"), (cell(times[1]) + j).alias("_1"), F.lit(i == j == 0).alias("_own"))
+    around = F.when(known, F.array(*(at(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)))).otherwise(F.array(at(0, 0)))
+    entry = F.when(known, F.struct("pno", *times))
+    rows = trips.select(*keys, entry.alias("_entry"), F.struct(*trips.columns).alias("_row"), F.explode(around).alias("_at"))
+    rows = rows.select(*keys, "_at.*", "_entry", F.when(F.col("_at._own"), F.col("_row")).alias("_row"))
+    listed = F.collect_set("_entry").over(W.partitionBy(*keys, "_0", "_1"))
+    rows = rows.withColumn("_all", listed).where("_own").select("_row.*", "_all")
     close = lambda o: (o["pno"] != F.col("pno")) & (F.abs(o[times[0]] - F.col(times[0])) <= minutes) & (F.abs(o[times[1]] - F.col(times[1])) <= minutes)
     others = F.array_sort(F.array_distinct(F.transform(F.filter("_all", close), lambda o: o["pno"])))
     party = F.concat(F.array("pno"), F.coalesce(others, F.array().cast("array<int>")))
-    return rows.select(*trips.columns, party.alias("party")).withColumn("party_text", F.array_join("party", "."))
+    return rows.select(*trips.columns, F.when(known, party).otherwise(F.array("pno")).alias("party")).withColumn("party_text", F.array_join("party", "."))
 
 
 def classify_joint_tours(trips: DataFrame, keys: list[str] = [*PERSON, "tour"]) -> DataFrame:  # noqa: B006
