@@ -333,3 +333,23 @@ def test_rows_without_an_id_name_no_component(make, words):
     rows = [(7, text), (5, near), (None, text + " more"), (None, words(50)), (None, None), (9, None), (11, "x y")]
     out = ngram_jaccard.near_duplicates(make(rows)).collect()
     assert sorted(((x.doc_id, x.component_id) for x in out), key=repr) == sorted([(7, 5), (5, 5), (None, 5), (None, None), (None, None), (9, 9), (11, 11)], key=repr)
+
+
+def test_suffix_dedup_query_removes_strings_of_400_bytes_and_no_shorter_passages(make, corpus, words, spark, tmp_path):
+    passages = {n: words(150).encode("ascii", "ignore").decode()[:n] for n in (399, 400, 410)}
+    rows = once(corpus)
+    for n, p in passages.items():
+        assert len(p) == n and len(split(p)) > 50
+        other = p.replace(" ", "\n") if n == 410 else p  # the same words, other bytes
+        rows += [(n, f"{n}#{p}#{words(9)}"), (n + 1000, f"{n + 1000}!{other}!{words(9)}")]
+    make(rows).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {i: (t or "").encode() for i, t in rows}
+    _, count = brute_windows(texts, 400)
+    out = {r.doc_id: r for r in suffix_dedup.query(spark, str(tmp_path)).collect()}
+    assert out.keys() == texts.keys()
+    for i, t in texts.items():
+        gone = brute_cut(t, i, 400, lambda w, at: count[w] > 1)
+        spans = sum(g and not before for g, before in zip(gone, [False, *gone], strict=False))
+        kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
+        assert (out[i].n_bytes, out[i].n_removed, out[i].n_spans, out[i].kept_sha256) == (len(t), sum(gone), spans, sha(kept)), i
+    assert [out[n].n_removed for n in passages] == [out[n + 1000].n_removed for n in passages] == [0, 400, 0]
